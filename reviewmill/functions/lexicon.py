@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import glob
+import os
+import zipfile
+from functools import cache
+
+import pyspark
+from pyspark import SparkContext
 from pyspark.ml.feature import StopWordsRemover
 
 # ---------------------------------------------------------------------------
@@ -124,9 +131,21 @@ UPLOAD_ROLES = {
 }
 
 
+@cache
+def _english() -> tuple[str, ...]:
+    if SparkContext._active_spark_context is not None:
+        return tuple(StopWordsRemover.loadDefaultStopWords("english"))
+    # Without a session, read the same resource from the MLlib jar of this installation.
+    home = os.environ.get("SPARK_HOME") or os.path.dirname(pyspark.__file__)
+    jar = glob.glob(os.path.join(home, "jars", "spark-mllib_*.jar"))[0]
+    with zipfile.ZipFile(jar) as archive:
+        text = archive.read("org/apache/spark/ml/feature/stopwords/english.txt").decode()
+    return tuple(line for line in text.splitlines() if line)
+
+
 def english_stop_words() -> list[str]:
     """Spark's own English list."""
-    return StopWordsRemover.loadDefaultStopWords("english")
+    return list(_english())
 
 
 def sentiment_stop_words(preserved: list[str] = PRESERVED_NEGATIONS) -> list[str]:

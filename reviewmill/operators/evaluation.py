@@ -55,15 +55,13 @@ def cumulative_counts(preds: DataFrame, score: str = "score", slices: int = 256)
 
     A running sum over all scores would put them in one task. Here the score
     range is cut at approximate quantiles of the distinct scores; a window over
-    at most ``slices`` + 1 slice totals gives each slice its offset, and the running sums
+    at most ``slices`` slice totals gives each slice its offset, and the running sums
     inside slices run in parallel. Sums are exact wherever the cuts fall.
     """
     groups = _score_groups(preds, score)
-    marks = [F.lit(i / slices) for i in range(1, slices)]
-    cuts = groups.agg(F.percentile_approx("score", F.array(*marks), F.lit(10 * slices)).alias("cuts")).scalar()
-    sliced = groups.withColumn("slice", F.size(F.filter(F.array_distinct(cuts), lambda c: c > F.col("score"))))
+    sliced = groups.withColumn("slice", ranking.range_slice(groups, "score", slices))
     totals = sliced.groupBy("slice").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.count(F.lit(1)).alias("g"))
-    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("slice", *[
         F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_off") for c in ("p", "n", "g")
     ])

@@ -7,7 +7,7 @@ fan-out cannot inflate a count and a very large seller costs no more than a smal
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.functions import rules
@@ -199,7 +199,7 @@ def product_detail(products: DataFrame, organizations: DataFrame, reviews: DataF
 def with_fallback(products: DataFrame, per_product: DataFrame, per_seller: DataFrame) -> DataFrame:
     """Result rows of each product, or its seller's where it has none."""
     pairs = products.select(F.col("id").alias("product_id"), F.col("organization_id").alias("seller_id"))
-    own = pairs.join(per_product, "product_id").withColumn("source", F.lit("product"))
+    own = pairs.join(per_product, ["product_id", "seller_id"]).withColumn("source", F.lit("product"))
     gaps = pairs.join(per_product.select("product_id").distinct(), "product_id", "left_anti")
     borrowed = gaps.join(per_seller, "seller_id").withColumn("source", F.lit("seller"))
     return own.unionByName(borrowed)
@@ -263,12 +263,16 @@ def recent_reviews(reviews: DataFrame, products: DataFrame, key: str = "organiza
 # --- issues -------------------------------------------------------------------------------
 
 def issue_rollup(results: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Issue results of many analyses added up, with the most urgent priority."""
+    """Issue results of many analyses added up, with the most urgent priority.
+
+    Means run on decimals, so they do not depend on the order in which tasks finish.
+    """
+    def mean(name: str, digits: int) -> Column:
+        return F.round(F.avg(F.col(name).cast("decimal(20,10)")), digits).cast("double").alias(name)
+
     return results.groupBy(*keys, "phrase", "aspect").agg(
-        F.sum("frequency").alias("frequency"),
-        F.round(F.avg("percentage"), 2).alias("percentage"),
-        F.max(rules.priority_rank("priority")).alias("_rank"),
-        F.round(F.avg("negative_pct"), 1).alias("negative_pct"),
+        F.sum("frequency").alias("frequency"), mean("percentage", 2),
+        F.max(rules.priority_rank("priority")).alias("_rank"), mean("negative_pct", 1),
     ).withColumn("priority", rules.priority_name("_rank")).drop("_rank")
 
 
@@ -341,3 +345,23 @@ def open_invitations(invitations: DataFrame, limit: int | None = None) -> DataFr
     """Invitations, newest first."""
     ordered = invitations.orderBy(F.desc("created_at"), "id")
     return ordered.limit(limit) if limit else ordered
+
+
+def unique_slugs(df: DataFrame, name: str, order: str, slices: int = 256) -> DataFrame:
+    """Slug per row; the first holder of a slug keeps it, later ones get a number (P25).
+
+    A name held by a third of all rows must not be numbered in one task. Rows are
+    cut into ranges of the order column, numbered within (slug, range), and shifted by
+    the counts of the earlier ranges, which form at most ``slices`` rows per slug.
+    """
+    sliced = df.withColumn("_base", tx.slug(name)).withColumn("_slice", ranking.range_slice(df, order, slices))
+    sizes = sliced.groupBy("_base", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_base").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_base", "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_base", "_slice").orderBy(order)
+    numbered = sliced.withColumn("_in", F.row_number().over(inside)).join(offsets, ["_base", "_slice"])
+    number = F.col("_in") + F.col("_off")
+    return numbered.select(
+        *df.columns,
+        F.when(number == 1, F.col("_base")).otherwise(F.concat_ws("-", "_base", number.cast("string"))).alias("slug"),
+    )
