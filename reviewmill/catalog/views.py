@@ -179,8 +179,8 @@ class Views:
         )
 
 
-def review_columns(lineitem: DataFrame, suppliers) -> DataFrame:
-    """Review rows from order lines; works on a batch table and on a stream."""
+def review_columns(lineitem: DataFrame, suppliers, *extra: str) -> DataFrame:
+    """Review rows from order lines, with further columns as they are; works on a table and on a stream."""
     pick = (F.col("l_orderkey") + F.col("l_linenumber") + F.col("l_partkey")) % len(SENTENCES)
     return lineitem.select(
         F.concat_ws("-", _text("l_orderkey"), _text("l_linenumber"), _text("l_partkey"), _text("l_suppkey"),
@@ -193,6 +193,7 @@ def review_columns(lineitem: DataFrame, suppliers) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", "NEGATIVE").otherwise("POSITIVE").alias("sentiment"),
         F.round(F.lit(1) - F.col("l_discount"), 2).alias("sentiment_score"),
         F.col("l_shipdate").alias("review_date"),
+        *extra,
     )
 
 

@@ -113,18 +113,19 @@ def import_is_positive(content: Column | str, rating: Column | str,
 
 
 def guardrail(content: Column | str, negative: list[str] = lex.GUARDRAIL_NEGATIVE,
-              positive: list[str] = lex.GUARDRAIL_POSITIVE, legacy: bool = False) -> Column:
+              positive: list[str] = lex.GUARDRAIL_POSITIVE, legacy: bool = False, cleaned: bool = False) -> Column:
     """0 or 1 if a decisive phrase occurs, else null; negative phrases are tried first.
 
     Text and phrases go through the same cleaning and match on word boundaries,
     so ``don't recommend`` is found and ``whatever`` is not ``hate``. With
     ``legacy=True`` contractions stay unexpanded and phrases match as substrings.
+    ``cleaned=True`` takes text that has been through that cleaning already.
     """
     if legacy:
-        body = tx.squash(content)
+        body = tx.as_column(content) if cleaned else tx.squash(content)
         find = lambda phrases: body.rlike("|".join(re.escape(p) for p in phrases))
     else:
-        body = tx.clean_expanded(content)
+        body = tx.as_column(content) if cleaned else tx.clean_expanded(content)
         find = lambda phrases: body.rlike(rf"\b(?:{tx.word_alternation(_expanded(phrases))})\b")
     return F.when(find(negative), F.lit(0)).when(find(positive), F.lit(1))
 

@@ -92,6 +92,15 @@ def non_blank(text: Column | str) -> Column:
     return F.length(F.trim(as_column(text))) > 0
 
 
+def has_words(text: Column | str) -> Column:
+    """Whether cleaning leaves anything, without cleaning.
+
+    Besides ASCII letters and digits, two characters lower-case to ASCII letters:
+    the dotted capital I and the Kelvin sign.
+    """
+    return as_column(text).rlike("[A-Za-z0-9\\u0130\\u212A]")
+
+
 def word_count(clean_text: Column | str) -> Column:
     """Number of words in cleaned text; empty text has none."""
     col = as_column(clean_text)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, NGram, StopWordsRemover, Tokenizer, \
     VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,3 +75,25 @@ def tfidf_table(df: DataFrame, key: str, text: str = "clean_text", n: int = 1, m
         key, "term", "tf", "df",
         F.round(F.col("tf") * F.log((documents + 1) / (F.col("df") + 1)), 6).alias("tfidf"),
     )
+
+
+def feature_summary(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Document count and mean weight of every vocabulary term, in one pass over the vectors.
+
+    The summary is one vector pair of vocabulary size.
+    """
+    spark = df.sparkSession
+    counts = [s for s in model.stages if isinstance(s, CountVectorizerModel)]
+    gathered = model
+    if len(counts) > 1:
+        raw = VectorAssembler(inputCols=[s.getOutputCol() for s in counts], outputCol="_counts")
+        gathered = PipelineModel(stages=[*model.stages, raw])
+    column = "_counts" if len(counts) > 1 else counts[0].getOutputCol()
+    vectors = gathered.transform(df)
+    summary = vectors.agg(
+        Summarizer.numNonZeros(F.col(column)).alias("_n"), Summarizer.mean(F.col("features")).alias("_mean"))
+    cells = summary.select(F.posexplode(F.arrays_zip(
+        vector_to_array("_n").alias("n"), vector_to_array("_mean").alias("mean"))).alias("index", "cell"))
+    terms = spark.createDataFrame(list(enumerate(vocabulary(model))), "index int, term string")
+    return cells.join(terms, "index").select(
+        "term", F.col("cell.n").cast("bigint").alias("documents"), F.round("cell.mean", 6).alias("mean_tfidf"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import time
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticRegressionModel, NaiveBayes, \
     NaiveBayesModel, RandomForestClassifier
@@ -44,15 +43,16 @@ def linear_svc(**params) -> LinearSVC:
 def fit(train: DataFrame, classifier: Estimator, **feature_options) -> PipelineModel:
     """Features and classifier fitted on the same rows.
 
-    Every feature stage reads the rows again, so the few columns a fit needs are kept
-    for its duration, spilling to disk.
+    Two tables go to the shared folder: the cleaned rows, which every feature stage
+    reads, and the vectors, which an optimizer reads up to hundreds of times. Cleaning and
+    deduplication run once, and an executor lost half-way costs a re-read of its part.
     """
-    needed = ("label", "class_weight", feature_options.get("input_col", "clean_text"))
-    rows = train.select(*[c for c in needed if c in train.columns]).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return Pipeline(stages=features.tfidf_stages(**feature_options) + [classifier]).fit(rows)
-    finally:
-        rows.unpersist()
+    text = feature_options.get("input_col", "clean_text")
+    columns = [c for c in ("label", "class_weight") if c in train.columns]
+    rows = session.publish(train.select(*columns, text), "train-rows")
+    fitted = Pipeline(stages=features.tfidf_stages(**feature_options)).fit(rows)
+    vectors = session.publish(fitted.transform(rows).select(*columns, "features"), "train-vectors")
+    return PipelineModel(stages=[*fitted.stages, classifier.fit(vectors)])
 
 
 def positive_score(columns: list[str]) -> Column:
@@ -109,7 +109,7 @@ def svc_grid(svc: LinearSVC) -> list[dict]:
     return ParamGridBuilder().addGrid(svc.regParam, REG_PARAMS).build()
 
 
-def tune(train: DataFrame, key: str, classifier: Estimator, grid: list[dict], parallelism: int = 2,
+def tune(train: DataFrame, key: str, classifier: Estimator, grid: list[dict], parallelism: int = 4,
          final_iterations: int = 200, seed: int = SEED, **feature_options) -> tuple[PipelineModel, DataFrame]:
     """Grid search on an 80/20 split of the training rows, then a refit on all of them (M9).
 
@@ -120,7 +120,9 @@ def tune(train: DataFrame, key: str, classifier: Estimator, grid: list[dict], pa
     from multiprocessing.pool import ThreadPool
 
     spark = train.sparkSession
-    inner, held_out = ranking.split_by_key(train, key, seed=seed)
+    text = feature_options.get("input_col", "clean_text")
+    stored = session.publish(train.select(key, "label", text), "tune-rows")
+    inner, held_out = ranking.split_by_key(stored, key, seed=seed)
     fitted = Pipeline(stages=features.tfidf_stages(**feature_options)).fit(inner)
     inner = session.publish(fitted.transform(inner).select("label", "features"), "tune-train")
     held_out = session.publish(fitted.transform(held_out).select("label", "features"), "tune-valid")
@@ -139,7 +141,7 @@ def tune(train: DataFrame, key: str, classifier: Estimator, grid: list[dict], pa
     )
     final = classifier.copy(best)
     final.setMaxIter(final_iterations)
-    return fit(train, final, **feature_options), table
+    return fit(stored, final, **feature_options), table
 
 
 def weighted_fit(train: DataFrame, classifier: Estimator, **feature_options) -> PipelineModel:
