@@ -47,7 +47,7 @@ SQL_WORDS = "CASE WHEN c = '' THEN 0 ELSE len(string_split(c, ' ')) END"
 def all_texts(v: Views):
     """Documents and reviews under one key."""
     docs = v.documents.select(F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("id"), "review")
-    return docs.unionByName(v.reviews.select(F.concat(F.lit("L"), "id").alias("id"), F.col("content").alias("review")))
+    return docs.unionByName(v.review_texts.select(F.concat(F.lit("L"), "id").alias("id"), F.col("content").alias("review")))
 
 
 ALL_TEXTS = """SELECT 'D' || CAST(doc_id AS VARCHAR) AS id, text AS review FROM documents
@@ -100,7 +100,7 @@ GROUP BY phrase ORDER BY frequency DESC, phrase LIMIT 200""", tok=TOKENS)
 
 
 def _title_body(v: Views):
-    joined = corpus.prepare(v.reviews.withColumnRenamed("content", "review"), "review", "id", "title")
+    joined = corpus.prepare(v.review_texts.withColumnRenamed("content", "review"), "review", "id", "title")
     return joined.select("id", "review")
 
 

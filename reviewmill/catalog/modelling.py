@@ -111,7 +111,7 @@ def _topics(v: Views):
 
 def review_model(v: Views):
     """Sentiment model for the review texts, stored and loaded again as a scoring job would."""
-    rows = v.reviews.select("id", F.col("content").alias("review"),
+    rows = v.review_texts.select("id", F.col("content").alias("review"),
                             rules.import_is_positive("content", "rating").cast("double").alias("label"))
     ready = corpus.with_clean_text(corpus.prepare(rows, "review", "id"), "review", "c")
     model = models.fit(ready, models.logistic_regression(), stop_words=lex.sentiment_stop_words(), min_df=1.0)
@@ -146,9 +146,9 @@ QUERIES = {
     "model_terms_lr": _lr_terms,
     "lda_topics": _topics,
     "lda_topic_weight": lambda v: models.topic_weights(_topics(v)),
-    "score_batch": lambda v: scoring.predict(v.reviews, review_model(v), "content", ["id"]),
-    "score_aspects": lambda v: scoring.aspect_predictions(v.reviews, review_model(v), "content", ["id"]),
-    "absa_model": lambda v: scoring.aspect_report(v.reviews, review_model(v), "content", ["id"]),
+    "score_batch": lambda v: scoring.predict(v.review_texts, review_model(v), "content", ["id"]),
+    "score_aspects": lambda v: scoring.aspect_predictions(v.review_texts, review_model(v), "content", ["id"]),
+    "absa_model": lambda v: scoring.aspect_report(v.review_texts, review_model(v), "content", ["id"]),
     "error_report": _error_report("summary"),
     "error_report_examples": _error_report("examples"),
 }

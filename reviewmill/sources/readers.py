@@ -22,6 +22,17 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.
     return df.repartition(partitions) if partitions else df
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that has fewer splits than the session has cores.
+
+    Text work is bound by the processor, and a table in a single small file would
+    run in one task. A large table has far more splits than cores and is returned as it is.
+    Filters and column pruning still reach the files.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def bounded_sample(corpus: DataFrame, rows: int = 30000, label: float | None = None,
                    text: str = "review") -> DataFrame:
     """First rows of a corpus, optionally of one class with lower-cased text."""
