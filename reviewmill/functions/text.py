@@ -85,7 +85,7 @@ def clean(text: Column | str, variant: str) -> Column:
 
 def strip_space(text: Column | str) -> Column:
     """Trim all white space, not only blanks."""
-    return F.regexp_replace(as_column(text), r"^\s+|\s+$", "")
+    return F.btrim(as_column(text), F.lit(" \t\n\x0b\f\r"))
 
 
 def non_blank(text: Column | str) -> Column:

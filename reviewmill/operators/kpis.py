@@ -53,12 +53,16 @@ def latest_analysis(analyses: DataFrame, key: str = "organization_id") -> DataFr
 
 # --- platform and seller KPIs ----------------------------------------------------------
 
-def organization_facts(products: DataFrame, reviews: DataFrame, analyses: DataFrame) -> DataFrame:
-    """Products, review counts and latest health per organization that has any."""
+def with_facts(sellers: DataFrame, products: DataFrame, reviews: DataFrame, analyses: DataFrame) -> DataFrame:
+    """Sellers with their products, review counts and latest health, null where they have none.
+
+    Each fact is one row per organization by then, so the left joins are on small,
+    equally keyed tables.
+    """
     return (
-        product_counts(products)
-        .join(review_stats(reviews, "organization_id"), "organization_id", "full_outer")
-        .join(latest_analysis(analyses), "organization_id", "full_outer")
+        sellers.join(review_stats(reviews, "organization_id"), "organization_id", "left")
+        .join(latest_analysis(analyses), "organization_id", "left")
+        .join(product_counts(products), "organization_id", "left")
     )
 
 
@@ -68,18 +72,15 @@ def seller_breakdown(links: DataFrame, organizations: DataFrame, products: DataF
 
     Health is the latest analysis, else 95 % of the positive share.
     """
-    sellers = organizations.select(F.col("id").alias("seller_id"), F.col("name").alias("seller_name"))
-    facts = organization_facts(products, reviews, analyses).withColumnRenamed("organization_id", "seller_id")
-    rows = (
-        links.select(F.col("platform_organization_id").alias("platform_id"),
-                     F.col("seller_organization_id").alias("seller_id"), "status")
-        .join(sellers, "seller_id").join(facts, "seller_id", "left")
-    )
+    names = organizations.select(F.col("id").alias("organization_id"), F.col("name").alias("seller_name"))
+    sellers = links.select(F.col("platform_organization_id").alias("platform_id"),
+                           F.col("seller_organization_id").alias("organization_id"), "status")
+    rows = with_facts(sellers.join(names, "organization_id"), products, reviews, analyses)
     pos, neg = _empty(EMPTY_PLATFORM_SELLER, parity)
     n = _zero("reviews")
     rows = rows.withColumn("positive_pct", tx.percent(_zero("positives"), n, 1, pos))
     return rows.select(
-        "platform_id", "seller_id", "seller_name", "status",
+        "platform_id", F.col("organization_id").alias("seller_id"), "seller_name", "status",
         _zero("products").alias("products_count"), n.alias("reviews_count"),
         "positive_pct",
         F.when(n > 0, F.round(F.lit(100.0) - F.col("positive_pct"), 1)).otherwise(F.lit(neg).cast("double"))
@@ -119,7 +120,7 @@ def seller_overview(organizations: DataFrame, products: DataFrame, reviews: Data
     """KPIs of every seller; health is the latest analysis, else the positive share."""
     sellers = organizations.filter(F.col("organization_type") == "seller").select(
         F.col("id").alias("organization_id"), F.col("name").alias("seller_name"))
-    rows = sellers.join(organization_facts(products, reviews, analyses), "organization_id", "left")
+    rows = with_facts(sellers, products, reviews, analyses)
     pos, neg = _empty(EMPTY_SELLER, parity)
     n = _zero("reviews")
     rows = rows.withColumn("positive_pct", tx.percent(_zero("positives"), n, 1, pos))

@@ -94,9 +94,9 @@ def visible_profiles(user_id, members: DataFrame, edges: DataFrame) -> DataFrame
 
     Two branches and a distinct union in place of a join on an OR condition.
     """
-    spark = members.sparkSession
-    me = spark.range(1).select(F.lit(user_id).alias("user_id"))
-    fellow = scope(members, accessible(me, members, edges)).select("user_id")
+    me = members.sparkSession.range(1).select(F.lit(user_id).alias("user_id"))
+    own = members.filter(F.col("user_id") == user_id).select(F.col("organization_id").alias("viewer_id"))
+    fellow = scope(members, edges.join(own, "viewer_id", "left_semi")).select("user_id")
     return me.union(fellow).distinct()
 
 
