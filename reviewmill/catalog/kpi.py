@@ -110,7 +110,8 @@ QUERIES = {
     "platform_overview": lambda v: reports.platform_overview(tenant(v))["totals"],
     "product_list": lambda v: kpis.product_list(v.products, v.organizations, v.reviews, v.analyses),
     "product_list_user": lambda v: kpis.product_list(
-        tenancy.scope(v.products, allowed(v)), v.organizations, v.reviews, v.analyses, parity=True),
+        tenancy.scope(v.products, allowed(v)), v.organizations, tenancy.scope(v.reviews, allowed(v)),
+        tenancy.scope(v.analyses, allowed(v)), parity=True),
     "product_detail": lambda v: kpis.product_detail(v.products, v.organizations, v.reviews),
     "product_search": _search,
     "product_aspect_fallback": _fallback,

@@ -50,12 +50,20 @@ def vocabulary(model: PipelineModel) -> list[str]:
     return [term for stage in model.stages if isinstance(stage, CountVectorizerModel) for term in stage.vocabulary]
 
 
+HOT_TERMS = 10000
+
+
 def term_frequencies(df: DataFrame, key: str, text: str = "clean_text", n: int = 1,
                      stop_words: list[str] | None = None) -> DataFrame:
-    """Count of every term in every document."""
+    """Count of every term in every document.
+
+    Documents are placed by key before they are taken apart, so the count needs no
+    further shuffle: what moves is the text once, not one row per word.
+    """
     banned = lex.english_stop_words() if stop_words is None else stop_words
     words = F.filter(F.split(F.col(text), " "), lambda t: (t != "") & ~t.isin(banned))
-    terms = df.select(key, words.alias("_words")).select(key, F.explode(tx.ngrams("_words", n)).alias("term"))
+    placed = df.select(key, text).repartition(F.col(key)).select(key, words.alias("_words"))
+    terms = placed.select(key, F.explode(tx.ngrams("_words", n)).alias("term"))
     return terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -63,15 +71,19 @@ def tfidf_table(df: DataFrame, key: str, text: str = "clean_text", n: int = 1, m
                 stop_words: list[str] | None = None) -> DataFrame:
     """TF-IDF weights as rows, for vocabularies of any size.
 
-    Document frequency is an aggregate of the same (document, term) rows. A term in a
-    third of all documents makes one row in that aggregate, and the join back spreads
-    its document rows through skew-join splitting or, for a small vocabulary, a broadcast
-    Spark sizes itself.
+    A term in a third of all documents would put their rows into one task of a join on
+    the term. The ``HOT_TERMS`` most frequent terms, a fixed number of rows, are
+    therefore broadcast and their document rows never move; all others have few
+    document rows each and meet their frequency in an ordinary join.
     """
     counts = term_frequencies(df, key, text, n, stop_words)
     documents = df.agg(F.count(F.lit(1))).scalar()
     frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
-    return counts.join(frequency, "term").select(
+    hot = frequency.orderBy(F.desc("df"), "term").limit(HOT_TERMS)
+    names = F.broadcast(hot.select("term"))
+    rare = counts.join(names, "term", "left_anti").join(frequency.join(names, "term", "left_anti"), "term")
+    found = counts.join(F.broadcast(hot), "term").unionByName(rare)
+    return found.select(
         key, "term", "tf", "df",
         F.round(F.col("tf") * F.log((documents + 1) / (F.col("df") + 1)), 6).alias("tfidf"),
     )

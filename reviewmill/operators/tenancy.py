@@ -38,15 +38,20 @@ def managed_sellers(links: DataFrame, organizations: DataFrame, active_only: boo
     )
 
 
-def reach(organizations: DataFrame, links: DataFrame, active_only: bool = False) -> DataFrame:
-    """Organizations a member of ``viewer_id`` may see: its own and those it manages."""
+def reach(organizations: DataFrame, links: DataFrame, active_only: bool = False, distinct: bool = True) -> DataFrame:
+    """Organizations a member of ``viewer_id`` may see: its own and those it manages.
+
+    Ids and links are unique by schema, so the two parts can only repeat each other through
+    a link of a platform to itself. ``distinct=False`` relies on that and spares the aggregate.
+    """
     if active_only:
         links = links.filter(F.col("status") == "active")
     own = organizations.select(F.col("id").alias("viewer_id"), F.col("id").alias("organization_id"))
     platforms = organizations.filter(F.col("organization_type") == "platform").select(F.col("id").alias("viewer_id"))
     managed = links.select(F.col("platform_organization_id").alias("viewer_id"),
                            F.col("seller_organization_id").alias("organization_id"))
-    return own.union(managed.join(platforms, "viewer_id", "left_semi")).distinct()
+    edges = own.union(managed.filter("viewer_id <> organization_id").join(platforms, "viewer_id", "left_semi"))
+    return edges.distinct() if distinct else edges
 
 
 def accessible(users: DataFrame, members: DataFrame, edges: DataFrame) -> DataFrame:
@@ -71,9 +76,12 @@ def accessible_counts(members: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def scope(df: DataFrame, allowed: DataFrame, column: str = "organization_id") -> DataFrame:
-    """Rows of the allowed organizations; none if nothing is allowed."""
-    keys = allowed.select(F.col("organization_id").alias(column)).distinct()
-    return df.join(keys, column, "left_semi")
+    """Rows of the allowed organizations; none if nothing is allowed.
+
+    A semi-join needs no distinct keys. Leaving the aggregate out also lets Spark split
+    the partition of an organization that owns a large part of the rows.
+    """
+    return df.join(allowed.select(F.col("organization_id").alias(column)), column, "left_semi")
 
 
 def visible_counts(df: DataFrame, edges: DataFrame, name: str, column: str = "organization_id") -> DataFrame:
@@ -120,20 +128,19 @@ def visible_links(links: DataFrame, own: DataFrame) -> DataFrame:
 def write_gate(incoming: DataFrame, members: DataFrame, roles: tuple[str, ...] = WRITERS,
                user: str = "user_id", organization: str = "organization_id") -> tuple[DataFrame, DataFrame]:
     """Rows whose writer holds one of the roles in the row's organization, and the rest."""
-    allowed = (
-        members.filter(F.col("role").isin(list(roles)))
-        .select(F.col("user_id").alias(user), F.col("organization_id").alias(organization)).distinct()
-    )
+    allowed = members.filter(F.col("role").isin(list(roles))).select(
+        F.col("user_id").alias(user), F.col("organization_id").alias(organization))
     return incoming.join(allowed, [user, organization], "left_semi"), \
         incoming.join(allowed, [user, organization], "left_anti")
 
 
 def with_verdict(incoming: DataFrame, members: DataFrame, roles: tuple[str, ...] = WRITERS) -> DataFrame:
-    """Incoming rows with an ``accepted`` flag, for one pass over both outcomes."""
-    allowed = (
-        members.filter(F.col("role").isin(list(roles))).select("user_id", "organization_id").distinct()
-        .withColumn("_ok", F.lit(True))
-    )
+    """Incoming rows with an ``accepted`` flag, for one pass over both outcomes.
+
+    A user has one role per organization, so the left join repeats no row.
+    """
+    allowed = members.filter(F.col("role").isin(list(roles))).select(
+        "user_id", "organization_id", F.lit(True).alias("_ok"))
     return (
         incoming.join(allowed, ["user_id", "organization_id"], "left")
         .withColumn("accepted", F.coalesce(F.col("_ok"), F.lit(False))).drop("_ok")
@@ -155,13 +162,16 @@ def assign_tenant(payload: DataFrame, members: DataFrame, organizations: DataFra
     home = memberships(members, organizations).select(
         "user_id", F.col("organization_id").alias("_home"), "organization_type"
     )
-    edges = reach(organizations, links).select(F.col("viewer_id").alias("_home"),
-                                               F.col("organization_id").alias("requested"), F.lit(True).alias("_ok"))
-    joined = payload.join(home, "user_id").join(edges, ["_home", "requested"], "left")
-    asked = F.coalesce(F.col("requested"), F.lit("")) != ""
-    platform = F.col("organization_type") == "platform"
-    return joined.select(
+    edges = reach(organizations, links, distinct=False).select(
+        F.col("viewer_id").alias("_home"), F.col("organization_id").alias("_key"), F.lit(True).alias("_ok"))
+    asked = (F.col("organization_type") == "platform") & (F.coalesce(F.col("requested"), F.lit("")) != "")
+    # Most rows ask for nothing. A key that matches no organization, made from the row, keeps
+    # them from meeting in one partition.
+    spread = F.concat(F.lit("?"), F.xxhash64(*payload.columns).cast("string"))
+    rows = payload.join(home, "user_id").withColumn("_asked", asked)
+    rows = rows.withColumn("_key", F.when(F.col("_asked"), F.col("requested")).otherwise(spread))
+    return rows.join(edges, ["_home", "_key"], "left").select(
         *payload.columns,
-        F.when(platform & asked, F.col("requested")).otherwise(F.col("_home")).alias("organization_id"),
-        (~(platform & asked) | F.coalesce(F.col("_ok"), F.lit(False))).alias("accepted"),
+        F.when(F.col("_asked"), F.col("requested")).otherwise(F.col("_home")).alias("organization_id"),
+        (~F.col("_asked") | F.coalesce(F.col("_ok"), F.lit(False))).alias("accepted"),
     )

@@ -69,6 +69,12 @@ def test_sql_features_equal_mllib(sample):
     assert all(got[t][0] == want[t][0] and abs(got[t][1] - want[t][1]) < 2e-4 for t in got)
 
 
+def test_rare_and_hot_terms_give_one_table(sample, monkeypatch):
+    want = sorted(tuple(r) for r in features.tfidf_table(sample, "id").collect())
+    monkeypatch.setattr(features, "HOT_TERMS", 3)
+    assert sorted(tuple(r) for r in features.tfidf_table(sample, "id").collect()) == want
+
+
 def test_tuning_returns_the_grid_and_a_refit(parts):
     base = models.logistic_regression(maxIter=5)
     grid = models.lr_grid(base)
