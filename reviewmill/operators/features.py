@@ -50,6 +50,16 @@ def vocabulary(model: PipelineModel) -> list[str]:
     return [term for stage in model.stages if isinstance(stage, CountVectorizerModel) for term in stage.vocabulary]
 
 
+def training_vectors(model: PipelineModel, rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Feature vectors without the name of every term in the column's metadata.
+
+    The names would travel with each task of each optimizer step, which for tens of
+    thousands of terms costs more than the step itself. The size is all a classifier needs.
+    """
+    size = {"ml_attr": {"num_attrs": len(vocabulary(model))}}
+    return model.transform(rows).select(*columns, F.col("features").alias("features", metadata=size))
+
+
 HOT_TERMS = 10000
 
 

@@ -51,7 +51,7 @@ def fit(train: DataFrame, classifier: Estimator, **feature_options) -> PipelineM
     columns = [c for c in ("label", "class_weight") if c in train.columns]
     rows = session.publish(train.select(*columns, text), "train-rows")
     fitted = Pipeline(stages=features.tfidf_stages(**feature_options)).fit(rows)
-    vectors = session.publish(fitted.transform(rows).select(*columns, "features"), "train-vectors")
+    vectors = session.publish(features.training_vectors(fitted, rows, columns), "train-vectors")
     return PipelineModel(stages=[*fitted.stages, classifier.fit(vectors)])
 
 
@@ -124,8 +124,8 @@ def tune(train: DataFrame, key: str, classifier: Estimator, grid: list[dict], pa
     stored = session.publish(train.select(key, "label", text), "tune-rows")
     inner, held_out = ranking.split_by_key(stored, key, seed=seed)
     fitted = Pipeline(stages=features.tfidf_stages(**feature_options)).fit(inner)
-    inner = session.publish(fitted.transform(inner).select("label", "features"), "tune-train")
-    held_out = session.publish(fitted.transform(held_out).select("label", "features"), "tune-valid")
+    inner = session.publish(features.training_vectors(fitted, inner, ["label"]), "tune-train")
+    held_out = session.publish(features.training_vectors(fitted, held_out, ["label"]), "tune-valid")
     accuracy = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
 
     def score(point: dict) -> tuple[dict, float]:
