@@ -99,6 +99,19 @@ def _detail(v: Views):
     return _compare(v).join(best, "seller_id", "left").join(last, "seller_id", "left")
 
 
+def _invitations(v: Views):
+    """Newest invitations of the caller's organizations; every order stands for one."""
+    invitations = v.table("orders").select(
+        F.concat(F.lit("I"), F.col("o_orderkey").cast("string")).alias("id"),
+        F.concat(F.lit("S"), (F.col("o_custkey") % v._count("supplier")).cast("string")).alias("organization_id"),
+        F.concat(F.lit("user"), F.col("o_custkey").cast("string"), F.lit("@example.com")).alias("email"),
+        F.lower("o_orderpriority").alias("note"), F.col("o_orderdate").alias("created_at"),
+    )
+    newest = kpis.open_invitations(tenancy.scope(invitations, allowed(v)), 50)
+    return newest.select("id", "organization_id", "email", "note",
+                         F.date_format(kpis.expiry("created_at"), "yyyy-MM-dd").alias("expires_at"))
+
+
 QUERIES = {
     "tenant_seller_kpis": flagship,
     "tenant_platform_totals": lambda v: kpis.platform_totals(breakdown(v)),
@@ -127,6 +140,10 @@ QUERIES = {
     "issue_results": lambda v: kpis.top_issues(
         kpis.issue_rollup(_per_seller(jobs.product_issues(v.review_texts)), ("seller_id",)), ("seller_id",)),
     "issue_results_market": lambda v: kpis.top_issues(kpis.issue_rollup(jobs.product_issues(v.review_texts))),
+    "dashboard_summary": lambda v: kpis.dashboard(v.reviews, aspects.aspect_rollup(jobs.product_aspects(v.review_texts))),
+    "dashboard_no_aspects": lambda v: kpis.dashboard(
+        v.reviews, aspects.aspect_rollup(jobs.product_aspects(v.review_texts, "title"))),
+    "invitation_view": _invitations,
     "audit_view": lambda v: kpis.audit_view(tenancy.scope(v.audit, allowed(v)), v.profiles, v.organizations, 40),
     "audit_details": lambda v: v.audit.select(
         "id", F.get_json_object("details", "$.k").cast("bigint").alias("k")),
@@ -241,6 +258,10 @@ def _recent_sql(key: str, k: int) -> str:
 JOIN fx_products p ON p.id = r.product_id WHERE r.rank <= {k}""")
 
 
+DASH = """SELECT n AS total_reviews, p AS positive_count, n - p AS negative_count, round(p / n * 100, 1) AS positive_percent,
+  round((n - p) / n * 100, 1) AS negative_percent"""
+DASH_FROM = "(SELECT count(*) AS n, count(*) FILTER (WHERE sentiment = 'POSITIVE') AS p FROM fx_reviews) t"
+
 _compare_ctes = dict(org=ORG, clauses=CLAUSES, ctx=CONTEXTS, matches=MATCHES, pa=PRODUCT_ASPECTS, pi=PRODUCT_ISSUES)
 
 ORACLES = {
@@ -292,6 +313,17 @@ WHERE review_date < (SELECT CAST(min(review_date) AS DATE) + 900 FROM fx_reviews
     "issue_results": result_sql(f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seller_id
   ORDER BY frequency DESC, phrase, aspect) AS rank FROM ({_issue_rollup('seller_id')}) i) t WHERE rank <= 15"""),
     "issue_results_market": result_sql(f"{_issue_rollup('')} ORDER BY frequency DESC, phrase, aspect LIMIT 15"),
+    "dashboard_summary": result_sql(f"""{DASH}, CAST(round(w.s, 0) AS BIGINT) AS score,
+  CASE WHEN round(w.s, 0) >= 75 THEN 'Healthy' ELSE 'Moderate' END AS status, CAST(w.m AS BIGINT) AS total_aspect_mentions
+FROM (SELECT sum(mentions * positive_pct) / sum(mentions) AS s, sum(mentions) AS m FROM ({_aspect_rollup('')}) a) w, {DASH_FROM}"""),
+    "dashboard_no_aspects": kpi_sql(f"""{DASH}, CAST(round(round(p / n * 100, 1), 0) AS BIGINT) AS score,
+  CASE WHEN round(round(p / n * 100, 1), 0) >= 75 THEN 'Healthy' ELSE 'Moderate' END AS status,
+  CAST(0 AS BIGINT) AS total_aspect_mentions FROM {DASH_FROM}"""),
+    "invitation_view": scoped_sql("""SELECT id, organization_id, email, note, strftime(created_at + INTERVAL 7 DAY, '%Y-%m-%d') AS expires_at
+FROM (SELECT 'I' || CAST(o_orderkey AS VARCHAR) AS id,
+  'S' || CAST(o_custkey % (SELECT count(*) FROM supplier) AS VARCHAR) AS organization_id,
+  'user' || CAST(o_custkey AS VARCHAR) || '@example.com' AS email, lower(o_orderpriority) AS note, o_orderdate AS created_at
+  FROM orders) i WHERE organization_id IN (SELECT organization_id FROM allowed) ORDER BY created_at DESC, id LIMIT 50"""),
     "audit_view": with_views("fx_organizations fx_links fx_members fx_audit fx_profiles", """SELECT a.id, a.organization_id, o.name AS org_name,
   a.user_id, p.full_name AS user_name, p.email AS user_email, a.action, a.resource_type, a.details,
   strftime(a.created_at, '%Y-%m-%d %H:%M:%S') AS created_at

@@ -25,8 +25,8 @@ def labelled(v: Views, variant: str = "c"):
 
 
 def split(v: Views, variant: str = "c"):
-    train, test = ranking.split_by_key(labelled(v, variant), "doc_id")
-    return train, test
+    """Train and test rows of one stored table, so that cleaning and deduplication run once."""
+    return ranking.split_by_key(session.publish(labelled(v, variant), "corpus"), "doc_id")
 
 
 def _feature_table(ngrams):
@@ -40,7 +40,7 @@ def _feature_table(ngrams):
 def _measured(classifier, **options):
     def run(v: Views):
         train, test = split(v)
-        model = models.fit(train, classifier(), **options)
+        model = models.fit(train, classifier(), stored=True, **options)
         return models.evaluate(model, test, classifier.__name__).drop("train_time", "predict_time")
     return run
 
@@ -52,7 +52,7 @@ def _tuned(classifier, grid):
         train, test = split(v)
         base = classifier(maxIter=100)
         model, _ = models.tune(train, "doc_id", base, grid(base), min_df=5.0, vocab=50000,
-                               stop_words=lex.sentiment_stop_words())
+                               stop_words=lex.sentiment_stop_words(), stored=True)
         return models.evaluate(model, test, f"tuned {classifier.__name__}").drop("train_time", "predict_time")
     return run
 
@@ -60,13 +60,13 @@ def _tuned(classifier, grid):
 def _grid(v: Views):
     train, _ = split(v)
     base = models.logistic_regression(maxIter=100)
-    _, table = models.tune(train, "doc_id", base, models.lr_grid(base), min_df=5.0, vocab=50000)
+    _, table = models.tune(train, "doc_id", base, models.lr_grid(base), min_df=5.0, vocab=50000, stored=True)
     return table
 
 
 def _weighted(v: Views):
     train, test = split(v)
-    model = models.weighted_fit(train, models.logistic_regression())
+    model = models.weighted_fit(train, models.logistic_regression(), stored=True)
     return models.evaluate(model, test, "weighted").drop("train_time", "predict_time")
 
 
@@ -81,7 +81,7 @@ def _sweep(v: Views):
     ]
     return models.sweep(train, test, [
         (name, models.logistic_regression(), {**options, "stop_words": stops}) for name, options in plans
-    ]).drop("train_time", "predict_time")
+    ], stored=True).drop("train_time", "predict_time")
 
 
 def _preprocessing(v: Views):
@@ -89,7 +89,7 @@ def _preprocessing(v: Views):
     out = None
     for variant in "abc":
         train, test = split(v, variant)
-        model = models.fit(train, models.logistic_regression())
+        model = models.fit(train, models.logistic_regression(), stored=True)
         row = models.evaluate(model, test, f"variant {variant}").drop("train_time", "predict_time")
         out = row if out is None else out.unionByName(row)
     return out
@@ -97,12 +97,12 @@ def _preprocessing(v: Views):
 
 def _terms(v: Views):
     train, _ = split(v, "a")
-    return models.top_terms(models.fit(train, models.naive_bayes(), ngrams=(1,)))
+    return models.top_terms(models.fit(train, models.naive_bayes(), stored=True, ngrams=(1,)))
 
 
 def _lr_terms(v: Views):
     train, _ = split(v, "a")
-    return models.top_terms(models.fit(train, models.logistic_regression()))
+    return models.top_terms(models.fit(train, models.logistic_regression(), stored=True))
 
 
 def _topics(v: Views):
@@ -123,7 +123,7 @@ def review_model(v: Views):
 def _error_report(name):
     def run(v: Views):
         train, test = split(v)
-        model = models.fit(train, models.logistic_regression())
+        model = models.fit(train, models.logistic_regression(), stored=True)
         return jobs.error_report(model, test, "doc_id")[name]
     return run
 
@@ -140,6 +140,7 @@ QUERIES = {
     "model_tuned_svc": _tuned(models.linear_svc, models.svc_grid),
     "model_grid": _grid,
     "model_weighted": _weighted,
+    "model_scaling": lambda v: models.scaling(labelled(v), models.logistic_regression(), [200, None]),
     "model_sweep_features": _sweep,
     "model_sweep_cleaning": _preprocessing,
     "model_terms": _terms,

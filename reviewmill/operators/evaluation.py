@@ -90,9 +90,9 @@ def auc(preds: DataFrame, score: str = "score") -> DataFrame:
 def roc_curve(preds: DataFrame, score: str = "score", points: int | None = None) -> DataFrame:
     """Curve points from (0, 0) in order of falling score; ``points`` thins them evenly."""
     curve = cumulative_counts(preds, score)
-    whole = preds.agg(
-        F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n"))
-    pos, neg = whole.select("p").scalar(), whole.select("n").scalar()
+    whole = preds.agg(F.struct(
+        F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n"))).scalar()
+    pos, neg = whole["p"], whole["n"]
 
     def rate(part: Column, all_: Column) -> Column:
         return F.when(all_ > 0, F.round(part / all_, 6)).otherwise(0.0)

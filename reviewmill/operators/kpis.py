@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions import rules
 from reviewmill.functions import text as tx
-from reviewmill.operators import ranking
+from reviewmill.operators import aspects, ranking
 
 # Fixed values shown for empty data, per view: (positive, negative).
 EMPTY_PLATFORM = (85.0, 15.0)
@@ -211,8 +211,6 @@ def with_fallback(products: DataFrame, per_product: DataFrame, per_seller: DataF
 def filter_reviews(reviews: DataFrame, organization_id: str | None = None, product_id: str | None = None,
                    sentiment: str | None = None, search: str | None = None, aspect: str | None = None) -> DataFrame:
     """Optional filters of the review explorer (P9-P11, D8); all are row-local and reach the scan."""
-    from reviewmill.operators.aspects import mentions_aspect
-
     if organization_id:
         reviews = reviews.filter(F.col("organization_id") == organization_id)
     if product_id:
@@ -222,7 +220,7 @@ def filter_reviews(reviews: DataFrame, organization_id: str | None = None, produ
     if search:
         reviews = reviews.filter(rules.matches_any(["content", "title"], search))
     if aspect and aspect != "All":
-        reviews = reviews.filter(mentions_aspect("content", aspect))
+        reviews = reviews.filter(aspects.mentions_aspect("content", aspect))
     return reviews
 
 
@@ -310,6 +308,26 @@ def import_summary(imported: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame
     return sums.withColumn("health_score", F.round(share, 0).cast("bigint"))
 
 
+# --- corpus dashboard -------------------------------------------------------------------------
+
+def dashboard(reviews: DataFrame, aspect_stats: DataFrame) -> DataFrame:
+    """Review totals and health: from aspects, or from the class share where none is mentioned."""
+    totals = reviews.agg(
+        F.count(F.lit(1)).alias("total_reviews"),
+        F.count_if(F.col("sentiment") == "POSITIVE").alias("positive_count"),
+        F.count_if(F.col("sentiment") == "NEGATIVE").alias("negative_count"),
+    )
+    health = aspects.health_from_aspects(aspect_stats)
+    classed = F.col("positive_count") + F.col("negative_count")
+    out = totals.withColumns({
+        "positive_percent": tx.percent(F.col("positive_count"), classed, 1),
+        "negative_percent": tx.percent(F.col("negative_count"), classed, 1),
+        "total_aspect_mentions": F.coalesce(health.select("total_aspect_mentions").scalar(), F.lit(0)),
+    })
+    score = F.coalesce(health.select("score").scalar(), F.round("positive_percent", 0).cast("bigint"))
+    return out.withColumn("score", score).withColumn("status", rules.health_band(F.col("score")))
+
+
 # --- people, log and data sets ----------------------------------------------------------------
 
 def audit_view(audit: DataFrame, profiles: DataFrame, organizations: DataFrame, limit: int | None = 50) -> DataFrame:

@@ -40,16 +40,18 @@ def linear_svc(**params) -> LinearSVC:
     return LinearSVC(labelCol="label", featuresCol="features", **{"maxIter": 100, **params})
 
 
-def fit(train: DataFrame, classifier: Estimator, **feature_options) -> PipelineModel:
+def fit(train: DataFrame, classifier: Estimator, stored: bool = False, **feature_options) -> PipelineModel:
     """Features and classifier fitted on the same rows.
 
     Two tables go to the shared folder: the cleaned rows, which every feature stage
     reads, and the vectors, which an optimizer reads up to hundreds of times. Cleaning and
     deduplication run once, and an executor lost half-way costs a re-read of its part.
+    ``stored=True`` says that ``train`` reads a stored table already.
     """
     text = feature_options.get("input_col", "clean_text")
     columns = [c for c in ("label", "class_weight") if c in train.columns]
-    rows = session.publish(train.select(*columns, text), "train-rows")
+    rows = train.select(*columns, text)
+    rows = rows if stored else session.publish(rows, "train-rows")
     fitted = Pipeline(stages=features.tfidf_stages(**feature_options)).fit(rows)
     vectors = session.publish(features.training_vectors(fitted, rows, columns), "train-vectors")
     return PipelineModel(stages=[*fitted.stages, classifier.fit(vectors)])
@@ -92,12 +94,23 @@ def model_has_probability(model: Model) -> bool:
     return hasattr(last, "setProbabilityCol")
 
 
-def timed_fit(train: DataFrame, classifier: Estimator, **feature_options) -> tuple[PipelineModel, float]:
+def timed_fit(train: DataFrame, classifier: Estimator, stored: bool = False,
+              **feature_options) -> tuple[PipelineModel, float]:
     started = time.time()
-    model = fit(train, classifier, **feature_options)
+    model = fit(train, classifier, stored, **feature_options)
     return model, time.time() - started
 
 
+def scaling(rows: DataFrame, classifier: Estimator, sizes: list[int | None], **feature_options) -> DataFrame:
+    """Training time on the first rows of each size; ``None`` takes all."""
+    measured = []
+    for size in sizes:
+        part = session.publish(rows.limit(size) if size else rows, "scaling")
+        _, took = timed_fit(part, classifier, stored=True, **feature_options)
+        measured.append((part.count(), round(took, 2)))
+    return rows.sparkSession.createDataFrame(measured, "rows bigint, train_time double")
+
+
 # --- tuning ---------------------------------------------------------------------------
 
 def lr_grid(lr: LogisticRegression) -> list[dict]:
@@ -110,7 +123,8 @@ def svc_grid(svc: LinearSVC) -> list[dict]:
 
 
 def tune(train: DataFrame, key: str, classifier: Estimator, grid: list[dict], parallelism: int = 4,
-         final_iterations: int = 200, seed: int = SEED, **feature_options) -> tuple[PipelineModel, DataFrame]:
+         final_iterations: int = 200, seed: int = SEED, stored: bool = False,
+         **feature_options) -> tuple[PipelineModel, DataFrame]:
     """Grid search on an 80/20 split of the training rows, then a refit on all of them (M9).
 
     Features are fitted once, on the 80 % only, so no grid point sees validation rows
@@ -121,8 +135,9 @@ def tune(train: DataFrame, key: str, classifier: Estimator, grid: list[dict], pa
 
     spark = train.sparkSession
     text = feature_options.get("input_col", "clean_text")
-    stored = session.publish(train.select(key, "label", text), "tune-rows")
-    inner, held_out = ranking.split_by_key(stored, key, seed=seed)
+    rows = train.select(key, "label", text)
+    rows = rows if stored else session.publish(rows, "tune-rows")
+    inner, held_out = ranking.split_by_key(rows, key, seed=seed)
     fitted = Pipeline(stages=features.tfidf_stages(**feature_options)).fit(inner)
     inner = session.publish(features.training_vectors(fitted, inner, ["label"]), "tune-train")
     held_out = session.publish(features.training_vectors(fitted, held_out, ["label"]), "tune-valid")
@@ -141,22 +156,23 @@ def tune(train: DataFrame, key: str, classifier: Estimator, grid: list[dict], pa
     )
     final = classifier.copy(best)
     final.setMaxIter(final_iterations)
-    return fit(stored, final, **feature_options), table
+    return fit(rows, final, stored=True, **feature_options), table
 
 
-def weighted_fit(train: DataFrame, classifier: Estimator, **feature_options) -> PipelineModel:
+def weighted_fit(train: DataFrame, classifier: Estimator, stored: bool = False, **feature_options) -> PipelineModel:
     """Refit with inverse-frequency class weights."""
     weighted = evaluation.with_class_weight(train)
-    return fit(weighted, classifier.copy().setWeightCol("class_weight"), **feature_options)
+    return fit(weighted, classifier.copy().setWeightCol("class_weight"), stored, **feature_options)
 
 
-def sweep(train: DataFrame, test: DataFrame, experiments: list[tuple[str, Estimator, dict]]) -> DataFrame:
+def sweep(train: DataFrame, test: DataFrame, experiments: list[tuple[str, Estimator, dict]],
+          stored: bool = False) -> DataFrame:
     """Results of several configurations; one that fails becomes a row with its error."""
     spark = train.sparkSession
     rows = []
     for name, classifier, options in experiments:
         try:
-            model, took = timed_fit(train, classifier, **options)
+            model, took = timed_fit(train, classifier, stored, **options)
             rows.append(evaluate(model, test, name, took).withColumn("error", F.lit(None).cast("string")))
         except Exception as failure:  # noqa: BLE001 - the sweep records it and goes on
             rows.append(spark.createDataFrame([(name, str(failure)[:500])], "experiment string, error string"))

@@ -147,9 +147,9 @@ def review_explorer(t: Tenant, user_id, sort_by: str = "default", page: int = 1,
     }
 
 
-def dashboard(aspect_stats: DataFrame) -> DataFrame:
-    """Health of the whole corpus from its aspects (Q12)."""
-    return aspects.health_from_aspects(aspect_stats)
+def dashboard(t: Tenant) -> DataFrame:
+    """Review totals and health over all reviews (Q12)."""
+    return kpis.dashboard(t.reviews, aspects.aspect_rollup(t.aspect_rows()))
 
 
 def people(t: Tenant, profiles: DataFrame, audit: DataFrame, user_id, organization_id: str) -> dict[str, DataFrame]:

@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def build_session(app_name: str = "reviewmill", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the defaults above; keyword arguments use ``__`` for dots."""
@@ -44,9 +46,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="reviewmill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="reviewmill-")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

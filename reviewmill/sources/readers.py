@@ -65,8 +65,7 @@ def by_role(upload: DataFrame) -> DataFrame:
 
     return upload.select(
         pick("title").cast("string").alias("title"), pick("text").cast("string").alias("content"),
-        F.try_cast(pick("rating"), "double").cast("int").alias("rating")
-        if hasattr(F, "try_cast") else pick("rating").try_cast("double").cast("int").alias("rating"),
+        pick("rating").cast("string").try_cast("double").cast("int").alias("rating"),
     )
 
 

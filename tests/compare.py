@@ -37,8 +37,6 @@ def norm(value):
         return value.replace(tzinfo=None).isoformat(sep=" ")
     if isinstance(value, bool) or value is None:
         return str(value)
-    if isinstance(value, int):
-        return repr(round(float(value), 9)) if False else str(value)
     return str(value)
 
 

@@ -173,3 +173,15 @@ def test_shared_folder_comes_from_the_session(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
     assert not hasattr(session, "localCheckpoint")
+
+
+def test_shared_folder_is_never_local_on_a_cluster():
+    class Stub:
+        def __init__(self, master):
+            self.conf = {}
+            self.sparkContext = type("C", (), {"master": master, "applicationId": f"app-{master}"})()
+
+    local = Stub("local[2]")
+    assert session.shared_folder(local) == session.shared_folder(local)
+    with pytest.raises(RuntimeError):
+        session.shared_folder(Stub("yarn"))
