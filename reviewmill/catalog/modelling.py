@@ -1,6 +1,6 @@
 """Feature, model and scoring queries.
 
-Fits have no SQL form; only the unigram features are checked exactly.
+Fits have no SQL form; the features below them are checked exactly.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from reviewmill import session
-from reviewmill.catalog.corpus import SQL_A, sql_words
+from reviewmill.catalog.corpus import SQL_A, sql_grams, sql_words
 from reviewmill.catalog.views import Views, with_views
 from reviewmill.functions import lexicon as lex
 from reviewmill.functions import rules
@@ -154,7 +154,20 @@ QUERIES = {
     "error_report_examples": _error_report("examples"),
 }
 
+def _feature_sql(sizes: tuple[int, ...]) -> str:
+    """Exact while no n-gram size fills its 20,000 vocabulary places."""
+    grams = " UNION ALL ".join(f"SELECT doc_id, phrase AS term FROM ({sql_grams(n, 'tok')}) g{n}" for n in sizes)
+    return with_views("fx_corpus", """SELECT t.term, count(*) AS documents,
+round(sum(t.tf * ln(((SELECT count(*) FROM fx_corpus) + 1) / CAST(d.df + 1 AS DOUBLE))) / (SELECT count(*) FROM fx_corpus), 6) AS mean_tfidf
+FROM tf t JOIN (SELECT term, count(*) AS df FROM tf GROUP BY term HAVING count(*) >= 2) d ON d.term = t.term GROUP BY t.term""",
+                      tok=f"""SELECT doc_id, list_filter(string_split({SQL_A}, ' '),
+  lambda x: x NOT IN ({sql_words(lex.english_stop_words())})) AS w FROM fx_corpus""",
+                      tf=f"SELECT doc_id, term, count(*) AS tf FROM ({grams}) a GROUP BY doc_id, term")
+
+
 ORACLES = {
+    "tfidf_bi": _feature_sql((1, 2)),
+    "tfidf_tri": _feature_sql((1, 2, 3)),
     "tfidf_uni": with_views("fx_corpus", """SELECT t.term, count(*) AS documents,
 round(sum(t.tf * ln(((SELECT count(*) FROM fx_corpus) + 1) / CAST(d.df + 1 AS DOUBLE))) / (SELECT count(*) FROM fx_corpus), 6) AS mean_tfidf
 FROM tf t JOIN (SELECT term, count(*) AS df FROM tf GROUP BY term HAVING count(*) >= 2) d ON d.term = t.term GROUP BY t.term""",
