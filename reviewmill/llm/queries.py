@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import bpe
+from reviewmill.llm import bpe, langid, neardup
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -17,6 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text; documents whose digest leaves 1 modulo 3 teach nothing."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    model = langid.fit(documents.filter(~held_out))
+    return langid.predict(documents.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under similarity >= 0.85 of three-word shingles."""
+    return neardup.link(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the bytes they decode to, as digests."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -30,6 +44,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op4_near_duplicates": op4_near_duplicates,
     "op10_bpe": op10_bpe,
 }
 
