@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import bpe, langid, neardup
+from reviewmill.llm import bpe, decontam, langid, linededup, neardup
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -31,6 +31,16 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold at least 0.8 of the five-word shingles of a benchmark item."""
+    return decontam.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that an earlier one holds, and the offsets of what was cut and kept."""
+    return linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the bytes they decode to, as digests."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -46,7 +56,37 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op4_near_duplicates": op4_near_duplicates,
+    "op6_decontamination": op6_decontamination,
+    "op7_substring_dedup": op7_substring_dedup,
     "op10_bpe": op10_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _shingle_sql(source: str, key: str, width: int) -> str:
+    """(key, s): the distinct shingles of each text; all words as one shingle where there are fewer."""
+    return f"""
+    SELECT {key}, unnest(list_distinct(CASE WHEN len(w) < {width} THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - {width} + 2), lambda i: array_to_string(w[i:i + {width} - 1], ' ')) END)) AS s
+    FROM (SELECT {key}, list_filter(regexp_split_to_array(translate(text, {LETTERS}), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w
+          FROM {source} WHERE text IS NOT NULL) WHERE len(w) > 0"""
+
+
+ORACLES: dict[str, str] = {
+    "op4_near_duplicates": f"""
+WITH RECURSIVE shingle AS ({_shingle_sql("documents", "doc_id", 3)}),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY 1),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id
+           GROUP BY 1, 2),
+link AS (SELECT a, b FROM shared JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+         WHERE 100 * shared.n >= 85 * (x.n + y.n - shared.n)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
+SELECT d.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_shingles, r.m AS component_id, d.doc_id = r.m AS kept
+FROM documents d LEFT JOIN size USING (doc_id) JOIN (SELECT a, min(b) AS m FROM reach GROUP BY 1) r ON r.a = d.doc_id""",
+    "op6_decontamination": f"""
+WITH held AS ({_shingle_sql("documents", "doc_id", 5)}), item AS ({_shingle_sql("benchmark", "item_id", 5)}),
+size AS (SELECT item_id, count(*) AS n FROM item GROUP BY 1)
+SELECT doc_id, item_id, CAST(count(*) AS BIGINT) AS found, CAST(n AS BIGINT) AS n_shingles, count(*) / CAST(n AS DOUBLE) AS containment
+FROM held JOIN item USING (s) JOIN size USING (item_id) GROUP BY doc_id, item_id, n HAVING 5 * count(*) >= 4 * n""",
+}
