@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import bpe, decontam, langid, linededup, neardup
+from reviewmill.llm import bpe, decontam, langid, linededup, neardup, toxicity
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -41,6 +41,15 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text; documents whose digest leaves 0 modulo 5 teach nothing."""
+    documents, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    model = toxicity.fit(documents, labels.filter(~held_out).select("doc_id", "toxic"))
+    return toxicity.score(documents, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the bytes they decode to, as digests."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -58,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_duplicates": op4_near_duplicates,
     "op6_decontamination": op6_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
 }
 
