@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import bpe, decontam, langid, linededup, neardup, toxicity
+from reviewmill.llm import bpe, decontam, langid, linededup, neardup, toxicity, urlfilter
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -26,6 +26,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's address."""
+    return urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under similarity >= 0.85 of three-word shingles."""
     return neardup.link(table(spark, sf_dir, "documents"), width=3, percent=85)
@@ -64,6 +69,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_url_filter": op2_url_filter,
     "op4_near_duplicates": op4_near_duplicates,
     "op6_decontamination": op6_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
@@ -83,7 +89,23 @@ def _shingle_sql(source: str, key: str, width: int) -> str:
           FROM {source} WHERE text IS NOT NULL) WHERE len(w) > 0"""
 
 
+def _values(rows: list[tuple[str, ...]]) -> str:
+    return ", ".join("(" + ", ".join("'" + cell.replace("'", "''") + "'" for cell in row) + ")" for row in rows)
+
+
 ORACLES: dict[str, str] = {
+    "op2_url_filter": f"""
+WITH rule(name, host, path, verdict) AS (VALUES {_values(
+        [(n, n[:n.index("/")], n[n.index("/"):], v) for n, v in urlfilter.HOST_RULES.items()])}),
+pattern(e, verdict) AS (VALUES {_values([(urlfilter.expression(p), v) for p, v in urlfilter.PATTERN_RULES.items()])}),
+part AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages),
+page AS (SELECT page_id, url, translate(regexp_extract(r, '^[^/?#]*'), {LETTERS}) AS host, regexp_extract(r, '^[^/?#]*(/[^?#]*)?', 1) AS path
+         FROM part),
+fit AS (SELECT page_id, max_by(name, length(name)) AS rule, max_by(verdict, length(name)) AS verdict FROM page JOIN rule
+        ON (page.host = rule.host OR ends_with(page.host, '.' || rule.host)) AND starts_with(page.path, rule.path) GROUP BY 1),
+hit AS (SELECT page_id, bool_and(verdict = 'block') AS bad FROM page JOIN pattern ON regexp_matches(lower(url), e) GROUP BY 1)
+SELECT page_id, host, path, rule, coalesce(fit.verdict, CASE WHEN bad THEN 'block' ELSE 'allow' END) AS verdict
+FROM page LEFT JOIN fit USING (page_id) LEFT JOIN hit USING (page_id)""",
     "op4_near_duplicates": f"""
 WITH RECURSIVE shingle AS ({_shingle_sql("documents", "doc_id", 3)}),
 size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY 1),
