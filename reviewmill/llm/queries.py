@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import bpe, decontam, langid, linededup, neardup, toxicity, urlfilter
+from reviewmill.llm import annforest, bpe, decontam, langid, linededup, neardup, toxicity, urlfilter
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -46,6 +46,11 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows found for every row whose id is divisible by 50."""
+    return annforest.knn(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text; documents whose digest leaves 0 modulo 5 teach nothing."""
     documents, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_duplicates": op4_near_duplicates,
     "op6_decontamination": op6_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_nearest": op8_nearest,
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
 }
