@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import annforest, bpe, decontam, langid, linededup, neardup, toxicity, urlfilter
+from reviewmill.llm import annforest, bpe, decontam, extract, langid, linededup, neardup, toxicity, urlfilter
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -31,6 +31,11 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under similarity >= 0.85 of three-word shingles."""
     return neardup.link(table(spark, sf_dir, "documents"), width=3, percent=85)
@@ -75,6 +80,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
+    "op3_main_text": op3_main_text,
     "op4_near_duplicates": op4_near_duplicates,
     "op6_decontamination": op6_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
