@@ -31,12 +31,12 @@ def free_name(taken: Iterable[str], wanted: str) -> str:
 
 
 def add_columns(
-    df: DataFrame, inputs: list[str], fields: str, compute: Callable[[list[list]], list], rows: int = SLICE_ROWS,
+    df: DataFrame, inputs: list[str], fields: str, compute: Callable[[list], list], rows: int = SLICE_ROWS, as_arrow: bool = False,
 ) -> DataFrame:
     """Append columns that ``compute`` derives from slices of the ``inputs`` columns.
 
-    ``fields`` is a DDL string. ``compute`` gets one Python list per input column and returns one Arrow array (or list)
-    per field. Columns of ``df`` that already carry a new name give way to it.
+    ``fields`` is a DDL string. ``compute`` gets one Python list (or Arrow array) per input column and returns one Arrow
+    array or list per field. Columns of ``df`` that already carry a new name give way to it.
     """
     added = StructType.fromDDL(fields)
     kept = [name for name in df.columns if name.lower() not in {f.name.lower() for f in added}]
@@ -48,7 +48,8 @@ def add_columns(
 
         target = to_arrow_schema(schema)
         for piece in slices(batches, rows):
-            made = compute([piece.column(carried.index(name)).to_pylist() for name in inputs])
+            given = [piece.column(carried.index(name)) for name in inputs]
+            made = compute(given if as_arrow else [column.to_pylist() for column in given])
             columns = [piece.column(i).cast(target.field(i).type) for i in range(len(kept))]
             for position, values in enumerate(made, len(kept)):
                 kind = target.field(position).type
@@ -68,47 +69,65 @@ def mix64(values: np.ndarray) -> np.ndarray:
         return z ^ (z >> np.uint64(31))
 
 
-class WordCodes(dict):
-    """Word (bytes) -> 64-bit digest, remembered for the words met often.
+#: The six ASCII blanks part words; every other byte belongs to a word.
+IN_WORD = np.ones(256, bool)
+IN_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
+FIRST_BYTES = np.array([(1 << (8 * n)) - 1 for n in range(8)] + [2**64 - 1], np.uint64)
+#: Words of more bytes than this are hashed one by one.
+LONG_WORD = 32
 
-    The dictionary is emptied when it holds ``limit`` words; the codes do not depend on it.
-    """
-
-    def __init__(self, limit: int = 300_000):
-        super().__init__()
-        self.limit = limit
-        import xxhash
-
-        self.digest = xxhash.xxh3_64_intdigest
-
-    def __missing__(self, word: bytes) -> int:
-        code = self.digest(word)
-        if len(self) >= self.limit:
-            self.clear()
-        self[word] = code
-        return code
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def word_codes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit digests of the words of all texts in a row, and the number of words of each text.
 
-
-def lowered_words(text: str | None) -> list[bytes]:
-    """Maximal runs outside the six ASCII blanks, A-Z lower-cased; nothing else is changed."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
-
-
-def shingles(codes: np.ndarray, width: int) -> np.ndarray:
-    """Digests of all runs of ``width`` words, in order; one digest of all words if there are fewer."""
-    if not len(codes):
-        return codes
+    Words are maximal runs outside the ASCII blanks, A-Z lower-cased; a null text has none. Eight bytes of all words are
+    taken in at a time.
+    """
+    import xxhash
+
+    raw = [text.encode("utf-8").lower() if text else b"" for text in texts]
+    joined = b"\n".join(raw)
+    inside = np.zeros(len(joined) + 2, bool)
+    np.take(IN_WORD, np.frombuffer(joined, np.uint8), out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    padded = joined + bytes(8)
+    blocks = np.ndarray((len(joined) + 1,), "<u8", padded, strides=(1,))
+    codes = sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    at, left, rows = starts, sizes, slice(None)
+    for _ in range(LONG_WORD // 8):
+        codes[rows] = mix64(codes[rows] ^ (blocks[at] & FIRST_BYTES[np.minimum(left, 8)]))
+        more = np.flatnonzero(left > 8)
+        rows = more if isinstance(rows, slice) else rows[more]
+        at, left = at[more] + 8, left[more] - 8
+        if not len(rows):
+            break
+    for n in rows if not isinstance(rows, slice) else ():
+        codes[n] = xxhash.xxh3_64_intdigest(joined[starts[n]:starts[n] + sizes[n]])
+    ends = np.cumsum([len(x) + 1 for x in raw])
+    return codes, np.diff(np.searchsorted(starts, ends), prepend=0)
+
+
+_random = np.random.default_rng(64)
+_MULTIPLIERS = _random.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def shingles(codes: np.ndarray, counts: np.ndarray, width: int) -> list[np.ndarray]:
+    """For each text the digests of all its runs of ``width`` words, in order; one of all its words if there are fewer."""
     with np.errstate(over="ignore"):
-        if len(codes) < width:
-            total = np.uint64(len(codes))
-            for code in codes:
-                total = mix64(total * np.uint64(0x9E3779B97F4A7C15) + code)
-            return np.array([total], np.uint64)
-        n = len(codes) - width + 1
-        total = np.full(n, width, np.uint64)
+        runs = max(0, len(codes) - width + 1)
+        total = np.full(runs, np.uint64(width) * np.uint64(0xD6E8FEB86659FD93))
         for k in range(width):
-            total = mix64(total * np.uint64(0x9E3779B97F4A7C15) + codes[k:k + n])
-        return total
+            total += codes[k:k + runs] * _MULTIPLIERS[k]
+        total = mix64(total)
+        out, start = [], 0
+        for n in counts.tolist():
+            if n >= width:
+                out.append(total[start:start + n - width + 1])
+            elif n:
+                short = np.uint64(n) * np.uint64(0xD6E8FEB86659FD93) + (codes[start:start + n] * _MULTIPLIERS[:n]).sum(dtype=np.uint64)
+                out.append(mix64(np.array([short], np.uint64)))
+            else:
+                out.append(codes[:0])
+            start += n
+        return out

@@ -2,10 +2,11 @@
 
 Method: items fall into partitions by the size of their shingle set, powers of two. For a partition of items with at most L shingles a
 document is seen as windows of two neighbouring blocks of L shingles, so an item's passage lies inside one window and its
-Jaccard similarity with that window stays above 0.19 however long the document is. MinHash registers are computed
-once, on the blocks of the smallest partition; those of larger blocks and of windows are minima of them. A
-window that shares a register with an item makes a candidate (bands of one row; missed with chance 0.81^64, about 1e-6),
-and candidates are confirmed by the exact share of the item's shingles that the whole document contains.
+Jaccard similarity with that window stays above 0.19 however long the document is. A window that shares a MinHash
+register with an item makes a candidate (bands of one row; missed with chance 0.81^64, about 1e-6), and candidates are
+confirmed by the exact share of the item's shingles that the whole document contains. A register can only be
+shared if the window holds the shingle that gave the item its minimum, so registers are computed for windows with
+such a shingle and the others are passed over; this loses no candidate.
 
 Items are collected in blocks of about ``BLOCK_CHARS`` characters, one pass over the documents for each block, so what travels to the
 tasks is bounded for a benchmark of any size.
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import WordCodes, lowered_words, shingles, slices
+from reviewmill.llm.common import shingles, slices, word_codes
 
 HASHES = 64
 BLOCK_CHARS = 16_000_000
@@ -32,47 +33,35 @@ BLOCK_CHARS = 16_000_000
 _random = np.random.default_rng(1997)
 FACTOR = (_random.integers(0, 2**32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 SHIFT = _random.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32)
-HIGHEST = np.uint32(0xFFFFFFFF)
+REGISTER = np.arange(HASHES, dtype=np.uint64) << np.uint64(32)
 
 
 def _hashed(codes: np.ndarray) -> np.ndarray:
     return FACTOR[:, None] * (codes >> np.uint64(32)).astype(np.uint32) + SHIFT[:, None]
 
 
-def _block_minima(codes: np.ndarray, length: int, chunk: int = 4096) -> np.ndarray:
-    """Registers (one column per block) of consecutive blocks of ``length`` shingles."""
-    step = max(length, chunk // length * length)
-    return np.concatenate(
-        [np.minimum.reduceat(_hashed(codes[at:at + step]), np.arange(0, len(codes[at:at + step]), length), axis=1)
-         for at in range(0, len(codes), step)], axis=1)
-
-
-def _paired(minima: np.ndarray) -> np.ndarray:
-    """Registers of blocks twice as long."""
-    if minima.shape[1] % 2:
-        minima = np.concatenate([minima, np.full((HASHES, 1), HIGHEST)], axis=1)
-    return np.minimum(minima[:, ::2], minima[:, 1::2])
-
-
 class Partition:
-    """Items of similar size: their registers, and a table of flags that rules most values out at once."""
-
-    def __init__(self, members: list[int], sets: list[np.ndarray]):
-        self.members = np.array(members)
-        self.values = np.stack([_hashed(sets[i]).min(axis=1) for i in members], axis=1)
-        self.order = np.argsort(self.values, axis=1, kind="stable")
-        self.sorted = np.take_along_axis(self.values, self.order, axis=1)
-        self.mask = np.uint32((1 << min(20, max(10, (64 * len(members)).bit_length()))) - 1)
-        self.flags = np.zeros((HASHES, int(self.mask) + 1), bool)
-        np.put_along_axis(self.flags, (self.values & self.mask).astype(np.int64), True, axis=1)
-
-    def candidates(self, blocks: np.ndarray) -> set[int]:
-        windows = np.minimum(blocks[:, :-1], blocks[:, 1:]) if blocks.shape[1] > 1 else blocks
+    """Items of similar size, at most ``length`` shingles, and the sorted values of their registers."""
+
+    def __init__(self, length: int, members: list[int], sets: list[np.ndarray]):
+        self.length, self.members = length, np.array(members)
+        hashed = [_hashed(sets[i]) for i in members]
+        values = np.stack([h.min(axis=1) for h in hashed], axis=1)
+        self.least = np.concatenate([sets[i][np.unique(h.argmin(axis=1))] for i, h in zip(members, hashed, strict=True)])
+        keys = (REGISTER[:, None] | values).ravel()
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owners = keys[order], np.tile(self.members, HASHES)[order]
+
+    def candidates(self, codes: np.ndarray, places: np.ndarray) -> set[int]:
+        """Items that share a register with a window of ``codes`` around one of ``places``."""
+        size = self.length
+        blocks = np.unique(places // size)
         found: set[int] = set()
-        for h in range(HASHES):
-            for value in np.unique(windows[h][self.flags[h][windows[h] & self.mask]]):
-                low, high = np.searchsorted(self.sorted[h], value, "left"), np.searchsorted(self.sorted[h], value, "right")
-                found.update(self.members[self.order[h][low:high]].tolist())
+        for first in np.unique(np.concatenate([np.maximum(blocks - 1, 0), blocks])).tolist():
+            window = REGISTER | _hashed(codes[first * size:(first + 2) * size]).min(axis=1)
+            low, high = np.searchsorted(self.keys, window, "left"), np.searchsorted(self.keys, window, "right")
+            for h in np.flatnonzero(high > low):
+                found.update(self.owners[low[h]:high[h]].tolist())
         return found
 
 
@@ -80,29 +69,31 @@ class Index:
     """All items of a block, partitioned by set size."""
 
     def __init__(self, items: list[tuple[int, str | None]], width: int):
-        known, self.ids, self.sets = WordCodes(), [], []
-        for key, text in items:
-            codes = np.unique(shingles(known.of(lowered_words(text)), width))
-            if len(codes):
-                self.ids.append(key)
-                self.sets.append(codes)
+        sets = [np.unique(codes) for codes in shingles(*word_codes([text for _, text in items]), width)]
+        kept = [n for n, codes in enumerate(sets) if len(codes)]
+        self.ids, self.sets = [items[n][0] for n in kept], [sets[n] for n in kept]
         by_size: dict[int, list[int]] = {}
         for i, codes in enumerate(self.sets):
             by_size.setdefault(1 << max(2, (len(codes) - 1).bit_length()), []).append(i)
-        self.partitions = {size: Partition(members, self.sets) for size, members in sorted(by_size.items())}
+        self.partitions = [Partition(size, members, self.sets) for size, members in sorted(by_size.items())]
+        self.least = np.unique(np.concatenate([p.least for p in self.partitions])) if kept else np.empty(0, np.uint64)
+        self.shift = np.uint64(64 - min(24, max(12, (64 * len(self.least)).bit_length())))
+        self.flags = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.flags[self.least >> self.shift] = True
+
+    def places(self, codes: np.ndarray) -> np.ndarray:
+        """Where in ``codes`` a shingle stands that gave an item a minimum."""
+        near = np.flatnonzero(self.flags[codes >> self.shift])
+        at = np.searchsorted(self.least, codes[near])
+        return near[self.least[np.minimum(at, len(self.least) - 1)] == codes[near]] if len(near) else near
 
     def search(self, codes: np.ndarray, share: float) -> list[tuple[int, int, int]]:
         """(item, shingles found, shingles of the item) for items of which ``codes`` holds at least ``share``."""
-        if not len(codes) or not self.partitions:
+        places = self.places(codes)
+        if not len(places):
             return []
-        length = min(self.partitions)
-        minima, candidates = _block_minima(codes, length), set()
-        for size, partition in self.partitions.items():
-            while length < size:
-                minima, length = _paired(minima), length * 2
-            candidates |= partition.candidates(minima)
         out = []
-        for i in sorted(candidates):
+        for i in sorted(set().union(*(partition.candidates(codes, places) for partition in self.partitions))):
             found = int(np.isin(self.sets[i], codes).sum())
             if found >= share * len(self.sets[i]) - 1e-9:
                 out.append((self.ids[i], found, len(self.sets[i])))
@@ -121,15 +112,16 @@ def contained(
 
     def searcher(block: int):
         part = [(r.item, r.body) for r in wanted.filter(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == block).collect()]
-        state: dict[str, object] = {}
+        state: dict[str, Index] = {}
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not state:
-                state.update(index=Index(part, width), known=WordCodes())
+                state["index"] = Index(part, width)
             for piece in slices(batches):
                 keys, hits = [], []
-                for key_value, value in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
-                    for hit in state["index"].search(shingles(state["known"].of(lowered_words(value)), width), share):
+                sets = shingles(*word_codes(piece.column(1).to_pylist()), width)
+                for key_value, codes in zip(piece.column(0).to_pylist(), sets, strict=True):
+                    for hit in state["index"].search(codes, share):
                         keys.append(key_value)
                         hits.append(hit)
                 columns = [pa.array(keys, pa.int64())] + [pa.array([h[k] for h in hits], pa.int64()) for k in range(3)]

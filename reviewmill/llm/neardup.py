@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import WordCodes, lowered_words, shingles, slices
+from reviewmill.llm.common import shingles, slices, word_codes
 from reviewmill.session import publish
 
 BANDS, ROWS = 24, 5
@@ -82,16 +82,16 @@ def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        known = WordCodes()
         for piece in slices(batches):
+            words, counts = word_codes(piece.column(1).to_pylist())
+            ends = np.cumsum(counts).tolist()
             high, low, sizes, sketches = [], [], [], []
-            for value in piece.column(1).to_pylist():
-                words = lowered_words(value)
-                if not words:
+            for codes, n, end in zip(shingles(words, counts, width), counts.tolist(), ends, strict=True):
+                if not n:
                     high.append(None), low.append(None), sizes.append(0), sketches.append(None)
                     continue
-                codes = np.unique(shingles(known.of(words), width))
-                digest = xxhash.xxh3_128_digest(b" ".join(words))
+                codes = np.unique(codes)
+                digest = xxhash.xxh3_128_digest(words[end - n:end].tobytes())
                 high.append(int.from_bytes(digest[:8], "big", signed=True))
                 low.append(int.from_bytes(digest[8:], "big", signed=True))
                 sizes.append(len(codes))
@@ -144,9 +144,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, width: int) -
     """(id, codes): the sorted shingle digests of the documents in ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordCodes()
         for piece in slices(batches):
-            codes = [np.unique(shingles(known.of(lowered_words(value)), width)).tobytes() for value in piece.column(1).to_pylist()]
+            codes = [np.unique(x).tobytes() for x in shingles(*word_codes(piece.column(1).to_pylist()), width)]
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(codes, pa.binary())], names=["id", "codes"])
 
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
