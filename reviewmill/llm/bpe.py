@@ -17,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from reviewmill.llm.common import add_columns
@@ -30,7 +31,11 @@ class Ranks:
     def __init__(self, content: bytes):
         pairs = (line.split() for line in content.splitlines() if line.strip())
         self.ids = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        self.tokens = {rank: token for token, rank in self.ids.items()}
+        sizes, ordered = np.zeros(max(self.ids.values()) + 1, np.int64), sorted(self.ids.items(), key=lambda pair: pair[1])
+        for token, rank in ordered:
+            sizes[rank] = len(token)
+        #: Where the bytes of each id start in all tokens' bytes, how many there are (0: no such id), and those bytes.
+        self.spelled = np.cumsum(sizes) - sizes, sizes, np.frombuffer(b"".join(token for token, _ in ordered), np.uint8)
         self.single = np.array([self.ids[bytes([b])] for b in range(256)], np.int64)
         keys, ranks = [], []
         for token, rank in self.ids.items():
@@ -81,8 +86,8 @@ def load(content: bytes) -> Ranks:
     return Ranks(content)
 
 
-def _merge_group(words: list[bytes], width: int, ranks: Ranks) -> list[np.ndarray]:
-    """Encode words of more than width / 2 and at most ``width`` bytes, ``width`` a power of two."""
+def _merge_group(words: list[bytes], width: int, ranks: Ranks) -> list[bytes]:
+    """Ids (as int32 bytes) of words of more than width / 2 and at most ``width`` bytes, ``width`` a power of two."""
     n = len(words)
     sizes = np.fromiter(map(len, words), np.int64, n)
     column = np.arange(width)
@@ -136,13 +141,14 @@ def _merge_group(words: list[bytes], width: int, ranks: Ranks) -> list[np.ndarra
                 flat[tops + node] = np.minimum(flat[child], flat[child + 1])
         rows = rows[flat[tops + 1] < NONE]
     alive = alive.reshape(n, width)
-    ends = np.cumsum(alive.sum(axis=1))
-    return np.split(ids[alive].astype(np.int32), ends[:-1])
+    left = ids[alive].astype(np.int32).tobytes()
+    ends = (4 * np.cumsum(alive.sum(axis=1))).tolist()
+    return [left[start:end] for start, end in zip([0, *ends], ends, strict=False)]
 
 
-def encode_words(words: list[bytes], ranks: Ranks, cells: int = 1 << 18) -> list[np.ndarray]:
-    """Ids of every word. ``cells`` bounds the array positions that are worked on together."""
-    out: list[np.ndarray | None] = [None] * len(words)
+def encode_words(words: list[bytes], ranks: Ranks, cells: int = 1 << 18) -> list[bytes]:
+    """Ids of every word, as the bytes of an int32 array. ``cells`` bounds the array positions that are worked on together."""
+    out: list[bytes] = [b""] * len(words)
     by_width: dict[int, list[int]] = {}
     for i, word in enumerate(words):
         by_width.setdefault(1 << max(1, (len(word) - 1).bit_length()), []).append(i)
@@ -155,36 +161,50 @@ def encode_words(words: list[bytes], ranks: Ranks, cells: int = 1 << 18) -> list
     return out
 
 
+class Remembered(dict):
+    """A dictionary of two generations: when the younger is full it becomes the older, and entries in use come back."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.older = limit, {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Keys that neither generation knows; the others are in the younger one afterwards."""
+        if len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
+        new = []
+        for key in keys.difference(self):
+            value = self.older.get(key)
+            if value is None:
+                new.append(key)
+            else:
+                self[key] = value
+        return new
+
+
 class Encoder:
-    """Encodes texts; remembers the ids of frequent pieces in two dictionaries of bounded size."""
+    """Encodes texts; remembers the ids of frequent pieces in dictionaries of bounded size."""
 
-    def __init__(self, ranks: Ranks, pattern: str, limit: int = 150_000):
+    def __init__(self, ranks: Ranks, pattern: str, limit: int = 200_000):
         import regex
 
-        self.ranks, self.limit = ranks, limit
+        self.ranks = ranks
         self.split = regex.compile(pattern).findall
         self.blanks = regex.compile(r"\s\s").search
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words, self.pieces = Remembered(limit), Remembered(limit)
 
     def _pieces(self, text: str) -> list[str]:
         """Cut before every single blank, a border of the pattern's matches wherever no two blanks meet."""
-        if self.blanks(text):
-            return [text]
-        head, *rest = text.split(" ")
-        return ([head] if head else []) + [" " + piece for piece in rest]
+        return [text] if self.blanks(text) else text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]
 
     def _learn(self, pieces: set[str]) -> None:
-        if len(self.pieces) > self.limit:
-            self.pieces.clear()
-        if len(self.words) > self.limit:
-            self.words.clear()
-        cut = {piece: self.split(piece) for piece in pieces if piece not in self.pieces}
-        new = list({word for words in cut.values() for word in words if word not in self.words})
-        coded = encode_words([word.encode("utf-8") for word in new], self.ranks)
-        self.words.update(zip(new, (ids.tobytes() for ids in coded), strict=True))
-        for piece, words in cut.items():
-            self.pieces[piece] = b"".join([self.words[word] for word in words])
+        split = self.split
+        cut = {piece: split(piece) for piece in self.pieces.missing(pieces)}
+        words = self.words
+        new = words.missing(set().union(*cut.values()))
+        words.update(zip(new, encode_words([word.encode("utf-8") for word in new], self.ranks), strict=True))
+        self.pieces.update({piece: words[parts[0]] if len(parts) == 1 else b"".join([words[x] for x in parts]) for piece, parts in cut.items()})
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as the bytes of an int32 array."""
@@ -226,8 +246,18 @@ def decode(df: DataFrame, rank_file: str, ids: str = "ids", out: str = "decoded"
     with open(rank_file, "rb") as file:
         content = file.read()
 
-    def compute(columns: list[list]) -> list:
-        tokens = load(content).tokens
-        return [[b"".join([tokens[i] for i in row]) if row else b"" for row in columns[0]]]
-
-    return add_columns(df, [ids], f"`{out}` binary", compute)
+    def compute(columns: list[pa.Array]) -> list:
+        starts, sizes, letters = load(content).spelled
+        rows = columns[0]
+        counts = np.nan_to_num(pc.list_value_length(rows).to_numpy(zero_copy_only=False)).astype(np.int64)
+        flat = rows.flatten().to_numpy(zero_copy_only=False)
+        if len(flat) and not (flat.min() >= 0 and flat.max() < len(sizes) and sizes[flat].min()):
+            raise ValueError("an id is outside the vocabulary")
+        long = sizes[flat]
+        ends = np.cumsum(long)
+        from_ = np.repeat(starts[flat] - (ends - long), long) + np.arange(ends[-1] if len(ends) else 0)
+        borders = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
+        buffers = [None, pa.py_buffer(borders.tobytes()), pa.py_buffer(letters[from_].tobytes())]
+        return [pa.BinaryArray.from_buffers(pa.binary(), len(rows), buffers)]
+
+    return add_columns(df, [ids], f"`{out}` binary", compute, as_arrow=True)
