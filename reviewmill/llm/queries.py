@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import annforest, bpe, decontam, extract, langid, linededup, neardup, toxicity, urlfilter
+from reviewmill.llm import annforest, bpe, decontam, extract, langid, linededup, neardup, tokencount, toxicity, urlfilter
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -41,6 +41,13 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document; the row without a line holds the tokens of line breaks."""
+    documents = tokencount.lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counted = tokencount.attribute(documents, RANK_FILE, public_tokenizers.PATTERN).select("doc_id", F.inline("counts"))
+    return counted.select("doc_id", F.col("section").alias("line"), *[F.col(n).cast("long").alias(n) for n in ("n_tokens", "n_crossing", "n_bytes")])
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold at least 0.8 of the five-word shingles of a benchmark item."""
     return decontam.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -82,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_main_text": op3_main_text,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_token_counts": op5_token_counts,
     "op6_decontamination": op6_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_nearest": op8_nearest,
