@@ -47,7 +47,7 @@ SQL_WORDS = "CASE WHEN c = '' THEN 0 ELSE len(string_split(c, ' ')) END"
 def all_texts(v: Views):
     """Documents and reviews under one key."""
     docs = v.documents.select(F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("id"), "review")
-    return docs.unionByName(v.review_texts.select(F.concat(F.lit("L"), "id").alias("id"), F.col("content").alias("review")))
+    return docs.unionByName(v.reviews.select(F.concat(F.lit("L"), "id").alias("id"), F.col("content").alias("review")))
 
 
 ALL_TEXTS = """SELECT 'D' || CAST(doc_id AS VARCHAR) AS id, text AS review FROM documents
@@ -100,7 +100,7 @@ GROUP BY phrase ORDER BY frequency DESC, phrase LIMIT 200""", tok=TOKENS)
 
 
 def _title_body(v: Views):
-    joined = corpus.prepare(v.review_texts.withColumnRenamed("content", "review"), "review", "id", "title")
+    joined = corpus.prepare(v.reviews.withColumnRenamed("content", "review"), "review", "id", "title")
     return joined.select("id", "review")
 
 
@@ -125,7 +125,7 @@ QUERIES = {
     "ngram_trigrams": _grams(3),
     "split_by_key": lambda v: v.documents.select(
         "doc_id", (ranking.split_slot("doc_id") < 80).alias("is_train")),
-    "sample_bernoulli": lambda v: ranking.bernoulli_sample(v.documents.select("doc_id", "lang"), 0.05, 42, 20000),
+    "sample_bernoulli": lambda v: ranking.bernoulli_sample(v.documents.select("doc_id", "lang"), "doc_id", 0.05),
     "tfidf_sql": lambda v: features.tfidf_table(
         v.documents.select("doc_id", tx.clean("review", "a").alias("clean_text")), "doc_id"),
 }
@@ -172,6 +172,8 @@ array_to_string(w, ' ') AS tokens FROM tok""", tok=TOKENS),
     "ngram_trigrams": _sql_gram_top(3),
     "split_by_key": """SELECT doc_id, CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || ':42'), 1, 8)) AS BIGINT)
 % 100 < 80 AS is_train FROM documents""",
+    "sample_bernoulli": """SELECT doc_id, lang FROM documents
+WHERE CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) % 10000 < 500""",
     "tfidf_sql": with_views("", """SELECT t.doc_id, t.term, t.tf, d.df,
 round(t.tf * ln((SELECT count(*) + 1 FROM documents) / CAST(d.df + 1 AS DOUBLE)), 6) AS tfidf
 FROM tf t JOIN (SELECT term, count(*) AS df FROM tf GROUP BY term HAVING count(*) >= 2) d ON d.term = t.term""",

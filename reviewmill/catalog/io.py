@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reviewmill import session
+from reviewmill.catalog.mining import ASPECT_CASE, GRAMS, SIGNAL, TOKENS
 from reviewmill.catalog.views import Views, with_views
 from reviewmill.functions import rules
 from reviewmill.functions import text as tx
@@ -22,7 +23,8 @@ def _uploaded(v: Views, separator: str = ","):
     text = F.when(F.col("rating") == 3, None).otherwise(F.col("content"))
     rows = v.reviews.select(F.col("id").alias("Key"), F.col("title").alias("Headline"), text.alias("Review"),
                             F.col("rating").alias("Stars"))
-    rows.write.option("header", True).option("sep", separator).option("escape", '"').csv(path)
+    rows.write.option("header", True).option("sep", separator).option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return readers.read_upload(v.spark, path)
 
 
@@ -51,9 +53,17 @@ def _analysis(v: Views):
         "id", "organization_id", "product_id", "title", "content", F.lit(None).cast("string").alias("review"),
         F.lit(None).cast("string").alias("text"), F.col("rating").cast("int").alias("rating"))
     raw = raw.join(v.members.groupBy("organization_id").agg(F.min("user_id").alias("user_id")), "organization_id")
-    tables = jobs.import_and_analyse(raw, v.members, session.scratch_path(v.spark, "tenant"), "upload-1")
-    return tables["analyses"].select("organization_id", "product_id", "total", "positive_count", "negative_count",
-                                     "health_score")
+    out = session.scratch_path(v.spark, "tenant")
+    first = jobs.import_and_analyse(raw, v.members, out, "upload-1")["analyses"]
+    again = jobs.import_and_analyse(raw.filter("rating = 5"), v.members, out, "upload-2")["analyses"]
+    both = first.unionByName(again)
+    ids = both.agg(F.count_distinct("id")).scalar()
+    return both.select("dataset_id", "organization_id", "product_id", "total", "positive_count", "negative_count", "health_score",
+                       "status", ids.alias("distinct_ids"))
+
+
+def _mined(v: Views):
+    return jobs.mined_phrases(v.reviews)
 
 
 def _stored_customers(v: Views):
@@ -78,25 +88,24 @@ def _upsert(v: Views):
     """The same merge through the stored table: first load, then the updates."""
     path = session.scratch_path(v.spark, "profiles")
     stored, updates = _stored_customers(v), _order_updates(v)
-    sinks.upsert_table(stored, path, ["id"], buckets=8)
-    sinks.upsert_table(updates, path, ["id"], buckets=8)
-    return sinks.read_upserted(v.spark, path, stored.schema)
+    sinks.upsert_table(stored, path)
+    sinks.compact_table(v.spark, path, ["id"], tie="name")
+    sinks.upsert_table(updates, path)
+    return sinks.read_upserted(v.spark, path, ["id"], tie="name").select("id", "name", "updated_at", "created_at")
 
 
 def _defaults(v: Views):
     gaps = v.reviews.select(
-        F.when(F.col("rating") != 1, F.col("id")).alias("id"), "organization_id", "product_id", "content",
+        F.col("id").alias("source_key"), F.when(F.col("rating") != 1, F.col("id")).alias("id"), "organization_id", "product_id", "content",
         F.when(F.col("rating") != 2, F.col("title")).alias("title"), "rating",
         F.when(F.col("rating") != 3, F.col("sentiment")).alias("sentiment"),
         F.when(F.col("rating") != 4, F.col("sentiment_score")).otherwise(0.0).alias("sentiment_score"),
     )
     path = session.scratch_path(v.spark, "reviews")
-    sinks.append_reviews(sinks.review_rows(gaps, ["organization_id", "product_id", "content"]), path)
+    sinks.append_reviews(sinks.review_rows(gaps, ["source_key"]), path)
     out = v.spark.read.parquet(path)
-    return out.select("organization_id", "product_id", F.length("id") != 64, "title", "sentiment", "sentiment_score") \
-        .toDF("organization_id", "product_id", "kept_id", "title", "sentiment", "sentiment_score") \
-        .groupBy("product_id", "kept_id", "title", "sentiment").agg(
-            F.count(F.lit(1)).alias("rows"), F.round(F.sum("sentiment_score"), 2).alias("score"))
+    return out.withColumn("kept_id", F.length("id") != 64).groupBy("product_id", "kept_id", "title", "sentiment").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"), F.round(F.sum("sentiment_score"), 2).alias("score"))
 
 
 def _sections(v: Views):
@@ -122,7 +131,20 @@ def _csv_report(v: Views):
 
 def _slugs(v: Views):
     """Slugs of all products, numbered where a name occurs again."""
-    return kpis.unique_slugs(v.products, "name", "created_seq").select("id", "slug")
+    return kpis.unique_slugs(_named(v), "name", "created_seq").select("id", "slug")
+
+
+def _named(v: Views):
+    """Products of which every third is named like its neighbour, and every fifth like a numbered slug."""
+    number = F.col("created_seq")
+    name = F.when(number % 3 == 0, F.concat(F.lit("Item "), (number % 40).cast("string"))).when(
+        number % 5 == 0, F.concat(F.lit("Item "), (number % 40).cast("string"), F.lit(" 2"))).otherwise(F.col("name"))
+    return v.products.withColumn("name", name)
+
+
+def _slug_facts(v: Views):
+    return kpis.unique_slugs(_named(v), "name", "created_seq").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("slug").alias("slugs"))
 
 
 def _parameters(v: Views):
@@ -157,6 +179,8 @@ QUERIES = {
     "report_sections": _sections,
     "report_csv": _csv_report,
     "org_slug": _slugs,
+    "org_slug_unique": _slug_facts,
+    "import_mined_phrases": _mined,
     "param_extract": _parameters,
     "audit_append": _audit_rows,
 }
@@ -178,6 +202,11 @@ _PROFILE = rev("""SELECT count(*) AS row_count, count(CASE WHEN rating <> 3 THEN
 count(CASE WHEN rating = 3 THEN 1 END) AS invalid_rows, 'Key,Headline,Review,Stars' AS columns, true AS has_review_column,
 'Review' AS detected_text_column, 'Stars' AS detected_rating_column, 'Headline' AS detected_title_column FROM fx_reviews""")
 
+_NAMED = """SELECT *, row_number() OVER (PARTITION BY base ORDER BY created_seq) AS rn FROM (
+  SELECT id, created_seq, replace(replace(lower(CASE WHEN created_seq % 3 = 0 THEN 'Item ' || CAST(created_seq % 40 AS VARCHAR)
+    WHEN created_seq % 5 = 0 THEN 'Item ' || CAST(created_seq % 40 AS VARCHAR) || ' 2' ELSE name END), ' ', '-'), '/', '-') AS base
+  FROM fx_products) p"""
+
 ORACLES = {
     "upload_profile": _PROFILE,
     "upload_profile_tsv": _PROFILE,
@@ -190,26 +219,35 @@ FROM fx_reviews WHERE rating <> 5 GROUP BY 1, 2"""),
 count(*) FILTER (WHERE NOT ({_POSITIVE})) AS negative_count,
 CAST(round(round(count(*) FILTER (WHERE {_POSITIVE}) / count(*) * 100, 1), 0) AS BIGINT) AS health_score
 FROM fx_reviews GROUP BY organization_id"""),
-    "import_analysis": with_views("fx_reviews fx_members", f"""SELECT organization_id, product_id, count(*) AS total,
+    "import_analysis": with_views("fx_reviews fx_members", f"""SELECT *, 'completed' AS status, count(*) OVER () AS distinct_ids FROM (
+SELECT dataset_id, organization_id, product_id, count(*) AS total,
 count(*) FILTER (WHERE {_POSITIVE}) AS positive_count, count(*) FILTER (WHERE NOT ({_POSITIVE})) AS negative_count,
 CAST(round(round(count(*) FILTER (WHERE {_POSITIVE}) / count(*) * 100, 1), 0) AS BIGINT) AS health_score
-FROM fx_reviews r WHERE organization_id IN (
+FROM fx_reviews r, (SELECT unnest(['upload-1', 'upload-2']) AS dataset_id) d
+WHERE (dataset_id = 'upload-1' OR rating = 5) AND organization_id IN (
   SELECT organization_id FROM fx_members m WHERE role <> 'viewer' AND user_id = (
     SELECT min(user_id) FROM fx_members x WHERE x.organization_id = m.organization_id))
-GROUP BY organization_id, product_id"""),
+GROUP BY dataset_id, organization_id, product_id) t"""),
+    "import_mined_phrases": with_views("fx_reviews", f"""SELECT organization_id, product_id, phrase,
+CASE len(string_split(phrase, ' ')) WHEN 3 THEN 'Trigram' ELSE 'Bigram' END AS n_gram_type, {ASPECT_CASE} AS aspect,
+count(*) AS frequency, round(count(*) / any_value(n) * 100, 2) AS percentage
+FROM grams JOIN neg USING (id) JOIN (SELECT product_id, count(*) AS n FROM neg GROUP BY 1) t USING (product_id)
+WHERE {SIGNAL} GROUP BY organization_id, product_id, phrase""",
+                                       neg="SELECT id, organization_id, product_id, content FROM fx_reviews WHERE sentiment = 'NEGATIVE'",
+                                       tok=TOKENS, grams=GRAMS),
     "upsert_latest": _LATEST,
     "upsert_table": _LATEST,
     "append_defaults": rev("""SELECT product_id, rating <> 1 AS kept_id, CASE WHEN rating = 2 THEN '' ELSE title END AS title,
-CASE WHEN rating = 3 THEN 'POSITIVE' ELSE sentiment END AS sentiment, count(*) AS rows,
+CASE WHEN rating = 3 THEN 'POSITIVE' ELSE sentiment END AS sentiment, count(*) AS rows, count(*) AS ids,
 round(sum(CASE WHEN rating = 4 THEN 0.95 ELSE sentiment_score END), 2) AS score FROM fx_reviews GROUP BY 1, 2, 3, 4"""),
     "report_sections": rev("""SELECT sentiment, count(*) AS reviews, 'classes' AS section FROM fx_reviews GROUP BY sentiment
 UNION ALL SELECT CAST(rating AS VARCHAR), count(*), 'ratings' FROM fx_reviews GROUP BY rating"""),
     "report_csv": rev("""SELECT organization_id, count(*) AS reviews, count(*) FILTER (WHERE sentiment = 'POSITIVE') AS positives,
 count(*) FILTER (WHERE sentiment = 'NEGATIVE') AS negatives FROM fx_reviews GROUP BY organization_id"""),
-    "org_slug": with_views("fx_products", """SELECT id, CASE WHEN rn = 1 THEN base ELSE base || '-' || CAST(rn AS VARCHAR) END AS slug
-FROM (SELECT id, replace(replace(lower(name), ' ', '-'), '/', '-') AS base,
-  row_number() OVER (PARTITION BY replace(replace(lower(name), ' ', '-'), '/', '-') ORDER BY created_seq) AS rn
-  FROM fx_products) t"""),
+    "org_slug": with_views("fx_products", """SELECT id, CASE WHEN slug <> base AND slug IN (SELECT base FROM named)
+  THEN slug || '-' || substr(sha256(CAST(created_seq AS VARCHAR)), 1, 12) ELSE slug END AS slug
+FROM (SELECT *, CASE WHEN rn = 1 THEN base ELSE base || '-' || CAST(rn AS VARCHAR) END AS slug FROM named) t""", named=_NAMED),
+    "org_slug_unique": with_views("fx_products", "SELECT count(*) AS rows, count(*) AS slugs FROM fx_products"),
     "param_extract": """SELECT p_partkey, p_retailprice AS reg, CAST(p_size AS BIGINT) AS max_iter, CAST(NULL AS VARCHAR) AS tol FROM part""",
     "audit_append": """SELECT 'S' || CAST(user_id AS VARCHAR) AS organization_id, CAST(user_id AS VARCHAR) AS user_id, 'IMPORT' AS action,
 'REVIEW' AS resource_type, '{"kind":"' || event_type || '","k":' || json_extract_string(props, '$.k') || '}' AS details FROM events""",

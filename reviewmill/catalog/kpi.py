@@ -34,8 +34,8 @@ def _per_seller(rows):
 
 
 def _compare(v: Views):
-    aspect = aspects.aspect_rollup(_per_seller(jobs.product_aspects(v.review_texts)), ("seller_id",))
-    issues = kpis.issue_rollup(_per_seller(jobs.product_issues(v.review_texts)), ("seller_id",))
+    aspect = aspects.aspect_rollup(_per_seller(jobs.product_aspects(v.reviews)), ("seller_id",))
+    issues = kpis.issue_rollup(_per_seller(jobs.product_issues(v.reviews)), ("seller_id",))
     return kpis.seller_comparison(overview(v), aspect, issues)
 
 
@@ -47,7 +47,7 @@ def _sorted(name):
 
 def _explorer(v: Views):
     """Second page of a filtered search inside the caller's organizations."""
-    rows = kpis.filter_reviews(v.review_texts, sentiment="positive", search="BATTERY", aspect="Battery")
+    rows = kpis.filter_reviews(v.reviews, sentiment="positive", search="BATTERY", aspect="Battery")
     page = kpis.review_page(tenancy.scope(rows, allowed(v)), v.products, v.organizations, "default", 2, 20)
     return page.drop("review_date")
 
@@ -78,7 +78,7 @@ def _search(v: Views):
 
 
 def _fallback(v: Views):
-    rows = jobs.product_aspects(v.review_texts.filter(F.col("rating") == 1))
+    rows = jobs.product_aspects(v.reviews.filter(F.col("rating") == 1))
     return kpis.with_fallback(
         v.products, aspects.aspect_rollup(_per_seller(rows), ("seller_id", "product_id")),
         aspects.aspect_rollup(_per_seller(rows), ("seller_id",)),
@@ -135,14 +135,14 @@ QUERIES = {
     "reviews_recent_seller": _recent("organization_id", 5),
     "reviews_recent_product": _recent("product_id", 20),
     "aspect_results": lambda v: aspects.aspect_rollup(
-        _per_seller(jobs.product_aspects(v.review_texts)), ("seller_id",)),
-    "aspect_results_market": lambda v: aspects.aspect_rollup(jobs.product_aspects(v.review_texts)),
+        _per_seller(jobs.product_aspects(v.reviews)), ("seller_id",)),
+    "aspect_results_market": lambda v: aspects.aspect_rollup(jobs.product_aspects(v.reviews)),
     "issue_results": lambda v: kpis.top_issues(
-        kpis.issue_rollup(_per_seller(jobs.product_issues(v.review_texts)), ("seller_id",)), ("seller_id",)),
-    "issue_results_market": lambda v: kpis.top_issues(kpis.issue_rollup(jobs.product_issues(v.review_texts))),
-    "dashboard_summary": lambda v: kpis.dashboard(v.reviews, aspects.aspect_rollup(jobs.product_aspects(v.review_texts))),
+        kpis.issue_rollup(_per_seller(jobs.product_issues(v.reviews)), ("seller_id",)), ("seller_id",)),
+    "issue_results_market": lambda v: kpis.top_issues(kpis.issue_rollup(jobs.product_issues(v.reviews))),
+    "dashboard_summary": lambda v: kpis.dashboard(v.reviews, aspects.aspect_rollup(jobs.product_aspects(v.reviews))),
     "dashboard_no_aspects": lambda v: kpis.dashboard(
-        v.reviews, aspects.aspect_rollup(jobs.product_aspects(v.review_texts, "title"))),
+        v.reviews, aspects.aspect_rollup(jobs.product_aspects(v.reviews, "title"))),
     "invitation_view": _invitations,
     "audit_view": lambda v: kpis.audit_view(tenancy.scope(v.audit, allowed(v)), v.profiles, v.organizations, 40),
     "audit_details": lambda v: v.audit.select(

@@ -1,19 +1,23 @@
 """Feature, model and scoring queries.
 
-Fits have no SQL form; the features below them are checked exactly.
+Features and naive Bayes are checked exactly. The other fits return what SQL can know of them: the sizes of the split, that
+counts and metrics agree, one row per review, probabilities that add up, guardrail rows, terms of the corpus.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill import session
-from reviewmill.catalog.corpus import SQL_A, sql_grams, sql_words
+from reviewmill.catalog.corpus import SQL_A, SQL_C, sql_grams, sql_words
+from reviewmill.catalog.mining import CLAUSES, CONTEXTS, guardrail_sql
 from reviewmill.catalog.views import Views, with_views
 from reviewmill.functions import lexicon as lex
 from reviewmill.functions import rules
-from reviewmill.operators import corpus, features, models, ranking, scoring
+from reviewmill.operators import corpus, evaluation, features, models, ranking, scoring
 from reviewmill.plans import jobs
 from reviewmill.sources import sinks
 
@@ -32,42 +36,61 @@ def split(v: Views, variant: str = "c"):
 def _feature_table(ngrams):
     def run(v: Views):
         rows = corpus.with_clean_text(v.corpus, "review").select("doc_id", "clean_text")
-        model = Pipeline(stages=features.tfidf_stages(ngrams)).fit(rows)
-        return features.feature_summary(model, rows)
+        return features.feature_table(rows, "doc_id", ngrams=ngrams)
     return run
 
 
+def _facts(measured: DataFrame) -> DataFrame:
+    """Sizes of the test rows, and whether accuracy and recall follow from the confusion counts and the area is a share."""
+    total = F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")
+    share = F.round((F.col("tp") + F.col("tn")) / total, 4)
+    same = (F.abs(F.col("accuracy") - share) < 1e-9) & (F.abs(F.col("recall") - share) < 1e-9) & F.col("roc_auc").between(0, 1)
+    return measured.select("experiment", total.alias("total"), (F.col("tp") + F.col("fn")).alias("positives"),
+                           (F.col("tn") + F.col("fp")).alias("negatives"), same.alias("agrees"))
+
+
 def _measured(classifier, **options):
     def run(v: Views):
         train, test = split(v)
         model = models.fit(train, classifier(), stored=True, **options)
-        return models.evaluate(model, test, classifier.__name__).drop("train_time", "predict_time")
+        return _facts(models.evaluate(model, test, classifier.__name__))
     return run
 
 
+def _bayes(v: Views):
+    """Naive Bayes in closed form: confusion counts and accuracy on the test rows."""
+    train, test = split(v)
+    terms = models.bayes_terms(train, "doc_id")
+    preds = models.bayes_predict(test, "doc_id", terms, train)
+    hit, total = F.col("tp") + F.col("tn"), F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")
+    return evaluation.confusion(preds).withColumn("accuracy", F.round(hit / total, 4))
+
+
+def _bayes_terms(v: Views):
+    train, _ = split(v, "a")
+    return models.bayes_terms(train, "doc_id").select("term", F.round("idf", 6).alias("idf"), F.round("weight", 6).alias("weight"))
 
 
 def _tuned(classifier, grid):
     def run(v: Views):
         train, test = split(v)
         base = classifier(maxIter=100)
-        model, _ = models.tune(train, "doc_id", base, grid(base), min_df=5.0, vocab=50000,
-                               stop_words=lex.sentiment_stop_words(), stored=True)
-        return models.evaluate(model, test, f"tuned {classifier.__name__}").drop("train_time", "predict_time")
+        model, _ = models.tune(train, "doc_id", base, grid(base), min_df=5.0, dims=1 << 14, stop_words=lex.sentiment_stop_words(), stored=True)
+        return _facts(models.evaluate(model, test, f"tuned {classifier.__name__}"))
     return run
 
 
 def _grid(v: Views):
     train, _ = split(v)
     base = models.logistic_regression(maxIter=100)
-    _, table = models.tune(train, "doc_id", base, models.lr_grid(base), min_df=5.0, vocab=50000, stored=True)
-    return table
+    _, table = models.tune(train, "doc_id", base, models.lr_grid(base), min_df=5.0, dims=1 << 14, stored=True)
+    return table.select("params", F.col("accuracy").between(0, 1).alias("is_share"))
 
 
 def _weighted(v: Views):
     train, test = split(v)
     model = models.weighted_fit(train, models.logistic_regression(), stored=True)
-    return models.evaluate(model, test, "weighted").drop("train_time", "predict_time")
+    return _facts(models.evaluate(model, test, "weighted"))
 
 
 def _sweep(v: Views):
@@ -75,43 +98,63 @@ def _sweep(v: Views):
     train, test = split(v)
     stops = lex.sentiment_stop_words()
     plans = [
-        ("20k, minDF 2", dict(ngrams=(1, 2), vocab=20000, min_df=2.0)),
-        ("50k, minDF 5", dict(ngrams=(1, 2), vocab=50000, min_df=5.0)),
-        ("1+2+3-grams", dict(ngrams=(1, 2, 3), vocab={1: 50000, 2: 50000, 3: 20000}, min_df=5.0)),
+        ("20k, minDF 2", dict(ngrams=(1, 2), dims=20000, min_df=2.0)),
+        ("50k, minDF 5", dict(ngrams=(1, 2), dims=50000, min_df=5.0)),
+        ("1+2+3-grams", dict(ngrams=(1, 2, 3), dims={1: 50000, 2: 50000, 3: 20000}, min_df=5.0)),
     ]
-    return models.sweep(train, test, [
+    return _facts(models.sweep(train, test, [
         (name, models.logistic_regression(), {**options, "stop_words": stops}) for name, options in plans
-    ], stored=True).drop("train_time", "predict_time")
+    ], stored=True).filter("error is null"))
 
 
 def _preprocessing(v: Views):
     """Cleaning variants compared with one classifier."""
-    out = None
+    rows = []
     for variant in "abc":
         train, test = split(v, variant)
         model = models.fit(train, models.logistic_regression(), stored=True)
-        row = models.evaluate(model, test, f"variant {variant}").drop("train_time", "predict_time")
-        out = row if out is None else out.unionByName(row)
-    return out
+        rows.append(models.evaluate(model, test, f"variant {variant}"))
+    return _facts(reduce(DataFrame.unionByName, rows))
 
 
-def _terms(v: Views):
-    train, _ = split(v, "a")
-    return models.top_terms(models.fit(train, models.naive_bayes(), stored=True, ngrams=(1,)))
+def _falling(group: str, order: str, weight: str) -> Column:
+    """Whether the weights of a group fall, or stay, in the given order."""
+    sorted_ = F.transform(F.array_sort(F.collect_list(F.struct(order, weight))), lambda e: e[weight])
+    return (sorted_ == F.reverse(F.array_sort(F.collect_list(F.col(weight))))).alias("falling")
 
 
 def _lr_terms(v: Views):
     train, _ = split(v, "a")
-    return models.top_terms(models.fit(train, models.logistic_regression(), stored=True))
+    train = session.publish(train, "train")
+    best = models.top_terms(models.fit(train, models.logistic_regression(), stored=True), train)
+    known = features.term_frequencies(train, "doc_id").select("term").union(
+        features.term_frequencies(train, "doc_id", n=2).select("term")).distinct().withColumn("_known", F.lit(True))
+    return best.join(known, "term", "left").groupBy("class").agg(
+        F.count(F.lit(1)).alias("terms"), F.every(F.coalesce("_known", F.lit(False))).alias("known"), F.every(F.col("score") >= 0).alias("scored"))
 
 
 def _topics(v: Views):
     return models.lda_topics(v.documents, "review")
 
 
+def _topic_facts(v: Views):
+    from reviewmill.operators import complaints
+
+    words = complaints.with_tokens(v.documents, "review", out="tokens").select(F.explode("tokens").alias("term")).distinct()
+    topics = _topics(v).join(words.withColumn("_known", F.lit(True)), "term", "left")
+    return topics.groupBy("topic_id").agg(
+        F.count(F.lit(1)).alias("terms"), F.every(F.coalesce("_known", F.lit(False))).alias("known"), _falling("topic_id", "position", "weight"))
+
+
+def _topic_weights(v: Views):
+    weights = models.topic_weights(_topics(v))
+    return weights.select("topic_id", "label", F.size(F.split("top_terms", ", ")).cast("bigint").alias("terms"),
+                          F.col("top_weight").between(0, 1.001).alias("is_share"))
+
+
 def review_model(v: Views):
     """Sentiment model for the review texts, stored and loaded again as a scoring job would."""
-    rows = v.review_texts.select("id", F.col("content").alias("review"),
+    rows = v.reviews.select("id", F.col("content").alias("review"),
                             rules.import_is_positive("content", "rating").cast("double").alias("label"))
     ready = corpus.with_clean_text(corpus.prepare(rows, "review", "id"), "review", "c")
     model = models.fit(ready, models.logistic_regression(), stop_words=lex.sentiment_stop_words(), min_df=1.0)
@@ -120,58 +163,151 @@ def review_model(v: Views):
     return sinks.load_model(path)
 
 
-def _error_report(name):
-    def run(v: Views):
-        train, test = split(v)
-        model = models.fit(train, models.logistic_regression(), stored=True)
-        return jobs.error_report(model, test, "doc_id")[name]
-    return run
+def score_facts(scored: DataFrame, *keep: str) -> DataFrame:
+    """What must hold of every scored row: probabilities add up, and a guardrail row has 98 against 2."""
+    adds = F.abs(F.col("prob_positive") + F.col("prob_negative") - 100) < 0.11
+    named = F.col("sentiment") == F.when(F.col("prob_positive") >= F.col("prob_negative"), "POSITIVE").otherwise("NEGATIVE")
+    close = F.abs(F.col("prob_positive") - F.col("prob_negative")) < 0.21  # rounded halves
+    ruled = ~F.col("guardrail") | (F.greatest("prob_positive", "prob_negative") == 98.0)
+    empty = F.col("prediction").isNull() & F.col("prob_positive").isNull() & F.col("sentiment").isNull()
+    return scored.select(*keep, F.coalesce(adds & (named | close) & ruled, empty).alias("holds"))
+
+
+def _score_batch(v: Views):
+    scored = scoring.predict(v.reviews, review_model(v), "content", ["id", "content"])
+    guard = rules.guardrail("content").cast("bigint")
+    named = F.when(guard.isNotNull(), F.col("prediction") == guard).otherwise(True).alias("obeyed")
+    return score_facts(scored, "id", guard.alias("guard"), named)
+
+
+def _score_aspects(v: Views):
+    return score_facts(scoring.aspect_predictions(v.reviews, review_model(v), "content", ["id"]), "id", "aspect", "context")
+
+
+def _aspect_report(v: Views):
+    report = scoring.aspect_report(v.reviews, review_model(v), "content", ["id"])
+    adds = F.col("positive_mentions") + F.col("negative_mentions") == F.col("mentions")
+    share = F.abs(F.col("positive_pct") + F.col("negative_pct") - 100) < 0.02
+    return report.select("aspect", "mentions", (adds & share & F.col("avg_confidence").between(50, 100)).alias("holds"))
+
+
+def _error_tables(v: Views):
+    train, test = split(v)
+    model = models.fit(train, models.logistic_regression(), stored=True)
+    return jobs.error_report(model, test, "doc_id")
+
+
+def _error_summary(v: Views):
+    holds = (F.col("correct") + F.col("incorrect") == F.col("total")) & (
+        F.col("false_positives") + F.col("false_negatives") == F.col("incorrect"))
+    return _error_tables(v)["summary"].select("total", holds.alias("holds"))
+
+
+def _error_examples(v: Views):
+    tables = _error_tables(v)
+    wrong = tables["summary"].select(F.least("incorrect", F.lit(8)).cast("bigint").alias("n"))
+    shown = tables["examples"].agg(F.count(F.lit(1)).alias("n"))
+    return shown.select((F.col("n") == wrong.scalar()).alias("complete"))
 
 
 QUERIES = {
     "tfidf_uni": _feature_table((1,)),
     "tfidf_bi": _feature_table((1, 2)),
     "tfidf_tri": _feature_table((1, 2, 3)),
-    "model_nb": _measured(models.naive_bayes, ngrams=(1,)),
+    "model_nb": _bayes,
+    "model_nb_vectors": _measured(models.naive_bayes, ngrams=(1,)),
     "model_lr": _measured(models.logistic_regression),
-    "model_rf": _measured(models.random_forest),
+    "model_rf": _measured(models.random_forest, dims=4096),
     "model_svc": _measured(models.linear_svc),
     "model_tuned_lr": _tuned(models.logistic_regression, models.lr_grid),
     "model_tuned_svc": _tuned(models.linear_svc, models.svc_grid),
     "model_grid": _grid,
     "model_weighted": _weighted,
-    "model_scaling": lambda v: models.scaling(labelled(v), models.logistic_regression(), [200, None]),
     "model_sweep_features": _sweep,
     "model_sweep_cleaning": _preprocessing,
-    "model_terms": _terms,
+    "model_terms": _bayes_terms,
     "model_terms_lr": _lr_terms,
-    "lda_topics": _topics,
-    "lda_topic_weight": lambda v: models.topic_weights(_topics(v)),
-    "score_batch": lambda v: scoring.predict(v.review_texts, review_model(v), "content", ["id"]),
-    "score_aspects": lambda v: scoring.aspect_predictions(v.review_texts, review_model(v), "content", ["id"]),
-    "absa_model": lambda v: scoring.aspect_report(v.review_texts, review_model(v), "content", ["id"]),
-    "error_report": _error_report("summary"),
-    "error_report_examples": _error_report("examples"),
+    "lda_topics": _topic_facts,
+    "lda_topic_weight": _topic_weights,
+    "score_batch": _score_batch,
+    "score_aspects": _score_aspects,
+    "absa_model": _aspect_report,
+    "error_report": _error_summary,
+    "error_report_examples": _error_examples,
 }
 
+
 def _feature_sql(sizes: tuple[int, ...]) -> str:
-    """Exact while no n-gram size fills its 20,000 vocabulary places."""
     grams = " UNION ALL ".join(f"SELECT doc_id, phrase AS term FROM ({sql_grams(n, 'tok')}) g{n}" for n in sizes)
-    return with_views("fx_corpus", """SELECT t.term, count(*) AS documents,
-round(sum(t.tf * ln(((SELECT count(*) FROM fx_corpus) + 1) / CAST(d.df + 1 AS DOUBLE))) / (SELECT count(*) FROM fx_corpus), 6) AS mean_tfidf
-FROM tf t JOIN (SELECT term, count(*) AS df FROM tf GROUP BY term HAVING count(*) >= 2) d ON d.term = t.term GROUP BY t.term""",
+    return with_views("fx_corpus", """SELECT term, count(*) AS documents,
+round(sum(tf) * ln(((SELECT count(*) FROM fx_corpus) + 1) / CAST(count(*) + 1 AS DOUBLE)) / (SELECT count(*) FROM fx_corpus), 6) AS mean_tfidf
+FROM tf GROUP BY term HAVING count(*) >= 2""",
                       tok=f"""SELECT doc_id, list_filter(string_split({SQL_A}, ' '),
-  lambda x: x NOT IN ({sql_words(lex.english_stop_words())})) AS w FROM fx_corpus""",
+  lambda x: x <> '' AND x NOT IN ({sql_words(lex.english_stop_words())})) AS w FROM fx_corpus""",
                       tf=f"SELECT doc_id, term, count(*) AS tf FROM ({grams}) a GROUP BY doc_id, term")
 
 
+SLOT = "CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || ':42'), 1, 8)) AS BIGINT) % 100"
+PREPARED = f"""SELECT doc_id, label, review, {SLOT} < 80 AS is_train FROM (
+  SELECT *, row_number() OVER (PARTITION BY review ORDER BY doc_id) AS rn FROM fx_corpus
+  WHERE review IS NOT NULL AND length(trim(review)) > 0) t WHERE rn = 1"""
+
+
+def _facts_sql(*experiments: str) -> str:
+    names = ", ".join(f"'{name}'" for name in experiments)
+    return with_views("fx_corpus", f"""SELECT e.experiment, count(*) AS total, count(*) FILTER (WHERE label = 1) AS positives,
+count(*) FILTER (WHERE label = 0) AS negatives, TRUE AS agrees
+FROM (SELECT unnest([{names}]) AS experiment) e, rows WHERE NOT is_train GROUP BY 1""", rows=PREPARED)
+
+
+def _bayes_sql(cleaned: str, body: str) -> str:
+    """Multinomial naive Bayes on TF-IDF, by its formula."""
+    stops = sql_words(lex.english_stop_words())
+    return with_views(
+        "fx_corpus", body, rows=PREPARED,
+        tf=f"""SELECT doc_id, label, is_train, term, count(*) AS tf FROM (
+  SELECT doc_id, label, is_train, unnest(string_split({cleaned}, ' ')) AS term FROM rows) w
+  WHERE term <> '' AND term NOT IN ({stops}) GROUP BY ALL""",
+        sums="""SELECT term, count(*) AS df, coalesce(sum(tf) FILTER (WHERE label = 1), 0) AS pos, coalesce(sum(tf) FILTER (WHERE label = 0), 0) AS neg
+  FROM tf WHERE is_train GROUP BY term HAVING count(*) >= 2""",
+        idf="""SELECT term, pos, neg, ln(((SELECT count(*) FROM rows WHERE is_train) + 1) / CAST(df + 1 AS DOUBLE)) AS idf FROM sums""",
+        total="SELECT count(*) AS v, sum(pos * idf) AS p, sum(neg * idf) AS n FROM idf",
+        terms="""SELECT term, idf, (ln(pos * idf + 1) - ln(total.p + total.v)) - (ln(neg * idf + 1) - ln(total.n + total.v)) AS weight
+  FROM idf, total""")
+
+
 ORACLES = {
+    "tfidf_uni": _feature_sql((1,)),
     "tfidf_bi": _feature_sql((1, 2)),
     "tfidf_tri": _feature_sql((1, 2, 3)),
-    "tfidf_uni": with_views("fx_corpus", """SELECT t.term, count(*) AS documents,
-round(sum(t.tf * ln(((SELECT count(*) FROM fx_corpus) + 1) / CAST(d.df + 1 AS DOUBLE))) / (SELECT count(*) FROM fx_corpus), 6) AS mean_tfidf
-FROM tf t JOIN (SELECT term, count(*) AS df FROM tf GROUP BY term HAVING count(*) >= 2) d ON d.term = t.term GROUP BY t.term""",
-                            tf=f"""SELECT doc_id, term, count(*) AS tf FROM (
-  SELECT doc_id, unnest(string_split({SQL_A}, ' ')) AS term FROM fx_corpus) w
-WHERE term NOT IN ({sql_words(lex.english_stop_words())}) GROUP BY doc_id, term"""),
+    "model_nb": _bayes_sql(SQL_C, """SELECT count(*) FILTER (WHERE label = 1 AND hit) AS tp, count(*) FILTER (WHERE label = 0 AND NOT hit) AS tn,
+count(*) FILTER (WHERE label = 0 AND hit) AS fp, count(*) FILTER (WHERE label = 1 AND NOT hit) AS fn,
+round(count(*) FILTER (WHERE (label = 1) = hit) / CAST(count(*) AS DOUBLE), 4) AS accuracy
+FROM (SELECT r.doc_id, r.label, (SELECT ln(count(*) FILTER (WHERE label = 1) + 1) - ln(count(*) FILTER (WHERE label = 0) + 1) FROM rows WHERE is_train)
+      + coalesce(s.x, 0) > 0 AS hit FROM rows r LEFT JOIN (
+  SELECT doc_id, sum(tf * idf * weight) AS x FROM tf JOIN terms USING (term) WHERE NOT is_train GROUP BY 1) s ON s.doc_id = r.doc_id
+  WHERE NOT r.is_train) t"""),
+    "model_terms": _bayes_sql(SQL_A, "SELECT term, round(idf, 6) AS idf, round(weight, 6) AS weight FROM terms"),
+    "model_nb_vectors": _facts_sql("naive_bayes"),
+    "model_lr": _facts_sql("logistic_regression"),
+    "model_rf": _facts_sql("random_forest"),
+    "model_svc": _facts_sql("linear_svc"),
+    "model_tuned_lr": _facts_sql("tuned logistic_regression"),
+    "model_tuned_svc": _facts_sql("tuned linear_svc"),
+    "model_weighted": _facts_sql("weighted"),
+    "model_sweep_features": _facts_sql("20k, minDF 2", "50k, minDF 5", "1+2+3-grams"),
+    "model_sweep_cleaning": _facts_sql("variant a", "variant b", "variant c"),
+    "model_grid": """SELECT 'elasticNetParam=' || e || ', regParam=' || r AS params, TRUE AS is_share
+FROM (SELECT unnest(['0.0', '0.5']) AS e) a, (SELECT unnest(['0.001', '0.01', '0.05', '0.1', '0.5']) AS r) b""",
+    "model_terms_lr": """SELECT class, CAST(15 AS BIGINT) AS terms, TRUE AS known, TRUE AS scored
+FROM (SELECT unnest(['positive', 'negative']) AS class) t""",
+    "lda_topics": "SELECT unnest(range(1, 6)) AS topic_id, CAST(8 AS BIGINT) AS terms, TRUE AS known, TRUE AS falling",
+    "lda_topic_weight": """SELECT t AS topic_id, 'Topic ' || CAST(t AS VARCHAR) AS label, CAST(8 AS BIGINT) AS terms, TRUE AS is_share
+FROM (SELECT unnest(range(1, 6)) AS t) x""",
+    "score_batch": f"SELECT id, guardrail AS guard, TRUE AS obeyed, TRUE AS holds FROM ({guardrail_sql()}) g",
+    "score_aspects": with_views("fx_reviews", "SELECT id, aspect, context, TRUE AS holds FROM ctx", clauses=CLAUSES, ctx=CONTEXTS),
+    "absa_model": with_views("fx_reviews", "SELECT aspect, count(*) AS mentions, TRUE AS holds FROM ctx GROUP BY aspect",
+                             clauses=CLAUSES, ctx=CONTEXTS),
+    "error_report": with_views("fx_corpus", "SELECT count(*) AS total, TRUE AS holds FROM rows WHERE NOT is_train", rows=PREPARED),
+    "error_report_examples": "SELECT TRUE AS complete",
 }

@@ -160,8 +160,9 @@ WHERE NOT EXISTS (SELECT 1 FROM fx_members m WHERE m.user_id = i.user_id AND m.o
     "admin_gate": _verdict_sql("'owner', 'admin'"),
     "tenant_override": access_sql("""SELECT i.id,
   CASE WHEN o.organization_type = 'platform' AND i.requested <> '' THEN i.requested ELSE m.organization_id END AS organization_id,
-  NOT (o.organization_type = 'platform' AND i.requested <> '') OR EXISTS (SELECT 1 FROM reach r
-    WHERE r.viewer_id = m.organization_id AND r.organization_id = i.requested) AS accepted
-FROM incoming i JOIN fx_members m ON m.user_id = i.user_id JOIN fx_organizations o ON o.id = m.organization_id""",
+  m.organization_id IS NOT NULL AND (NOT (o.organization_type = 'platform' AND i.requested <> '') OR EXISTS (SELECT 1 FROM reach r
+    WHERE r.viewer_id = m.organization_id AND r.organization_id = i.requested)) AS accepted
+FROM incoming i LEFT JOIN (SELECT user_id, min(organization_id) AS organization_id FROM fx_members GROUP BY 1) m ON m.user_id = i.user_id
+LEFT JOIN fx_organizations o ON o.id = m.organization_id""",
                                   incoming=INCOMING),
 }

@@ -8,14 +8,13 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.sources import readers
-
-# Review texts; the driver's own prose has no apostrophes and names no product aspect.
+# First clauses of the review texts; the given prose has no apostrophes and names no product aspect.
+# ``content_of`` varies them by the row's own values, so that texts grow in number with the table.
 SENTENCES = [
-    "The battery life is terrible but the build quality is excellent.",
+    "The charger is awful, although the build quality is excellent.",
     "I don’t recommend it, total waste of money.",
     "Great value for the price, works perfectly!",
     "It stopped working after a week; customer service never responded.",
@@ -44,10 +43,6 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def text_table(self, name: str) -> DataFrame:
-        """A table whose rows take much computing each."""
-        return readers.spread(self.table(name))
-
     def _count(self, name: str):
         # Uncorrelated scalar subquery over the parquet row counts.
         return self.table(name).agg(F.count(F.lit(1))).scalar()
@@ -120,11 +115,6 @@ class Views:
     def reviews(self) -> DataFrame:
         return review_columns(self.table("lineitem"), self._count("supplier"))
 
-    @cached_property
-    def review_texts(self) -> DataFrame:
-        """The same reviews, dealt out for text work."""
-        return review_columns(self.text_table("lineitem"), self._count("supplier"))
-
     @cached_property
     def analyses(self) -> DataFrame:
         part = F.col("o_orderkey") % self._count("part")
@@ -153,7 +143,7 @@ class Views:
 
     @cached_property
     def documents(self) -> DataFrame:
-        return self.text_table("documents").select(
+        return self.table("documents").select(
             "doc_id", F.col("source").alias("title"), F.col("text").alias("review"), "lang"
         )
 
@@ -190,6 +180,17 @@ class Views:
         )
 
 
+# Texts without letters of the Latin alphabet, and without any.
+FOREIGN, BLANK = "Очень хорошо, спасибо.", "   "
+
+
+def content_of(sentence: Column) -> Column:
+    """Review text: a sentence with the lot of the row; some are in capitals, some in another alphabet, some blank."""
+    kind = F.col("l_orderkey") % 50
+    lot = F.concat(sentence, F.lit(" Lot "), _text("l_partkey"), F.lit(", line "), _text("l_linenumber"), F.lit("."))
+    return F.when(kind == 7, FOREIGN).when(kind == 8, BLANK).when(kind == 9, F.upper(lot)).otherwise(lot)
+
+
 def review_columns(lineitem: DataFrame, suppliers, *extra: str) -> DataFrame:
     """Review rows from order lines, with further columns as they are; works on a table and on a stream."""
     pick = (F.col("l_orderkey") + F.col("l_linenumber") + F.col("l_partkey")) % len(SENTENCES)
@@ -199,7 +200,7 @@ def review_columns(lineitem: DataFrame, suppliers, *extra: str) -> DataFrame:
         F.concat(F.lit("S"), (F.col("l_partkey") % suppliers).cast("string")).alias("organization_id"),
         F.concat(F.lit("P"), _text("l_partkey")).alias("product_id"),
         F.when(F.col("l_returnflag") == "R", "Not happy").otherwise("As expected").alias("title"),
-        F.element_at(F.array(*[F.lit(s) for s in SENTENCES]), (pick + 1).cast("int")).alias("content"),
+        content_of(F.element_at(F.array(*[F.lit(s) for s in SENTENCES]), (pick + 1).cast("int"))).alias("content"),
         (F.lit(1) + F.col("l_quantity").cast("bigint") % 5).alias("rating"),
         F.when(F.col("l_returnflag") == "R", "NEGATIVE").otherwise("POSITIVE").alias("sentiment"),
         F.round(F.lit(1) - F.col("l_discount"), 2).alias("sentiment_score"),
@@ -210,7 +211,9 @@ def review_columns(lineitem: DataFrame, suppliers, *extra: str) -> DataFrame:
 
 def _sentence_case() -> str:
     arms = " ".join("WHEN {} THEN '{}'".format(i, s.replace("'", "''")) for i, s in enumerate(SENTENCES))
-    return f"CASE (l_orderkey + l_linenumber + l_partkey) % {len(SENTENCES)} {arms} END"
+    pick = f"CASE (l_orderkey + l_linenumber + l_partkey) % {len(SENTENCES)} {arms} END"
+    lot = f"({pick}) || ' Lot ' || CAST(l_partkey AS VARCHAR) || ', line ' || CAST(l_linenumber AS VARCHAR) || '.'"
+    return f"CASE l_orderkey % 50 WHEN 7 THEN '{FOREIGN}' WHEN 8 THEN '{BLANK}' WHEN 9 THEN upper({lot}) ELSE {lot} END"
 
 
 SQL = {

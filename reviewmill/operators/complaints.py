@@ -22,7 +22,7 @@ def with_tokens(df: DataFrame, text: str, stop_words: list[str] | None = None, o
     return df.withColumn(out, tx.content_tokens(clean, words))
 
 
-def _long_enough(phrases: Column, limit: int) -> Column:
+def long_enough(phrases: Column, limit: int) -> Column:
     return F.filter(phrases, lambda p: F.length(p) > limit)
 
 
@@ -35,7 +35,7 @@ def phrase_counts(df: DataFrame, tokens: str = "tokens", sizes: tuple[int, ...]
     combine before the shuffle. With ``only_signals`` other phrases never leave
     the map side.
     """
-    per_size = [_long_enough(tx.ngrams(tokens, n), MIN_PHRASE_LENGTH.get(n, 0)) for n in sizes]
+    per_size = [long_enough(tx.ngrams(tokens, n), MIN_PHRASE_LENGTH.get(n, 0)) for n in sizes]
     phrases = df.select(F.concat(*per_size).alias("_phrases"))
     marked = F.concat(
         F.transform("_phrases", lambda p: F.struct(p.alias("phrase"), F.lit(1).alias("n"), F.lit(0).alias("r"))),
@@ -111,12 +111,12 @@ def _pattern_rows(patterns: list[tuple[str, str]], kind: Column | None) -> list[
     return rows
 
 
-def matched_patterns(content: Column | str, known: list[tuple[str, str, str]] = (), limit: int = 5,
+def matched_patterns(content: Column | str, known: list[tuple[str, str, str]] = (), limit: int | None = None,
                      patterns: list[tuple[str, str]] = lex.COMPLAINT_PATTERNS) -> Column:
     """Complaints found in one text: known phrases first, then the built-in ones.
 
-    ``known`` holds (phrase, type, aspect). A phrase is reported once; at most
-    ``limit`` are kept, in list order, as the report defines. The list is
+    ``known`` holds (phrase, type, aspect). A phrase is reported once, in list order. ``limit`` is for
+    showing a single review, where five are displayed; counts take all. The list is
     short by contract; use ``match_phrases`` for a table of phrases.
     """
     lowered = F.lower(tx.as_column(content))
@@ -128,7 +128,8 @@ def matched_patterns(content: Column | str, known: list[tuple[str, str, str]] =
                                         F.lit(aspect).alias("aspect")), phrase))
     candidates += _pattern_rows([p for p in patterns if p[0] not in seen], None)
     hits = F.array(*[F.when(F.contains(lowered, F.lit(phrase)), row) for row, phrase in candidates])
-    return F.slice(F.array_compact(hits), 1, limit)
+    found = F.array_compact(hits)
+    return F.slice(found, 1, limit) if limit else found
 
 
 def complaint_matches(reviews: DataFrame, content: str = "content", keep: list[str] = ("id",),
@@ -163,8 +164,10 @@ def match_phrases(reviews: DataFrame, phrases: DataFrame, content: str = "conten
     text is paired with a phrase it shares no key with, and the phrase table may be
     of any size: Spark broadcasts it only below its own size threshold.
 
-    ``phrases`` is read twice, so pass a stored table. Phrases need at least one
-    blank; single words belong in ``matched_patterns``.
+    A phrase of one word lies inside a word of the text. The distinct words of all texts meet those phrases over runs
+    of up to three letters, and the texts then fetch the phrases of their words.
+
+    ``phrases`` is read several times, so pass a stored table.
     """
     dictionary = phrase_anchors(phrases, phrase)
     # At most 16 pairs of lengths; mined phrases have words of three or more letters, hence one.
@@ -181,4 +184,23 @@ def match_phrases(reviews: DataFrame, phrases: DataFrame, content: str = "conten
     keyed = cut.select(key, F.explode(F.array_distinct(F.flatten(keys))).alias("_anchor"))
     candidates = keyed.join(dictionary.drop("_a", "_b"), "_anchor").drop("_anchor").distinct()
     texts = reviews.select(F.col(key), body.alias("_body"))
-    return candidates.join(texts, key).filter(F.contains(F.col("_body"), F.col(phrase))).drop("_body")
+    found = candidates.join(texts, key).filter(F.contains(F.col("_body"), F.col(phrase))).drop("_body")
+    return found.unionByName(_match_words(cut, phrases, key, phrase)).distinct()
+
+
+def _runs(word: str, n: int) -> Column:
+    """All runs of ``n`` letters of a word; a shorter word is its own run."""
+    places = F.sequence(F.lit(1), F.greatest(F.length(word) - (n - 1), F.lit(1)))
+    return F.transform(places, lambda at: F.substring(word, at, F.lit(n)))
+
+
+def _match_words(cut: DataFrame, phrases: DataFrame, key: str, phrase: str) -> DataFrame:
+    """Texts, cut into ``_words``, and the phrases without a blank that lie inside one of their words."""
+    single = phrases.filter(~F.contains(F.col(phrase), F.lit(" ")) & (F.length(phrase) > 0)).select(phrase).distinct()
+    single = single.withColumn("_run", F.left(F.col(phrase), F.lit(ANCHOR)))
+    lengths = sorted(r[0] for r in single.select(F.length("_run")).distinct().collect())  # at most 3
+    words = cut.select(key, F.explode(F.array_distinct("_words")).alias("_word"))
+    runs = F.flatten(F.array(*[_runs("_word", n) for n in lengths or [ANCHOR]]))
+    known = words.select("_word").distinct().select("_word", F.explode(F.array_distinct(runs)).alias("_run"))
+    inside = known.join(single, "_run").filter(F.contains(F.col("_word"), F.col(phrase))).select("_word", phrase).distinct()
+    return words.join(inside, "_word").select(key, phrase)

@@ -50,16 +50,16 @@ def _score_groups(preds: DataFrame, score: str) -> DataFrame:
     )
 
 
-def cumulative_counts(preds: DataFrame, score: str = "score", slices: int = 256) -> DataFrame:
+def cumulative_counts(preds: DataFrame, score: str = "score", slices: int | None = None) -> DataFrame:
     """Per distinct score, class counts at this score and strictly above it.
 
     A running sum over all scores would put them in one task. Here the score
-    range is cut at approximate quantiles of the distinct scores; a window over
-    at most ``slices`` slice totals gives each slice its offset, and the running sums
+    range is cut at approximate quantiles of the distinct scores, into as many slices as their
+    number asks for; a window over the slice totals gives each slice its offset, and the running sums
     inside slices run in parallel. Sums are exact wherever the cuts fall.
     """
     groups = _score_groups(preds, score)
-    sliced = groups.withColumn("slice", ranking.range_slice(groups, "score", slices))
+    sliced = groups.withColumn("slice", ranking.range_slice(groups, "score", slices or ranking.slices_of(groups)))
     totals = sliced.groupBy("slice").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.count(F.lit(1)).alias("g"))
     before = Window.orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("slice", *[

@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, NGram, StopWordsRemover, Tokenizer, \
-    VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.feature import IDF, HashingTF, NGram, StopWordsRemover, Tokenizer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,14 +11,16 @@ from reviewmill.functions import lexicon as lex
 from reviewmill.functions import text as tx
 
 NAMES = {1: "uni", 2: "bi", 3: "tri"}
+#: Length of the feature vector of each n-gram size. Terms are hashed to it, so none is dropped and no vocabulary is gathered.
+DIMENSIONS = 1 << 16
 
 
-def tfidf_stages(ngrams: tuple[int, ...] = (1, 2), vocab: int | dict[int, int] = 20000, min_df: float = 2.0,
+def tfidf_stages(ngrams: tuple[int, ...] = (1, 2), dims: int | dict[int, int] = DIMENSIONS, min_df: float = 2.0,
                  stop_words: list[str] | None = None, input_col: str = "clean_text") -> list:
     """Unfitted stages from cleaned text to a ``features`` vector (M1-M3).
 
-    ``stop_words=None`` takes Spark's list; ``lexicon.sentiment_stop_words()`` keeps negations
-    (M4). The vocabulary bounds what a fit brings to the driver.
+    Terms that share a place of the vector share its weight. Places that fewer than ``min_df`` documents fill weigh nothing.
+    ``stop_words=None`` takes Spark's list; ``lexicon.sentiment_stop_words()`` keeps negations (M4).
     """
     remover = StopWordsRemover(inputCol="tokens", outputCol="filtered_tokens")
     if stop_words is not None:
@@ -33,11 +32,11 @@ def tfidf_stages(ngrams: tuple[int, ...] = (1, 2), vocab: int | dict[int, int] =
         if n > 1:
             source = f"{name}grams"
             stages.append(NGram(n=n, inputCol="filtered_tokens", outputCol=source))
-        size = vocab[n] if isinstance(vocab, dict) else vocab
+        size = dims[n] if isinstance(dims, dict) else dims
         out = "features" if len(ngrams) == 1 else f"{name}_features"
         stages += [
-            CountVectorizer(inputCol=source, outputCol=f"{name}_counts", vocabSize=size, minDF=min_df),
-            IDF(inputCol=f"{name}_counts", outputCol=out),
+            HashingTF(inputCol=source, outputCol=f"{name}_counts", numFeatures=size),
+            IDF(inputCol=f"{name}_counts", outputCol=out, minDocFreq=int(min_df)),
         ]
         outputs.append(out)
     if len(ngrams) > 1:
@@ -45,21 +44,36 @@ def tfidf_stages(ngrams: tuple[int, ...] = (1, 2), vocab: int | dict[int, int] =
     return stages
 
 
-def vocabulary(model: PipelineModel) -> list[str]:
-    """Terms in feature order, over all n-gram sizes."""
-    return [term for stage in model.stages if isinstance(stage, CountVectorizerModel) for term in stage.vocabulary]
+def hashers(model: PipelineModel) -> list[HashingTF]:
+    return [stage for stage in model.stages if isinstance(stage, HashingTF)]
 
 
 def training_vectors(model: PipelineModel, rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Feature vectors without the name of every term in the column's metadata.
-
-    The names would travel with each task of each optimizer step, which for tens of
-    thousands of terms costs more than the step itself. The size is all a classifier needs.
-    """
-    size = {"ml_attr": {"num_attrs": len(vocabulary(model))}}
+    """Feature vectors whose metadata is their length alone, which is all a classifier needs."""
+    size = {"ml_attr": {"num_attrs": sum(stage.getNumFeatures() for stage in hashers(model))}}
     return model.transform(rows).select(*columns, F.col("features").alias("features", metadata=size))
 
 
+def hashed_place(terms: DataFrame, column: str, dims: int, out: str = "index") -> DataFrame:
+    """Append the place of each term in a hashed vector; the vector of one term prints as (size,[place],[1.0])."""
+    hashed = HashingTF(inputCol="_one", outputCol="_vector", numFeatures=dims).transform(terms.withColumn("_one", F.array(column)))
+    place = F.regexp_extract(F.col("_vector").cast("string"), r"\[([0-9]+)\]", 1).cast("int")
+    return hashed.withColumn(out, place).drop("_one", "_vector")
+
+
+def term_index(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """(term, documents, index): every term of ``rows`` with its place in the model's feature vector."""
+    cut = PipelineModel(stages=[s for s in model.stages if isinstance(s, (Tokenizer, StopWordsRemover, NGram))]).transform(rows)
+    offset, out = 0, None
+    for stage in hashers(model):
+        terms = cut.select(F.explode(F.array_distinct(stage.getInputCol())).alias("term")).groupBy("term")
+        placed = hashed_place(terms.agg(F.count(F.lit(1)).alias("documents")), "term", stage.getNumFeatures())
+        placed = placed.withColumn("index", F.col("index") + offset)
+        offset += stage.getNumFeatures()
+        out = placed if out is None else out.unionByName(placed)
+    return out
+
+
 HOT_TERMS = 10000
 
 
@@ -99,23 +113,16 @@ def tfidf_table(df: DataFrame, key: str, text: str = "clean_text", n: int = 1, m
     )
 
 
-def feature_summary(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Document count and mean weight of every vocabulary term, in one pass over the vectors.
+def feature_table(df: DataFrame, key: str, text: str = "clean_text", ngrams: tuple[int, ...] = (1,), min_df: int = 2,
+                  stop_words: list[str] | None = None) -> DataFrame:
+    """Document count and mean TF-IDF weight of every term (M1-M3), for vocabularies of any size.
 
-    The summary is one vector pair of vocabulary size.
+    The inverse document frequency is one number per term, so counts per term are all that is shuffled.
     """
-    spark = df.sparkSession
-    counts = [s for s in model.stages if isinstance(s, CountVectorizerModel)]
-    gathered = model
-    if len(counts) > 1:
-        raw = VectorAssembler(inputCols=[s.getOutputCol() for s in counts], outputCol="_counts")
-        gathered = PipelineModel(stages=[*model.stages, raw])
-    column = "_counts" if len(counts) > 1 else counts[0].getOutputCol()
-    vectors = gathered.transform(df)
-    summary = vectors.agg(
-        Summarizer.numNonZeros(F.col(column)).alias("_n"), Summarizer.mean(F.col("features")).alias("_mean"))
-    cells = summary.select(F.posexplode(F.arrays_zip(
-        vector_to_array("_n").alias("n"), vector_to_array("_mean").alias("mean"))).alias("index", "cell"))
-    terms = spark.createDataFrame(list(enumerate(vocabulary(model))), "index int, term string")
-    return cells.join(terms, "index").select(
-        "term", F.col("cell.n").cast("bigint").alias("documents"), F.round("cell.mean", 6).alias("mean_tfidf"))
+    counts = term_frequencies(df, key, text, ngrams[0], stop_words)
+    for n in ngrams[1:]:
+        counts = counts.unionByName(term_frequencies(df, key, text, n, stop_words))
+    documents = df.agg(F.count(F.lit(1))).scalar()
+    terms = counts.groupBy("term").agg(F.count(F.lit(1)).alias("documents"), F.sum("tf").alias("_tf")).filter(F.col("documents") >= min_df)
+    weight = F.col("_tf") * F.log((documents + 1) / (F.col("documents") + 1)) / documents
+    return terms.select("term", "documents", F.round(weight, 6).alias("mean_tfidf"))

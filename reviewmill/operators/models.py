@@ -9,10 +9,10 @@ from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticReg
     NaiveBayesModel, RandomForestClassifier
 from pyspark.ml.clustering import LDA
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill import session
@@ -45,16 +45,17 @@ def fit(train: DataFrame, classifier: Estimator, stored: bool = False, **feature
 
     Two tables go to the shared folder: the cleaned rows, which every feature stage
     reads, and the vectors, which an optimizer reads up to hundreds of times. Cleaning and
-    deduplication run once, and an executor lost half-way costs a re-read of its part.
+    deduplication run once, and an executor lost half-way costs a re-read of its part. Both are deleted at the end.
     ``stored=True`` says that ``train`` reads a stored table already.
     """
     text = feature_options.get("input_col", "clean_text")
     columns = [c for c in ("label", "class_weight") if c in train.columns]
     rows = train.select(*columns, text)
-    rows = rows if stored else session.publish(rows, "train-rows")
-    fitted = Pipeline(stages=features.tfidf_stages(**feature_options)).fit(rows)
-    vectors = session.publish(features.training_vectors(fitted, rows, columns), "train-vectors")
-    return PipelineModel(stages=[*fitted.stages, classifier.fit(vectors)])
+    with session.scratch_scope(train.sparkSession):
+        rows = rows if stored else session.publish(rows, "train-rows")
+        fitted = Pipeline(stages=features.tfidf_stages(**feature_options)).fit(rows)
+        vectors = session.publish(features.training_vectors(fitted, rows, columns), "train-vectors")
+        return PipelineModel(stages=[*fitted.stages, classifier.fit(vectors)])
 
 
 def positive_score(columns: list[str]) -> Column:
@@ -101,16 +102,6 @@ def timed_fit(train: DataFrame, classifier: Estimator, stored: bool = False,
     return model, time.time() - started
 
 
-def scaling(rows: DataFrame, classifier: Estimator, sizes: list[int | None], **feature_options) -> DataFrame:
-    """Training time on the first rows of each size; ``None`` takes all."""
-    measured = []
-    for size in sizes:
-        part = session.publish(rows.limit(size) if size else rows, "scaling")
-        _, took = timed_fit(part, classifier, stored=True, **feature_options)
-        measured.append((part.count(), round(took, 2)))
-    return rows.sparkSession.createDataFrame(measured, "rows bigint, train_time double")
-
-
 # --- tuning ---------------------------------------------------------------------------
 
 def lr_grid(lr: LogisticRegression) -> list[dict]:
@@ -127,7 +118,8 @@ def tune(train: DataFrame, key: str, classifier: Estimator, grid: list[dict], pa
          **feature_options) -> tuple[PipelineModel, DataFrame]:
     """Grid search on an 80/20 split of the training rows, then a refit on all of them (M9).
 
-    Features are fitted once, on the 80 % only, so no grid point sees validation rows
+    The split is drawn with another seed than the one that set the test rows apart; with the same one it would keep
+    all training rows. Features are fitted once, on the 80 % only, so no grid point sees validation rows
     through the IDF weights and none pays for the features again. The
     transformed rows are stored, and grid points train on them in parallel.
     """
@@ -137,7 +129,7 @@ def tune(train: DataFrame, key: str, classifier: Estimator, grid: list[dict], pa
     text = feature_options.get("input_col", "clean_text")
     rows = train.select(key, "label", text)
     rows = rows if stored else session.publish(rows, "tune-rows")
-    inner, held_out = ranking.split_by_key(rows, key, seed=seed)
+    inner, held_out = ranking.split_by_key(rows, key, seed=seed + 1)
     fitted = Pipeline(stages=features.tfidf_stages(**feature_options)).fit(inner)
     inner = session.publish(features.training_vectors(fitted, inner, ["label"]), "tune-train")
     held_out = session.publish(features.training_vectors(fitted, held_out, ["label"]), "tune-valid")
@@ -184,13 +176,12 @@ def sweep(train: DataFrame, test: DataFrame, experiments: list[tuple[str, Estima
 
 # --- inspection -------------------------------------------------------------------------
 
-def term_weights(model: PipelineModel) -> DataFrame:
-    """Every vocabulary term with its weight towards the positive class.
+def term_weights(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """Every term of ``rows`` with its weight towards the positive class.
 
     Logistic regression gives coefficients, naive Bayes the difference of log
-    probabilities. The vocabulary is bounded by the feature stages.
+    probabilities. One number per place of the feature vector comes to the driver, as many as the model itself holds.
     """
-    spark = SparkSession.getActiveSession()
     last = model.stages[-1]
     if isinstance(last, NaiveBayesModel):
         theta = last.theta.toArray()
@@ -199,48 +190,82 @@ def term_weights(model: PipelineModel) -> DataFrame:
         weights = last.coefficients.toArray()
     else:
         raise TypeError(f"no term weights for {type(last).__name__}")
-    pairs = [(term, float(w)) for term, w in zip(features.vocabulary(model), weights)]
-    return spark.createDataFrame(pairs, "term string, weight double")
+    places = weights.nonzero()[0]
+    table = rows.sparkSession.createDataFrame([(int(n), float(weights[n])) for n in places], "index int, weight double")
+    return features.term_index(model, rows).join(table, "index", "left").select("term", F.coalesce("weight", F.lit(0.0)).alias("weight"))
 
 
-def top_terms(model: PipelineModel, k: int = 15) -> DataFrame:
+def top_terms(model: PipelineModel, rows: DataFrame, k: int = 15) -> DataFrame:
     """The ``k`` strongest terms of each class with absolute scores."""
-    weights = term_weights(model)
+    weights = term_weights(model, rows)
     score = F.round(F.abs("weight"), 4).alias("score")
     best = weights.orderBy(F.desc("weight"), "term").limit(k).select(F.lit("positive").alias("class"), "term", score)
     worst = weights.orderBy("weight", "term").limit(k).select(F.lit("negative").alias("class"), "term", score)
     return best.unionByName(worst)
 
 
+# --- naive Bayes as aggregates -----------------------------------------------------------
+
+def bayes_terms(train: DataFrame, key: str, text: str = "clean_text", n: int = 1, min_df: int = 2,
+                stop_words: list[str] | None = None) -> DataFrame:
+    """(term, idf, weight): multinomial naive Bayes on TF-IDF in closed form, for vocabularies of any size.
+
+    ``weight`` is the difference of the smoothed log probabilities of the classes. Sums per term and class are all
+    that is shuffled; terms in fewer than ``min_df`` documents are left out, as in the vector form.
+    """
+    labels = train.select(key, F.col("label").alias("_label"))
+    counts = features.term_frequencies(train, key, text, n, stop_words).join(labels, key)
+    documents = train.agg(F.count(F.lit(1))).scalar()
+    sums = counts.groupBy("term").agg(
+        F.count(F.lit(1)).alias("_df"), F.sum(F.when(F.col("_label") == 1, F.col("tf")).otherwise(0)).alias("_pos"),
+        F.sum(F.when(F.col("_label") == 0, F.col("tf")).otherwise(0)).alias("_neg")).filter(F.col("_df") >= min_df)
+    idf = F.log((documents + 1) / (F.col("_df") + 1))
+    weighed = session.publish(sums.select("term", idf.alias("idf"), (F.col("_pos") * idf).alias("_pos"), (F.col("_neg") * idf).alias("_neg")), "bayes")
+    total = weighed.agg(F.struct(F.count(F.lit(1)).alias("v"), F.sum("_pos").alias("p"), F.sum("_neg").alias("n"))).scalar()
+    weight = (F.log(F.col("_pos") + 1) - F.log(total["p"] + total["v"])) - (F.log(F.col("_neg") + 1) - F.log(total["n"] + total["v"]))
+    return weighed.select("term", "idf", weight.alias("weight"))
+
+
+def bayes_predict(rows: DataFrame, key: str, terms: DataFrame, train: DataFrame, text: str = "clean_text", n: int = 1,
+                  stop_words: list[str] | None = None) -> DataFrame:
+    """(key, label, score, prediction): log odds of the positive class of every row; one without known terms gets the prior."""
+    prior = train.agg(F.log(F.count_if(F.col("label") == 1) + 1.0) - F.log(F.count_if(F.col("label") == 0) + 1.0)).scalar()
+    found = features.term_frequencies(rows, key, text, n, stop_words).join(terms, "term")
+    sums = found.groupBy(key).agg(F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("_sum"))
+    scored = rows.select(key, "label").join(sums, key, "left").withColumn("score", prior + F.coalesce("_sum", F.lit(0.0)))
+    return scored.select(key, "label", "score", F.when(F.col("score") > 0, 1.0).otherwise(0.0).alias("prediction"))
+
+
 # --- topics ---------------------------------------------------------------------------------
 
 TOPIC_TERMS = "topic_id bigint, position bigint, term string, weight double"
 
 
-def lda_topics(texts: DataFrame, text: str, k: int = 5, iterations: int = 15, vocab: int = 3000, min_df: float = 3.0,
+def lda_topics(texts: DataFrame, text: str, k: int = 5, iterations: int = 15, dims: int = 1 << 14,
                terms: int = 8, seed: int = SEED, stop_words: list[str] | None = None) -> DataFrame:
     """Topic terms and weights; no rows for an empty input.
 
-    Topics carry numbers only: a label chosen by topic index would say nothing
-    about its content (D12).
+    Words are hashed to ``dims`` places, so none is left out; a place goes by the word found in most documents. Topics
+    carry numbers only: a label chosen by topic index would say nothing about its content (D12).
     """
     spark = texts.sparkSession
     tokens = complaints.with_tokens(texts, text, stop_words, out="tokens").select("tokens")
     tokens = session.publish(tokens, "topic-tokens")
     if tokens.isEmpty():
         return spark.createDataFrame([], TOPIC_TERMS)
-    counter = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=vocab, minDF=min_df).fit(tokens)
-    counts = session.publish(counter.transform(tokens).select("features"), "topic-counts")
-    model = LDA(k=k, maxIter=iterations, seed=seed, featuresCol="features").fit(counts)
-    words = spark.createDataFrame(list(enumerate(counter.vocabulary)), "index int, term string")
+    counts = HashingTF(inputCol="tokens", outputCol="features", numFeatures=dims).transform(tokens).select("features")
+    model = LDA(k=k, maxIter=iterations, seed=seed, featuresCol="features").fit(session.publish(counts, "topic-counts"))
     described = model.describeTopics(maxTermsPerTopic=terms)
     flat = described.select(
         (F.col("topic") + 1).cast("bigint").alias("topic_id"),
         F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("position", "_t"),
     )
-    return flat.join(words, F.col("_t.termIndices") == F.col("index")).select(
+    words = tokens.select(F.explode(F.array_distinct("tokens")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("_n"))
+    words = features.hashed_place(words, "term", dims).join(F.broadcast(flat.select(F.col("_t.termIndices").alias("index")).distinct()), "index")
+    names = words.groupBy("index").agg(F.max_by("term", F.struct("_n", "term")).alias("term"))  # at most k * terms places
+    return flat.join(names, F.col("_t.termIndices") == F.col("index")).select(
         "topic_id", (F.col("position") + 1).cast("bigint").alias("position"), "term",
-        F.round("_t.termWeights", 4).alias("weight"),
+        F.round("_t.termWeights", 6).alias("weight"),
     )
 
 

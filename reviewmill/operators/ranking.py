@@ -59,15 +59,19 @@ def seeded_sample(df: DataFrame, key: str, k: int, seed: int = 42) -> DataFrame:
     return df.orderBy(seeded_order(key, seed), F.col(key)).limit(k)
 
 
-def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42, cap: int | None = None) -> DataFrame:
-    """Independent row sample with an optional cap."""
-    out = df.sample(withReplacement=False, fraction=fraction, seed=seed)
-    return out.limit(cap) if cap is not None else out
+def bernoulli_sample(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
+    """Sample of about ``fraction`` of the rows by a digest of their key (T9): the same rows however the table is stored."""
+    return df.filter(digest_slot(key, 10_000, seed) < round(fraction * 10_000))
+
+
+def digest_slot(key: str, slots: int, seed: int = 42) -> Column:
+    """0..slots - 1 from a digest of the key: the same row gets the same slot in every run."""
+    return F.pmod(F.conv(F.substring(seeded_order(key, seed), 1, 8), 16, 10).cast("bigint"), F.lit(slots))
 
 
 def split_slot(key: str, seed: int = 42) -> Column:
-    """0..99 from a digest of the key: the same row gets the same slot in every run."""
-    return F.pmod(F.conv(F.substring(seeded_order(key, seed), 1, 8), 16, 10).cast("bigint"), F.lit(100))
+    """0..99 from a digest of the key."""
+    return digest_slot(key, 100, seed)
 
 
 def split_by_key(df: DataFrame, key: str, train_percent: int = 80, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -81,13 +85,23 @@ def split_random(df: DataFrame, train_fraction: float = 0.8, seed: int = 42) ->
     return df.randomSplit([train_fraction, 1 - train_fraction], seed=seed)
 
 
-def range_slice(df: DataFrame, column: str, slices: int = 256) -> Column:
+SLICE_ROWS = 100_000
+
+
+def slices_of(df: DataFrame) -> int:
+    """Number of slices that leaves about SLICE_ROWS rows in each; counts the rows."""
+    return max(1, -(-df.count() // SLICE_ROWS))
+
+
+def range_slice(df: DataFrame, column: str, slices: int) -> Column:
     """Number of the value range a row falls in, with ranges of about equal size.
 
     Range bounds are approximate quantiles, one array of at most ``slices`` - 1 values
     that enters as a scalar subquery. Used to cut an ordered running total into
     tasks; results do not depend on where the bounds fall.
     """
+    if slices == 1:
+        return F.lit(1)
     marks = F.array(*[F.lit(i / slices) for i in range(1, slices)])
     cuts = df.agg(F.percentile_approx(column, marks, F.lit(10 * slices))).scalar()
     # The bounds are sorted, so adding one value and sorting again is a single merge pass.

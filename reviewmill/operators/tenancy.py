@@ -109,11 +109,18 @@ def visible_profiles(user_id, members: DataFrame, edges: DataFrame) -> DataFrame
 
 
 def visible_profile_counts(members: DataFrame, edges: DataFrame) -> DataFrame:
-    """Distinct profiles the members of each organization may see (J5 for all at once)."""
-    return (
-        edges.join(members.select("organization_id", "user_id"), "organization_id")
-        .groupBy("viewer_id").agg(F.count_distinct("user_id").alias("profiles"))
-    )
+    """Distinct profiles the members of each organization may see (J5 for all at once).
+
+    Users of one organization are counted per organization and the counts added along the edges. Only users of several
+    organizations, who could be counted twice, are listed with their viewers.
+    """
+    pairs = members.select("organization_id", "user_id").distinct()
+    several = pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("user_id")
+    single = pairs.join(several, "user_id", "left_anti").groupBy("organization_id").agg(F.count(F.lit(1)).alias("_n"))
+    added = edges.join(single, "organization_id").groupBy("viewer_id").agg(F.sum("_n").alias("_n"))
+    listed = edges.join(pairs.join(several, "user_id", "left_semi"), "organization_id")
+    listed = listed.groupBy("viewer_id").agg(F.count_distinct("user_id").alias("_n"))
+    return added.unionByName(listed).groupBy("viewer_id").agg(F.sum("_n").alias("profiles"))
 
 
 def visible_links(links: DataFrame, own: DataFrame) -> DataFrame:
@@ -157,21 +164,23 @@ def assign_tenant(payload: DataFrame, members: DataFrame, organizations: DataFra
 
     Sellers always write to their own organization, whatever the payload asks for.
     Platform users may name a seller they manage; naming another one rejects the row.
-    Without a request the row belongs to the user's own organization.
+    Without a request the row belongs to the user's own organization, the first of their memberships. Every row comes
+    back once; a sender without membership is refused, with no organization.
     """
-    home = memberships(members, organizations).select(
+    first = primary_membership(members.select("user_id", "organization_id"), ["organization_id"])
+    home = memberships(first, organizations).select(
         "user_id", F.col("organization_id").alias("_home"), "organization_type"
     )
     edges = reach(organizations, links, distinct=False).select(
         F.col("viewer_id").alias("_home"), F.col("organization_id").alias("_key"), F.lit(True).alias("_ok"))
-    asked = (F.col("organization_type") == "platform") & (F.coalesce(F.col("requested"), F.lit("")) != "")
+    asked = F.coalesce(F.col("organization_type") == "platform", F.lit(False)) & (F.coalesce(F.col("requested"), F.lit("")) != "")
     # Most rows ask for nothing. A key that matches no organization, made from the row, keeps
     # them from meeting in one partition.
     spread = F.concat(F.lit("?"), F.xxhash64(*payload.columns).cast("string"))
-    rows = payload.join(home, "user_id").withColumn("_asked", asked)
+    rows = payload.join(home, "user_id", "left").withColumn("_asked", asked)
     rows = rows.withColumn("_key", F.when(F.col("_asked"), F.col("requested")).otherwise(spread))
     return rows.join(edges, ["_home", "_key"], "left").select(
         *payload.columns,
         F.when(F.col("_asked"), F.col("requested")).otherwise(F.col("_home")).alias("organization_id"),
-        (~F.col("_asked") | F.coalesce(F.col("_ok"), F.lit(False))).alias("accepted"),
+        (F.col("_home").isNotNull() & (~F.col("_asked") | F.coalesce(F.col("_ok"), F.lit(False)))).alias("accepted"),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewmill.functions import lexicon as lex
 from reviewmill.functions import rules
@@ -59,6 +60,22 @@ def product_issues(reviews: DataFrame, text: str = "content", high: float = 10.0
     )
 
 
+def mined_phrases(reviews: DataFrame, text: str = "content") -> DataFrame:
+    """Two- and three-word phrases with a complaint word, mined per product from its negative reviews (M17 per product).
+
+    ``frequency`` counts occurrences, ``percentage`` their number per negative review of the product.
+    """
+    negative = reviews.filter(F.col("sentiment") == "NEGATIVE")
+    tokens = complaints.with_tokens(negative.select("organization_id", "product_id", "id", text), text, out="_tokens")
+    grams = F.concat(*[complaints.long_enough(tx.ngrams("_tokens", n), complaints.MIN_PHRASE_LENGTH[n]) for n in (2, 3)])
+    words = tokens.select("organization_id", "product_id", F.explode(grams).alias("phrase")).filter(rules.signals_complaint("phrase"))
+    counts = words.groupBy("organization_id", "product_id", "phrase").agg(F.count(F.lit(1)).alias("frequency"))
+    totals = negative.groupBy("product_id").agg(F.count(F.lit(1)).alias("_n"))
+    return counts.join(totals, "product_id").select(
+        "organization_id", "product_id", "phrase", rules.ngram_type("phrase").alias("n_gram_type"),
+        rules.phrase_aspect("phrase").alias("aspect"), "frequency", F.round(F.col("frequency") / F.col("_n") * 100, 2).alias("percentage"))
+
+
 # --- jobs --------------------------------------------------------------------------------
 
 def complaint_report(negatives: DataFrame, text: str, top: int = 25) -> dict[str, DataFrame]:
@@ -122,13 +139,18 @@ def classify_imports(records: DataFrame, model: PipelineModel | None = None, kee
     return scored.select(*keep, *others, "sentiment", (F.col("confidence") / 100).alias("sentiment_score"))
 
 
+def _with_dataset(df: DataFrame) -> T.StructType:
+    """Schema of a stored table: the data set is the name of its folder."""
+    return T.StructType([T.StructField(f.name, f.dataType) for f in df.drop("dataset_id").schema] + [T.StructField("dataset_id", T.StringType())])
+
+
 def import_and_analyse(raw: DataFrame, members: DataFrame, out: str, dataset_id: str,
                        model: PipelineModel | None = None) -> dict[str, DataFrame]:
     """Gate, clean, classify, store and analyse one data set of imported records (Q11).
 
     ``raw`` holds id, user_id, organization_id, product_id and the record fields. Every
     table is written to a folder of the data set, so importing it again replaces it. Summary,
-    aspects and issues are computed from the stored rows.
+    aspects, issues and mined phrases are computed from the stored rows; the analyses have the columns that the reports read.
     """
     spark = raw.sparkSession
     ids = ["id", "user_id", "organization_id", "product_id"]
@@ -138,18 +160,20 @@ def import_and_analyse(raw: DataFrame, members: DataFrame, out: str, dataset_id:
 
     def store(df: DataFrame, table: str) -> DataFrame:
         df.drop("dataset_id").write.mode("overwrite").parquet(path(table))
-        return spark.read.parquet(path(table))
+        return spark.read.option("basePath", f"{out.rstrip('/')}/{table}").schema(_with_dataset(df)).parquet(path(table))
 
     def analysis_id() -> F.Column:
-        return sinks.new_id("product_id", "organization_id")
+        return sinks.new_id(F.lit(dataset_id), "product_id", "organization_id")
 
     accepted, _ = tenancy.write_gate(raw, members)
     records = classify_imports(readers.import_records(accepted, ids), model, ids)
     stored = store(sinks.review_rows(records, ["id"]), "reviews")
-    summary = kpis.import_summary(stored, ("organization_id", "product_id")).withColumn("id", analysis_id())
+    summary = kpis.import_summary(stored, ("organization_id", "product_id")).withColumns(
+        {"id": analysis_id(), "status": F.lit("completed"), "created_at": F.current_timestamp()})
     return {
         "reviews": stored,
         "aspect_results": store(sinks.aspect_rows(product_aspects(stored), analysis_id()), "aspect_results"),
         "issue_results": store(sinks.issue_rows(product_issues(stored), analysis_id()), "issue_results"),
+        "mined_phrases": store(mined_phrases(stored), "mined_phrases"),
         "analyses": store(summary, "analyses"),
     }

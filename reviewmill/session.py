@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,7 +21,7 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
-_LOCAL_FOLDERS: dict[str, str] = {}
+_SCOPES: list[list[str]] = []
 
 
 def build_session(app_name: str = "reviewmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -38,23 +39,40 @@ def build_session(app_name: str = "reviewmill", master: str | None = None, **con
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster that
-    folder would exist on one machine and vanish with it.
+    A local session without the setting uses a folder of its own below the warehouse, which outlives no machine but its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="reviewmill-")
-    return _LOCAL_FOLDERS[application]
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse").rstrip("/")
+    return f"{warehouse}/scratch-{spark.sparkContext.applicationId}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at its end, every table and folder that was named below the shared folder inside.
+
+    For work whose result no longer reads them: a fitted model, a table written elsewhere.
+    """
+    named: list[str] = []
+    _SCOPES.append(named)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(named)
+        for path in named:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; never reused between calls."""
-    return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:

@@ -11,42 +11,22 @@ from reviewmill.functions import lexicon as lex
 
 
 def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType = schemas.LABELLED_CORPUS,
-                limit: int | None = None, partitions: int | None = None, **options) -> DataFrame:
+                **options) -> DataFrame:
     """Labelled corpus with an explicit schema, so columns can never change places."""
     reader = spark.read.format(fmt).options(**options)
     # Parquet carries its own types; text formats take the schema's.
     df = reader.load(path) if fmt == "parquet" else reader.schema(schema).load(path)
-    df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    if limit is not None:
-        df = df.limit(limit)
-    return df.repartition(partitions) if partitions else df
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan that has fewer splits than the session has cores.
+def read_upload(spark: SparkSession, path: str, separator: str | None = None, multi_line: bool = False) -> DataFrame:
+    """Delimited upload with a header row; ``.tsv`` means tabs (S3).
 
-    Text work is bound by the processor, and a table in a single small file would
-    run in one task. A large table has far more splits than cores and is returned as it is.
-    Filters and column pruning still reach the files.
+    Files are split among tasks. ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
-def bounded_sample(corpus: DataFrame, rows: int = 30000, label: float | None = None,
-                   text: str = "review") -> DataFrame:
-    """First rows of a corpus, optionally of one class with lower-cased text."""
-    if label is None:
-        return corpus.select(text).limit(rows)
-    head = corpus.limit(rows).filter(F.col("label") == label)
-    return head.select(text, F.lower(text).alias("clean_text"))
-
-
-def read_upload(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
-    """Delimited upload with a header row; ``.tsv`` means tabs (S3)."""
     sep = separator or ("\t" if path.rstrip("/").endswith(".tsv") else ",")
     return (
-        spark.read.option("header", True).option("sep", sep).option("multiLine", True)
+        spark.read.option("header", True).option("sep", sep).option("multiLine", multi_line)
         .option("quote", '"').option("escape", '"').csv(path)
     )
 

@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill import session
 from reviewmill.functions import lexicon as lex
 
-NUM_BUCKETS = 64
-
 
 # --- report sinks ----------------------------------------------------------------------
 
-def write_csv(df: DataFrame, path: str, rows: int | None = None) -> None:
-    """CSV with a header; ``rows`` writes a sample."""
-    (df.limit(rows) if rows else df).write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV with a header."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_section(df: DataFrame, root: str, section: str) -> None:
@@ -53,13 +52,18 @@ def load_model(path: str) -> PipelineModel:
 
 # --- rows with defaults -----------------------------------------------------------------------
 
-def new_id(*keys: str):
-    """Reproducible row id from its keys, so a retried task writes the same id."""
-    return F.sha2(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]), 256)
+def new_id(*keys):
+    """Reproducible row id from its keys, columns or their names, so a retried task writes the same id.
+
+    The keys together must be unique in the source. They are written as JSON with their nulls, so different keys
+    never read the same.
+    """
+    parts = [F.col(k) if isinstance(k, str) else k for k in keys]
+    return F.sha2(F.to_json(F.struct(*[part.cast("string").alias(f"k{n}") for n, part in enumerate(parts)]), {"ignoreNullFields": "false"}), 256)
 
 
 def review_rows(df: DataFrame, id_keys: list[str], now=None) -> DataFrame:
-    """Review rows ready to append: ids and defaults filled."""
+    """Review rows ready to append: ids and defaults filled (S13, P24). ``id_keys`` name a unique key of the source."""
     stamp = F.current_timestamp() if now is None else now
     have = set(df.columns)
 
@@ -122,8 +126,9 @@ def append(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
 
 
 def append_reviews(df: DataFrame, path: str) -> None:
-    """Append review rows by month of the review."""
-    append(df.withColumn("review_month", F.date_format("review_date", "yyyy-MM")), path, ["review_month"])
+    """Append review rows by month of the review (S13). Rows of a month meet, in several tasks if they are many, before they are written."""
+    months = df.withColumn("review_month", F.date_format("review_date", "yyyy-MM"))
+    append(months.hint("rebalance", "review_month"), path, ["review_month"])
 
 
 # --- upsert -------------------------------------------------------------------------------------
@@ -150,39 +155,52 @@ def merge_latest(current: DataFrame, updates: DataFrame, keys: list[str], versio
     ])
 
 
-def key_bucket(keys: list[str], buckets: int = NUM_BUCKETS):
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
+def _generation(spark: SparkSession, path: str) -> int:
+    """Newest complete generation of a versioned table; 0 before the first compaction."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return 0
+    numbers = [int(s.getPath().getName().partition("=")[2]) for s in files.listStatus(root) if s.getPath().getName().startswith("generation=")]
+    base = spark._jvm.org.apache.hadoop.fs.Path
+    complete = [n for n in numbers if files.exists(base(f"{path}/generation={n}/batch=0/_SUCCESS"))]
+    return max(complete, default=0)
 
-def upsert_table(updates: DataFrame, path: str, keys: list[str], version: str = "updated_at",
-                 created: str | None = "created_at", buckets: int = NUM_BUCKETS, files_per_bucket: int = 1) -> None:
-    """Merge rows into a Parquet table laid out by key bucket.
 
-    Choose ``buckets`` and ``files_per_bucket`` so that one file's rows fit a task; the
-    number of buckets is part of the layout and must not change afterwards.
+def upsert_table(updates: DataFrame, path: str, batch: int | None = None) -> int:
+    """Add a batch of row versions to a table (S15); returns its number.
 
-    Only the buckets that receive updates are read and replaced. The merged rows are
-    checkpointed before the first file is replaced, and merging the same rows again changes
-    nothing, so a failed run is repeated as it is. One writer at a time: plain Parquet
-    has no transactions.
+    Only the rows of the batch are written, into a folder of their own, so a batch costs what it holds and writing it
+    again replaces nothing but itself. Readers pick the last version of each key, ``compact_table`` folds them from time to
+    time. ``batch`` is the number of a stream's batch, above zero; without one the time in microseconds is taken. One writer at a time.
     """
     spark = updates.sparkSession
-    incoming = updates.withColumn("key_bucket", key_bucket(keys, buckets))
-    try:
-        stored = spark.read.schema(incoming.schema).parquet(path)
-    except Exception as missing:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        stored = incoming.limit(0)
-    # At most ``buckets`` numbers reach the driver; they become a partition filter.
-    touched = [row[0] for row in incoming.select("key_bucket").distinct().collect()]
-    current = stored.filter(F.col("key_bucket").isin(touched))
-    merged = session.cut_lineage(merge_latest(current, incoming, [*keys, "key_bucket"], version, created))
-    # Rows of a bucket meet in few tasks, which bounds the number of files.
-    slot = F.pmod(F.hash(*keys), F.lit(files_per_bucket))
-    (merged.repartition(F.col("key_bucket"), slot).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("key_bucket").parquet(path))
-
-
-def read_upserted(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).parquet(path).drop("key_bucket")
+    number = time.time_ns() // 1000 if batch is None else batch
+    updates.write.mode("overwrite").parquet(f"{path}/generation={_generation(spark, path)}/batch={number}")
+    return number
+
+
+def read_upserted(spark: SparkSession, path: str, keys: list[str], version: str = "updated_at", created: str | None = "created_at",
+                  tie: str | None = None) -> DataFrame:
+    """Last version of every key: the highest ``version``, of equal ones the later batch, of one batch the highest ``tie``."""
+    rows = spark.read.parquet(f"{path}/generation={_generation(spark, path)}")
+    rest = [c for c in rows.columns if c not in [*keys, "batch"]]
+    order = F.struct(F.col(version), F.col("batch"), *([F.col(tie)] if tie else []))
+    picked = [F.max_by(F.struct(*rest), order).alias("_row")]
+    if created:
+        picked.append(F.min(created).alias("_created"))
+    merged = rows.groupBy(*keys).agg(*picked)
+    return merged.select(*[
+        F.col(c) if c in keys else (F.col("_created").alias(c) if c == created else F.col(f"_row.{c}").alias(c))
+        for c in rows.columns if c != "batch"
+    ])
+
+
+def compact_table(spark: SparkSession, path: str, keys: list[str], version: str = "updated_at", created: str | None = "created_at",
+                  tie: str | None = None) -> None:
+    """Write the last versions as a new generation.
+
+    Readers turn to it when its success mark appears; until then, and if the write fails, they read the old one, which stays.
+    """
+    merged = read_upserted(spark, path, keys, version, created, tie)
+    merged.write.mode("overwrite").parquet(f"{path}/generation={_generation(spark, path) + 1}/batch=0")

@@ -36,7 +36,7 @@ def fitted(parts):
                                         lambda: models.linear_svc(maxIter=10),
                                         lambda: models.random_forest(numTrees=10, maxDepth=4)])
 def test_every_classifier_beats_the_majority(parts, classifier):
-    row = models.evaluate(models.fit(parts[0], classifier(), ngrams=(1,)), parts[1], "x").first()
+    row = models.evaluate(models.fit(parts[0], classifier(), ngrams=(1,), dims=256), parts[1], "x").first()
     assert row.accuracy > 0.7 and row.recall == row.accuracy and row.roc_auc > 0.7
     assert row.tp + row.tn + row.fp + row.fn == parts[1].count()
 
@@ -51,22 +51,42 @@ def test_feature_sizes_follow_the_ngrams(sample):
 
     sizes = []
     for n in ((1,), (1, 2), (1, 2, 3)):
-        model = Pipeline(stages=features.tfidf_stages(n, vocab=50)).fit(sample)
+        model = Pipeline(stages=features.tfidf_stages(n, dims=64)).fit(sample)
         sizes.append(model.transform(sample).first().features.size)
-        assert sizes[-1] == len(features.vocabulary(model))
+        assert sizes[-1] == 64 * len(n)
     assert sizes == sorted(sizes) and len(set(sizes)) == 3
 
 
-def test_sql_features_equal_mllib(sample):
-    from pyspark.ml import Pipeline
-
-    model = Pipeline(stages=features.tfidf_stages((1,), min_df=2.0)).fit(sample)
-    want = {r.term: (r.documents, round(r.mean_tfidf, 4)) for r in features.feature_summary(model, sample).collect()}
+def test_feature_table_adds_up_the_weights(sample):
     n = sample.count()
     table = features.tfidf_table(sample, "id").groupBy("term").agg(F.count(F.lit(1)).alias("d"), F.sum("tfidf").alias("s"))
-    got = {r.term: (r.d, round(r.s / n, 4)) for r in table.collect()}
+    want = {r.term: (r.d, r.s / n) for r in table.collect()}
+    got = {r.term: (r.documents, r.mean_tfidf) for r in features.feature_table(sample, "id").collect()}
     assert got.keys() == want.keys()
-    assert all(got[t][0] == want[t][0] and abs(got[t][1] - want[t][1]) < 2e-4 for t in got)
+    assert all(got[t][0] == want[t][0] and abs(got[t][1] - want[t][1]) < 2e-5 for t in got)
+
+
+def test_hashed_weights_equal_the_table(sample, spark):
+    from pyspark.ml import Pipeline
+
+    model = Pipeline(stages=features.tfidf_stages((1,), min_df=2.0)).fit(sample)
+    places = {r.term: r["index"] for r in features.term_index(model, sample).collect()}
+    assert len(set(places.values())) == len(places)  # no two share a place here
+    vectors = {r.id: r.features for r in model.transform(sample).collect()}
+    for r in features.tfidf_table(sample, "id").collect():
+        assert vectors[r.id][places[r.term]] == pytest.approx(r.tfidf, abs=1e-5)
+
+
+def test_closed_form_bayes_equals_the_fitted_one(parts):
+    train, test = parts
+    terms = models.bayes_terms(train, "id", min_df=1)
+    mine = {r.id: r.prediction for r in models.bayes_predict(test, "id", terms, train).collect()}
+    size = terms.count()
+    fitted = models.fit(train, models.naive_bayes(), ngrams=(1,), min_df=1.0)
+    theirs = {r.id: r.prediction for r in fitted.transform(test).collect()}
+    assert mine == theirs and size > 20
+    prior = models.bayes_predict(test.withColumn("clean_text", F.lit("unheard")), "id", terms, train).select("score").distinct()
+    assert prior.count() == 1
 
 
 def test_rare_and_hot_terms_give_one_table(sample, monkeypatch):
@@ -103,16 +123,18 @@ def test_sweep_records_failures(parts):
 
 def test_top_terms(parts, spark):
     model = models.fit(parts[0], models.naive_bayes(), ngrams=(1,))
-    best = [r.term for r in models.top_terms(model, 5).filter("class = 'positive'").collect()]
+    best = [r.term for r in models.top_terms(model, parts[0], 5).filter("class = 'positive'").collect()]
     assert {"great", "love", "excellent", "perfectly", "nice", "fast", "value", "works"} >= set(best)
 
 
 def test_scoring_applies_the_guardrail(spark, fitted):
     rows = spark.createDataFrame(
         [(1, "I love this product! It is amazing, excellent, and works perfectly."), (2, "This is terrible waste, never buy"),
-         (3, "!!!"), (4, "great battery, would not buy again")], "id int, review string")
+         (3, "!!!"), (4, "great battery, would not buy again"), (5, None)], "id int, review string")
     got = {r.id: r for r in scoring.predict(rows, fitted, "review", ["id"]).collect()}
-    assert got.keys() == {1, 2, 4}
+    assert got.keys() == {1, 2, 3, 4, 5}
+    empty = [got.pop(3), got.pop(5)]
+    assert all((r.prediction, r.sentiment, r.confidence, r.guardrail) == (None, None, None, False) for r in empty)
     assert got[1].sentiment == "POSITIVE" and got[1].confidence >= 50
     assert got[2].sentiment == "NEGATIVE" and got[4].sentiment == "NEGATIVE"
     for r in got.values():
@@ -146,8 +168,17 @@ def test_error_report(parts, fitted):
 
 
 def test_topics(spark, sample):
-    topics = models.lda_topics(sample, "review", k=3, iterations=3, terms=4)
+    topics = models.lda_topics(sample, "review", k=3, iterations=3, terms=4, dims=256)
     assert topics.count() == 12 and topics.select("topic_id").distinct().count() == 3
     weights = models.topic_weights(topics).collect()
     assert all(len(r.top_terms.split(", ")) == 4 and 0 < r.top_weight <= 1.01 for r in weights)
     assert models.lda_topics(sample.filter("id < 0"), "review").count() == 0
+
+
+def test_analysis_of_single_reviews(spark, fitted):
+    rows = spark.createDataFrame([(1, "The battery is terrible but the build quality is excellent. It stopped working."), (2, "great value"), (3, None)],
+                                 "id int, review string")
+    got = {r.id: r for r in scoring.analyze(rows, fitted, "review", ["id"]).collect()}
+    assert [a.aspect for a in got[1].aspects] == ["Battery", "Build Quality"] and [c.phrase for c in got[1].complaints] == ["stopped working"]
+    alone = {r.id: r.sentiment for r in scoring.predict(rows, fitted, "review", ["id"]).collect()}
+    assert {k: r.sentiment for k, r in got.items()} == alone and got[3].aspects == []

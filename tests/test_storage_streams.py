@@ -63,24 +63,38 @@ TABLE = "id bigint, name string, created_at bigint, updated_at bigint"
 
 def test_upsert_is_idempotent_and_keeps_creation(spark, tmp_path):
     path = str(tmp_path / "t")
-    sinks.upsert_table(spark.createDataFrame([(i, f"v{i}", 1, 1) for i in range(40)], TABLE), path, ["id"], buckets=4)
-    update = spark.createDataFrame([(3, "new", 9, 9), (3, "old", 5, 5), (99, "add", 9, 9), (4, "stale", 0, 0)], TABLE)
-    for _ in range(2):
-        sinks.upsert_table(update, path, ["id"], buckets=4)
-        rows = {r.id: tuple(r)[1:] for r in sinks.read_upserted(
-            spark, path, "id bigint, name string, created_at bigint, updated_at bigint, key_bucket int").collect()}
+    sinks.upsert_table(spark.createDataFrame([(i, f"v{i}", 1, 1) for i in range(40)], TABLE), path, 1)
+    update = spark.createDataFrame([(3, "new", 9, 9), (3, "old", 5, 5), (99, "add", 9, 9), (4, "stale", 0, 0), (5, "a", 2, 2), (5, "b", 2, 2)], TABLE)
+    for compact in (False, False, True, True):
+        sinks.upsert_table(update, path, 2)
+        if compact:
+            sinks.compact_table(spark, path, ["id"], tie="name")
+        rows = {r.id: tuple(r)[1:] for r in sinks.read_upserted(spark, path, ["id"], tie="name").collect()}
         assert len(rows) == 41
-        assert rows[3] == ("new", 1, 9) and rows[99] == ("add", 9, 9)
-        assert rows[4][0] == "v4"  # an older version never replaces a newer one
+        assert rows[3] == ("new", 1, 9) and rows[99] == ("add", 9, 9) and rows[5][0] == "b"
+        assert rows[4] == ("v4", 0, 1)  # an older version never replaces a newer one
 
 
-def test_upsert_leaves_other_buckets_alone(spark, tmp_path):
+def test_upsert_writes_only_its_own_rows(spark, tmp_path):
     path = tmp_path / "t"
-    sinks.upsert_table(spark.createDataFrame([(i, "a", 1, 1) for i in range(50)], TABLE), str(path), ["id"], buckets=5)
-    before = {p.name: {f.name for f in p.glob("*.parquet")} for p in path.glob("key_bucket=*")}
-    sinks.upsert_table(spark.createDataFrame([(7, "b", 2, 2)], TABLE), str(path), ["id"], buckets=5)
-    after = {p.name: {f.name for f in p.glob("*.parquet")} for p in path.glob("key_bucket=*")}
-    assert sum(before[k] != after[k] for k in before) == 1
+    sinks.upsert_table(spark.createDataFrame([(i, "a", 1, 1) for i in range(50)], TABLE), str(path), 1)
+    before = {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+    sinks.upsert_table(spark.createDataFrame([(7, "b", 2, 2)], TABLE), str(path), 2)
+    after = {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+    assert all(after[f] == before[f] for f in before)
+    assert sum(spark.read.parquet(str(f)).count() for f in after.keys() - before.keys()) == 1
+
+
+def test_interrupted_compaction_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.upsert_table(spark.createDataFrame([(1, "a", 1, 1)], TABLE), path, 1)
+    (tmp_path / "t" / "generation=1" / "batch=0").mkdir(parents=True)  # no success mark
+    assert [r.name for r in sinks.read_upserted(spark, path, ["id"]).collect()] == ["a"]
+
+
+def test_ids_differ_for_different_keys(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a", None), (None, "a"), ("", "a"), (None, None)], "x string, y string")
+    assert df.select(sinks.new_id("x", "y").alias("i")).distinct().count() == 6
 
 
 def test_section_replacement(spark, tmp_path):
@@ -94,8 +108,8 @@ def test_text_and_csv(spark, tmp_path):
     df = spark.createDataFrame([("best model", 1)], "name string, n int")
     sinks.write_text(df, "name", str(tmp_path / "n"))
     assert sinks.read_text(spark, str(tmp_path / "n")).first().value == "best model"
-    sinks.write_csv(df.union(df), str(tmp_path / "c"), rows=1)
-    assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 1
+    sinks.write_csv(df.union(df), str(tmp_path / "c"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 2
 
 
 def test_audit_details_are_json(spark):
@@ -156,17 +170,18 @@ def test_running_kpis_equal_batch_and_drop_late_rows(spark, tmp_path):
     assert sorted(got.values()) == [(1, 1), (2, 1), (2, 1)]
 
 
-def test_import_stream_gates_and_drops_repeats(spark, tmp_path):
+def test_import_stream_keeps_the_last_version(spark, tmp_path):
     members = spark.createDataFrame([(1, "A", "owner"), (2, "A", "viewer")], "user_id bigint, organization_id string, role string")
     stream = event_files(
         spark, str(tmp_path / "in"),
         [("1", "A", 1, "POSITIVE", "2024-01-02"), ("1", "A", 1, "POSITIVE", "2024-01-02"), ("2", "A", 2, "POSITIVE", "2024-01-02")],
         [("1", "A", 1, "NEGATIVE", "2024-01-03"), ("3", "A", 1, "NEGATIVE", "2024-01-03"), ("4", "B", 1, "NEGATIVE", "2024-01-03")],
+        [("1", "A", 1, "STALE", "2023-01-03"), ("5", "A", 1, "POSITIVE", "2020-01-01")],  # years late
     )
     out = str(tmp_path / "out")
-    jobs.import_stream(stream, members, out, str(tmp_path / "cp"), buckets=2).awaitTermination()
-    rows = {r.id: r.sentiment for r in spark.read.parquet(out).collect()}
-    assert rows == {"1": "POSITIVE", "3": "NEGATIVE"}
+    jobs.import_stream(stream, members, out, str(tmp_path / "cp")).awaitTermination()
+    rows = {r.id: r.sentiment for r in sinks.read_upserted(spark, out, ["id"], "review_date", None).collect()}
+    assert rows == {"1": "NEGATIVE", "3": "NEGATIVE", "5": "POSITIVE"}
 
 
 def test_shared_folder_comes_from_the_session(spark):
@@ -178,10 +193,21 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_shared_folder_is_never_local_on_a_cluster():
     class Stub:
         def __init__(self, master):
-            self.conf = {}
+            self.conf = {"spark.sql.warehouse.dir": "/shared/warehouse"}
             self.sparkContext = type("C", (), {"master": master, "applicationId": f"app-{master}"})()
 
-    local = Stub("local[2]")
-    assert session.shared_folder(local) == session.shared_folder(local)
+    assert session.shared_folder(Stub("local[2]")) == "/shared/warehouse/scratch-app-local[2]"
     with pytest.raises(RuntimeError):
         session.shared_folder(Stub("yarn"))
+
+
+def test_scope_deletes_its_tables(spark):
+    import os
+
+    with session.scratch_scope(spark):
+        outer = session.publish(spark.range(3), "outer").inputFiles()
+        with session.scratch_scope(spark):
+            inner = session.publish(spark.range(3), "inner").inputFiles()
+        paths = [f.removeprefix("file://") for f in (*outer, *inner)]
+        assert [os.path.exists(p) for p in paths] == [True] * len(outer) + [False] * len(inner)
+    assert not any(os.path.exists(p) for p in paths)

@@ -96,11 +96,13 @@ def test_viewers_cannot_write(market, spark):
 
 
 def test_spoofed_tenant_is_replaced(market, spark):
-    rows = spark.createDataFrame([("x", 2, "B"), ("y", 1, "A"), ("z", 1, "C"), ("w", 1, "")],
+    rows = spark.createDataFrame([("x", 2, "B"), ("y", 1, "A"), ("z", 1, "C"), ("w", 1, ""), ("u", 999, "A")],
                                  "id string, user_id bigint, requested string")
-    out = tenancy.assign_tenant(rows, market.members, market.organizations, market.links)
+    twice = market.members.unionByName(market.members.filter("user_id = 2").withColumn("organization_id", F.lit("B")))
+    out = tenancy.assign_tenant(rows, twice, market.organizations, market.links)
+    assert out.count() == 5
     got = {r.id: (r.organization_id, r.accepted) for r in out.collect()}
-    assert got == {"x": ("A", True), "y": ("A", True), "z": ("C", False), "w": ("R", True)}
+    assert got == {"x": ("A", True), "y": ("A", True), "z": ("C", False), "w": ("R", True), "u": (None, False)}
 
 
 def test_product_list_does_not_multiply_counts(market):
@@ -181,6 +183,9 @@ def test_slugs_of_a_hot_name(spark):
     rows = kpis.unique_slugs(df, "name", "id", slices=16).collect()
     assert len({r.slug for r in rows}) == 2000
     hot = sorted((r.id, r.slug) for r in rows if r.name == "Same Name")
+    few = spark.createDataFrame([(1, "foo"), (2, "foo"), (3, "foo 2"), (4, "foo 2")], "id long, name string")
+    slugs = {r.id: r.slug for r in kpis.unique_slugs(few, "name", "id").collect()}
+    assert len(set(slugs.values())) == 4 and (slugs[1], slugs[3]) == ("foo", "foo-2") and slugs[2].startswith("foo-2-")
     assert [s for _, s in hot] == ["same-name"] + [f"same-name-{i}" for i in range(2, len(hot) + 1)]
 
 
