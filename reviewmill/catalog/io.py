@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reviewmill import session
-from reviewmill.catalog.mining import ASPECT_CASE, GRAMS, SIGNAL, TOKENS
+from reviewmill.catalog.mining import ASPECT_CASE, CLAUSES, CONTEXTS, GRAMS, MATCHES, SIGNAL, TOKENS
 from reviewmill.catalog.views import Views, with_views
 from reviewmill.functions import rules
 from reviewmill.functions import text as tx
@@ -164,7 +164,54 @@ def _audit_rows(v: Views):
     return out.select("organization_id", "user_id", "action", "resource_type", "details")
 
 
+def _corpus_read(v: Views):
+    """The labelled corpus as JSON lines, read by column name."""
+    path = session.scratch_path(v.spark, "corpus")
+    v.corpus.select("title", "review", "label").write.json(path)
+    return readers.read_corpus(v.spark, path, "json").groupBy("title", "label").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.length("review")).alias("chars"))
+
+
+def _table_read(v: Views):
+    """A relational table under its fixed schema; columns it does not hold are null."""
+    root = session.scratch_path(v.spark, "tables")
+    v.members.select(F.col("user_id").cast("string").alias("user_id"), "role", "organization_id").write.parquet(f"{root}/organization_members")
+    return readers.read_table(v.spark, root, "organization_members").select("id", "organization_id", "user_id", "role")
+
+
+def _text_report(v: Views):
+    path = session.scratch_path(v.spark, "names")
+    sinks.write_text(v.products, "name", path)
+    return sinks.read_text(v.spark, path).groupBy("value").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _aspect_table(v: Views):
+    """Aspect results of one analysis per product, as stored."""
+    path = session.scratch_path(v.spark, "aspects")
+    key = sinks.new_id(F.lit("analysis"), "product_id", "organization_id")
+    sinks.append(sinks.aspect_rows(jobs.product_aspects(v.reviews), key), path)
+    stored = v.spark.read.parquet(path)
+    ids = stored.agg(F.count_distinct("id")).scalar()
+    return stored.select("organization_id", "product_id", "aspect", "mentions", "positive_count", "negative_count", ids.alias("distinct_ids"))
+
+
+def _issue_table(v: Views):
+    """Issue results of one analysis per product, as stored."""
+    path = session.scratch_path(v.spark, "issues")
+    key = sinks.new_id(F.lit("analysis"), "product_id", "organization_id")
+    sinks.append(sinks.issue_rows(jobs.product_issues(v.reviews), key), path)
+    stored = v.spark.read.parquet(path)
+    ids = stored.agg(F.count_distinct("id")).scalar()
+    return stored.select("organization_id", "product_id", "phrase", "aspect", "frequency", ids.alias("distinct_ids"))
+
+
 QUERIES = {
+    "corpus_read": _corpus_read,
+    "table_read": _table_read,
+    "report_text": _text_report,
+    "aspect_table": _aspect_table,
+    "issue_table": _issue_table,
+    "preview_rows": lambda v: readers.preview(v.reviews.select("id", "title", F.when(F.col("rating") > 2, F.col("rating")).alias("rating")).orderBy("id")),
     "upload_profile": lambda v: readers.upload_profile(_uploaded(v)),
     "upload_profile_tsv": lambda v: readers.upload_profile(_uploaded(v, "\t")),
     "column_roles": lambda v: readers.by_role(_uploaded(v)).groupBy("title", "rating").agg(
@@ -208,6 +255,20 @@ _NAMED = """SELECT *, row_number() OVER (PARTITION BY base ORDER BY created_seq)
   FROM fx_products) p"""
 
 ORACLES = {
+    "corpus_read": with_views("fx_corpus", """SELECT title, label, count(*) AS rows, CAST(sum(length(review)) AS BIGINT) AS chars
+FROM fx_corpus GROUP BY title, label"""),
+    "table_read": with_views("fx_members", """SELECT CAST(NULL AS VARCHAR) AS id, organization_id, CAST(user_id AS VARCHAR) AS user_id, role
+FROM fx_members"""),
+    "report_text": with_views("fx_products", "SELECT name AS value, count(*) AS rows FROM fx_products GROUP BY name"),
+    "aspect_table": with_views("fx_reviews", """SELECT organization_id, product_id, aspect, CAST(count(*) AS INTEGER) AS mentions,
+CAST(count(*) FILTER (WHERE sentiment = 'POSITIVE') AS INTEGER) AS positive_count,
+CAST(count(*) FILTER (WHERE sentiment = 'NEGATIVE') AS INTEGER) AS negative_count, count(*) OVER () AS distinct_ids
+FROM ctx GROUP BY organization_id, product_id, aspect""", clauses=CLAUSES, ctx=CONTEXTS),
+    "issue_table": with_views("fx_reviews", """SELECT organization_id, product_id, m.phrase AS phrase, m.aspect AS aspect,
+CAST(count(*) AS INTEGER) AS frequency, count(*) OVER () AS distinct_ids FROM matches WHERE sentiment = 'NEGATIVE'
+GROUP BY organization_id, product_id, m.phrase, m.aspect""", matches=MATCHES),
+    "preview_rows": with_views("fx_reviews", """SELECT id, title, CASE WHEN rating > 2 THEN CAST(rating AS VARCHAR) ELSE '' END AS rating
+FROM fx_reviews ORDER BY id LIMIT 5"""),
     "upload_profile": _PROFILE,
     "upload_profile_tsv": _PROFILE,
     "column_roles": rev("""SELECT title, CAST(rating AS INTEGER) AS rating, count(*) AS rows,

@@ -29,6 +29,12 @@ def flagship(v: Views):
     return rows.drop("positives", "negatives").join(kpis.marketplace_health(rows), "platform_id")
 
 
+def _platforms(v: Views):
+    """All platforms, and a new one that has no sellers yet."""
+    known = v.organizations.filter("organization_type = 'platform'").select(F.col("id").alias("platform_id"))
+    return known.union(v.spark.range(1).select(F.lit("R-new")))
+
+
 def _per_seller(rows):
     return rows.withColumnRenamed("organization_id", "seller_id")
 
@@ -114,7 +120,7 @@ def _invitations(v: Views):
 
 QUERIES = {
     "tenant_seller_kpis": flagship,
-    "tenant_platform_totals": lambda v: kpis.platform_totals(breakdown(v)),
+    "tenant_platform_totals": lambda v: kpis.platform_totals(breakdown(v), platforms=_platforms(v)),
     "tenant_marketplace_health": lambda v: kpis.marketplace_health(breakdown(v)),
     "tenant_seller_overview": overview,
     "tenant_product_perf": lambda v: kpis.product_performance(v.products, v.reviews),
@@ -268,7 +274,10 @@ ORACLES = {
     "tenant_seller_kpis": kpi_sql("""SELECT b.platform_id, seller_id, seller_name, status, products_count, reviews_count,
   positive_pct, negative_pct, health_score, marketplace_health FROM bd b JOIN hl h ON h.platform_id = b.platform_id""",
                                   org=ORG, bd=BREAKDOWN, hl=HEALTH),
-    "tenant_platform_totals": kpi_sql(TOTALS, org=ORG, bd=BREAKDOWN),
+    "tenant_platform_totals": kpi_sql("""SELECT platform_id, coalesce(total_sellers, 0) AS total_sellers, coalesce(total_products, 0) AS total_products,
+  coalesce(total_reviews, 0) AS total_reviews, overall_positive_pct, overall_negative_pct
+FROM (SELECT id AS platform_id FROM fx_organizations WHERE organization_type = 'platform' UNION ALL SELECT 'R-new') p LEFT JOIN tt USING (platform_id)""",
+                                     org=ORG, bd=BREAKDOWN, tt=TOTALS),
     "tenant_marketplace_health": kpi_sql(HEALTH, org=ORG, bd=BREAKDOWN),
     "platform_overview": kpi_sql("SELECT t.*, h.marketplace_health FROM tt t JOIN hl h ON h.platform_id = t.platform_id",
                                  org=ORG, bd=BREAKDOWN, hl=HEALTH, tt=TOTALS),

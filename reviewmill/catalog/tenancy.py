@@ -100,6 +100,7 @@ QUERIES = {
     "write_gate_rejects": _rejects,
     "admin_gate": _verdicts(tenancy.ADMINS),
     "tenant_override": _override,
+    "preferences_own": lambda v: tenancy.own_rows(v.profiles.withColumnRenamed("id", "user_id"), 7),
 }
 
 REACH = """SELECT id AS viewer_id, id AS organization_id FROM fx_organizations
@@ -158,6 +159,7 @@ OR l.seller_organization_id IN (SELECT organization_id FROM fx_members WHERE use
 WHERE NOT EXISTS (SELECT 1 FROM fx_members m WHERE m.user_id = i.user_id AND m.organization_id = i.organization_id
   AND m.role <> 'viewer')""", incoming=INCOMING),
     "admin_gate": _verdict_sql("'owner', 'admin'"),
+    "preferences_own": with_views("fx_profiles", "SELECT id AS user_id, full_name, email FROM fx_profiles WHERE id = 7"),
     "tenant_override": access_sql("""SELECT i.id,
   CASE WHEN o.organization_type = 'platform' AND i.requested <> '' THEN i.requested ELSE m.organization_id END AS organization_id,
   m.organization_id IS NOT NULL AND (NOT (o.organization_type = 'platform' AND i.requested <> '') OR EXISTS (SELECT 1 FROM reach r

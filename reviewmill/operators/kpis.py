@@ -90,8 +90,11 @@ def seller_breakdown(links: DataFrame, organizations: DataFrame, products: DataF
     )
 
 
-def platform_totals(breakdown: DataFrame, parity: bool = False) -> DataFrame:
-    """Totals of each platform from its seller rows."""
+def platform_totals(breakdown: DataFrame, parity: bool = False, platforms: DataFrame | None = None) -> DataFrame:
+    """Totals of each platform from its seller rows.
+
+    With ``platforms`` (platform_id) a platform without sellers has a row too, with zero totals.
+    """
     pos, neg = _empty(EMPTY_PLATFORM, parity)
     sums = breakdown.groupBy("platform_id").agg(
         F.count(F.lit(1)).alias("total_sellers"),
@@ -99,6 +102,9 @@ def platform_totals(breakdown: DataFrame, parity: bool = False) -> DataFrame:
         F.sum("reviews_count").alias("total_reviews"),
         F.sum("positives").alias("_pos"), F.sum("negatives").alias("_neg"),
     )
+    if platforms is not None:
+        sums = platforms.select("platform_id").join(sums, "platform_id", "left").fillna(
+            0, ["total_sellers", "total_products", "total_reviews", "_pos", "_neg"])
     return sums.select(
         "platform_id", "total_sellers", "total_products", "total_reviews",
         tx.percent(F.col("_pos"), F.col("total_reviews"), 1, pos).alias("overall_positive_pct"),
