@@ -37,13 +37,17 @@ SUFFIX_CONTRACTIONS = {
 # Words joined to the following word by negation marking.
 NEGATION_MARKERS = "not no never neither nor nothing nowhere hardly barely cannot".split()
 
-# Words kept when stop words are removed.
+# ---------------------------------------------------------------------------
+# Negations that stay when stop words are removed.
+# ---------------------------------------------------------------------------
 PRESERVED_NEGATIONS = """
 not no never neither nor nothing nowhere hardly barely nobody none without cannot
 cant dont doesnt didnt wont isnt wasnt werent shouldnt havent hasnt hadnt
 """.split()
 
-# Word lists of the two error analyses.
+# ---------------------------------------------------------------------------
+# Negation words of the two error analyses.
+# ---------------------------------------------------------------------------
 NEGATION_WORDS_BASELINE = "not no never hardly barely scarcely neither nor n't without none nothing".split()
 NEGATION_WORDS_TUNED = NEGATION_MARKERS
 

@@ -13,6 +13,18 @@ from reviewmill.functions import text as tx
 
 as_column = tx.as_column
 
+# ---------------------------------------------------------------------------
+# Names of buckets, causes, states and priorities, and the limits between them.
+# ---------------------------------------------------------------------------
+SHORT_BELOW, MEDIUM_TO = 15, 50
+SHORT, MEDIUM, LONG = "Short (<15 words)", "Medium (15-50 words)", "Long (>50 words)"
+NEGATED, SPARSE, MIXED = "Negation / Polarity Inversion", "Short / Sparse Context", "Mixed Sentiment / Sarcasm"
+PAIN_PCT, PAIN_VOLUME, CONCERN_PCT = 40.0, 50, 28.0
+PAIN, CONCERN, FINE = "High Negative Feedback", "Moderate Concern", "Healthy / Positive"
+HEALTHY_FROM, HEALTHY, MODERATE = 75.0, "Healthy", "Moderate"
+PRIORITIES = {"HIGH": 3, "MEDIUM": 2, "LOW": 1}
+IMPORT_STARS = 4
+
 
 # --- filters --------------------------------------------------------------------
 
@@ -59,49 +71,55 @@ def has_negation(clean_text: Column | str, words: list[str] = lex.NEGATION_WORDS
 def length_bucket(words: Column | str) -> Column:
     count = as_column(words)
     return (
-        F.when(count < 15, "Short (<15 words)")
-        .when(count <= 50, "Medium (15-50 words)")
-        .otherwise("Long (>50 words)")
+        F.when(count < SHORT_BELOW, SHORT)
+        .when(count <= MEDIUM_TO, MEDIUM)
+        .otherwise(LONG)
     )
 
 
 def error_cause(negated: Column | str, words: Column | str) -> Column:
     return (
-        F.when(as_column(negated), "Negation / Polarity Inversion")
-        .when(as_column(words) < 15, "Short / Sparse Context")
-        .otherwise("Mixed Sentiment / Sarcasm")
+        F.when(as_column(negated), NEGATED)
+        .when(as_column(words) < SHORT_BELOW, SPARSE)
+        .otherwise(MIXED)
     )
 
 
 # --- status bands -----------------------------------------------------------------
 
-def aspect_is_pain(negative_pct: Column, mentions: Column, pct: float = 40.0, volume: int = 50) -> Column:
+def aspect_is_pain(negative_pct: Column, mentions: Column, pct: float = PAIN_PCT, volume: int = PAIN_VOLUME) -> Column:
     return (negative_pct >= pct) & (mentions >= volume)
 
 
-def aspect_status(negative_pct: Column, mentions: Column, pct: float = 40.0, volume: int = 50,
-                  concern: float = 28.0) -> Column:
+def aspect_status(negative_pct: Column, mentions: Column, pct: float = PAIN_PCT, volume: int = PAIN_VOLUME,
+                  concern: float = CONCERN_PCT) -> Column:
     """High, moderate or healthy, from the negative share and the number of mentions."""
     return (
-        F.when(aspect_is_pain(negative_pct, mentions, pct, volume), "High Negative Feedback")
-        .when(negative_pct >= concern, "Moderate Concern")
-        .otherwise("Healthy / Positive")
+        F.when(aspect_is_pain(negative_pct, mentions, pct, volume), PAIN)
+        .when(negative_pct >= concern, CONCERN)
+        .otherwise(FINE)
     )
 
 
-def health_band(score: Column, healthy: float = 75.0) -> Column:
-    return F.when(score >= healthy, "Healthy").otherwise("Moderate")
+def health_band(score: Column, healthy: float = HEALTHY_FROM) -> Column:
+    return F.when(score >= healthy, HEALTHY).otherwise(MODERATE)
 
 
 def priority_rank(priority: Column | str) -> Column:
     """HIGH=3, MEDIUM=2, LOW=1, so the largest is the most urgent."""
     col = as_column(priority)
-    return F.when(col == "HIGH", 3).when(col == "MEDIUM", 2).when(col == "LOW", 1).otherwise(0)
+    out = F.when(F.lit(False), 0)
+    for name, rank in PRIORITIES.items():
+        out = out.when(col == name, rank)
+    return out.otherwise(0)
 
 
 def priority_name(rank: Column | str) -> Column:
     col = as_column(rank)
-    return F.when(col == 3, "HIGH").when(col == 2, "MEDIUM").when(col == 1, "LOW").otherwise("MEDIUM")
+    out = F.when(F.lit(False), "MEDIUM")
+    for name, known in PRIORITIES.items():
+        out = out.when(col == known, name)
+    return out.otherwise("MEDIUM")
 
 
 # --- rules on raw text ----------------------------------------------------------------
@@ -109,7 +127,7 @@ def priority_name(rank: Column | str) -> Column:
 def import_is_positive(content: Column | str, rating: Column | str,
                        words: list[str] = lex.IMPORT_POSITIVE_WORDS) -> Column:
     """Polarity of an unscored import: four stars or a positive word anywhere (P20)."""
-    return (as_column(rating) >= 4) | F.lower(as_column(content)).rlike("|".join(words))
+    return (as_column(rating) >= IMPORT_STARS) | F.lower(as_column(content)).rlike("|".join(words))
 
 
 def guardrail(content: Column | str, negative: list[str] = lex.GUARDRAIL_NEGATIVE,

@@ -7,6 +7,7 @@ from pyspark.ml.feature import IDF, HashingTF, NGram, StopWordsRemover, Tokenize
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewmill import session
 from reviewmill.functions import lexicon as lex
 from reviewmill.functions import text as tx
 
@@ -98,11 +99,13 @@ def tfidf_table(df: DataFrame, key: str, text: str = "clean_text", n: int = 1, m
     A term in a third of all documents would put their rows into one task of a join on
     the term. The ``HOT_TERMS`` most frequent terms, a fixed number of rows, are
     therefore broadcast and their document rows never move; all others have few
-    document rows each and meet their frequency in an ordinary join.
+    document rows each and meet their frequency in an ordinary join. Counts and
+    frequencies are stored, so the texts are read once.
     """
-    counts = term_frequencies(df, key, text, n, stop_words)
+    counts = session.publish(term_frequencies(df, key, text, n, stop_words), "counts")
     documents = df.agg(F.count(F.lit(1))).scalar()
     frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
+    frequency = session.publish(frequency, "frequency")
     hot = frequency.orderBy(F.desc("df"), "term").limit(HOT_TERMS)
     names = F.broadcast(hot.select("term"))
     rare = counts.join(names, "term", "left_anti").join(frequency.join(names, "term", "left_anti"), "term")
