@@ -89,8 +89,8 @@ SLICE_ROWS = 100_000
 
 
 def slices_of(df: DataFrame) -> int:
-    """Number of slices that leaves about SLICE_ROWS rows in each; counts the rows."""
-    return max(1, -(-df.count() // SLICE_ROWS))
+    """Number of slices, two at least, that leaves about SLICE_ROWS rows in each; counts the rows."""
+    return max(2, -(-df.count() // SLICE_ROWS))
 
 
 def range_slice(df: DataFrame, column: str, slices: int) -> Column:
@@ -100,8 +100,6 @@ def range_slice(df: DataFrame, column: str, slices: int) -> Column:
     that enters as a scalar subquery. Used to cut an ordered running total into
     tasks; results do not depend on where the bounds fall.
     """
-    if slices == 1:
-        return F.lit(1)
     marks = F.array(*[F.lit(i / slices) for i in range(1, slices)])
     cuts = df.agg(F.percentile_approx(column, marks, F.lit(10 * slices))).scalar()
     # The bounds are sorted, so adding one value and sorting again is a single merge pass.
