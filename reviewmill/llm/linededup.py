@@ -110,6 +110,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     stored = publish(_digests(docs, key, text), "units")
     spread = stored.select("key", "version", F.posexplode("digests").alias("n", "digest"))
     repeated = spread.groupBy("digest").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first != last").drop("last")
+    repeated = publish(repeated, "repeated")  # stored, so that the join can split a digest that a third of all units share
     found = spread.join(repeated, "digest").filter("key != first").groupBy("key", "version").agg(F.collect_list("n").alias("marked"))
     key_name, version, marked = (free_name(docs.columns, name) for name in ("key", "version", "marked"))
     found = found.select(F.col("key").alias(key_name), F.col("version").alias(version), F.col("marked").alias(marked))
