@@ -1,8 +1,9 @@
 """Toxicity: hidden words are restored by a noisy-channel decoder, then the restored text is scored.
 
-Method: a token with symbols between letters, with a letter three times in a row, or a run of single letters set apart opens a lattice:
-a symbol may stand for the letters it resembles, be a mere separator, or end a word; a run of one letter may stand for one or
-two of it. Viterbi decoding finds the reading that is likeliest under a trigram model of the letters of all documents. All
+Method: a token with letters and look-alikes of letters anywhere, with symbols between letters, with a letter three times in a row, or a
+run of at least three single letters set apart opens a lattice: a symbol may stand for the letters it resembles, be a mere separator,
+or end a word; a run of one letter may stand for one or two of it. At the edges of a token, signs that usually stand there as
+punctuation are read as letters only where the letters speak clearly for it. Viterbi decoding finds the reading that is likeliest under a trigram model of the letters of all documents. All
 other tokens have one reading only, themselves. Each restored word gives three features (the word, its first four and
 its first five letters); a logistic regression over the features that tell the labels apart, trained here in numpy on a
 bounded sample of labelled documents, scores the set of features of the whole text.
@@ -42,6 +43,12 @@ AS_LETTER, AS_NOTHING, AS_BORDER, AS_DOUBLE = math.log(0.5), math.log(0.3), math
 
 HIDDEN = re.compile(r"[^\W\d_][^\w\s]+[^\W\d_]|[^\W_]\W*\s|[^\W\d_]\W*[0-9]\W*[^\W\d_]|[^\W\d_]_+[^\W\d_]|([^\W\d_])\1\1")
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+LETTER = re.compile(r"[^\W\d_]")
+LOOKALIKE = re.compile(f"[{re.escape(''.join(LOOKALIKES))}]")
+#: Edge signs that resemble no letter.
+FRINGE = re.compile(r"^(?:(?!{0})[\W_])+|(?:(?!{0})[\W_])+$".format(LOOKALIKE.pattern))
+#: Look-alikes that are usually punctuation before and after a word.
+OPENING, CLOSING = frozenset("(|"), frozenset("!|")
 CLASSES = 32
 
 
@@ -97,8 +104,12 @@ class Letters:
             if state not in into or cost > into[state][0]:
                 into[state] = (cost, path + letters)
 
+        inner = [n for n, sign in enumerate(token) if sign.isalpha()]
+        first, last = (inner[0], inner[-1]) if inner else (0, len(token))
         for run in re.finditer(r"(.)\1*", token, re.DOTALL):
             sign, length = run[1], len(run[0])
+            punctuation = run.start() < first and sign in OPENING or run.start() > last and sign in CLOSING
+            as_letter = AS_BORDER if punctuation else AS_LETTER
             step: dict[tuple[int, int], tuple[float, str]] = {}
             for state, (cost, path) in paths.items():
                 if sign.isalpha():
@@ -109,9 +120,12 @@ class Letters:
                         add(step, state, cost + AS_DOUBLE, path, sign * 2)
                     continue
                 for letter in LOOKALIKES.get(sign, ""):
-                    add(step, state, cost + AS_LETTER, path, letter)
+                    add(step, state, cost + as_letter + (AS_DOUBLE if length == 2 else 0), path, letter)
                     if length > 1:
-                        add(step, state, cost + AS_LETTER + AS_DOUBLE, path, letter * 2)
+                        add(step, state, cost + as_letter + (AS_DOUBLE if length > 2 else 0), path, letter * 2)
+                if punctuation:
+                    add(step, state, cost, path, "")
+                    continue
                 if sign in SEPARATORS or sign.isspace():
                     add(step, state, cost + AS_NOTHING, path, "")
                 if state[1]:
@@ -121,7 +135,7 @@ class Letters:
             paths = step
         ends: dict[tuple[int, int], tuple[float, str]] = {}
         for state, (cost, path) in paths.items():
-            add(ends, state, cost, path, " ")
+            add(ends, state, cost, path, " " if state[1] else "")
         return max(ends.values(), key=lambda x: (x[0], x[1]))[1].strip()
 
 
@@ -135,7 +149,12 @@ class Reader:
         self.known: dict[str, tuple[int, ...]] = {}
 
     def words(self, token: str) -> list[str]:
-        core = EDGES.sub("", token) if not token.isalpha() else token
+        if token.isalpha():
+            return self.letters.restore(token).split() if HIDDEN.search(token) else [token]
+        core = FRINGE.sub("", token)
+        if LETTER.search(core) and LOOKALIKE.search(core):
+            return self.letters.restore(core).split()
+        core = EDGES.sub("", core)
         return self.letters.restore(core).split() if HIDDEN.search(core) else [core] if core else []
 
     def _features(self, token: str) -> tuple[int, ...]:
@@ -153,13 +172,13 @@ class Reader:
         """Tokens of a text in order; single letters in a row make one token with blanks inside."""
         parts = text.lower().split()
         single = [n for n, part in enumerate(parts) if len(part) == 1 or len(part) < 4 and len(EDGES.sub("", part)) == 1]
-        if len(single) < 4:
+        if len(single) < 3:
             return parts
         out, done, start = [], 0, 0
         for at in range(1, len(single) + 1):
             if at == len(single) or single[at] != single[at - 1] + 1:
                 run = parts[single[start]:single[at - 1] + 1]
-                if len(run) > 3 and len(set(run)) > 2:
+                if sum(part[0].isalnum() or part[0] in LOOKALIKES for part in run) > 2 and len(set(run)) > 1:
                     out += parts[done:single[start]]
                     out.append(" ".join(run))
                     done = single[at - 1] + 1

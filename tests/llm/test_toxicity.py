@@ -23,6 +23,21 @@ def test_hidden_words_are_restored(letters, hidden, plain):
     assert letters.restore(hidden) == plain
 
 
+PROSE = ["a boob and a fool met", "leet is the speech of a fool", "the bastard is a worthless idiot", "stupid people and an asshole",
+         "what an ass", "such shit is stupid", "the garden is lovely", "an idiot and a moron", "he is worthless", "they call the taxi", "all people and all ideas"] * 20
+
+
+@pytest.mark.parametrize("token, words", [
+    ("b00b", "boob"), ("l33t", "leet"), ("f00l", "fool"), ("id10t", "idiot"), ("b4574rd", "bastard"), ("5h17", "shit"), ("5tupid", "stupid"),
+    ("worthle55", "worthless"), ("$tupid", "stupid"), ("'$tupid',", "stupid"), ("@sshole", "asshole"), ("a$$", "ass"), ("!diot", "idiot"),
+    ("garden!", "garden"), ("(garden)", "garden"), ("(all", "all"), ("taxi!!", "taxi"), ("idiot!?!", "idiot"), ("a s s", "ass"),
+    ("$5", "5"), ("2024.", "2024"), ("!!!", "")])
+def test_whole_tokens_are_read(spark, token, words):
+    docs = spark.createDataFrame([(t,) for t in PROSE], "text string")
+    reader = toxicity.Reader(toxicity.Letters([(r.trigram, r.n) for r in toxicity.letter_counts(docs).collect()]))
+    assert " ".join(word for part in reader.tokens(token) for word in reader.words(part)) == words
+
+
 def test_restored_text(spark, letters):
     df = spark.createDataFrame([("You 1d1ot, m o r o n! The book.", 1), (None, 2), ("", 3), ("a a a a", 4)], "text string, restored int")
     out = toxicity.restore(df, letters)
