@@ -1,8 +1,10 @@
 """Substring deduplication by hashed units: passages that repeat across documents stay once.
 
 Method: a text is cut into lines and, within lines, into sentences (after a full stop, question or exclamation mark, and before a
-capital that follows a blank, so a passage pasted into a sentence starts a unit of its own). A piece of fewer than
-``MIN_UNIT`` words joins the next piece of its line. Units are normalised (A-Z lower-cased, blanks collapsed) and hashed;
+capital that follows a word without one, so a passage pasted into a sentence starts a unit of its own). A piece of fewer than
+``MIN_UNIT`` words joins the next piece of its line. Long units are cut again where the words themselves say so, at local minima of
+word digests, so that a passage of one long sentence, in capitals or joined to a short piece yields the same units from its first
+such word on, wherever it starts. Units are normalised (A-Z lower-cased, blanks collapsed) and hashed;
 digests are grouped over all documents. The occurrence in the smallest doc_id, there the first, is kept. All others are
 marked, and every run of marked neighbours that holds at least ``MIN_RUN`` words is cut out. Shorter runs stay, as greetings, licence
 lines and other stock phrases repeat in clean documents. Offsets always refer to the original text, in code points.
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +29,13 @@ from reviewmill.llm.common import add_columns, free_name, slices
 from reviewmill.session import publish
 
 MIN_UNIT, MIN_RUN = 4, 25
+#: A word ends a unit inside a long one if its digest is the least among so many words on either side.
+REACH = 4
 
-#: Where a piece ends: blanks after the end of a sentence, before a capital, or with a line break in them.
+#: Where a piece may end: blanks after the end of a sentence, before a capital, or with a line break in them.
 BORDER = re.compile(r"(?<=[.!?。！？])\s+|[ \t]*\n\s*|[ \t]+(?=[A-ZÀ-ÖØ-Þ])")
+ENDS = frozenset(".!?。！？")
+WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 
 
 def units(text: str) -> list[tuple[int, int, int, int]]:
@@ -40,10 +47,28 @@ def units(text: str) -> list[tuple[int, int, int, int]]:
     open_start, open_words, line_first = 0, [], 0
 
     def close(start: int, end: int, words: list[bytes]) -> None:
-        out.append((start, end, len(words), digest(b" ".join(words)) - 2**63))
-
+        done = 0
+        if len(words) > 2 * REACH + 1:
+            codes, spans = [crc32(word) for word in words], None
+            for n in range(REACH, len(words) - REACH - 1):
+                if codes[n] == min(codes[n - REACH:n + REACH + 1]) and codes[n] not in codes[n - REACH:n]:
+                    spans = spans or [m.span() for m in WORD.finditer(text, start, end)]
+                    out.append((start, spans[n][1], n + 1 - done, digest(b" ".join(words[done:n + 1])) - 2**63))
+                    start, done = spans[n + 1][0], n + 1
+        out.append((start, end, len(words) - done, digest(b" ".join(words[done:])) - 2**63))
+
+    def word_start(begin: int, end: int) -> int:
+        return max(text.rfind(" ", begin, end), text.rfind("\t", begin, end), begin - 1) + 1
+
+    borders, position = [], 0
+    for m in BORDER.finditer(text):
+        end, line_end = m.start(), "\n" in m[0]
+        # A capital is a border only after a word without one: in title case and capitals every blank would be.
+        if line_end or text[end - 1:end] in ENDS or not text[word_start(position, end)].isupper():
+            borders.append((end, m.end(), line_end))
+        position = m.end()
+    borders.append((len(text), len(text), True))
     position = 0
-    borders = [(m.start(), m.end(), "\n" in m[0]) for m in BORDER.finditer(text)] + [(len(text), len(text), True)]
     for end, following, line_end in borders:
         words = text[position:end].encode().lower().split()
         if words:

@@ -1,5 +1,8 @@
+import random
 from collections import defaultdict
 
+import pytest
+
 from conftest import SF
 from reviewmill.llm import linededup, queries
 
@@ -56,6 +59,18 @@ def test_passage_inside_sentences_stays_once(spark):
             assert sum(s.until - s.begin for s in got[key].kept + got[key].removed) == len(text)
 
 
+@pytest.mark.parametrize("change", [str.upper, str.title, str.lower])
+@pytest.mark.parametrize("lead", ["", "so", "well it is", "no. but", "he said to all of them that", "one two three four five six seven eight nine"])
+def test_passage_without_sentences_is_found_at_any_offset(spark, change, lead):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnoprstuvw", k=rng.randint(3, 8))) for _ in range(70)]
+    passage = change(" ".join(words))
+    rows = [(1, passage), (2, f"{change(lead)} {passage} {change('and so it goes on')}".strip())]
+    got = {r.doc_id: r.text for r in linededup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == passage
+    assert len(got[2].split()) <= len(rows[1][1].split()) - 40
+
+
 def test_repeats_within_a_document_and_repeated_rows(spark):
     twice = f"{PASSAGE}\n{PASSAGE}"
     df = spark.createDataFrame([(1, twice), (2, "unlike anything else here"), (2, "unlike anything else here")], "doc_id long, text string")
