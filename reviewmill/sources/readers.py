@@ -19,10 +19,11 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def read_upload(spark: SparkSession, path: str, separator: str | None = None, multi_line: bool = False) -> DataFrame:
+def read_upload(spark: SparkSession, path: str, separator: str | None = None, multi_line: bool = True) -> DataFrame:
     """Delimited upload with a header row; ``.tsv`` means tabs (S3).
 
-    Files are split among tasks. ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
+    Quoted values may hold line breaks, at the price of one task per file. ``multi_line=False`` splits files among tasks; it is
+    for files known to have no line break inside quotes, whose records it would break.
     """
     sep = separator or ("\t" if path.rstrip("/").endswith(".tsv") else ",")
     return (

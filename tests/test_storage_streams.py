@@ -34,6 +34,15 @@ def test_upload_roles(spark, tmp_path):
     assert (nothing.valid_rows, nothing.invalid_rows, nothing.has_review_column) == (0, 2, False)
 
 
+def test_upload_keeps_quoted_line_breaks(spark, tmp_path):
+    path = tmp_path / "u.csv"
+    path.write_text('Headline,Comment,Score\nhi,"first line\nsecond, line\n\nthird",5\nho,,2\n')
+    df = readers.read_upload(spark, str(path))
+    prof = readers.upload_profile(df).first()
+    assert (prof.row_count, prof.valid_rows, prof.invalid_rows) == (2, 1, 1)
+    assert [tuple(r) for r in readers.by_role(df).collect()] == [("hi", "first line\nsecond, line\n\nthird", 5), ("ho", None, 2)]
+
+
 def test_import_text_falls_through_empty_fields(spark):
     raw = spark.createDataFrame([(None, "", "", "c", None), ("t", "a", "b", None, 2), (None, "", None, None, 3), (None, "x", None, None, 0)],
                                 schemas.IMPORT_RECORD)
