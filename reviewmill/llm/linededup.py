@@ -6,7 +6,8 @@ capital that follows a word without one, so a passage pasted into a sentence sta
 word digests, so that a passage of one long sentence, in capitals or joined to a short piece yields the same units from its first
 such word on, wherever it starts. Units are normalised (A-Z lower-cased, blanks collapsed) and hashed;
 digests are grouped over all documents. The occurrence in the smallest doc_id, there the first, is kept. All others are
-marked, and every run of marked neighbours that holds at least ``MIN_RUN`` words is cut out. Shorter runs stay, as greetings, licence
+marked, and every run of marked neighbours that holds at least ``MIN_RUN`` words is cut out. In scripts without blanks
+between words, letters are counted. Shorter runs stay, as greetings, licence
 lines and other stock phrases repeat in clean documents. Offsets always refer to the original text, in code points.
 
 Defined cases: a null text stays null with no spans, an empty one stays empty. Rows that share a doc_id count as one document, so
@@ -33,8 +34,12 @@ MIN_UNIT, MIN_RUN = 4, 25
 REACH = 4
 
 #: Where a piece may end: blanks after the end of a sentence, before a capital, or with a line break in them.
-BORDER = re.compile(r"(?<=[.!?。！？])\s+|[ \t]*\n\s*|[ \t]+(?=[A-ZÀ-ÖØ-Þ])")
+BORDER = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])\s*|[ \t]*\n\s*|[ \t]+(?=[A-ZÀ-ÖØ-Þ])")
 ENDS = frozenset(".!?。！？")
+#: Letters of scripts without blanks between words (Thai to Khmer, kana, Han); each counts as a word.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+SIGN = re.compile(f"[{UNSPACED}]")
+COUNTED = re.compile(f"[{UNSPACED}]|[^ \\t\\n\\r\\x0b\\x0c{UNSPACED}]+")
 WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 
 
@@ -46,6 +51,11 @@ def units(text: str) -> list[tuple[int, int, int, int]]:
     out: list[tuple[int, int, int, int]] = []
     open_start, open_words, line_first = 0, [], 0
 
+    unspaced = SIGN.search(text) is not None
+
+    def size(start: int, end: int, words: int) -> int:
+        return len(COUNTED.findall(text, start, end)) if unspaced else words
+
     def close(start: int, end: int, words: list[bytes]) -> None:
         done = 0
         if len(words) > 2 * REACH + 1:
@@ -53,9 +63,9 @@ def units(text: str) -> list[tuple[int, int, int, int]]:
             for n in range(REACH, len(words) - REACH - 1):
                 if codes[n] == min(codes[n - REACH:n + REACH + 1]) and codes[n] not in codes[n - REACH:n]:
                     spans = spans or [m.span() for m in WORD.finditer(text, start, end)]
-                    out.append((start, spans[n][1], n + 1 - done, digest(b" ".join(words[done:n + 1])) - 2**63))
+                    out.append((start, spans[n][1], size(start, spans[n][1], n + 1 - done), digest(b" ".join(words[done:n + 1])) - 2**63))
                     start, done = spans[n + 1][0], n + 1
-        out.append((start, end, len(words) - done, digest(b" ".join(words[done:])) - 2**63))
+        out.append((start, end, size(start, end, len(words) - done), digest(b" ".join(words[done:])) - 2**63))
 
     def word_start(begin: int, end: int) -> int:
         return max(text.rfind(" ", begin, end), text.rfind("\t", begin, end), begin - 1) + 1
@@ -75,7 +85,7 @@ def units(text: str) -> list[tuple[int, int, int, int]]:
             if not open_words:
                 open_start = position
             open_words += words
-            if len(open_words) >= MIN_UNIT:
+            if size(open_start, end, len(open_words)) >= MIN_UNIT:
                 close(open_start, end, open_words)
                 open_words = []
             elif line_end and len(out) > line_first:  # the short rest of a line joins its last unit

@@ -71,6 +71,14 @@ def test_passage_without_sentences_is_found_at_any_offset(spark, change, lead):
     assert len(got[2].split()) <= len(rows[1][1].split()) - 40
 
 
+def test_scripts_without_blanks_are_counted_by_letters(spark):
+    page = "古い水車小屋は川のそばに立っていた。長い間だれもそこで粉をひかなかった。屋根から雨がもれていた。"
+    rows = [(1, page), (2, page), (3, f"これは別の話である。{page}そして終わりが来た。"), (4, "屋根から雨がもれていた。"), (5, "โรงสีเก่าตั้งอยู่ริมแม่น้ำมานานหลายปี"),
+            (6, "โรงสีเก่าตั้งอยู่ริมแม่น้ำมานานหลายปี")]
+    got = {r.doc_id: r.text for r in linededup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: page, 2: "", 3: "これは別の話である。そして終わりが来た。", 4: rows[3][1], 5: rows[4][1], 6: ""}
+
+
 def test_repeats_within_a_document_and_repeated_rows(spark):
     twice = f"{PASSAGE}\n{PASSAGE}"
     df = spark.createDataFrame([(1, twice), (2, "unlike anything else here"), (2, "unlike anything else here")], "doc_id long, text string")
