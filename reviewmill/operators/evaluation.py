@@ -6,13 +6,13 @@ margin of the positive class) where a curve is wanted. Nothing is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions import lexicon as lex
 from reviewmill.functions import rules
 from reviewmill.functions import text as tx
-from reviewmill.operators import ranking
+from reviewmill.operators import ranking, running
 
 
 def confusion(preds: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -50,33 +50,10 @@ def _score_groups(preds: DataFrame, score: str) -> DataFrame:
     )
 
 
-def cumulative_counts(preds: DataFrame, score: str = "score", slices: int | None = None) -> DataFrame:
-    """Per distinct score, class counts at this score and strictly above it.
-
-    A running sum over all scores would put them in one task. Here the score
-    range is cut at approximate quantiles of the distinct scores, into as many slices as their
-    number asks for; a window over the slice totals gives each slice its offset, and the running sums
-    inside slices run in parallel. Sums are exact wherever the cuts fall.
-    """
-    groups = _score_groups(preds, score)
-    sliced = groups.withColumn("slice", ranking.range_slice(groups, "score", slices or ranking.slices_of(groups)))
-    totals = sliced.groupBy("slice").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"), F.count(F.lit(1)).alias("g"))
-    before = Window.orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("slice", *[
-        F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_off") for c in ("p", "n", "g")
-    ])
-    inside = Window.partitionBy("slice").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
-    running = sliced.withColumns({
-        "p_in": F.coalesce(F.sum("pos").over(inside), F.lit(0)),
-        "n_in": F.coalesce(F.sum("neg").over(inside), F.lit(0)),
-        "g_in": F.coalesce(F.count(F.lit(1)).over(inside), F.lit(0)),
-    })
-    return running.join(F.broadcast(offsets), "slice").select(  # one row per slice
-        "score", "pos", "neg",
-        (F.col("p_in") + F.col("p_off")).alias("pos_above"),
-        (F.col("n_in") + F.col("n_off")).alias("neg_above"),
-        (F.col("g_in") + F.col("g_off")).alias("rank_above"),
-    )
+def cumulative_counts(preds: DataFrame, score: str = "score") -> DataFrame:
+    """Per distinct score, class counts at this score and strictly above it (W3): running totals in falling order."""
+    return running.totals_before(_score_groups(preds, score), [F.desc("score")], {
+        "pos_above": F.col("pos"), "neg_above": F.col("neg"), "rank_above": F.lit(1).cast("bigint")})
 
 
 def auc(preds: DataFrame, score: str = "score") -> DataFrame:

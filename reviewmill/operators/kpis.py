@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions import rules
 from reviewmill.functions import text as tx
-from reviewmill.operators import aspects, ranking
+from reviewmill.functions.names import free_names
+from reviewmill.operators import aspects, ranking, running
 
 # Fixed values shown for empty data, per view: (positive, negative).
 EMPTY_PLATFORM = (85.0, 15.0)
@@ -372,25 +373,18 @@ def open_invitations(invitations: DataFrame, limit: int | None = None) -> DataFr
     return ordered.limit(limit) if limit else ordered
 
 
-def unique_slugs(df: DataFrame, name: str, order: str, slices: int | None = None) -> DataFrame:
+def unique_slugs(df: DataFrame, name: str, order: str) -> DataFrame:
     """Slug per row; the first holder of a slug keeps it, later ones get a number (P25).
 
     A numbered slug that is the plain slug of another name gets a digest of the order key as well, so all slugs differ.
-    A name held by a third of all rows must not be numbered in one task. Rows are
-    cut into ranges of the order column, numbered within (slug, range), and shifted by
-    the counts of the earlier ranges, which form one row per slug and range.
+    Rows are numbered per slug by running totals, so a name held by a third of all rows is numbered in many tasks.
     """
-    cuts = ranking.range_slice(df, order, slices or ranking.slices_of(df))
-    sliced = df.withColumn("_base", tx.slug(name)).withColumn("_slice", cuts)
-    sizes = sliced.groupBy("_base", "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("_base").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_base", "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy("_base", "_slice").orderBy(order)
-    numbered = sliced.withColumn("_in", F.row_number().over(inside)).join(offsets, ["_base", "_slice"])
-    number = F.col("_in") + F.col("_off")
-    named = numbered.withColumn("_slug", F.when(number == 1, F.col("_base")).otherwise(F.concat_ws("-", "_base", number.cast("string"))))
-    plain = sizes.select(F.col("_base").alias("_slug")).distinct().withColumn("_taken", F.lit(True))
+    base, number, slug, taken = free_names(df.columns, "base", "number", "slug_text", "taken")
+    counted = running.numbered(df.withColumn(base, tx.slug(name)), [F.col(order)], number, per=[base])
+    place = F.col(number) + 1
+    named = counted.withColumn(slug, F.when(place == 1, F.col(base)).otherwise(F.concat_ws("-", base, place.cast("string"))))
+    plain = counted.filter(F.col(number) == 0).select(F.col(base).alias(slug), F.lit(True).alias(taken))
     digest = F.substring(F.sha2(F.col(order).cast("string"), 256), 1, 12)
-    clash = F.coalesce(F.col("_taken"), F.lit(False)) & (F.col("_slug") != F.col("_base"))
-    return named.join(plain, "_slug", "left").select(
-        *df.columns, F.when(clash, F.concat_ws("-", "_slug", digest)).otherwise(F.col("_slug")).alias("slug"))
+    clash = F.coalesce(F.col(taken), F.lit(False)) & (F.col(slug) != F.col(base))
+    return named.join(plain, slug, "left").select(
+        *df.columns, F.when(clash, F.concat_ws("-", slug, digest)).otherwise(F.col(slug)).alias("slug"))

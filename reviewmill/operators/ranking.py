@@ -83,24 +83,3 @@ def split_by_key(df: DataFrame, key: str, train_percent: int = 80, seed: int = 4
 def split_random(df: DataFrame, train_fraction: float = 0.8, seed: int = 42) -> list[DataFrame]:
     """Spark's own seeded split, which depends on row order within partitions."""
     return df.randomSplit([train_fraction, 1 - train_fraction], seed=seed)
-
-
-SLICE_ROWS = 100_000
-
-
-def slices_of(df: DataFrame) -> int:
-    """Number of slices, two at least, that leaves about SLICE_ROWS rows in each; counts the rows."""
-    return max(2, -(-df.count() // SLICE_ROWS))
-
-
-def range_slice(df: DataFrame, column: str, slices: int) -> Column:
-    """Number of the value range a row falls in, with ranges of about equal size.
-
-    Range bounds are approximate quantiles, one array of at most ``slices`` - 1 values
-    that enters as a scalar subquery. Used to cut an ordered running total into
-    tasks; results do not depend on where the bounds fall.
-    """
-    marks = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    cuts = df.agg(F.percentile_approx(column, marks, F.lit(10 * slices))).scalar()
-    # The bounds are sorted, so adding one value and sorting again is a single merge pass.
-    return F.array_position(F.sort_array(F.array_append(cuts, F.col(column))), F.col(column))

@@ -38,11 +38,9 @@ def test_metrics_equal_mllib(spark):
     assert sum(ev.confusion(df).first()) == df.count()
 
 
-@pytest.mark.parametrize("slices", [2, 16, 256])
-def test_running_counts_do_not_depend_on_slices(spark, slices):
+def test_running_counts(spark):
     df = preds(spark, n=500, levels=40)
-    rows = sorted(((r.score, r.pos, r.neg, r.pos_above, r.neg_above, r.rank_above)
-                   for r in ev.cumulative_counts(df, slices=slices).collect()), reverse=True)
+    rows = sorted(((r.score, r.pos, r.neg, r.pos_above, r.neg_above, r.rank_above) for r in ev.cumulative_counts(df).collect()), reverse=True)
     pos = neg = 0
     for i, (_, p, n, pa, na, rank) in enumerate(rows):
         assert (pa, na, rank) == (pos, neg, i)
