@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import annforest, bpe, decontam, extract, langid, linededup, neardup, tokencount, toxicity, urlfilter
+from reviewmill.llm import annforest, bpe, decontam, extract, langid, linededup, neardup, sharding, tokencount, toxicity, urlfilter
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -84,6 +84,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document: 40 shards of nearly equal bytes, equal texts together."""
+    placed = sharding.assign(table(spark, sf_dir, "documents"), 40, overhead=16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
@@ -95,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest": op8_nearest,
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
+    "op12_sharding": op12_sharding,
 }
 
 LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
