@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import annforest, bpe, decontam, extract, langid, linededup, neardup, sharding, tokencount, toxicity, urlfilter
+from reviewmill.llm import annforest, bpe, decontam, extract, langid, linededup, merkle, neardup, sharding, tokencount, toxicity, urlfilter
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -91,6 +91,18 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document; where 7 divides the checksum of the id, a changed row is held against its proof."""
+    names = ["doc_id", "source", "lang", "n_chars", "text"]
+    documents = table(spark, sf_dir, "documents").select(*names)
+    leaf = merkle.digest(*[merkle.field(F.col(n)) for n in names])
+    more = merkle.digest(*[merkle.field(F.col(n) + 1 if n == "n_chars" else F.col(n)) for n in names])
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    proven = merkle.manifest(documents, "doc_id", "lang", leaf, F.when(touched, more).otherwise(leaf))
+    return proven.select("doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("proof", "").cast("binary"), 256).alias("proof_sha256"),
+                         "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
@@ -103,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
     "op12_sharding": op12_sharding,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -117,6 +130,27 @@ def _shingle_sql(source: str, key: str, width: int) -> str:
           FROM {source} WHERE text IS NOT NULL) WHERE len(w) > 0"""
 
 
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, bit by bit."""
+    bit = "lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    byte = f"lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), {byte}), 4294967295)"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    parts = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", n_chars, "text")]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _climb_sql(name: str, start: str, nodes: str, end: str, same: str) -> str:
+    """A recursive table that carries each row's digest and proof up to the last level of its tree."""
+    return f"""{name} AS ({start} UNION ALL
+  SELECT w.id, w.lang, w.level + 1, w.i // 2, sha256(CASE WHEN s.h IS NULL THEN w.h WHEN w.i % 2 = 1 THEN s.h || w.h ELSE w.h || s.h END),
+         w.proof || coalesce(s.h, '') FROM {name} w JOIN {end} e ON {same.format(t="e")} AND w.level < e.height
+  LEFT JOIN {nodes} s ON {same.format(t="s")} AND s.level = w.level AND s.i = xor(w.i, 1))"""
+
+
 def _values(rows: list[tuple[str, ...]]) -> str:
     return ", ".join("(" + ", ".join("'" + cell.replace("'", "''") + "'" for cell in row) + ")" for row in rows)
 
@@ -149,4 +183,24 @@ WITH held AS ({_shingle_sql("documents", "doc_id", 5)}), item AS ({_shingle_sql(
 size AS (SELECT item_id, count(*) AS n FROM item GROUP BY 1)
 SELECT doc_id, item_id, CAST(count(*) AS BIGINT) AS found, CAST(n AS BIGINT) AS n_shingles, count(*) / CAST(n AS DOUBLE) AS containment
 FROM held JOIN item USING (s) JOIN size USING (item_id) GROUP BY doc_id, item_id, n HAVING 5 * count(*) >= 4 * n""",
+    "op13_merkle_manifest": f"""
+WITH RECURSIVE leaf AS (
+  SELECT doc_id, lang, {_leaf_sql("n_chars")} AS leaf,
+         CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_leaf_sql("(n_chars + 1)")} ELSE {_leaf_sql("n_chars")} END AS changed
+  FROM documents),
+ranked AS (SELECT *, row_number() OVER () AS id, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, changed) - 1 AS place,
+                  count(*) OVER (PARTITION BY lang) AS n FROM leaf),
+node AS (SELECT lang, 0 AS level, place AS i, leaf AS h, n FROM ranked UNION ALL
+  SELECT lang, level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM node WHERE n > 1 GROUP BY lang, level, i // 2, n),
+sub AS (SELECT lang, h AS subroot, level AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS m
+        FROM node WHERE n = 1),
+top AS (SELECT 0 AS level, place AS i, subroot AS h, m AS n FROM sub UNION ALL
+  SELECT level + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM top WHERE n > 1 GROUP BY level, i // 2, n),
+whole AS (SELECT h AS root, level AS height FROM top WHERE n = 1),
+{_climb_sql("low", "SELECT id, lang, 0 AS level, place AS i, changed AS h, '' AS proof FROM ranked", "node", "sub",
+            "{t}.lang IS NOT DISTINCT FROM w.lang")},
+{_climb_sql("high", "SELECT l.id, l.lang, 0 AS level, s.place AS i, l.h, l.proof FROM low l JOIN sub s "
+            "ON s.lang IS NOT DISTINCT FROM l.lang AND s.height = l.level", "top", "whole", "true")}
+SELECT r.doc_id, r.leaf, s.subroot, t.root, sha256(h.proof) AS proof_sha256, h.h AS folded_root, h.h = t.root AS verified
+FROM high h JOIN whole t ON h.level = t.height JOIN ranked r USING (id) JOIN sub s ON s.lang IS NOT DISTINCT FROM r.lang""",
 }
