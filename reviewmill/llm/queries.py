@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import annforest, bpe, decontam, extract, langid, linededup, merkle, neardup, sharding, tokencount, toxicity, urlfilter
+from reviewmill.llm import annforest, bpe, conversations, decontam, extract, langid, linededup, merkle, neardup, sharding, tokencount, toxicity, urlfilter
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -84,6 +84,27 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, stripped of full stops, repeated or given to the user, by a checksum of the key."""
+    filled = {n: F.coalesce(F.col(n).cast("string"), F.lit(" ")) for n in ("conv_id", "turn", "role", "text")}
+    way = F.crc32(F.concat(filled["conv_id"], F.lit(":"), filled["turn"]).cast("binary")) % 20
+    text = F.when(way == 1, "").when(way == 2, F.translate(filled["text"], ".!?", "")).otherwise(filled["text"])
+    copies = F.array_repeat(F.lit(1), F.when(way == 0, 0).when(way == 3, 2).otherwise(1))
+    return rows.select("conv_id", "turn", F.when(way == 4, "user").otherwise(filled["role"]).alias("role"), text.alias("text"),
+                       F.explode(copies).alias("copy")).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and its digest for every conversation, after damage."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversations.summary(conversations.repair(damaged(rows)))
+    every = rows.select("conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")).alias("conv")).distinct()
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.join(found, "conv", "left").select(
+        "conv_id", *[F.coalesce(n, F.lit(0)).alias(n) for n in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document: 40 shards of nearly equal bytes, equal texts together."""
     placed = sharding.assign(table(spark, sf_dir, "documents"), 40, overhead=16)
@@ -114,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest": op8_nearest,
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_sharding": op12_sharding,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
@@ -138,6 +160,55 @@ def _crc32(text: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), {byte}), 4294967295)"
 
 
+def _edit(state: str, cost: str, letter: str, row: str = "''") -> str:
+    """A state's (cost, audit, rows) after an edit."""
+    return f"{{'c': {state}.c + {cost}, 'p': {state}.p || '{letter}', 'o': {state}.o || {row}}}"
+
+
+def _repair_sql() -> str:
+    """Conversations by a forward programme over four states, each with its least (cost, audit, rows)."""
+    far, blanks = "{'c': 1000000, 'p': '', 'o': ''}", "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    user, assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    start = "{'c': 0, 'p': '', 'o': ''}"
+    may = "f.fault NOT IN ('blank', 'duplicate')"
+    more = "(CASE WHEN f.fault = 'truncated' THEN 3 ELSE 0 END)"
+    kept = "chr(10) || f.role || ':' || f.text"
+
+    def to(old: str, comes: str, initial: str, role: str) -> str:
+        keep = f"CASE WHEN {may} AND f.initial = '{initial}' THEN {_edit(comes, more, 'K', kept)} ELSE {far} END"
+        if not role:
+            return f"least({_edit(old, '4', 'D')}, {keep})"
+        rerole = f"CASE WHEN {may} THEN {_edit(comes, f'3 + {more}', 'R', f'{role} || f.text')} ELSE {far} END"
+        return f"least({_edit(old, '4', 'D')}, {keep}, {rerole})"
+
+    before_user = "least(z, s, a)"
+    return f"""
+WITH RECURSIVE filled AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+way AS (SELECT *, {_crc32("k")} % 20 AS m FROM filled),
+hurt AS (SELECT conv_id, turn, CASE WHEN m = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN m = 1 THEN '' WHEN m = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM way, unnest(CASE WHEN m = 0 THEN [] WHEN m = 3 THEN [1, 2] ELSE [1] END) t(copy)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM hurt),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, rtrim(text, {blanks}) AS bare FROM numbered),
+fault AS (SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated'
+    ELSE '' END AS fault, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS earlier FROM seen),
+path AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, {start} AS z, {far} AS s, {_edit(start, '3', 'I', user)} AS u,
+    {_edit(start, '6', 'II', f"{user} || {assistant}")} AS a FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL SELECT conv_id, i, z, s, u, least(a, {_edit('u', '3', 'I', assistant)}) AS a FROM (
+    SELECT conv_id, i, z, s, least(u, {_edit(before_user, '3', 'I', user)}) AS u, a FROM (
+      SELECT p.conv_id, f.i, {_edit('p.z', '4', 'D')} AS z, {to('p.s', 'p.z', 's', '')} AS s,
+             {to('p.u', 'least(p.z, p.s, p.a)', 'u', user)} AS u, {to('p.a', 'p.u', 'a', assistant)} AS a
+      FROM path p JOIN fault f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1))),
+best AS (SELECT conv_id, least(z, a) AS b FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) AS back FROM path) WHERE back = 1),
+total AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (earlier IS NOT NULL AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM fault GROUP BY conv_id)
+SELECT b.conv_id, {", ".join(f"CAST(coalesce(t.{n}, 0) AS BIGINT) AS {n}" for n in ("gaps", "blank", "duplicate", "truncated", "illegal"))},
+       CAST(b.b.c AS BIGINT) AS cost, b.b.p AS audit, sha256(substr(b.b.o, 2)) AS repaired_sha256
+FROM best b LEFT JOIN total t ON t.conv_id IS NOT DISTINCT FROM b.conv_id"""
+
+
 def _leaf_sql(n_chars: str) -> str:
     parts = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", n_chars, "text")]
     return f"sha256({' || '.join(parts)})"
@@ -183,6 +254,7 @@ WITH held AS ({_shingle_sql("documents", "doc_id", 5)}), item AS ({_shingle_sql(
 size AS (SELECT item_id, count(*) AS n FROM item GROUP BY 1)
 SELECT doc_id, item_id, CAST(count(*) AS BIGINT) AS found, CAST(n AS BIGINT) AS n_shingles, count(*) / CAST(n AS DOUBLE) AS containment
 FROM held JOIN item USING (s) JOIN size USING (item_id) GROUP BY doc_id, item_id, n HAVING 5 * count(*) >= 4 * n""",
+    "op11_conversation_repair": _repair_sql(),
     "op13_merkle_manifest": f"""
 WITH RECURSIVE leaf AS (
   SELECT doc_id, lang, {_leaf_sql("n_chars")} AS leaf,
