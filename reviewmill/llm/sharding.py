@@ -49,9 +49,9 @@ class Runs:
         self.total, self.starts, self.single = total, np.zeros(1, np.int64), np.zeros(1, bool)
 
     def refine(self, found: list[tuple[int, int]]) -> None:
-        """Take in (start, groups) of finer runs; they cover whole runs of before, from start to start."""
+        """Take in (start, groups) of finer runs; they cover whole runs of before, from start to start. Single groups stay so."""
         known = dict(zip(self.starts.tolist(), self.single.tolist(), strict=True))
-        known.update((start, groups == 1) for start, groups in found)
+        known.update([(start, groups == 1 or known.get(start, False)) for start, groups in found])
         self.starts = np.array(sorted(known), np.int64)
         self.single = np.array([known[s] for s in self.starts.tolist()], bool)
 
@@ -88,21 +88,24 @@ class Runs:
         return low
 
     def unsure(self, shards: int, low: int, high: int) -> list[tuple[int, int]]:
-        """Runs of several groups, as (from, to), that a cut of greedy filling with a capacity from ``low`` to ``high`` may fall in."""
+        """Stretches, one a cut at most, of runs that a cut of greedy filling with a capacity from ``low`` to ``high`` may fall in.
+
+        Stretches begin and end with runs of several groups; where all runs are single groups, there is nothing to find out.
+        """
         first = last = 0
-        marked = np.zeros(len(self.starts), bool)
+        ends = np.append(self.starts[1:], self.total)
+        out: list[tuple[int, int]] = []
         for _ in range(shards):
             if first + low >= self.total:
                 break
-            marked[self.at(first + low):self.at(min(last + high, self.total - 1)) + 1] = True
+            begin, until = self.at(first + low), self.at(min(last + high, self.total - 1)) + 1
+            open_runs = begin + np.flatnonzero(~self.single[begin:until])
+            if len(open_runs):
+                stretch = int(self.starts[open_runs[0]]), int(ends[open_runs[-1]])
+                if out and stretch[0] <= out[-1][1]:
+                    stretch = out.pop()[0], stretch[1]
+                out.append(stretch)
             first, last = max(first, self.reach(first, low, False)), self.reach(last, high, True)
-        ends = np.append(self.starts[1:], self.total)
-        out: list[tuple[int, int]] = []
-        for n in np.flatnonzero(marked & ~self.single).tolist():
-            if out and out[-1][1] == self.starts[n]:
-                out[-1] = (out[-1][0], int(ends[n]))
-            else:
-                out.append((int(self.starts[n]), int(ends[n])))
         return out
 
     def cuts(self, shards: int, capacity: int) -> list[int]:
