@@ -47,7 +47,8 @@ STATES = 5
 AFTER = {"s": {OPEN: SYSTEM}, "u": {OPEN: USER, SYSTEM: USER, ASSISTANT: USER}, "a": {USER: ASSISTANT}}
 ENDS = [0, FAR, FAR, FAR, 0]
 STOP, D, I, K, R = range(5)
-LETTERS = np.array(list("·DIKR"))
+#: The character of an edit by its letter and the state after it: K, D; U, A for a new role; u, a for an inserted row.
+EDIT_SIGNS = np.array([list("?????"), list("DDDDD"), list("???ua"), list("KKKKK"), list("???UA")])
 
 #: A row's code: x must be deleted; s, u, a, o (another role) by initial, in capitals if truncated. A dot ends the conversation.
 END = "."
@@ -76,8 +77,9 @@ class Programme:
 
     def __init__(self) -> None:
         self.known: dict[tuple[tuple[int, ...], str], tuple[tuple[int, ...], int, int]] = {}
-        self.letters: list[list[int]] = []
-        self.jumps: list[list[int]] = []
+        #: By number: the least letter of each state, and how far on the node is that it leads to. Number 0 stops everywhere.
+        self.letters: list[list[int]] = [[STOP] * STATES]
+        self.jumps: list[list[int]] = [[0] * STATES]
 
     def step(self, behind: tuple[int, ...], code: str) -> tuple[tuple[int, ...], int, int]:
         """(relative costs, their offset, number of the arcs)."""
@@ -144,12 +146,8 @@ def follow(start: int, pointers: list[np.ndarray], letter: np.ndarray) -> np.nda
 
 
 def _script(path: np.ndarray, letter: np.ndarray, first: int) -> str:
-    """A path as one character an edit: K, D; U, A for a new role; u, a for an inserted row."""
-    state = (path[1:] - first) % STATES
-    made = LETTERS[letter[path[:-1]]]
-    role = np.where(state == USER, "u", "a")
-    made = np.where(made == "I", role, np.where(made == "R", np.char.upper(role), made))
-    return "".join(made.tolist())
+    """A path as one sign an edit."""
+    return "".join(EDIT_SIGNS[letter[path[:-1]], (path[1:] - first) % STATES].tolist())
 
 
 def solve(programme: Programme, segments: list[tuple[str, list[int] | None]], every: bool) -> list[dict]:
@@ -157,22 +155,14 @@ def solve(programme: Programme, segments: list[tuple[str, list[int] | None]], ev
 
     A segment is (codes, costs behind it); without costs it ends its conversation. All segments are ranked together.
     """
-    out, letters, pointers, first = [], [], [], 0
+    out, arcs = [], []
     for codes, behind in segments:
-        whole = codes if behind is not None else codes + END
-        costs, arcs = programme.run(whole, ENDS if behind is None else behind)
-        rows = len(arcs) + (behind is not None)
-        letter = np.zeros((rows, STATES), np.int8)
-        jump = np.zeros((rows, STATES), np.int64)
-        if arcs:
-            letter[:len(arcs)] = np.array(programme.letters, np.int8)[arcs]
-            jump[:len(arcs)] = np.array(programme.jumps)[arcs]
-        nodes = np.arange(rows * STATES)
-        letters.append(letter.ravel())
-        pointers.append((first + nodes + jump.ravel()).astype(np.int32))
-        out.append({"costs": costs, "first": first})
-        first += rows * STATES
-    letter, pointer = np.concatenate(letters), np.concatenate(pointers)
+        whole = codes + END if behind is None else codes
+        costs, own = programme.run(whole, ENDS if behind is None else behind)
+        out.append({"costs": costs, "first": STATES * len(arcs)})
+        arcs += own if behind is None else [*own, 0]
+    letter = np.array(programme.letters, np.int8)[arcs].ravel()
+    pointer = np.arange(len(letter), dtype=np.int32) + np.array(programme.jumps, np.int32)[arcs].ravel()
     rank, doubled = rank_paths(letter, pointer)
     for found in out:
         at = found["first"]
