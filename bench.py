@@ -1,7 +1,7 @@
 """Times headline queries on $BENCH_SF_DIR with local[$BENCH_CPUS]; prints one JSON line.
 
 Results go to Spark's no-op sink, so every column of every row is computed and
-nothing is collected. Fitting the review model and scoring all reviews with it are timed apart. Stored
+nothing is collected. The given tables are one row group each, so they are dealt out over the cores first. Fitting the review model and scoring all reviews with it are timed apart. Stored
 intermediate tables go to $BENCH_SHARED, a folder that all executors share, or below the warehouse of the local session.
 """
 
@@ -25,13 +25,13 @@ HEADLINE = [
 ]
 
 
-def timed_parts(spark, sf_dir: str) -> dict:
+def timed_parts(spark, sf_dir: str, partitions: int) -> dict:
     """Queries of the catalog, and the two halves of the scoring job."""
     from reviewmill.catalog.modelling import review_model
     from reviewmill.catalog.views import Views
     from reviewmill.operators import scoring
 
-    views, fitted = Views(spark, sf_dir), []
+    views, fitted = Views(spark, sf_dir, partitions), []
 
     def fit(*_):
         fitted.append(review_model(views))
@@ -40,7 +40,7 @@ def timed_parts(spark, sf_dir: str) -> dict:
     def score(*_):
         return scoring.predict(views.reviews, fitted[0] if fitted else review_model(views), "content", ["id"])
 
-    return catalog.all_queries() | {"fit_review_model": fit, "score_reviews": score}
+    return catalog.all_queries(partitions) | {"fit_review_model": fit, "score_reviews": score}
 
 
 def main() -> None:
@@ -50,7 +50,7 @@ def main() -> None:
     shared = {"spark__checkpoint__dir": os.environ["BENCH_SHARED"]} if os.environ.get("BENCH_SHARED") else {}
     spark = build_session("bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__driver__memory="16g", **shared)
     spark.sparkContext.setLogLevel("ERROR")
-    queries = timed_parts(spark, sf_dir)
+    queries = timed_parts(spark, sf_dir, int(cpus))
     # One untimed query, so the first timed one does not pay for starting Spark.
     queries["corpus_class_distribution"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times, failed = {}, {}

@@ -23,16 +23,17 @@ def _load(attribute: str) -> dict:
     return merged
 
 
-def _bind(build: Callable[[Views], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+def _bind(build: Callable[[Views], DataFrame], partitions: int | None) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(Views(spark, sf_dir))
+        return build(Views(spark, sf_dir, partitions))
 
     run.__doc__ = build.__doc__
     return run
 
 
-def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _bind(build) for name, build in _load("QUERIES").items()}
+def all_queries(partitions: int | None = None) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every query; ``partitions`` as in ``Views``."""
+    return {name: _bind(build, partitions) for name, build in _load("QUERIES").items()}
 
 
 def all_oracles() -> dict[str, str]:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from reviewmill import session
 from reviewmill.catalog.corpus import SQL_A, SQL_C, sql_grams, sql_words
-from reviewmill.catalog.mining import CLAUSES, CONTEXTS, guardrail_sql
+from reviewmill.catalog.mining import CLAUSES, CONTEXT_LIST, CONTEXTS, PATTERNS, guardrail_sql
 from reviewmill.catalog.views import Views, with_views
 from reviewmill.functions import lexicon as lex
 from reviewmill.functions import rules
@@ -184,6 +184,15 @@ def _score_aspects(v: Views):
     return score_facts(scoring.aspect_predictions(v.reviews, review_model(v), "content", ["id"]), "id", "aspect", "context")
 
 
+def _review_analysis(v: Views):
+    """Every review with its contexts and complaint phrases in one row, and whether it has a sentiment."""
+    rows = scoring.analyze(v.reviews, review_model(v), "content", ["id"])
+    named = F.transform("aspects", lambda a: F.concat(a["aspect"], F.lit(": "), a["context"]))
+    judged = F.forall("aspects", lambda a: a["sentiment"].isin("POSITIVE", "NEGATIVE") & a["confidence"].between(0, 100))
+    return rows.select("id", F.array_join(named, " | ").alias("contexts"), F.array_join(F.col("complaints")["phrase"], ", ").alias("phrases"),
+                       F.col("sentiment").isNotNull().alias("has_sentiment"), judged.alias("judged"))
+
+
 def _aspect_report(v: Views):
     report = scoring.aspect_report(v.reviews, review_model(v), "content", ["id"])
     adds = F.col("positive_mentions") + F.col("negative_mentions") == F.col("mentions")
@@ -231,6 +240,7 @@ QUERIES = {
     "lda_topic_weight": _topic_weights,
     "score_batch": _score_batch,
     "score_aspects": _score_aspects,
+    "review_analysis": _review_analysis,
     "absa_model": _aspect_report,
     "error_report": _error_summary,
     "error_report_examples": _error_examples,
@@ -306,6 +316,9 @@ FROM (SELECT unnest(['positive', 'negative']) AS class) t""",
 FROM (SELECT unnest(range(1, 6)) AS t) x""",
     "score_batch": f"SELECT id, guardrail AS guard, TRUE AS obeyed, TRUE AS holds FROM ({guardrail_sql()}) g",
     "score_aspects": with_views("fx_reviews", "SELECT id, aspect, context, TRUE AS holds FROM ctx", clauses=CLAUSES, ctx=CONTEXTS),
+    "review_analysis": with_views("fx_reviews", f"""SELECT id, array_to_string(list_filter([{CONTEXT_LIST}], lambda x: x IS NOT NULL), ' | ') AS contexts,
+  array_to_string(list_transform(list_filter([{PATTERNS}], lambda x: contains(lower(coalesce(content, '')), x.phrase)), lambda x: x.phrase), ', ') AS phrases,
+  regexp_matches(coalesce(content, ''), '[A-Za-z0-9]') AS has_sentiment, TRUE AS judged FROM clauses""", clauses=CLAUSES),
     "absa_model": with_views("fx_reviews", "SELECT aspect, count(*) AS mentions, TRUE AS holds FROM ctx GROUP BY aspect",
                              clauses=CLAUSES, ctx=CONTEXTS),
     "error_report": with_views("fx_corpus", "SELECT count(*) AS total, TRUE AS holds FROM rows WHERE NOT is_train", rows=PREPARED),

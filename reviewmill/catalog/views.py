@@ -34,14 +34,20 @@ def _text(col):
 
 
 class Views:
-    """Lazily built DataFrames over one data folder."""
+    """Lazily built DataFrames over one data folder.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``partitions``, where the caller sets it, deals the tables that texts are derived from out over so many tasks. A table of one row
+    group is read by one task, and its texts would be worked on there; larger tables are split by their row groups.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, partitions: int | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.partitions = partitions
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        found = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return found.repartition(self.partitions) if self.partitions and name in ("lineitem", "documents") else found
 
     def _count(self, name: str):
         # Uncorrelated scalar subquery over the parquet row counts.

@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions import lexicon as lex
 from reviewmill.functions import rules
 from reviewmill.functions import text as tx
+from reviewmill.functions.names import free_names
 
 
 def keyword_pattern(words: list[str]) -> str:
     """Case-insensitive whole-word alternation."""
-    return rf"(?i)\b(?:{tx.word_alternation(words)})\b"
+    return rf"(?i)\b{tx.one_of(words)}\b"
 
 
 def clause_pattern(contrast: list[str] = lex.CONTRAST_WORDS, punctuation: str = lex.CLAUSE_PUNCTUATION) -> str:
     """Sentence ends, or a contrast word with the comma before it."""
     ends = "".join("\\n" if c == "\n" else c for c in punctuation)
-    return rf"(?i)[{ends}]+|(?:,\s+)?\b(?:{'|'.join(contrast)})\b"
+    first = "".join(sorted({word[0] for word in contrast}))
+    return rf"(?i)[{ends}]+|(?=[,{first}])(?:,\s+)?\b(?:{'|'.join(contrast)})\b"
 
 
 def clauses(text: Column | str) -> Column:
@@ -29,25 +33,61 @@ def clauses(text: Column | str) -> Column:
     return F.when(F.size(kept) > 0, kept).otherwise(F.array(tx.strip_space(col)))
 
 
-def _matching(texts: Column | str, pattern: str) -> Column:
-    return F.filter(texts, lambda t: t.rlike(pattern))
+def keyword_starts(dictionary: dict[str, list[str]]) -> tuple[str, dict[str, list[str]]]:
+    """A pattern whose first group is the longest keyword at each place where one starts, and each aspect's keywords.
+
+    The match itself is empty, so a keyword inside or across another one is found at its own start. A keyword that begins with a
+    keyword of another aspect counts for that aspect too.
+    """
+    every = [w for words in dictionary.values() for w in words]
+    owned = {aspect: sorted({w.lower() for w in every if any(re.match(rf"{re.escape(k)}\b", w, re.IGNORECASE) for k in words)})
+             for aspect, words in dictionary.items()}
+    return rf"(?i)\b(?=({tx.one_of(every)})\b)", owned
+
+
+def _entries(reviews: DataFrame, text: str, marked: str, dictionary: dict[str, list[str]],
+             named: Column | None = None) -> tuple[DataFrame, Column]:
+    """``reviews`` with the clauses that hold keywords, and an array of (aspect, context) made of them; an empty context is none.
+
+    A text is cut into clauses once, and each clause is searched once for all keywords; the aspects then look at the few words
+    found. Texts that are not ``named`` hold no keyword and are not cut. The work is per row: no shuffle.
+    """
+    pattern, owned = keyword_starts(dictionary)
+    body = F.col(text)
+    pieces, = free_names([*reviews.columns, marked], "pieces")
+    cut = F.filter(F.transform(F.split(body, clause_pattern()), lambda c: tx.strip_space(c)), lambda c: F.length(c) > 3)
+    rows = reviews.withColumn(pieces, cut if named is None else F.when(named, cut))
+    whole = F.when(F.size(pieces) > 0, F.col(pieces)).when(F.col(pieces).isNotNull(), F.array(tx.strip_space(body)))
+    found = F.transform(whole, lambda c: F.struct(
+        c.alias("clause"), F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), lambda w: F.lower(w)).alias("words")))
+    rows = rows.withColumn(marked, F.coalesce(found, F.array().cast("array<struct<clause:string,words:array<string>>>"))).drop(pieces)
+
+    def entry(aspect: str, words: list[str]) -> Column:
+        own = F.filter(F.col(marked), lambda m: F.exists(m["words"], lambda w: w.isin(words)))
+        return F.struct(F.lit(aspect).alias("aspect"), F.array_join(own["clause"], " ... ").alias("context"))
+
+    return rows, F.array(*[entry(a, w) for a, w in owned.items()])
+
+
+def with_aspects(reviews: DataFrame, text: str, out: str, dictionary: dict[str, list[str]] = lex.ASPECT_KEYWORDS) -> DataFrame:
+    """``reviews`` with an array of (aspect, context): the clauses that mention each aspect (F10-F12), in dictionary order."""
+    marked, = free_names([*reviews.columns, out], "marked")
+    named = F.coalesce(F.col(text).rlike(keyword_pattern([w for words in dictionary.values() for w in words])), F.lit(False))
+    rows, entries = _entries(reviews, text, marked, dictionary, named)
+    return rows.withColumn(out, F.filter(entries, lambda e: e["context"] != "")).drop(marked)
 
 
 def aspect_contexts(reviews: DataFrame, text: str, keep: list[str],
                     dictionary: dict[str, list[str]] = lex.ASPECT_KEYWORDS) -> DataFrame:
     """One row per review and aspect it mentions, with the clauses that mention it.
 
-    Texts without any keyword are dropped by one scan-side filter before the clause
-    split. The work is per row: no shuffle.
+    Texts without any keyword are dropped by a scan-side filter. The filter on contexts follows the explosion, so that the
+    optimizer does not repeat the search in a condition of its own.
     """
+    marked, = free_names([*reviews.columns, "aspect", "context"], "marked")
     any_keyword = keyword_pattern([w for words in dictionary.values() for w in words])
-    split = reviews.filter(F.col(text).rlike(any_keyword)).select(*keep, clauses(text).alias("_clauses"))
-    found = []
-    for aspect, words in dictionary.items():
-        pattern = keyword_pattern(words)
-        context = F.array_join(_matching("_clauses", pattern), " ... ")
-        found.append(F.struct(F.lit(aspect).alias("aspect"), context.alias("context")))
-    return split.select(*keep, F.inline(F.array(*found))).filter(F.col("context") != "")
+    rows, entries = _entries(reviews.filter(F.col(text).rlike(any_keyword)), text, marked, dictionary)
+    return rows.select(*keep, F.inline(entries)).filter(F.col("context") != "")
 
 
 def mentions_aspect(text: Column | str, aspect: str,

@@ -101,3 +101,19 @@ def test_phrase_join_equals_brute_force(spark):
     got = {(r.id, r.phrase) for r in complaints.match_phrases(reviews(spark, *texts), table).collect()}
     want = {(i, p) for i, t in enumerate(texts) for p in phrases if p in t.lower()}
     assert got == want
+
+
+def test_keywords_inside_and_across_others_count_for_every_aspect(spark):
+    dictionary = {"Service": ["service", "life time"], "Phone line": ["customer service line"], "Battery": ["battery life"], "Customer": ["customer"]}
+    texts = ["The Customer Service Line was busy.", "What a battery life time!", "servicemen only", "customer, service; life"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, content string")
+    got = {}
+    for r in aspects.aspect_contexts(df, "content", ["id"], dictionary).collect():
+        got.setdefault(r.id, set()).add(r.aspect)
+    assert got == {0: {"Service", "Phone line", "Customer"}, 1: {"Service", "Battery"}, 3: {"Service", "Customer"}}
+
+
+def test_contexts_are_searched_once(spark):
+    plan = aspects.aspect_contexts(spark.range(5).select("id", F.lit("the price").alias("content")), "content", ["id"])
+    plan = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= 1 and "Join" not in plan

@@ -176,9 +176,27 @@ def test_topics(spark, sample):
 
 
 def test_analysis_of_single_reviews(spark, fitted):
-    rows = spark.createDataFrame([(1, "The battery is terrible but the build quality is excellent. It stopped working."), (2, "great value"), (3, None)],
-                                 "id int, review string")
-    got = {r.id: r for r in scoring.analyze(rows, fitted, "review", ["id"]).collect()}
+    text = "Charging takes all night, yet I like the sturdy metal design. After a month it stopped working."
+    rows = spark.createDataFrame([(1, text), (2, "great value"), (3, None), (2, "great value")], "id int, review string")
+    found = scoring.analyze(rows, fitted, "review", ["id"]).collect()
+    assert sorted(r.id for r in found) == [1, 2, 2, 3]
+    got = {r.id: r for r in found}
     assert [a.aspect for a in got[1].aspects] == ["Battery", "Build Quality"] and [c.phrase for c in got[1].complaints] == ["stopped working"]
     alone = {r.id: r.sentiment for r in scoring.predict(rows, fitted, "review", ["id"]).collect()}
     assert {k: r.sentiment for k, r in got.items()} == alone and got[3].aspects == []
+    contexts = {(r.id, r.aspect): (r.sentiment, r.confidence) for r in scoring.aspect_predictions(rows, fitted, "review", ["id"]).collect()}
+    assert {(r.id, a.aspect): (a.sentiment, a.confidence) for r in found for a in r.aspects} == contexts
+
+
+def test_analysis_keeps_columns_of_any_name(spark, fitted):
+    names = ["_text", "_spelled", "_any", "kept", "body", "own", "clean_text", "features", "tokens", "found", "context_0", "pieces", "raw", "a.b"]
+    rows = spark.createDataFrame([(*range(len(names)), "the price is bad")], ", ".join(f"`{n}` int" for n in names) + ", review string")
+    for out in (scoring.predict(rows, fitted, "review", names), scoring.analyze(rows, fitted, "review", names)):
+        assert out.columns[:len(names)] == names and tuple(out.first())[:len(names)] == tuple(range(len(names)))
+    assert scoring.predict(rows.withColumn("prediction", F.lit("mine")), fitted, "review", ["prediction", "raw"]).columns.count("prediction") == 1
+
+
+def test_analysis_has_no_exchange(spark, fitted):
+    rows = spark.range(10).select("id", F.lit("the price is bad").alias("review"))
+    plan = scoring.analyze(rows, fitted, "review", ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
