@@ -14,7 +14,7 @@ from reviewmill.functions import rules
 from reviewmill.functions import text as tx
 from reviewmill.operators import kpis
 from reviewmill.plans import jobs
-from reviewmill.sources import readers, sinks
+from reviewmill.sources import readers, sinks, upserts
 
 
 def _uploaded(v: Views, separator: str = ","):
@@ -88,10 +88,10 @@ def _upsert(v: Views):
     """The same merge through the stored table: first load, then the updates."""
     path = session.scratch_path(v.spark, "profiles")
     stored, updates = _stored_customers(v), _order_updates(v)
-    sinks.upsert_table(stored, path)
-    sinks.compact_table(v.spark, path, ["id"], tie="name")
-    sinks.upsert_table(updates, path)
-    return sinks.read_upserted(v.spark, path, ["id"], tie="name").select("id", "name", "updated_at", "created_at")
+    upserts.upsert(stored, path, ["id"])
+    upserts.compact(v.spark, path, tie="name")
+    upserts.upsert(updates, path, ["id"])
+    return upserts.read_upserted(v.spark, path, tie="name").select("id", "name", "updated_at", "created_at")
 
 
 def _defaults(v: Views):

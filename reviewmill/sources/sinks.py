@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,7 +129,7 @@ def append_reviews(df: DataFrame, path: str) -> None:
     append(months.hint("rebalance", "review_month"), path, ["review_month"])
 
 
-# --- upsert -------------------------------------------------------------------------------------
+# --- merging ------------------------------------------------------------------------------------
 
 def merge_latest(current: DataFrame, updates: DataFrame, keys: list[str], version: str = "updated_at",
                  created: str | None = "created_at", tie: str | None = None) -> DataFrame:
@@ -153,54 +151,3 @@ def merge_latest(current: DataFrame, updates: DataFrame, keys: list[str], versio
         F.col(c) if c in keys else (F.col("_created").alias(c) if c == created else F.col(f"_row.{c}").alias(c))
         for c in columns
     ])
-
-
-def _generation(spark: SparkSession, path: str) -> int:
-    """Newest complete generation of a versioned table; 0 before the first compaction."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(root):
-        return 0
-    numbers = [int(s.getPath().getName().partition("=")[2]) for s in files.listStatus(root) if s.getPath().getName().startswith("generation=")]
-    base = spark._jvm.org.apache.hadoop.fs.Path
-    complete = [n for n in numbers if files.exists(base(f"{path}/generation={n}/batch=0/_SUCCESS"))]
-    return max(complete, default=0)
-
-
-def upsert_table(updates: DataFrame, path: str, batch: int | None = None) -> int:
-    """Add a batch of row versions to a table (S15); returns its number.
-
-    Only the rows of the batch are written, into a folder of their own, so a batch costs what it holds and writing it
-    again replaces nothing but itself. Readers pick the last version of each key, ``compact_table`` folds them from time to
-    time. ``batch`` is the number of a stream's batch, above zero; without one the time in microseconds is taken. One writer at a time.
-    """
-    spark = updates.sparkSession
-    number = time.time_ns() // 1000 if batch is None else batch
-    updates.write.mode("overwrite").parquet(f"{path}/generation={_generation(spark, path)}/batch={number}")
-    return number
-
-
-def read_upserted(spark: SparkSession, path: str, keys: list[str], version: str = "updated_at", created: str | None = "created_at",
-                  tie: str | None = None) -> DataFrame:
-    """Last version of every key: the highest ``version``, of equal ones the later batch, of one batch the highest ``tie``."""
-    rows = spark.read.parquet(f"{path}/generation={_generation(spark, path)}")
-    rest = [c for c in rows.columns if c not in [*keys, "batch"]]
-    order = F.struct(F.col(version), F.col("batch"), *([F.col(tie)] if tie else []))
-    picked = [F.max_by(F.struct(*rest), order).alias("_row")]
-    if created:
-        picked.append(F.min(created).alias("_created"))
-    merged = rows.groupBy(*keys).agg(*picked)
-    return merged.select(*[
-        F.col(c) if c in keys else (F.col("_created").alias(c) if c == created else F.col(f"_row.{c}").alias(c))
-        for c in rows.columns if c != "batch"
-    ])
-
-
-def compact_table(spark: SparkSession, path: str, keys: list[str], version: str = "updated_at", created: str | None = "created_at",
-                  tie: str | None = None) -> None:
-    """Write the last versions as a new generation.
-
-    Readers turn to it when its success mark appears; until then, and if the write fails, they read the old one, which stays.
-    """
-    merged = read_upserted(spark, path, keys, version, created, tie)
-    merged.write.mode("overwrite").parquet(f"{path}/generation={_generation(spark, path) + 1}/batch=0")

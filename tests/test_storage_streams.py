@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reviewmill import schemas, session
 from reviewmill.operators import corpus
 from reviewmill.plans import jobs as batch_jobs
-from reviewmill.sources import readers, sinks
+from reviewmill.sources import readers, sinks, upserts
 from reviewmill.streaming import jobs
 
 
@@ -72,33 +72,71 @@ TABLE = "id bigint, name string, created_at bigint, updated_at bigint"
 
 def test_upsert_is_idempotent_and_keeps_creation(spark, tmp_path):
     path = str(tmp_path / "t")
-    sinks.upsert_table(spark.createDataFrame([(i, f"v{i}", 1, 1) for i in range(40)], TABLE), path, 1)
-    update = spark.createDataFrame([(3, "new", 9, 9), (3, "old", 5, 5), (99, "add", 9, 9), (4, "stale", 0, 0), (5, "a", 2, 2), (5, "b", 2, 2)], TABLE)
-    for compact in (False, False, True, True):
-        sinks.upsert_table(update, path, 2)
-        if compact:
-            sinks.compact_table(spark, path, ["id"], tie="name")
-        rows = {r.id: tuple(r)[1:] for r in sinks.read_upserted(spark, path, ["id"], tie="name").collect()}
-        assert len(rows) == 41
-        assert rows[3] == ("new", 1, 9) and rows[99] == ("add", 9, 9) and rows[5][0] == "b"
+    upserts.upsert(spark.createDataFrame([(i, f"v{i}", 1, 1) for i in range(40)] + [(None, "nobody", 1, 1)], TABLE), path, ["id"], 1)
+    update = spark.createDataFrame([(3, "new", 9, 9), (3, "old", 5, 5), (99, "add", 9, 9), (4, "stale", 0, 0), (5, "a", 2, 2), (5, "b", 2, 2),
+                                    (None, "somebody", 2, 2)], TABLE)
+    for buckets in (None, None, 4, 4, 7):
+        upserts.upsert(update, path, ["id"], 2)
+        if buckets:
+            upserts.compact(spark, path, tie="name", buckets=buckets)
+        rows = {r.id: tuple(r)[1:] for r in upserts.read_upserted(spark, path, tie="name").collect()}
+        assert len(rows) == 42
+        assert rows[3] == ("new", 1, 9) and rows[99] == ("add", 9, 9) and rows[5][0] == "b" and rows[None] == ("somebody", 1, 2)
         assert rows[4] == ("v4", 0, 1)  # an older version never replaces a newer one
+        for key in (3, 4, 99, None):
+            assert [tuple(r)[1:] for r in upserts.read_key(spark, path, {"id": key}, tie="name").collect()] == [rows[key]]
+        assert upserts.read_key(spark, path, {"id": 1000}, tie="name").count() == 0
+    assert {f.name for f in (tmp_path / "t").iterdir()} == {"generation=2", "generation=3"}
 
 
 def test_upsert_writes_only_its_own_rows(spark, tmp_path):
     path = tmp_path / "t"
-    sinks.upsert_table(spark.createDataFrame([(i, "a", 1, 1) for i in range(50)], TABLE), str(path), 1)
+    upserts.upsert(spark.createDataFrame([(i, "a", 1, 1) for i in range(50)], TABLE), str(path), ["id"], 1)
     before = {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
-    sinks.upsert_table(spark.createDataFrame([(7, "b", 2, 2)], TABLE), str(path), 2)
+    upserts.upsert(spark.createDataFrame([(7, "b", 2, 2)], TABLE), str(path), ["id"], 2)
     after = {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
     assert all(after[f] == before[f] for f in before)
     assert sum(spark.read.parquet(str(f)).count() for f in after.keys() - before.keys()) == 1
 
 
-def test_interrupted_compaction_changes_nothing(spark, tmp_path):
+def test_interrupted_writes_change_nothing(spark, tmp_path):
+    path, root = str(tmp_path / "t"), tmp_path / "t"
+    upserts.upsert(spark.createDataFrame([(1, "a", 1, 1)], TABLE), path, ["id"], 1)
+    read = lambda: [r.name for r in upserts.read_upserted(spark, path).collect()]
+    (root / "generation=1" / "buckets=4").mkdir(parents=True)  # a compaction without success mark
+    (root / "generation=0" / "batch=9").mkdir()  # a batch without one
+    assert read() == ["a"]
+    upserts.compact(spark, path, buckets=2)
+    assert read() == ["a"] and (root / "generation=0" / "batch=1").exists()
+    upserts.upsert(spark.createDataFrame([(1, "b", 2, 2)], TABLE), path, ["id"], 2)
+    (root / "generation=2" / "buckets=2").mkdir(parents=True)
+    assert read() == ["b"]
+    upserts.compact(spark, path)
+    assert read() == ["b"] and not (root / "generation=0").exists()
+
+
+def test_stored_rows_are_not_exchanged_and_a_key_opens_one_bucket(spark, tmp_path):
     path = str(tmp_path / "t")
-    sinks.upsert_table(spark.createDataFrame([(1, "a", 1, 1)], TABLE), path, 1)
-    (tmp_path / "t" / "generation=1" / "batch=0").mkdir(parents=True)  # no success mark
-    assert [r.name for r in sinks.read_upserted(spark, path, ["id"]).collect()] == ["a"]
+    upserts.upsert(spark.range(2000).selectExpr("id", "'a' as name", "id as created_at", "1L as updated_at"), path, ["id"], 1)
+    upserts.compact(spark, path, buckets=16)
+    upserts.upsert(spark.createDataFrame([(7, "b", 2, 2)], TABLE), path, ["id"], 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        whole = upserts.read_upserted(spark, path)._jdf.queryExecution().executedPlan().toString()
+        key = upserts.read_key(spark, path, {"id": 7})._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    base = next(line for line in whole.splitlines() if "Bucketed: true" in line)
+    above = whole.splitlines()[:whole.splitlines().index(base)]
+    depth = len(base) - len(base.lstrip(" :+-"))
+    parents, at = [], depth
+    for line in reversed(above):  # the lines that lead from the base up to the root
+        indent = len(line) - len(line.lstrip(" :+-"))
+        if indent < at:
+            parents.append(line)
+            at = indent
+    assert parents and not any("Exchange" in line for line in parents)
+    assert "SelectedBucketsCount: 1 out of 16" in key
 
 
 def test_ids_differ_for_different_keys(spark):
@@ -189,7 +227,7 @@ def test_import_stream_keeps_the_last_version(spark, tmp_path):
     )
     out = str(tmp_path / "out")
     jobs.import_stream(stream, members, out, str(tmp_path / "cp")).awaitTermination()
-    rows = {r.id: r.sentiment for r in sinks.read_upserted(spark, out, ["id"], "review_date", None).collect()}
+    rows = {r.id: r.sentiment for r in upserts.read_upserted(spark, out, "review_date", None).collect()}
     assert rows == {"1": "NEGATIVE", "3": "NEGATIVE", "5": "POSITIVE"}
 
 
