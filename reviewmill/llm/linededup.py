@@ -6,10 +6,13 @@ capital that follows a word without one, so a passage pasted into a sentence sta
 word digests, so that a passage of one long sentence, in capitals or joined to a short piece yields the same units from its first
 such word on, wherever it starts. Units are normalised (A-Z lower-cased, blanks collapsed) and hashed;
 digests are grouped over all documents. The occurrence in the smallest doc_id, there the first, is kept. All others are
-marked, and every run of marked neighbours that holds at least ``MIN_RUN`` words is cut out. In scripts without blanks
-between words, letters are counted. Shorter runs stay, as greetings, licence
+marked, and every run of marked neighbours that holds at least ``min_words`` words (25 by default) is cut out. In scripts without
+blanks between words, letters are counted. Shorter runs stay, as greetings, licence
 lines and other stock phrases repeat in clean documents. Offsets always refer to the original text, in code points.
 
+A text is cut into units once. Their offsets, sizes and digests are stored; marks and runs are found on those narrow rows, and the
+texts then meet nothing but the spans to remove, which Spark's own functions cut out.
+
 Defined cases: a null text stays null with no spans, an empty one stays empty. Rows that share a doc_id count as one document, so
 they do not repeat each other. Rows without doc_id are returned unchanged and take part in nothing. A text that repeats
 wholly becomes empty. Further columns pass through; ``removed`` and ``kept`` give way to the result.
@@ -21,12 +24,12 @@ import re
 from collections.abc import Iterator
 from zlib import crc32
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import add_columns, free_name, slices
+from reviewmill.functions.names import free_names
+from reviewmill.llm.common import slices
 from reviewmill.session import publish
 
 MIN_UNIT, MIN_RUN = 4, 25
@@ -101,64 +104,80 @@ def units(text: str) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def _digests(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, version, digests): the digests of a text's units in order; ``version`` tells texts of one key apart."""
+def _units(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, version, starts, words, digests, own, size): the units of a text in order, and its length in code points.
+
+    ``version`` tells texts of one key apart; ``own`` has the places of units that the same text holds further up.
+    """
+    schema = "key long, version long, starts array<int>, words array<int>, digests array<long>, own array<int>, size int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
         for piece in slices(batches):
-            found = [[u[3] for u in units(value)] if value else [] for value in piece.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(found, pa.list_(pa.int64()))],
-                                             names=["key", "version", "digests"])
+            rows: list[list] = [[], [], [], [], []]
+            for value in piece.column(2).to_pylist():
+                found, seen, own = units(value) if value else [], set(), []
+                for n, unit in enumerate(found):
+                    if unit[3] in seen:
+                        own.append(n)
+                    seen.add(unit[3])
+                for column, item in zip(rows, ([u[0] for u in found], [u[2] for u in found], [u[3] for u in found], own, len(value or "")), strict=True):
+                    column.append(item)
+            arrays = [pa.array(column, kind) for column, kind in zip(rows, (ints, ints, longs, ints, pa.int32()), strict=True)]
+            yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), *arrays],
+                                             names=["key", "version", "starts", "words", "digests", "own", "size"])
 
     rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("version"), F.col(text))
-    return rows.mapInArrow(run, "key long, version long, digests array<long>")
-
-
-def _cut(text: str | None, marked: list[int] | None, is_first: bool) -> tuple[str | None, list, list]:
-    """Text without its repeated runs, the removed spans and the kept spans."""
-    if not text:
-        return text, [], []
-    parts = units(text) if marked or is_first else []
-    flagged, seen = set(marked or ()), set()
-    for n, unit in enumerate(parts):
-        if unit[3] in seen:
-            flagged.add(n)
-        seen.add(unit[3])
-    removed, n = [], 0
-    while n < len(parts):
+    return rows.mapInArrow(run, schema)
+
+
+def removable(starts: list[int], words: list[int], flagged: set[int], size: int, min_words: int) -> list[tuple[int, int]]:
+    """The spans of runs of flagged units that hold at least ``min_words`` words; a span ends where the next unit starts."""
+    out, n = [], 0
+    while n < len(starts):
         stop = n
-        while stop < len(parts) and stop in flagged:
+        while stop < len(starts) and stop in flagged:
             stop += 1
-        if stop > n and sum(unit[2] for unit in parts[n:stop]) >= MIN_RUN:
-            removed.append((parts[n][0], parts[stop][0] if stop < len(parts) else len(text)))
+        if stop > n and sum(words[n:stop]) >= min_words:
+            out.append((starts[n], starts[stop] if stop < len(starts) else size))
         n = max(stop, n + 1)
-    kept, position = [], 0
-    for start, end in [*removed, (len(text), len(text))]:
-        if start > position:
-            kept.append((position, start))
-        position = end
-    return "".join(text[a:b] for a, b in kept), removed, kept
+    return out
+
+
+SPANS = "array<struct<begin:int,until:int>>"
+
+
+def _cuts(stored: DataFrame, marks: DataFrame, min_words: int) -> DataFrame:
+    """(key, version, removed) of the texts that lose something."""
+    touched = stored.drop("digests").join(marks, ["key", "version"], "left").filter("size(own) > 0 OR marked IS NOT NULL")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("begin", pa.int32()), ("until", pa.int32())]))
+        for piece in slices(batches):
+            found = [[{"begin": a, "until": b} for a, b in removable(r["starts"], r["words"], {*r["own"], *(r["marked"] or ())}, r["size"], min_words)]
+                     for r in piece.select(["starts", "words", "own", "marked", "size"]).to_pylist()]
+            yield pa.RecordBatch.from_arrays([piece.column("key"), piece.column("version"), pa.array(found, kind)], names=["key", "version", "removed"])
+
+    spans = touched.mapInArrow(run, f"key long, version long, removed {SPANS}").filter(F.size("removed") > 0)
+    return spans.groupBy("key", "version").agg(F.any_value("removed").alias("removed"))  # equal rows have equal spans
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_RUN) -> DataFrame:
     """``docs`` with shortened texts, and the spans ``removed`` and ``kept`` as (begin, until) offsets of the original."""
-    stored = publish(_digests(docs, key, text), "units")
+    stored = publish(_units(docs, key, text), "units")
     spread = stored.select("key", "version", F.posexplode("digests").alias("n", "digest"))
     repeated = spread.groupBy("digest").agg(F.min("key").alias("first"), F.max("key").alias("last")).filter("first != last").drop("last")
     repeated = publish(repeated, "repeated")  # stored, so that the join can split a digest that a third of all units share
-    found = spread.join(repeated, "digest").filter("key != first").groupBy("key", "version").agg(F.collect_list("n").alias("marked"))
-    key_name, version, marked = (free_name(docs.columns, name) for name in ("key", "version", "marked"))
-    found = found.select(F.col("key").alias(key_name), F.col("version").alias(version), F.col("marked").alias(marked))
-    rows = docs.withColumn(key_name, F.col(key).cast("long")).withColumn(version, F.xxhash64(text))
-    rows = rows.join(found, [key_name, version], "left").drop(version)
-    shorter = free_name(docs.columns, "shorter")
-    spans = "array<struct<begin:int,until:int>>"
-
-    def compute(columns: list[list]) -> list:
-        made = [_cut(*row[:2], row[2] is not None) for row in zip(*columns, strict=True)]
-        as_rows = [[[{"begin": a, "until": b} for a, b in row[k]] for row in made] for k in (1, 2)]
-        return [[row[0] for row in made], *as_rows]
-
-    out = add_columns(rows, [text, marked, key_name], f"`{shorter}` string, removed {spans}, kept {spans}", compute)
+    marks = spread.join(repeated, "digest").filter("key != first").groupBy("key", "version").agg(F.collect_list("n").alias("marked"))
+    cuts = publish(_cuts(stored, marks, min_words), "cuts")
+    key_name, version, spans = free_names([*docs.columns, "removed", "kept"], "key", "version", "spans")
+    cuts = cuts.select(F.col("key").alias(key_name), F.col("version").alias(version), F.col("removed").alias(spans))
+    rows = docs.withColumn(key_name, F.col(key).cast("long")).withColumn(version, F.xxhash64(text)).join(cuts, [key_name, version], "left")
+    gone = F.coalesce(F.col(spans), F.array().cast(SPANS))
+    begins, ends = F.concat(F.array(F.lit(0)), gone["until"]), F.concat(gone["begin"], F.array(F.coalesce(F.length(text), F.lit(0))))
+    between = F.zip_with(begins, ends, lambda a, b: F.struct(a.alias("begin"), b.alias("until")))
+    kept = F.filter(between, lambda s: s["until"] > s["begin"])
+    shorter = F.array_join(F.transform(kept, lambda s: F.substring(text, s["begin"] + 1, s["until"] - s["begin"])), "")
     names = [name for name in docs.columns if name.lower() not in ("removed", "kept")]
-    return out.select(*[F.col(f"`{shorter}`").alias(text) if name == text else F.col(f"`{name}`") for name in names], "removed", "kept")
+    left = F.when(F.col(spans).isNull(), F.col(text)).otherwise(shorter)
+    return rows.select(*[left.alias(text) if name == text else F.col(f"`{name}`") for name in names], gone.alias("removed"), kept.alias("kept"))

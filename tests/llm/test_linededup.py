@@ -93,3 +93,33 @@ def test_query_equals_brute_force(spark):
     want = brute(rows)
     assert {k for k in want if want[k] != dict(rows)[k]}
     assert got == want
+
+
+@pytest.mark.parametrize("min_words", [1, 8, 25])
+def test_repeated_sentences_by_their_own_segmentation(spark, min_words):
+    """Texts are made of known sentences, so what must go follows from the sentences alone."""
+    rng = random.Random(min_words)
+    say = lambda n: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(n)).capitalize() + "."
+    pool = [say(n) for n in (5, 9, 26, 31, 40)]
+    docs = {}
+    for key in range(60):
+        docs[key] = [rng.choice(pool) if rng.random() < 0.3 else say(rng.randint(5, 30)) for _ in range(rng.randint(1, 8))]
+    first = {}
+    for key, sentences in docs.items():
+        for n, sentence in enumerate(sentences):
+            first.setdefault(sentence, (key, n))
+    want = {}
+    for key, sentences in docs.items():
+        runs, kept = [], []
+        for n, sentence in enumerate(sentences):
+            if first[sentence] == (key, n):
+                kept += runs if sum(len(r.split()) for r in runs) < min_words else []
+                runs = []
+                kept.append(sentence)
+            else:
+                runs.append(sentence)
+        kept += runs if sum(len(r.split()) for r in runs) < min_words else []
+        want[key] = " ".join(kept)
+    df = spark.createDataFrame([(k, " ".join(v)) for k, v in docs.items()], "doc_id long, text string")
+    got = {r.doc_id: r.text.strip() for r in linededup.dedup(df, min_words=min_words).collect()}
+    assert got == want
