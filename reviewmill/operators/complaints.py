@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewmill import session
 from reviewmill.functions import lexicon as lex
 from reviewmill.functions import rules
 from reviewmill.functions import text as tx
+from reviewmill.functions.names import free_names
 from reviewmill.operators import ranking
 
 MIN_PHRASE_LENGTH = {2: 4, 3: 6}  # fixed values: a phrase must be longer than this (P26)
@@ -138,53 +140,95 @@ def complaint_matches(reviews: DataFrame, content: str = "content", keep: list[s
     return reviews.select(*keep, F.inline(matched_patterns(content, **options)))
 
 
-def phrase_anchors(phrases: DataFrame, phrase: str = "phrase") -> DataFrame:
-    """Join key of each phrase of two or more words.
+def phrase_gaps(phrases: DataFrame, phrase: str = "phrase") -> DataFrame:
+    """(phrase, a, b, anchor): a row for each blank of each phrase of two or more words.
 
-    A text that contains the phrase has, around one of its single blanks, the end of
-    the first phrase word and the start of the second. The key is that end and start,
-    at most three characters each; ``_a`` and ``_b`` are their lengths.
+    A text that contains the phrase has, around one of its single blanks, the end of the word before and the start of the word
+    after. The anchor is that end and start, at most three characters each; ``a`` and ``b`` are their lengths.
     """
-    words = F.split(F.col(phrase), " ")
-    first, second = F.element_at(words, 1), F.element_at(words, 2)
-    return (
-        phrases.filter(F.contains(F.col(phrase), F.lit(" ")))
-        .withColumns({"_a": F.least(F.length(first), F.lit(ANCHOR)), "_b": F.least(F.length(second), F.lit(ANCHOR))})
-        .withColumn("_anchor", F.concat(F.right(first, F.col("_a")), F.lit(" "), F.left(second, F.col("_b"))))
-    )
+    words = F.split(F.col("phrase"), " ")
+    pairs = F.arrays_zip(F.slice(words, F.lit(1), F.size(words) - 1).alias("l"), F.slice(words, F.lit(2), F.size(words) - 1).alias("r"))
+    several = phrases.select(F.col(phrase).alias("phrase")).filter(F.contains("phrase", F.lit(" "))).distinct()
+    cut = several.select("phrase", F.inline(pairs).alias("l", "r"))
+    cut = cut.withColumns({"a": F.least(F.length("l"), F.lit(ANCHOR)), "b": F.least(F.length("r"), F.lit(ANCHOR))})
+    return cut.select("phrase", "a", "b", F.concat(F.right("l", F.col("a")), F.lit(" "), F.left("r", F.col("b"))).alias("anchor"))
+
+
+def _text_anchors(body: Column, shapes: list[tuple[int, int]]) -> Column:
+    """The distinct anchors around the blanks of a text."""
+    words = F.split(body, " ")
+    gaps = F.greatest(F.size(words) - 1, F.lit(0))
+    around = F.zip_with(F.slice(words, F.lit(1), gaps), F.slice(words, F.lit(2), gaps), lambda l, r: F.array(*[
+        F.concat(F.right(l, F.lit(a)), F.lit(" "), F.left(r, F.lit(b))) for a, b in shapes or [(ANCHOR, ANCHOR)]]))
+    return F.array_distinct(F.flatten(around))
+
+
+def file_phrases(bodies: DataFrame, gaps: DataFrame, shapes: list[tuple[int, int]]) -> DataFrame:
+    """(phrase, anchor, texts): each phrase under that of its anchors which the fewest texts hold.
+
+    A phrase of which an anchor occurs in no text is left out, as it cannot occur either. Anchors are counted in a partial
+    aggregate, so an anchor that every text holds sends one row a task.
+    """
+    wanted = gaps.select("anchor").distinct()
+    held = bodies.select(F.explode(_text_anchors(F.col("body"), shapes)).alias("anchor")).join(wanted, "anchor", "left_semi")
+    counts = held.groupBy("anchor").agg(F.count(F.lit(1)).alias("texts"))
+    filed = gaps.join(counts, "anchor", "left").groupBy("phrase").agg(
+        F.min(F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), "anchor")).alias("least"))
+    return filed.select("phrase", "least.anchor", "least.texts").filter("texts > 0")
+
+
+#: Bits of the filter of candidate keys: 512 bitmaps of 32,768 bits each, 2 MB in all.
+BITMAPS = 512
+
+
+def _only_candidates(rows: DataFrame, key: str, candidates: DataFrame) -> DataFrame:
+    """Rows whose key may be among the candidates, by a bit for the key's digest; most others never move.
+
+    The filter has a fixed size. Where it fills up it lets more rows pass, and the join that follows settles them.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(BITMAPS * 32768)) + 1  # bitmaps count positions from 1
+    bits = candidates.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("bit")).groupBy("bucket").agg(
+        F.bitmap_construct_agg("bit").alias("bits"))
+    bucket, held = free_names(rows.columns, "bucket", "bits")
+    bits = bits.select(F.col("bucket").alias(bucket), F.col("bits").alias(held))
+    position = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring(F.col(held), F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    passes = byte.bitwiseAND(F.pow(F.lit(2), position % 8).cast("int")) != 0
+    return rows.withColumn(bucket, F.bitmap_bucket_number(slot)).join(F.broadcast(bits), bucket).filter(passes).drop(bucket, held)
+
+
+#: Phrase tables of up to so many bytes travel to the texts.
+SENT = 8 << 20
 
 
 def match_phrases(reviews: DataFrame, phrases: DataFrame, content: str = "content", key: str = "id",
-                  phrase: str = "phrase") -> DataFrame:
-    """Reviews and the phrases of a table that occur in them as substrings.
+                  phrase: str = "phrase", sent: int = SENT) -> DataFrame:
+    """Reviews and the phrases of a table that occur in them as substrings, as distinct pairs.
 
-    Each text is cut once at its blanks and emits the distinct keys around its gaps.
-    Only (review, key) pairs meet the phrase table, in an equi-join; the few
-    candidates that survive then fetch their text, and ``contains`` settles them. No
-    text is paired with a phrase it shares no key with, and the phrase table may be
-    of any size: Spark broadcasts it only below its own size threshold.
+    Each phrase is filed under the rarest of the anchors around its blanks, by counts over the texts. A text emits its distinct
+    anchors and meets the few phrases filed there; ``contains`` settles them. The filed phrases travel to the texts if they have
+    at most ``sent`` bytes, and no text moves. A larger table meets (key, anchor) pairs in a shuffled join, and a filter of a
+    fixed size over the candidates' keys sees to it that of the texts only the candidates move.
 
     A phrase of one word lies inside a word of the text. The distinct words of all texts meet those phrases over runs
     of up to three letters, and the texts then fetch the phrases of their words.
 
     ``phrases`` is read several times, so pass a stored table.
     """
-    dictionary = phrase_anchors(phrases, phrase)
+    gaps = session.publish(phrase_gaps(phrases, phrase), "gaps")
     # At most 16 pairs of lengths; mined phrases have words of three or more letters, hence one.
-    shapes = [(r["_a"], r["_b"]) for r in dictionary.select("_a", "_b").distinct().collect()]
-    body = F.lower(F.col(content))
-    cut = reviews.select(F.col(key), F.split(body, " ").alias("_words"))
-    gaps = F.greatest(F.size("_words") - 1, F.lit(0))
-    keys = F.zip_with(
-        F.slice("_words", F.lit(1), gaps), F.slice("_words", F.lit(2), gaps),
-        lambda l, r: F.array(*[
-            F.concat(F.right(l, F.lit(a)), F.lit(" "), F.left(r, F.lit(b))) for a, b in shapes or [(ANCHOR, ANCHOR)]
-        ]),
-    )
-    keyed = cut.select(key, F.explode(F.array_distinct(F.flatten(keys))).alias("_anchor"))
-    candidates = keyed.join(dictionary.drop("_a", "_b"), "_anchor").drop("_anchor").distinct()
-    texts = reviews.select(F.col(key), body.alias("_body"))
-    found = candidates.join(texts, key).filter(F.contains(F.col("_body"), F.col(phrase))).drop("_body")
+    shapes = [(r.a, r.b) for r in gaps.select("a", "b").distinct().collect()]
+    bodies = reviews.select(F.col(key).alias("key"), F.lower(F.col(content)).alias("body"))
+    filed = session.publish(file_phrases(bodies, gaps, shapes).drop("texts"), "filed")
+    size = filed.agg(F.coalesce(F.sum(F.octet_length("phrase") + F.octet_length("anchor") + 32), F.lit(0))).first()[0]
+    anchors = F.explode(_text_anchors(F.col("body"), shapes)).alias("anchor")
+    if size <= sent:
+        met = bodies.select("key", "body", anchors).join(F.broadcast(filed), "anchor")
+    else:
+        candidates = session.publish(bodies.select("key", anchors).join(filed, "anchor").select("key", "phrase"), "candidates")
+        met = candidates.distinct().join(_only_candidates(bodies, "key", candidates), "key")
+    found = met.filter(F.contains("body", F.col("phrase"))).select(F.col("key").alias(key), F.col("phrase").alias(phrase))
+    cut = reviews.select(F.col(key), F.split(F.lower(F.col(content)), " ").alias("_words"))
     return found.unionByName(_match_words(cut, phrases, key, phrase)).distinct()
 
 

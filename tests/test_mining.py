@@ -1,5 +1,6 @@
 """Aspects and complaints."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from reviewmill.operators import aspects, complaints
@@ -93,16 +94,32 @@ def test_single_review_matches_keep_list_order_and_limit(spark):
     assert [m.phrase for m in row.m] == ["broke after a day", "stopped working", "poor quality", "cheap plastic", "fell apart"]
 
 
-def test_phrase_join_equals_brute_force(spark):
+@pytest.mark.parametrize("sent", [0, 1 << 20])
+def test_phrase_join_equals_brute_force(spark, sent):
     texts = ["whate it now", "i hate it", "hate  it", "it is bad  idea", "a bad idea x", "abad ideas", "no b c here",
              "ab cd", "xab cdx", "ab\ncd", "", "to be or not to be", "stopped working entirely", "STOPPED WORKING"]
     phrases = ["hate it", "bad idea", "b c", "ab cd", "to be", "stopped working", "or not to", " x", "a ", "hate", "b", "idea", "or", "zzz"]
     table = spark.createDataFrame([(p,) for p in phrases], "phrase string")
-    got = {(r.id, r.phrase) for r in complaints.match_phrases(reviews(spark, *texts), table).collect()}
+    got = {(r.id, r.phrase) for r in complaints.match_phrases(reviews(spark, *texts), table, sent=sent).collect()}
     want = {(i, p) for i, t in enumerate(texts) for p in phrases if p in t.lower()}
     assert got == want
 
 
+def test_phrases_are_filed_under_their_rarest_gap(spark):
+    texts = ["one two three"] * 5 + ["two three four"] * 2 + ["xone two threes"]
+    bodies = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key int, body string")
+    gaps = complaints.phrase_gaps(spark.createDataFrame([("one two three four",), ("one two three",), ("four five",), ("solo",)], "phrase string"))
+    filed = {r.phrase: (r.anchor, r.texts) for r in complaints.file_phrases(bodies, gaps, [(3, 3)]).collect()}
+    assert filed == {"one two three four": ("ree fou", 2), "one two three": ("one two", 6)}
+
+
+def test_only_candidate_texts_move(spark):
+    bodies = spark.range(100_000).select(F.col("id").alias("key"), F.lit("text").alias("body"))
+    wanted = bodies.filter("key % 1000 = 7").select("key")
+    kept = {r.key for r in complaints._only_candidates(bodies, "key", wanted).select("key").collect()}
+    assert {r.key for r in wanted.collect()} <= kept and len(kept) < 200
+
+
 def test_keywords_inside_and_across_others_count_for_every_aspect(spark):
     dictionary = {"Service": ["service", "life time"], "Phone line": ["customer service line"], "Battery": ["battery life"], "Customer": ["customer"]}
     texts = ["The Customer Service Line was busy.", "What a battery life time!", "servicemen only", "customer, service; life"]
