@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reviewmill.catalog.views import Views
 
-MODULES = ("corpus", "mining", "tenancy", "kpi", "evaluation", "io", "modelling", "streams")
+MODULES = ("corpus", "mining", "tenancy", "kpi", "evaluation", "io", "modelling", "streams", "bundles")
 
 
 def _load(attribute: str) -> dict:

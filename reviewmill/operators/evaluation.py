@@ -207,6 +207,10 @@ def deltas(results: DataFrame, baseline: str, name: str = "experiment") -> DataF
     )
 
 
+def best_first() -> list[Column]:
+    return [F.desc("f1"), F.desc("accuracy"), F.col("experiment")]
+
+
 def ordered_results(results: DataFrame) -> DataFrame:
     """Results table, best first."""
-    return results.orderBy(F.desc("f1"), F.desc("accuracy"), "experiment")
+    return results.orderBy(*best_first())

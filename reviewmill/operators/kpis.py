@@ -350,10 +350,11 @@ def audit_view(audit: DataFrame, profiles: DataFrame, organizations: DataFrame,
     )
 
 
-def team_view(members: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Members with names and roles (J13); callers scope it to one organization."""
+def team_view(members: DataFrame, profiles: DataFrame, joined: str | None = None) -> DataFrame:
+    """Members with names and roles (J13), with the day they joined and in its order where ``joined`` names it; callers scope it."""
     people = profiles.select(F.col("id").alias("user_id"), "full_name", "email")
-    return members.join(people, "user_id").select("organization_id", "user_id", "full_name", "email", "role")
+    named = members.join(people, "user_id").select("organization_id", "user_id", "full_name", "email", "role", *([joined] if joined else []))
+    return named.orderBy(joined, "user_id") if joined else named
 
 
 def dataset_view(datasets: DataFrame, organizations: DataFrame) -> DataFrame:

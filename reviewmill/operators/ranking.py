@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewmill.operators import running
+
 REVIEW_SORTS = {
     "default": lambda: F.col("review_date").desc(),
     "confidence_desc": lambda: F.col("sentiment_score").desc(),
@@ -18,6 +20,11 @@ def review_order(sort_by: str = "default", tie: str = "id") -> list[Column]:
     return [REVIEW_SORTS.get(sort_by, REVIEW_SORTS["default"])(), F.col(tie)]
 
 
+def in_order(df: DataFrame, order: list[Column], place: str = "place", per: list[str] | None = None) -> DataFrame:
+    """``df`` with the position of each row in the order, from 1, for each group of ``per`` anew (T1, T14); no task holds them all."""
+    return running.numbered(df, order, place, per).withColumn(place, F.col(place) + 1)
+
+
 def page(df: DataFrame, order: list[Column], number: int = 1, size: int = 20) -> DataFrame:
     """One page; each partition keeps only ``number * size`` rows before the merge (T5)."""
     skip = (number - 1) * size
