@@ -17,7 +17,7 @@ from reviewmill.catalog.mining import CLAUSES, CONTEXT_LIST, CONTEXTS, PATTERNS,
 from reviewmill.catalog.views import Views, with_views
 from reviewmill.functions import lexicon as lex
 from reviewmill.functions import rules
-from reviewmill.operators import corpus, evaluation, features, models, ranking, scoring
+from reviewmill.operators import certificates, corpus, evaluation, features, models, ranking, scoring
 from reviewmill.plans import jobs
 from reviewmill.sources import sinks
 
@@ -57,6 +57,22 @@ def _measured(classifier, **options):
     return run
 
 
+def _certified(model, train: DataFrame, measured: DataFrame, weight: str | None = None) -> DataFrame:
+    """The facts of a linear model, which agree only if its loss and gradient on the training rows have vanished as well."""
+    fitted = model.stages[-1]
+    vectors = features.training_vectors(model, train, ["label", *([weight] if weight else [])])
+    sure = certificates.holds(certificates.certificate(fitted, vectors, weight), not models.model_has_probability(fitted))
+    return _facts(measured).withColumn("agrees", F.col("agrees") & sure.scalar())
+
+
+def _linear(classifier):
+    def run(v: Views):
+        train, test = split(v)
+        model = models.fit(train, classifier(), stored=True)
+        return _certified(model, train, models.evaluate(model, test, classifier.__name__))
+    return run
+
+
 def _bayes(v: Views):
     """Naive Bayes in closed form: confusion counts and accuracy on the test rows."""
     train, test = split(v)
@@ -90,7 +106,7 @@ def _grid(v: Views):
 def _weighted(v: Views):
     train, test = split(v)
     model = models.weighted_fit(train, models.logistic_regression(), stored=True)
-    return _facts(models.evaluate(model, test, "weighted"))
+    return _certified(model, evaluation.with_class_weight(train), models.evaluate(model, test, "weighted"), "class_weight")
 
 
 def _sweep(v: Views):
@@ -200,20 +216,57 @@ def _aspect_report(v: Views):
     return report.select("aspect", "mentions", (adds & share & F.col("avg_confidence").between(50, 100)).alias("holds"))
 
 
-def _error_tables(v: Views):
+def _stored_errors(v: Views) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The tables of an error analysis, and the annotated predictions they were made of, as stored."""
     train, test = split(v)
     model = models.fit(train, models.logistic_regression(), stored=True)
-    return jobs.error_report(model, test, "doc_id")
+    rows = session.publish(jobs.error_rows(model, test), "errors")
+    return jobs.error_tables(rows, "doc_id"), rows
+
+
+#: Each table of the analysis as SQL over the stored predictions.
+ERROR_SQL = {
+    "summary": """SELECT count(*) AS total, count(*) FILTER (WHERE label = prediction) AS correct, count(*) FILTER (WHERE label <> prediction) AS incorrect,
+  count(*) FILTER (WHERE label = 0 AND prediction = 1) AS false_positives, count(*) FILTER (WHERE label = 1 AND prediction = 0) AS false_negatives,
+  round(count(*) FILTER (WHERE label <> prediction) / count(*), 4) AS error_rate FROM {rows}""",
+    "negation": """SELECT n AS with_negation, wrong AS errors_with_negation, CASE WHEN n > 0 THEN round(wrong / n, 4) END AS negation_error_rate,
+  CASE WHEN total > 0 THEN round(n / total * 100, 2) END AS overall_negation_pct, CASE WHEN errors > 0 THEN round(wrong / errors * 100, 2) END AS error_negation_pct
+  FROM (SELECT count(*) AS total, sum(CAST(label <> prediction AS INT)) AS errors, sum(CAST(has_negation AS INT)) AS n,
+        sum(CAST(has_negation AND label <> prediction AS INT)) AS wrong FROM {rows})""",
+    "length": """SELECT CASE WHEN review_length < 15 THEN 'Short (<15 words)' WHEN review_length <= 50 THEN 'Medium (15-50 words)' ELSE 'Long (>50 words)' END AS length_bucket,
+  count(*) AS total, sum(CAST(label <> prediction AS INT)) AS errors, round(avg(confidence), 4) AS avg_confidence,
+  round(sum(CAST(label <> prediction AS INT)) / count(*), 4) AS error_rate FROM {rows} GROUP BY 1""",
+    "confidence": """SELECT round(avg(confidence) FILTER (WHERE label = prediction), 4) AS avg_confidence_correct,
+  round(avg(confidence) FILTER (WHERE label <> prediction), 4) AS avg_confidence_incorrect FROM {rows}""",
+    "examples": """SELECT doc_id, CASE WHEN length(review) > 250 THEN substr(review, 1, 250) || '...' ELSE review END AS review,
+  if(label = 1, 'Positive', 'Negative') AS true_sentiment, if(prediction = 1, 'Positive', 'Negative') AS predicted_sentiment, round(confidence, 4) AS confidence,
+  review_length AS length_words, if(prediction = 1, 'FP', 'FN') AS error_type, CASE WHEN has_negation THEN 'Negation / Polarity Inversion'
+  WHEN review_length < 15 THEN 'Short / Sparse Context' ELSE 'Mixed Sentiment / Sarcasm' END AS apparent_cause
+  FROM (SELECT * FROM {rows} WHERE label <> prediction ORDER BY md5(concat(doc_id, ':42')), doc_id LIMIT 8)""",
+}
+
+
+def _error_checks(v: Views):
+    """Every table of the error analysis next to SQL over the same stored predictions, and the test rows they cover."""
+    tables, rows = _stored_errors(v)
+    checks = []
+    for name, sql in ERROR_SQL.items():
+        want = v.spark.sql(sql, rows=rows)
+        got = tables[name].select(*want.columns)
+        differ = got.exceptAll(want).unionByName(want.exceptAll(got)).agg((F.count(F.lit(1)) == 0).alias("equal"))
+        checks.append(differ.select(F.lit(name).alias("section"), "equal"))
+    total = rows.agg(F.count(F.lit(1)).alias("total")).scalar()
+    return reduce(DataFrame.unionByName, checks).withColumn("total", total)
 
 
 def _error_summary(v: Views):
     holds = (F.col("correct") + F.col("incorrect") == F.col("total")) & (
         F.col("false_positives") + F.col("false_negatives") == F.col("incorrect"))
-    return _error_tables(v)["summary"].select("total", holds.alias("holds"))
+    return _stored_errors(v)[0]["summary"].select("total", holds.alias("holds"))
 
 
 def _error_examples(v: Views):
-    tables = _error_tables(v)
+    tables, _ = _stored_errors(v)
     wrong = tables["summary"].select(F.least("incorrect", F.lit(8)).cast("bigint").alias("n"))
     shown = tables["examples"].agg(F.count(F.lit(1)).alias("n"))
     return shown.select((F.col("n") == wrong.scalar()).alias("complete"))
@@ -225,9 +278,9 @@ QUERIES = {
     "tfidf_tri": _feature_table((1, 2, 3)),
     "model_nb": _bayes,
     "model_nb_vectors": _measured(models.naive_bayes, ngrams=(1,)),
-    "model_lr": _measured(models.logistic_regression),
+    "model_lr": _linear(models.logistic_regression),
     "model_rf": _measured(models.random_forest, dims=4096),
-    "model_svc": _measured(models.linear_svc),
+    "model_svc": _linear(models.linear_svc),
     "model_tuned_lr": _tuned(models.logistic_regression, models.lr_grid),
     "model_tuned_svc": _tuned(models.linear_svc, models.svc_grid),
     "model_grid": _grid,
@@ -244,6 +297,7 @@ QUERIES = {
     "absa_model": _aspect_report,
     "error_report": _error_summary,
     "error_report_examples": _error_examples,
+    "error_report_tables": _error_checks,
 }
 
 
@@ -323,4 +377,6 @@ FROM (SELECT unnest(range(1, 6)) AS t) x""",
                              clauses=CLAUSES, ctx=CONTEXTS),
     "error_report": with_views("fx_corpus", "SELECT count(*) AS total, TRUE AS holds FROM rows WHERE NOT is_train", rows=PREPARED),
     "error_report_examples": "SELECT TRUE AS complete",
+    "error_report_tables": with_views("fx_corpus", f"""SELECT section, TRUE AS equal, (SELECT count(*) FROM rows WHERE NOT is_train) AS total
+FROM (SELECT unnest([{", ".join(f"'{n}'" for n in ERROR_SQL)}]) AS section) s""", rows=PREPARED),
 }

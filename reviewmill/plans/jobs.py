@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewmill import session
 from reviewmill.functions import lexicon as lex
 from reviewmill.functions import rules
 from reviewmill.functions import text as tx
@@ -80,7 +81,8 @@ def mined_phrases(reviews: DataFrame, text: str = "content") -> DataFrame:
 
 def complaint_report(negatives: DataFrame, text: str, top: int = 25) -> dict[str, DataFrame]:
     """All tables of a complaint mining run; empty input gives empty tables."""
-    mined = complaints.mined_complaints(negatives, text)
+    negatives = session.publish(negatives.select(*[c for c in ("id", text) if c in negatives.columns]), "negatives")
+    mined = session.publish(complaints.mined_complaints(negatives, text), "mined")
     return {
         "top_complaints": mined.orderBy(F.desc("frequency"), "phrase").limit(top),
         "top_bigrams": complaints.top_phrases(negatives, text, top, 2),
@@ -89,14 +91,16 @@ def complaint_report(negatives: DataFrame, text: str, top: int = 25) -> dict[str
     }
 
 
-def error_report(model: PipelineModel, test: DataFrame, key: str, text: str = "review", examples: int = 8,
-                 negations: list[str] = lex.NEGATION_WORDS_BASELINE) -> dict[str, DataFrame]:
-    """All tables of an error analysis (M18); ``test`` holds label, text and clean_text."""
+def error_rows(model: PipelineModel, test: DataFrame, key: str = "doc_id", text: str = "review",
+               negations: list[str] = lex.NEGATION_WORDS_BASELINE) -> DataFrame:
+    """Predictions with everything that an error analysis asks of a row; ``test`` holds label, text and clean_text."""
     scored = model.transform(test)
-    has_probability = "probability" in scored.columns
-    chance = rules.confidence() if has_probability else F.lit(None).cast("double")
-    slim = scored.select(key, text, "label", "prediction", chance.alias("confidence"))
-    rows = evaluation.annotate(slim, text, negations)
+    chance = rules.confidence() if "probability" in scored.columns else F.lit(None).cast("double")
+    return evaluation.annotate(scored.select(key, text, "label", "prediction", chance.alias("confidence")), text, negations)
+
+
+def error_tables(rows: DataFrame, key: str, text: str = "review", examples: int = 8) -> dict[str, DataFrame]:
+    """All tables of an error analysis of annotated predictions."""
     return {
         "summary": evaluation.error_summary(rows),
         "negation": evaluation.negation_errors(rows),
@@ -106,6 +110,12 @@ def error_report(model: PipelineModel, test: DataFrame, key: str, text: str = "r
     }
 
 
+def error_report(model: PipelineModel, test: DataFrame, key: str, text: str = "review", examples: int = 8,
+                 negations: list[str] = lex.NEGATION_WORDS_BASELINE) -> dict[str, DataFrame]:
+    """All tables of an error analysis (M18). The model runs once: its annotated predictions are stored."""
+    return error_tables(session.publish(error_rows(model, test, key, text, negations), "errors"), key, text, examples)
+
+
 def corpus_report(df: DataFrame, text: str = "review", key: str = "doc_id") -> dict[str, DataFrame]:
     """All tables of a corpus description."""
     ready = corpus.with_clean_text(corpus.prepare(df, text, key), text)
@@ -120,8 +130,8 @@ def corpus_report(df: DataFrame, text: str = "review", key: str = "doc_id") -> d
 
 
 def aspect_job(reviews: DataFrame, model: PipelineModel, text: str, keep: list[str]) -> dict[str, DataFrame]:
-    """Aspect sentiment with model predictions."""
-    rows = scoring.aspect_predictions(reviews, model, text, keep, override=False)
+    """Aspect sentiment with model predictions (M16), which are stored: the model runs once."""
+    rows = session.publish(scoring.aspect_predictions(reviews, model, text, keep, override=False), "aspect-predictions")
     stats = aspects.aspect_stats(rows.withColumn("_score", F.col("confidence") / 100), F.col("prediction") == 1,
                                  score="_score")
     return {"rows": rows, "stats": aspects.with_status(stats), "pain_points": aspects.pain_points(stats)}
