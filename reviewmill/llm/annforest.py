@@ -6,8 +6,8 @@ all trees at once, one bit at a time, until the entries met are the wanted share
 
 The index is cut into cells of about ``CELL_ROWS`` rows, drawn by digest, each with a forest of its own; queries travel in blocks to
 every cell of their dimension, and the best k of each cell are merged. So no task holds more than one cell and one
-block. The share is fitted: the smallest at which ``SAMPLE_QUERIES`` queries over a sample of ``SAMPLE_ROWS`` rows reach ``AIM``
-recall against brute force. Data without structure needs a large share, clustered data a small one. Recall rises with the
+block. The share is fitted for each dimension: the smallest at which ``SAMPLE_QUERIES`` queries over a sample of ``SAMPLE_ROWS`` rows
+reach ``AIM`` recall against brute force; a dimension with no more rows than that is searched whole. Data without structure needs a large share, clustered data a small one. Recall rises with the
 size of a cell, so the sample, smaller than a cell, errs on the safe side.
 
 Defined cases: vectors that are null, empty, zero or hold a null or non-finite component take no part, neither as query nor as candidate;
@@ -111,14 +111,9 @@ def _valid(df: DataFrame, key: str, vector: str) -> DataFrame:
     return kept.dropDuplicates(["id", "digest"])
 
 
-def fit_share(rows: DataFrame, k: int) -> float:
-    """Smallest share that reaches AIM on the sample: the SAMPLE_ROWS rows of smallest digest, of their commonest dimension."""
-    sample = rows.select("id", "v", "dim").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).collect()
-    if not sample:
-        return 1.0
-    dims = [r.dim for r in sample]
-    dim = max(sorted(set(dims)), key=dims.count)
-    chosen = [r for r in sample if r.dim == dim]
+def fit_share(sample: DataFrame, k: int) -> float:
+    """Smallest share that reaches AIM on a sample of rows of one dimension."""
+    chosen = sample.collect()  # SAMPLE_ROWS at most
     forest = Forest.grow(np.array([r.id for r in chosen]), np.array([r.v for r in chosen]))
     few = slice(0, SAMPLE_QUERIES)
     truth = [set(found.tolist()) for found, _ in forest.search(forest.ids[few], forest.vectors[few], 1.0, k)]
@@ -129,6 +124,12 @@ def fit_share(rows: DataFrame, k: int) -> float:
     return 1.0
 
 
+def fit_shares(rows: DataFrame, sizes: dict[int, int], k: int) -> dict[int, float]:
+    """The share for each dimension, from its SAMPLE_ROWS rows of smallest digest; one with no more rows is searched whole."""
+    return {dim: 1.0 if n <= SAMPLE_ROWS else fit_share(
+        rows.filter(F.col("dim") == dim).select("id", "v").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS), k) for dim, n in sizes.items()}
+
+
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
@@ -167,7 +168,7 @@ def knn(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "emb
     asked = {r.dim: r.n for r in queries.groupBy("dim").agg(F.count("*").alias("n")).collect()}
     if not asked:
         return df.sparkSession.createDataFrame([], answer)
-    share = fit_share(rows, k)
+    shares = fit_shares(rows, {dim: sizes[dim] for dim in asked}, k)
     cells = rows.withColumn("cell", F.pmod(F.xxhash64("id", "digest"), _drawn(sizes, CELL_ROWS)).cast("int"))
     index = cells.groupBy("dim", "cell").applyInArrow(_grow, "dim int, cell int, ids binary, vectors binary, ranks binary, strings binary")
     index = publish(index, "forest")
@@ -182,7 +183,7 @@ def knn(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "emb
             forest = Forest(ids, np.frombuffer(r["vectors"]).reshape(-1, dim), np.frombuffer(r["ranks"], np.int32).reshape(TREES, -1),
                             np.frombuffer(r["strings"], np.uint32).reshape(TREES, -1))
             owns, digests = np.frombuffer(r["qids"], np.int64), np.frombuffer(r["qdigests"], np.int64)
-            found = forest.search(owns, np.frombuffer(r["qvectors"]).reshape(-1, dim), share, k)
+            found = forest.search(owns, np.frombuffer(r["qvectors"]).reshape(-1, dim), shares[dim], k)
             counts = [len(x) for x, _ in found]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(owns, counts)), pa.array(np.repeat(digests, counts)), pa.array(np.concatenate([x for x, _ in found])),

@@ -38,6 +38,8 @@ BROADCAST_BYTES = 8_000_000
 #: Wrappers folded in one group before the last fold, and hosts a task holds at once.
 FOLD, HOSTS_AT_ONCE = 64, 2000
 LONGEST_CONSTANT = 200
+#: Plain blocks nested deeper than this stand beside each other in the deepest one; marked ones go on so many levels more.
+DEEPEST, MARKED_DEEPER = 150, 50
 
 # Elements whose content is no text, elements that stand in a line of text, and end tags that may be missing.
 SKIPPED = frozenset("script style noscript template svg math iframe object canvas video audio head title textarea select".split())
@@ -101,6 +103,7 @@ class Block:
 def parse(page: str | None) -> Block:
     """Well-formed tree of the blocks of a page; texts are decoded, white space is single."""
     root = Block("html")
+    levels = {id(root): 0}
     stack: list[tuple[str, Block]] = [("html", root)]
     text: list[str] = []
     links = linked = position = 0
@@ -160,8 +163,13 @@ def parse(page: str | None) -> Block:
                     break
                 if stack[depth][0] in HOLDERS:
                     break
-        block = Block(label(tag, token[3]))
-        stack[-1][1].children.append(block)
+        name, parent, level = label(tag, token[3]), stack[-1][1], levels[id(stack[-1][1])]
+        if level < DEEPEST or level < DEEPEST + MARKED_DEEPER and (name != tag or tag in ("article", "main")) and not parent.label.endswith("!"):
+            block = Block(name)
+            levels[id(block)] = level + 1
+            parent.children.append(block)
+        else:
+            block = parent  # its texts are blocks of their own all the same
         if tag not in VOID:
             stack.append((tag, block))
     if len(page) > position:

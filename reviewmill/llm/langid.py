@@ -62,6 +62,14 @@ class Network:
     offset: np.ndarray
     dense: np.ndarray
     bias: np.ndarray
+    #: Packed bits: which runs of three letter classes the training windows hold.
+    seen: np.ndarray | None = None
+
+    def familiar(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each window, how many runs of three letters it has, and how many of them occur in the training windows."""
+        known = np.unpackbits(self.seen).view(bool)
+        runs, letters = _runs(codes)
+        return letters.sum(axis=1), (known[runs] & letters).sum(axis=1)
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
         """Responses to the first two bytes of a filter, and to the third and fourth, for every pair of classes."""
@@ -90,6 +98,20 @@ class Network:
         return softmax(hidden @ self.dense + self.bias)
 
 
+def _runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all runs of three classes, and whether all three are letters."""
+    wide = codes.astype(np.int32)
+    runs = (wide[:, :-2] * CLASSES + wide[:, 1:-1]) * CLASSES + wide[:, 2:]
+    return runs, (codes[:, :-2] > 0) & (codes[:, 1:-1] > 0) & (codes[:, 2:] > 0)
+
+
+def _seen(codes: np.ndarray) -> np.ndarray:
+    held = np.zeros(CLASSES**3 + -CLASSES**3 % 8, np.uint8)
+    runs, letters = _runs(codes)
+    held[runs[letters]] = 1
+    return np.packbits(held)
+
+
 def softmax(scores: np.ndarray) -> np.ndarray:
     e = np.exp(scores - scores.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
@@ -172,16 +194,24 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
     rows.sort(key=lambda row: (row.label, row._n))
     labels = sorted({row.label for row in rows})
     codes, _ = windows([bytes(row.part) for row in rows])
-    return train(codes, np.array([labels.index(row.label) for row in rows]), labels)
+    net = train(codes, np.array([labels.index(row.label) for row in rows]), labels)
+    net.seen = _seen(codes)
+    return net
+
 
+def predict(df: DataFrame, model: Network | None, text: str = "text", out: str = "lang_pred", score: str = "score",
+            familiar: str | None = None) -> DataFrame:
+    """Append the language of each whole text and the network's probability of it.
 
-def predict(df: DataFrame, model: Network | None, text: str = "text", out: str = "lang_pred", score: str = "score") -> DataFrame:
-    """Append the language of each whole text and the network's probability of it."""
+    The network chooses among the languages it has learned, however sure. ``familiar`` names a further column: the share of a text's
+    runs of three letters that its training windows hold, which is low for a language or script that was not learned. It is 0 without
+    letters, and 1 for a text of letters too short for any run.
+    """
     state: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
     def compute(columns: list[list]) -> list:
         texts = columns[0]
-        names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
+        names, scores, shares = [UNDETERMINED] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
         judged = [i for i, value in enumerate(texts) if model and value and any(map(str.isalpha, value))]
         if judged:
             if "tables" not in state:
@@ -194,6 +224,11 @@ def predict(df: DataFrame, model: Network | None, text: str = "text", out: str =
             best = mean.argmax(axis=1)
             for i, row, column in zip(judged, mean, best, strict=True):
                 names[i], scores[i] = model.labels[column], min(1.0, float(row[column]))
-        return [names, scores]
-
-    return add_columns(df, [text], f"`{out}` string, `{score}` double", compute, rows=64)
+            if familiar:
+                total, known = (np.add.reduceat(x, starts) for x in model.familiar(codes))
+                for i, all_runs, met in zip(judged, total.tolist(), known.tolist(), strict=True):
+                    shares[i] = met / all_runs if all_runs else 1.0
+        return [names, scores, shares] if familiar else [names, scores]
+
+    more = f", `{familiar}` double" if familiar else ""
+    return add_columns(df, [text], f"`{out}` string, `{score}` double{more}", compute, rows=64)

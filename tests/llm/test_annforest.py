@@ -62,3 +62,26 @@ def test_unfit_vectors_ties_and_other_lengths(spark, monkeypatch):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert annforest.knn(df, F.col("id") % 50 == 0).count() == 0
+
+
+def test_every_dimension_reaches_its_recall(spark):
+    """A rare dimension without structure beside a common one in clusters."""
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(40, 16)) * 10
+    rows = [(n, (centres[n % 40] + rng.normal(size=16)).tolist()) for n in range(6000)]
+    rows += [(10_000 + n, rng.normal(size=24).tolist()) for n in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in annforest.knn(df, F.col("id") % 50 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    for low, high in ((0, 10_000), (10_000, 20_000)):
+        part = [(key, np.array(v)) for key, v in rows if low <= key < high]
+        matrix = np.array([v / np.linalg.norm(v) for _, v in part])
+        hits = total = 0
+        for n, (key, _) in enumerate(part):
+            if key % 50 == 0:
+                near = matrix @ matrix[n]
+                near[n] = -2
+                want = {part[i][0] for i in np.argsort(-near)[:5]}
+                hits, total = hits + len(want & got[key]), total + 5
+        assert hits >= (0.9 if low == 0 else 1.0) * total

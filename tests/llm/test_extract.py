@@ -68,3 +68,12 @@ def test_long_page(spark):
     page = "<article>" + "<p>word</p>" * 30_000 + "</article>" + "<div>" * 300 + "x"
     df = spark.createDataFrame([(1, "http://a.com/", page)], "page_id long, url string, html string")
     assert extract.extract(df).first().n_chars == 30_000 * 5 - 1
+
+
+def test_deep_markup_keeps_its_texts(spark):
+    deep = "<div>" * 5000
+    pages = [deep + "<p>one</p><p>two</p>" + "</div>" * 5000, "<section class=x>" * 3000 + "<article><p>four</p><nav>no</nav><p>five</p></article>",
+             "<article>" + "".join(f"<div>{n}" for n in range(1200)), "<ul><li>" * 2000 + "<nav><ul><li>no</ul></nav>yes", "<article><p>shallow</p></article>"]
+    df = spark.createDataFrame([(n, f"http://h{n}.com/", page) for n, page in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extract.extract(df).collect()}
+    assert got == {0: "one two", 1: "four five", 2: " ".join(map(str, range(1200))), 3: "yes", 4: "shallow"}
