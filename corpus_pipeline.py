@@ -12,22 +12,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewmill.functions.names import free_names
 from reviewmill.llm import bpe, decontam, langid, linededup, neardup
-from reviewmill.llm.common import free_name
 from reviewmill.session import publish
 
-#: Below this probability no language is recognised; a guess among four languages has 0.25.
-LEAST_LANGUAGE_SCORE = 0.3
+#: A text of which fewer runs of three letters occur in the training windows is in no language that was learned.
+LEAST_FAMILIAR = 0.5
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents written in a language that the network recognises; nulls and texts without letters go."""
+    """Keep documents in a language that the network has learned; nulls, texts without letters and unfamiliar ones go."""
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
     model = langid.fit(docs.filter(~held_out))
-    label, score = free_name(docs.columns, "lang_pred"), free_name(docs.columns, "score")
-    judged = langid.predict(docs, model, out=label, score=score)
-    known = judged.filter((F.col(label) != langid.UNDETERMINED) & (F.col(score) >= LEAST_LANGUAGE_SCORE))
+    label, score, familiar = free_names(docs.columns, "lang_pred", "score", "familiar")
+    judged = langid.predict(docs, model, out=label, score=score, familiar=familiar)
+    known = judged.filter((F.col(label) != langid.UNDETERMINED) & (F.col(familiar) >= LEAST_FAMILIAR))
     return known.select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
@@ -40,8 +40,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages that an earlier document holds; documents of which nothing is left go."""
-    cut = linededup.dedup(docs).filter(F.col("text").isNotNull() & (F.trim("text") != ""))
-    columns = [F.char_length("text").cast("long").alias(n) if n == "n_chars" else F.col(f"`{n}`") for n in docs.columns]
+    spans = ("removed", "kept")  # columns of these names are the documents' own and stay
+    own = [name for name in docs.columns if name.lower() in spans]
+    aside = dict(zip(own, free_names([*docs.columns, *spans], *[f"own_{name}" for name in own]), strict=True))
+    cut = linededup.dedup(docs.withColumnsRenamed(aside)).filter(F.col("text").isNotNull() & (F.trim("text") != ""))
+    columns = [F.char_length("text").cast("long").alias(n) if n == "n_chars" else F.col(f"`{aside.get(n, n)}`").alias(n) for n in docs.columns]
     return cut.select(*columns)
 
 
@@ -68,7 +71,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("tokens", tokens),
 ]
 
-#: Language, components and tokens are beyond SQL; tests/llm/test_pipeline.py checks each stage by brute force.
+#: Language, components and tokens are beyond SQL. tests/llm/test_pipeline.py holds each stage against its operator, and the tests of
+#: the operators hold those against brute force.
 ORACLE_SQL: str | None = None
 
 
