@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.llm.common import add_columns, slices
+from reviewmill.session import publish
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -30,6 +31,8 @@ FILTERS = 12
 #: Bounds of the training sample: documents and windows per language, windows per document.
 DOCUMENTS_PER_LABEL, WINDOWS_PER_LABEL, WINDOWS_PER_DOCUMENT = 500, 1500, 6
 UNDETERMINED = "und"
+#: Parts that a label's rows are dealt into before the first ones are picked.
+SALTS = 64
 
 
 def _classes() -> np.ndarray:
@@ -176,21 +179,26 @@ def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
                                          names=["label", "part", "digest"])
 
 
+def _smallest(rows: DataFrame, label: str, order: list[str], most: int) -> DataFrame:
+    """The first ``most`` rows of each label, numbered ``_n``; in two steps, so that a label's last task meets ``SALTS * most`` rows at most."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+    some = salted.withColumn("_n", F.row_number().over(Window.partitionBy(label, "_salt").orderBy(*order))).filter(F.col("_n") <= most)
+    return some.drop("_salt").withColumn("_n", F.row_number().over(Window.partitionBy(label).orderBy(*order))).filter(F.col("_n") <= most)
+
+
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang") -> Network | None:
     """Learn from at most WINDOWS_PER_LABEL windows for each label; rows without text or label are left out.
 
     The sample is the documents whose digest of ``key`` is smallest, so it does not depend on how the table is stored.
     """
     known = labelled.filter(F.col(label).isNotNull() & F.col(key).isNotNull() & (F.length(text) > 0))
-    by_digest = Window.partitionBy(label).orderBy(F.xxhash64(key), key)
-    picked = known.select(key, label).withColumn("_n", F.row_number().over(by_digest)).filter(F.col("_n") <= DOCUMENTS_PER_LABEL)
-    keys = sorted({row[0] for row in picked.select(key).collect()})
-    if not keys:
-        return None
-    parts = known.filter(F.col(key).isin(keys)).select(F.col(text), F.col(label)).mapInArrow(
+    keyed = known.select(F.col(key).alias("key"), F.col(label).alias("label"), F.xxhash64(key).alias("digest"))
+    picked = publish(_smallest(keyed, "label", ["digest", "key"], DOCUMENTS_PER_LABEL).select("key").distinct(), "language-keys")
+    parts = known.join(picked.withColumnRenamed("key", key), key, "left_semi").select(F.col(text), F.col(label)).mapInArrow(
         _training_windows, "label string, part binary, digest long")
-    order = Window.partitionBy("label").orderBy("digest", "part")
-    rows = parts.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= WINDOWS_PER_LABEL).collect()
+    rows = _smallest(parts, "label", ["digest", "part"], WINDOWS_PER_LABEL).collect()
+    if not rows:
+        return None
     rows.sort(key=lambda row: (row.label, row._n))
     labels = sorted({row.label for row in rows})
     codes, _ = windows([bytes(row.part) for row in rows])
