@@ -33,6 +33,8 @@ DOCUMENTS_PER_LABEL, WINDOWS_PER_LABEL, WINDOWS_PER_DOCUMENT = 500, 1500, 6
 UNDETERMINED = "und"
 #: Parts that a label's rows are dealt into before the first ones are picked.
 SALTS = 64
+#: Known runs of letters that a text counts as having besides its own, so that a very short one is not unfamiliar by chance.
+PRIOR_RUNS = 8
 
 
 def _classes() -> np.ndarray:
@@ -212,8 +214,8 @@ def predict(df: DataFrame, model: Network | None, text: str = "text", out: str =
     """Append the language of each whole text and the network's probability of it.
 
     The network chooses among the languages it has learned, however sure. ``familiar`` names a further column: the share of a text's
-    runs of three letters that its training windows hold, which is low for a language or script that was not learned. It is 0 without
-    letters, and 1 for a text of letters too short for any run.
+    runs of three letters that its training windows hold (with PRIOR_RUNS known ones added), which is low for a language or script that was
+    not learned. It is 0 without letters, and 1 for a text of letters too short for any run.
     """
     state: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -235,7 +237,7 @@ def predict(df: DataFrame, model: Network | None, text: str = "text", out: str =
             if familiar:
                 total, known = (np.add.reduceat(x, starts) for x in model.familiar(codes))
                 for i, all_runs, met in zip(judged, total.tolist(), known.tolist(), strict=True):
-                    shares[i] = met / all_runs if all_runs else 1.0
+                    shares[i] = (met + PRIOR_RUNS) / (all_runs + PRIOR_RUNS)
         return [names, scores, shares] if familiar else [names, scores]
 
     more = f", `{familiar}` double" if familiar else ""
