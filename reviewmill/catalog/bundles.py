@@ -20,7 +20,7 @@ from reviewmill.catalog.tenancy import ALLOWED, CALLER, REACH, platform_user
 from reviewmill.catalog.views import Views, with_views
 from reviewmill.functions import lexicon as lex
 from reviewmill.functions import text as tx
-from reviewmill.operators import aspects, corpus, evaluation, kpis, ranking
+from reviewmill.operators import aspects, corpus, evaluation, indexes, kpis, ranking
 from reviewmill.plans import jobs, reports
 
 SELLER, PLATFORM, PRODUCT = "S1", "R1", "P1"
@@ -143,7 +143,23 @@ def _pain_points(v: Views) -> DataFrame:
     return aspects.pain_points(aspects.aspect_stats(rows, (F.col("sentiment") == "POSITIVE") & (F.col("rating") == 2), score="sentiment_score"))
 
 
+def _deep_page(v: Views) -> DataFrame:
+    """The page in the middle of all reviews, longest first, from an index."""
+    rows = v.reviews.select("id", "content")
+    order = [F.length("content").desc(), F.col("id"), F.col("content")]
+    number = v.reviews.count() // 40
+    return indexes.page_index(rows, order).page(number, 20)
+
+
+def _indexed_search(v: Views) -> DataFrame:
+    """Reviews of one lot, found through the filters of their ranges."""
+    rows = v.reviews.select("id", "title", "content")
+    return indexes.search_index(rows, ["title", "content"], [F.col("content"), F.col("id")]).search("LOT 977, Line").select("id", "content")
+
+
 QUERIES = {
+    "reviews_page_indexed": _deep_page,
+    "reviews_search_indexed": _indexed_search,
     "report_seller_overview": seller_overview,
     "report_seller_detail": seller_detail,
     "report_cross_seller": cross_seller,
@@ -220,6 +236,10 @@ _ONE_STAR = dict(matches=MATCHES.replace("FROM fx_reviews", "FROM fx_reviews WHE
                  pi=PRODUCT_ISSUES.replace("FROM fx_reviews GROUP BY", "FROM fx_reviews WHERE rating = 1 GROUP BY"))
 
 ORACLES = {
+    "reviews_page_indexed": with_views("fx_reviews", """SELECT id, content FROM (SELECT id, content, row_number() OVER (ORDER BY length(content) DESC, id, content) AS n
+FROM fx_reviews) t WHERE (n - 1) // 20 = (SELECT count(*) FROM fx_reviews) // 40 - 1"""),
+    "reviews_search_indexed": with_views("fx_reviews", """SELECT id, content FROM fx_reviews
+WHERE lower(content) LIKE '%lot 977, line%' OR lower(title) LIKE '%lot 977, line%'"""),
     "report_seller_overview": _sql(" UNION ALL ".join(f"SELECT * FROM ({p}) s{n}" for n, p in enumerate(_OVERVIEW_PARTS))),
     "report_seller_detail": _sql(" UNION ALL ".join(f"SELECT * FROM ({p}) s{n}" for n, p in enumerate([
         *_OVERVIEW_PARTS,

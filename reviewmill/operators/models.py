@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import time
+from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticRegressionModel, NaiveBayes, \
     NaiveBayesModel, RandomForestClassifier
-from pyspark.ml.clustering import LDA
+from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -241,20 +242,31 @@ def bayes_predict(rows: DataFrame, key: str, terms: DataFrame, train: DataFrame,
 TOPIC_TERMS = "topic_id bigint, position bigint, term string, weight double"
 
 
-def lda_topics(texts: DataFrame, text: str, k: int = 5, iterations: int = 15, dims: int = 1 << 14,
-               terms: int = 8, seed: int = SEED, stop_words: list[str] | None = None) -> DataFrame:
-    """Topic terms and weights; no rows for an empty input.
+@dataclass
+class Topics:
+    """A fitted topic model: its terms, and the stored token lists and count vectors (with ids) it was fitted on."""
+
+    model: LDAModel | None
+    terms: DataFrame
+    tokens: DataFrame
+    counts: DataFrame | None
+
+
+def fit_topics(texts: DataFrame, text: str, k: int = 5, iterations: int = 15, dims: int = 1 << 14,
+               terms: int = 8, seed: int = SEED, stop_words: list[str] | None = None) -> Topics:
+    """Topics of texts (M14); without any text there are none.
 
     Words are hashed to ``dims`` places, so none is left out; a place goes by the word found in most documents. Topics
     carry numbers only: a label chosen by topic index would say nothing about its content (D12).
     """
     spark = texts.sparkSession
-    tokens = complaints.with_tokens(texts, text, stop_words, out="tokens").select("tokens")
+    tokens = complaints.with_tokens(texts, text, stop_words, out="tokens").select(F.monotonically_increasing_id().alias("row"), "tokens")
     tokens = session.publish(tokens, "topic-tokens")
     if tokens.isEmpty():
-        return spark.createDataFrame([], TOPIC_TERMS)
-    counts = HashingTF(inputCol="tokens", outputCol="features", numFeatures=dims).transform(tokens).select("features")
-    model = LDA(k=k, maxIter=iterations, seed=seed, featuresCol="features").fit(session.publish(counts, "topic-counts"))
+        return Topics(None, spark.createDataFrame([], TOPIC_TERMS), tokens, None)
+    counts = HashingTF(inputCol="tokens", outputCol="features", numFeatures=dims).transform(tokens).select("row", "features")
+    counts = session.publish(counts, "topic-counts")
+    model = LDA(k=k, maxIter=iterations, seed=seed, featuresCol="features").fit(counts)
     described = model.describeTopics(maxTermsPerTopic=terms)
     flat = described.select(
         (F.col("topic") + 1).cast("bigint").alias("topic_id"),
@@ -263,10 +275,49 @@ def lda_topics(texts: DataFrame, text: str, k: int = 5, iterations: int = 15, di
     words = tokens.select(F.explode(F.array_distinct("tokens")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("_n"))
     words = features.hashed_place(words, "term", dims).join(F.broadcast(flat.select(F.col("_t.termIndices").alias("index")).distinct()), "index")
     names = words.groupBy("index").agg(F.max_by("term", F.struct("_n", "term")).alias("term"))  # at most k * terms places
-    return flat.join(names, F.col("_t.termIndices") == F.col("index")).select(
+    named = flat.join(names, F.col("_t.termIndices") == F.col("index")).select(
         "topic_id", (F.col("position") + 1).cast("bigint").alias("position"), "term",
         F.round("_t.termWeights", 6).alias("weight"),
     )
+    return Topics(model, session.publish(named, "topic-terms"), tokens, counts)
+
+
+def lda_topics(texts: DataFrame, text: str, **options) -> DataFrame:
+    """Topic terms and weights; no rows for an empty input."""
+    return fit_topics(texts, text, **options).terms
+
+
+def topic_coherence(terms: DataFrame, tokens: DataFrame, column: str = "tokens") -> DataFrame:
+    """(topic_id, coherence): for each topic the sum of ln((texts with both + 1) / texts with the first) over pairs of its terms in order.
+
+    A text emits the topic terms it holds and their pairs, a number bounded by the topics and not by the text; counts per term and
+    pair are partial aggregates, and the pairs of all topics then look up a few rows.
+    """
+    wanted = [r.term for r in terms.select("term").distinct().orderBy("term").collect()]  # topics times terms of a topic
+    held = F.array_sort(F.array_distinct(F.filter(F.col(column), lambda t: t.isin(wanted))))
+    pairs = F.flatten(F.transform("held", lambda a: F.transform(F.filter("held", lambda b: b >= a), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    counts = tokens.select(held.alias("held")).select(F.inline(pairs)).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    first = terms.select("topic_id", F.col("position").alias("p"), F.col("term").alias("x"))
+    second = terms.select(F.col("topic_id").alias("t"), F.col("position").alias("q"), F.col("term").alias("y"))
+    ordered = first.join(second, (F.col("topic_id") == F.col("t")) & (F.col("p") < F.col("q")))
+    ordered = ordered.withColumns({"a": F.least("x", "y"), "b": F.greatest("x", "y")})
+    alone = counts.filter("a = b").select(F.col("a").alias("x"), F.col("n").alias("n_first"))
+    found = ordered.join(counts, ["a", "b"], "left").join(alone, "x")
+    value = F.sum(F.log((F.coalesce("n", F.lit(0)) + 1) / F.col("n_first")))
+    return found.groupBy("topic_id").agg(F.round(value, 6).alias("coherence"))
+
+
+def shuffled_tokens(tokens: DataFrame, column: str = "tokens", seed: int = SEED) -> DataFrame:
+    """The same words dealt to as many texts at random: what co-occurs is left to chance."""
+    texts = tokens.agg(F.count(F.lit(1))).scalar()
+    words = tokens.select("row", F.posexplode(column).alias("at", "word"))
+    home = F.pmod(F.xxhash64("row", "at", F.lit(seed)), texts)
+    return words.select(home.alias("row"), "word").groupBy("row").agg(F.collect_list("word").alias(column))
+
+
+def topic_shares(topics: Topics) -> DataFrame:
+    """(row, shares): how much of each text belongs to each topic (M15); a text without words has none."""
+    return topics.model.transform(topics.counts).select("row", vector_to_array("topicDistribution").alias("shares"))
 
 
 def topic_weights(topics: DataFrame, first: int = 4) -> DataFrame:

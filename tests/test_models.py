@@ -1,5 +1,7 @@
 """Training, tuning, scoring and topics on small corpora."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,6 +177,22 @@ def test_topics(spark, sample):
     assert models.lda_topics(sample.filter("id < 0"), "review").count() == 0
 
 
+def test_coherence_counts_texts_with_both_terms(spark):
+    texts = ["apple pear plum", "apple pear", "apple stone", "plum stone stone", "apple"]
+    tokens = spark.createDataFrame([(n, t.split()) for n, t in enumerate(texts)], "row long, tokens array<string>")
+    terms = spark.createDataFrame([(1, 1, "apple"), (1, 2, "pear"), (1, 3, "plum"), (2, 1, "stone"), (2, 2, "pear")], "topic_id long, position long, term string")
+    got = {r.topic_id: r.coherence for r in models.topic_coherence(terms, tokens).collect()}
+    assert got == {1: pytest.approx(math.log(3 / 4) + math.log(2 / 4) + math.log(2 / 2), abs=1e-6), 2: pytest.approx(math.log(1 / 2), abs=1e-6)}
+    dealt = models.shuffled_tokens(tokens).collect()
+    assert sorted(w for r in dealt for w in r.tokens) == sorted(" ".join(texts).split())
+
+
+def test_shares_of_topics_add_up(spark, sample):
+    found = models.fit_topics(sample, "review", k=3, iterations=3, dims=256)
+    shares = models.topic_shares(found).collect()
+    assert len(shares) == sample.count() and all(abs(sum(r.shares) - 1) < 1e-6 for r in shares)
+
+
 def test_analysis_of_single_reviews(spark, fitted):
     text = "Charging takes all night, yet I like the sturdy metal design. After a month it stopped working."
     rows = spark.createDataFrame([(1, text), (2, "great value"), (3, None), (2, "great value")], "id int, review string")
