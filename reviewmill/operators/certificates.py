@@ -9,7 +9,7 @@ unfinished fit shows in either.
 from __future__ import annotations
 
 from pyspark.ml import Model
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill import session
@@ -18,11 +18,12 @@ VECTOR = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
 
 
 def stored_entries(vectors: DataFrame, weight: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(row, sign, weight) and (row, place, value) of labelled vectors, from a stored copy."""
+    """(row, sign, weight) and (row, place, value) of labelled vectors, from a stored copy; rows are numbered unless they have a ``row``."""
     spark = vectors.sparkSession
     path = session.scratch_path(spark, "certified")
     columns = ["row", "label", *([weight] if weight else []), "features"]
-    vectors.withColumn("row", F.monotonically_increasing_id()).select(*columns).write.parquet(path)
+    numbered = vectors if "row" in vectors.columns else vectors.withColumn("row", F.monotonically_increasing_id())
+    numbered.select(*columns).write.parquet(path)
     kinds = {"row": "bigint", "label": "double", "features": VECTOR}
     raw = spark.read.schema(", ".join(f"`{c}` {kinds.get(c, 'double')}" for c in columns)).parquet(path)
     places = F.coalesce(F.col("features.indices"), F.sequence(F.lit(0), F.size("features.values") - 1))
@@ -32,8 +33,6 @@ def stored_entries(vectors: DataFrame, weight: str | None = None) -> tuple[DataF
 
 def coefficients(model: Model) -> DataFrame:
     """(place, coefficient) of the places that weigh something; the vector has a documented length."""
-    from pyspark.sql import SparkSession
-
     spark = SparkSession.active()
     vector = spark.createDataFrame([(model.coefficients.toSparse() if hasattr(model.coefficients, "toSparse") else model.coefficients,)], ["features"])
     _, entries = stored_entries(vector.withColumn("label", F.lit(1.0)))

@@ -2,10 +2,11 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
-from reviewmill.operators import certificates
+from reviewmill.operators import certificates, forests
 
 
 @pytest.fixture(scope="module")
@@ -55,3 +56,17 @@ def test_an_unfinished_fit_is_seen(spark, rows):
         good, bad = kind(maxIter=200, tol=1e-12).fit(df), kind(maxIter=1).fit(df)
         assert certificates.holds(certificates.certificate(good, df), hinge).first().certified
         assert not certificates.holds(certificates.certificate(bad, df), hinge).first().certified
+
+
+@pytest.mark.parametrize("depth", [1, 5, 9])
+def test_forest_as_nodes_predicts_like_the_library(spark, rows, depth):
+    df = table(spark, rows).withColumn("row", F.monotonically_increasing_id()).cache()
+    model = RandomForestClassifier(numTrees=7, maxDepth=depth, seed=1).fit(df)
+    nodes = forests.nodes(model)
+    own, entries = certificates.stored_entries(df)
+    found = forests.leaves(own, entries, nodes, 7, max(t.depth for t in model.trees))
+    mine = {r.row: r.prediction for r in forests.predictions(found, nodes).collect()}
+    assert mine == {r.row: r.prediction for r in model.transform(df).collect()} and len(set(mine.values())) == 2
+    assert spark.range(1).select(forests.sound(nodes)).first()[0]
+    wrong = nodes.withColumn("stats", F.when(F.col("leaf") & (F.col("tree") == 0), F.reverse("stats")).otherwise(F.col("stats")))
+    assert not spark.range(1).select(forests.sound(wrong)).first()[0]
