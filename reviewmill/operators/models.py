@@ -69,15 +69,19 @@ def with_score(preds: DataFrame) -> DataFrame:
     return preds.withColumn("score", positive_score(preds.columns))
 
 
+def stored_predictions(model: Model, test: DataFrame) -> DataFrame:
+    """(label, prediction, score) of every test row, stored."""
+    return session.publish(with_score(model.transform(test)).select("label", "prediction", "score"), "predictions")
+
+
 def evaluate(model: Model, test: DataFrame, experiment: str, train_time: float | None = None,
-             params: str = "") -> DataFrame:
+             params: str = "", preds: DataFrame | None = None) -> DataFrame:
     """One row of metrics, confusion counts and times.
 
-    Predictions are stored once and then read by every metric.
+    Predictions are stored once and then read by every metric; ``preds`` takes those of ``stored_predictions``.
     """
     started = time.time()
-    scored = with_score(model.transform(test)).select("label", "prediction", "score")
-    preds = session.publish(scored, "predictions")
+    preds = stored_predictions(model, test) if preds is None else preds
     took = time.time() - started
     note = "" if model_has_probability(model) else "(margin-based, uncalibrated)"
     area = evaluation.auc(preds)
