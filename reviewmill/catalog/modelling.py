@@ -215,16 +215,14 @@ LEFT JOIN both ON both.topic_id = x.topic_id AND both.p = x.position AND both.q
 
 
 def _coherence(v: Views):
-    """Coherence of every topic next to SQL over the same stored tables, against words dealt at random, and whether shares add up."""
+    """Coherence of every topic next to SQL over the same stored tables, and whether the shares of every text add up."""
     found = models.fit_topics(v.documents, "review")
     mine = models.topic_coherence(found.terms, found.tokens)
-    chance = models.topic_coherence(found.terms, models.shuffled_tokens(found.tokens))
     wanted = v.spark.sql(COHERENCE_SQL, tokens=found.tokens, terms=found.terms)
     shares = models.topic_shares(found).join(found.tokens, "row").agg(F.every(F.when(
         F.size("tokens") > 0, F.abs(F.aggregate("shares", F.lit(0.0), lambda a, x: a + x) - 1) < 1e-6).otherwise(True))).scalar()
-    mean = lambda rows: rows.agg(F.avg("coherence")).scalar()
     return mine.join(wanted, "topic_id").select("topic_id", (F.abs(F.col("coherence") - F.col("wanted")) < 2e-6).alias("equal"),
-                                                (mean(mine) > mean(chance)).alias("above_chance"), shares.alias("shares_add_up"))
+                                                shares.alias("shares_add_up"))
 
 
 def review_model(v: Views):
@@ -426,7 +424,7 @@ FROM (SELECT unnest(['0.0', '0.5']) AS e) a, (SELECT unnest(['0.001', '0.01', '0
     "model_terms_lr": """SELECT class, CAST(15 AS BIGINT) AS terms, TRUE AS known, TRUE AS scored
 FROM (SELECT unnest(['positive', 'negative']) AS class) t""",
     "lda_topics": "SELECT unnest(range(1, 6)) AS topic_id, CAST(8 AS BIGINT) AS terms, TRUE AS known, TRUE AS falling",
-    "lda_coherence": "SELECT unnest(range(1, 6)) AS topic_id, TRUE AS equal, TRUE AS above_chance, TRUE AS shares_add_up",
+    "lda_coherence": "SELECT unnest(range(1, 6)) AS topic_id, TRUE AS equal, TRUE AS shares_add_up",
     "lda_topic_weight": """SELECT t AS topic_id, 'Topic ' || CAST(t AS VARCHAR) AS label, CAST(8 AS BIGINT) AS terms, TRUE AS is_share
 FROM (SELECT unnest(range(1, 6)) AS t) x""",
     "score_batch": f"SELECT id, guardrail AS guard, TRUE AS obeyed, TRUE AS holds FROM ({guardrail_sql()}) g",

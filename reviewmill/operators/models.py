@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill import session
-from reviewmill.operators import complaints, evaluation, features, ranking
+from reviewmill.operators import complaints, evaluation, features, ranking, running
 
 SEED = 42
 REG_PARAMS = [0.001, 0.01, 0.05, 0.1, 0.5]   # fixed values of the tuning grid
@@ -312,11 +312,11 @@ def topic_coherence(terms: DataFrame, tokens: DataFrame, column: str = "tokens")
 
 
 def shuffled_tokens(tokens: DataFrame, column: str = "tokens", seed: int = SEED) -> DataFrame:
-    """The same words dealt to as many texts at random: what co-occurs is left to chance."""
-    texts = tokens.agg(F.count(F.lit(1))).scalar()
+    """The same words dealt at random to texts of the same lengths: what co-occurs is left to chance."""
     words = tokens.select("row", F.posexplode(column).alias("at", "word"))
-    home = F.pmod(F.xxhash64("row", "at", F.lit(seed)), texts)
-    return words.select(home.alias("row"), "word").groupBy("row").agg(F.collect_list("word").alias(column))
+    slots = running.numbered(words.select("row", "at"), [F.xxhash64("row", "at", F.lit(seed)), F.col("row"), F.col("at")], "nth")
+    dealt = running.numbered(words, [F.xxhash64("row", "at", F.lit(seed + 1)), F.col("row"), F.col("at")], "nth")
+    return slots.select("nth", "row").join(dealt.select("nth", "word"), "nth").groupBy("row").agg(F.collect_list("word").alias(column))
 
 
 def topic_shares(topics: Topics) -> DataFrame:

@@ -183,8 +183,17 @@ def test_coherence_counts_texts_with_both_terms(spark):
     terms = spark.createDataFrame([(1, 1, "apple"), (1, 2, "pear"), (1, 3, "plum"), (2, 1, "stone"), (2, 2, "pear")], "topic_id long, position long, term string")
     got = {r.topic_id: r.coherence for r in models.topic_coherence(terms, tokens).collect()}
     assert got == {1: pytest.approx(math.log(3 / 4) + math.log(2 / 4) + math.log(2 / 2), abs=1e-6), 2: pytest.approx(math.log(1 / 2), abs=1e-6)}
-    dealt = models.shuffled_tokens(tokens).collect()
-    assert sorted(w for r in dealt for w in r.tokens) == sorted(" ".join(texts).split())
+    dealt = {r.row: r.tokens for r in models.shuffled_tokens(tokens).collect()}
+    assert sorted(w for t in dealt.values() for w in t) == sorted(" ".join(texts).split())
+    assert all(len(dealt[n]) == len(t.split()) for n, t in enumerate(texts))
+
+
+def test_topics_of_a_shuffled_corpus_score_lower(spark):
+    kinds = ["wheel engine road driver brake garage", "flour sugar butter oven cake recipe", "violin concert chorus melody singer stage"]
+    rows = [(n, " ".join(kinds[n % 3].split()[(n // 3 + k) % 6] for k in range(4))) for n in range(300)]
+    found = models.fit_topics(spark.createDataFrame(rows, "id int, text string"), "text", k=3, iterations=20, terms=4, dims=512)
+    score = lambda tokens: models.topic_coherence(found.terms, tokens).agg(F.avg("coherence")).first()[0]
+    assert score(found.tokens) > score(models.shuffled_tokens(found.tokens)) + 1
 
 
 def test_shares_of_topics_add_up(spark, sample):
