@@ -56,7 +56,8 @@ def sound(table: DataFrame) -> Column:
     total = F.aggregate("stats", F.lit(0.0), lambda a, x: a + x)
     gini = 1 - F.aggregate(F.transform("stats", lambda x: (x / total) * (x / total)), F.lit(0.0), lambda a, x: a + x)
     majority = F.when(F.col("stats")[1] > F.col("stats")[0], 1.0).otherwise(0.0)
-    own = table.agg(F.every((F.abs(gini - F.col("impurity")) < 1e-9) & (majority == F.col("prediction"))).alias("ok")).scalar()
+    unsplit = F.col("leaf") & (F.col("impurity") == -1)  # the library's mark for a leaf of which no split was valid
+    own = table.agg(F.every((unsplit | (F.abs(gini - F.col("impurity")) < 1e-9)) & (majority == F.col("prediction"))).alias("ok")).scalar()
     child = table.select("tree", F.col("node").alias("child"), F.col("stats").alias("part"))
     inner = table.filter("not leaf").select("tree", "node", "stats", F.explode(F.array("left", "right")).alias("child"))
     sums = inner.join(child, ["tree", "child"]).groupBy("tree", "node").agg(
