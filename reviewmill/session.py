@@ -1,4 +1,4 @@
-"""Session defaults, the shared scratch folder and durable lineage cuts."""
+"""Session defaults, the shared scratch folder and stored tables that cut lineage."""
 
 from __future__ import annotations
 
@@ -75,15 +75,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint: the result outlives the executors that computed it."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=eager)
-
-
 def publish(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder and return the stored table."""
     path = scratch_path(df.sparkSession, label)
