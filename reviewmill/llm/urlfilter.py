@@ -31,7 +31,7 @@ MOST_RULES = 500_000
 TOKEN = re.compile(r"[a-z0-9]+")
 
 # The host rules of the contract.
-HOST_RULES = {"net/": "allow", "example.net/en/": "block", "example.com/de/": "block", "org/fr/": "allow"}
+HOST_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
 # Pattern rules, each with its verdict. "^" stands for a border: no letter, digit, "-", "_", "." or "%".
 PATTERN_RULES = {
