@@ -4,9 +4,10 @@ Method: each tree hashes a vector to a string of ``BITS`` signs against random h
 those strings. A query descends every tree to the entries that share the longest prefix with its own string, and then ascends in
 all trees at once, one bit at a time, until the entries met are the wanted share of the rows; those are scored exactly.
 
-The index is cut into cells of about ``CELL_ROWS`` rows, drawn by digest, each with a forest of its own; queries travel in blocks to
-every cell of their dimension, and the best k of each cell are merged. So no task holds more than one cell and one
-block. The share is fitted for each dimension: the smallest at which ``SAMPLE_QUERIES`` queries over a sample of ``SAMPLE_ROWS`` rows
+The index is cut into cells of about ``CELL_ROWS`` rows and the queries into tiles of ``TILE_QUERIES`` at most, both drawn by digest.
+A task takes one cell and one tile, grows the forest of the cell and searches it for the queries block by block; the best k of each
+cell are merged. So no task holds more than one cell, one tile and one block, vectors travel in the type they are stored in, a row
+travels once for each tile of queries and a query once for each cell. The share is fitted for each dimension: the smallest at which ``SAMPLE_QUERIES`` queries over a sample of ``SAMPLE_ROWS`` rows
 reach ``AIM`` recall against brute force; a dimension with no more rows than that is searched whole. Data without structure needs a large share, clustered data a small one. Recall rises with the
 size of a cell, so the sample, smaller than a cell, errs on the safe side.
 
@@ -24,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import slices
 from reviewmill.session import publish
 
 TREES, BITS = 48, 32
-CELL_ROWS, BLOCK_QUERIES = 8192, 256
+CELL_ROWS, TILE_QUERIES, BLOCK_QUERIES = 65_536, 65_536, 256
+#: Pairs of cell and tile that a small table is cut into, so that all cores take part.
+LEAST_PAIRS = 24
 SAMPLE_ROWS, SAMPLE_QUERIES, AIM = 4096, 256, 0.97
 SHARES = (0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.5, 0.6, 0.8, 1.0)
 
@@ -105,8 +107,9 @@ class Forest:
 
 def _valid(df: DataFrame, key: str, vector: str) -> DataFrame:
     """(id, v, dim, digest): the rows that take part, each once."""
-    rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).filter("id is not null and size(v) > 0")
-    unfit = "exists(v, x -> x is null or isnan(x) or x in (double('Infinity'), double('-Infinity'))) or not exists(v, x -> x != 0)"
+    kind = "array<float>" if df.select(vector).schema[0].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast(kind).alias("v")).filter("id is not null and size(v) > 0")
+    unfit = "exists(v, x -> x is null or isnan(x) or double(x) in (double('Infinity'), double('-Infinity'))) or not exists(v, x -> x != 0)"
     kept = rows.filter(~F.expr(unfit)).withColumn("dim", F.size("v")).withColumn("digest", F.xxhash64("v"))
     return kept.dropDuplicates(["id", "digest"])
 
@@ -130,33 +133,23 @@ def fit_shares(rows: DataFrame, sizes: dict[int, int], k: int) -> dict[int, floa
         rows.filter(F.col("dim") == dim).select("id", "v").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS), k) for dim, n in sizes.items()}
 
 
-def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def _grow(cell: pa.Table) -> pa.Table:
-    dim = cell.column("dim")[0].as_py()
-    ids = cell.column("id").to_numpy()
-    forest = Forest.grow(ids, _matrix(cell.column("v"), dim))
-    blobs = [x.tobytes() for x in (ids, forest.vectors, forest.order, forest.strings)]
-    return pa.table({
-        "dim": pa.array([dim], pa.int32()), "cell": pa.array([cell.column("cell")[0].as_py()], pa.int32()),
-        **{name: pa.array([blob], pa.binary()) for name, blob in zip(("ids", "vectors", "ranks", "strings"), blobs, strict=True)}})
+def pieces(rows: int, asked: int) -> tuple[int, int]:
+    """Cells of the rows and tiles of the queries of one dimension."""
+    cells = max(1, -(-rows // CELL_ROWS))
+    return cells, max(1, -(-asked // TILE_QUERIES), min(-(-asked // BLOCK_QUERIES), -(-LEAST_PAIRS // cells)))
 
 
-def _pack(block: pa.Table) -> pa.Table:
-    dim = block.column("dim")[0].as_py()
-    return pa.table({
-        "dim": pa.array([dim], pa.int32()),
-        "qids": pa.array([block.column("id").to_numpy().tobytes()], pa.binary()),
-        "qvectors": pa.array([_matrix(block.column("v"), dim).tobytes()], pa.binary()),
-        "qdigests": pa.array([block.column("digest").to_numpy().tobytes()], pa.binary())})
+def _of_dimension(numbers: dict[int, int]) -> Column:
+    """The number that belongs to the dimension of a row."""
+    return F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])[F.col("dim")]
 
 
-def _drawn(sizes: dict[int, int], rows: int) -> Column:
-    """Number of pieces of about ``rows`` rows for the dimension of a row."""
-    return F.create_map(*[F.lit(x) for dim, n in sizes.items() for x in (dim, -(-n // rows))])[F.col("dim")]
+def _places(number: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), (number - 1).cast("int")))
 
 
 def knn(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = 5) -> DataFrame:
@@ -169,27 +162,31 @@ def knn(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "emb
     if not asked:
         return df.sparkSession.createDataFrame([], answer)
     shares = fit_shares(rows, {dim: sizes[dim] for dim in asked}, k)
-    cells = rows.withColumn("cell", F.pmod(F.xxhash64("id", "digest"), _drawn(sizes, CELL_ROWS)).cast("int"))
-    index = cells.groupBy("dim", "cell").applyInArrow(_grow, "dim int, cell int, ids binary, vectors binary, ranks binary, strings binary")
-    index = publish(index, "forest")
-    blocks = queries.withColumn("block", F.pmod(F.xxhash64("id", "digest"), _drawn(asked, BLOCK_QUERIES)).cast("int"))
-    blocks = blocks.groupBy("dim", "block").applyInArrow(_pack, "dim int, qids binary, qvectors binary, qdigests binary")
-    sent = blocks.withColumn("cell", F.explode(F.sequence(F.lit(0), _drawn(sizes, CELL_ROWS).cast("int") - 1)))
-
-    def search(batches):
-        for pair in slices(batches, 1):
-            r = pair.to_pylist()[0]
-            ids, dim = np.frombuffer(r["ids"], np.int64), r["dim"]
-            forest = Forest(ids, np.frombuffer(r["vectors"]).reshape(-1, dim), np.frombuffer(r["ranks"], np.int32).reshape(TREES, -1),
-                            np.frombuffer(r["strings"], np.uint32).reshape(TREES, -1))
-            owns, digests = np.frombuffer(r["qids"], np.int64), np.frombuffer(r["qdigests"], np.int64)
-            found = forest.search(owns, np.frombuffer(r["qvectors"]).reshape(-1, dim), shares[dim], k)
-            counts = [len(x) for x, _ in found]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(owns, counts)), pa.array(np.repeat(digests, counts)), pa.array(np.concatenate([x for x, _ in found])),
-                 pa.array(np.concatenate([x for _, x in found]))], names=["query_id", "digest", "vec_id", "score"])
-
-    met = index.join(sent, ["dim", "cell"]).mapInArrow(search, "query_id long, digest long, vec_id long, score double")
+    cut = {dim: pieces(sizes[dim], n) for dim, n in asked.items()}
+    cells, tiles = (_of_dimension({dim: both[n] for dim, both in cut.items()}) for n in (0, 1))
+    drawn = F.xxhash64("id", "digest")
+    taking = rows.filter(F.col("dim").isin(list(asked)))
+    index = taking.select("dim", F.pmod(drawn, cells).cast("int").alias("cell"), _places(tiles).alias("tile"), "id", "v")
+    sent = queries.select("dim", _places(cells).alias("cell"), F.pmod(drawn, tiles).cast("int").alias("tile"), "id", "v", "digest")
+    found = pa.schema([("query_id", pa.int64()), ("digest", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+    def search(cell: pa.Table, tile: pa.Table) -> pa.Table:
+        if not cell.num_rows or not tile.num_rows:
+            return found.empty_table()
+        dim = cell.column("dim")[0].as_py()
+        forest = Forest.grow(cell.column("id").to_numpy(), _matrix(cell.column("v"), dim))
+        out = []
+        for start in range(0, tile.num_rows, BLOCK_QUERIES):
+            block = tile.slice(start, BLOCK_QUERIES)
+            owns, digests = (block.column(name).to_numpy() for name in ("id", "digest"))
+            best = forest.search(owns, _matrix(block.column("v"), dim), shares[dim], k)
+            counts = [len(x) for x, _ in best]
+            columns = [np.repeat(owns, counts), np.repeat(digests, counts), np.concatenate([x for x, _ in best]), np.concatenate([x for _, x in best])]
+            out.append(pa.table(columns, schema=found))
+        return pa.concat_tables(out)
+
+    pair = ("dim", "cell", "tile")
+    met = index.groupBy(*pair).cogroup(sent.groupBy(*pair)).applyInArrow(search, "query_id long, digest long, vec_id long, score double")
     best = Window.partitionBy("query_id", "digest").orderBy(F.col("score").desc(), "vec_id")
     ranked = met.withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

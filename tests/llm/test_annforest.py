@@ -59,6 +59,27 @@ def test_unfit_vectors_ties_and_other_lengths(spark, monkeypatch):
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+def test_copies_of_rows_and_queries_stay_few():
+    """At 15 million rows a row travels once for each of few tiles of queries, and a task holds one bounded cell and tile."""
+    cells, tiles = annforest.pieces(15_000_000, 300_000)
+    assert cells <= 240 and tiles <= 5
+    assert 15_000_000 / cells <= annforest.CELL_ROWS and 300_000 / tiles <= annforest.TILE_QUERIES
+    assert annforest.pieces(10, 1) == (1, 1)
+    cells, tiles = annforest.pieces(50_000, 1_000)
+    assert cells * tiles >= 4
+
+
+def test_cells_and_tiles_find_what_one_cell_finds(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(n, rng.normal(size=8).astype(np.float32).tolist()) for n in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    read = lambda: sorted(tuple(r) for r in annforest.knn(df, F.col("id") % 5 == 0).collect())
+    whole = read()
+    for name, size in (("CELL_ROWS", 100), ("TILE_QUERIES", 30), ("BLOCK_QUERIES", 7)):
+        monkeypatch.setattr(annforest, name, size)
+    assert len(whole) == 600 and read() == whole
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert annforest.knn(df, F.col("id") % 50 == 0).count() == 0
