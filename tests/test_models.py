@@ -91,6 +91,15 @@ def test_closed_form_bayes_equals_the_fitted_one(parts):
     assert prior.count() == 1
 
 
+def test_a_task_takes_apart_few_bytes_of_text(sample, monkeypatch):
+    want = sorted(tuple(r) for r in features.feature_table(sample, "id", ngrams=(1, 2)).collect())
+    size = sample.agg(F.sum(F.octet_length("clean_text"))).first()[0]
+    monkeypatch.setattr(features, "TASK_TEXT", size // 40)
+    counts = features.term_frequencies(sample, "id")
+    assert counts.select(F.spark_partition_id()).rdd.getNumPartitions() >= 40  # Spark would have merged them
+    assert sorted(tuple(r) for r in features.feature_table(sample, "id", ngrams=(1, 2)).collect()) == want
+
+
 def test_rare_and_hot_terms_give_one_table(sample, monkeypatch):
     want = sorted(tuple(r) for r in features.tfidf_table(sample, "id").collect())
     monkeypatch.setattr(features, "HOT_TERMS", 3)
