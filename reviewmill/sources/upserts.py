@@ -102,19 +102,30 @@ def _versions(spark: SparkSession, files: _Files, generation: int) -> DataFrame
     return spark.read.option("basePath", folder).parquet(*paths).withColumn("batch", F.col("batch").cast("bigint"))
 
 
-def _merged(stored: DataFrame | None, versions: DataFrame | None, version: str, created: str | None, tie: str | None) -> DataFrame:
-    """One row a key: the highest version, of equal ones the later batch, of one batch the highest tie."""
+def _merged(stored: DataFrame | None, versions: DataFrame | None, version: str, created: str | None, tie: str | None,
+            wanted: list[str] | None = None) -> DataFrame:
+    """One row a key: the highest version, of equal ones the later batch, of one batch the highest tie.
+
+    Rows travel as structs, out of which Spark prunes nothing, so columns that are neither ``wanted`` nor compared are left out first.
+    """
+    if wanted is not None:
+        used = {name.lower() for name in (*wanted, KEY, "batch", version, created, tie) if name}
+        stored, versions = (part and part.select(*[f"`{c}`" for c in part.columns if c.lower() in used]) for part in (stored, versions))
     if versions is None:
         return stored
-    columns = [c for c in versions.columns if c != "batch"]
+    every = [c for c in versions.columns if c != "batch"]
+    columns = [c for c in every if c != KEY]
 
     def order(batch: Column, row: str | None = None) -> Column:
         at = (lambda c: F.col(c)) if row is None else (lambda c: F.col(row).getField(c))
         return F.struct(at(version).alias("version"), batch.alias("batch"), *([at(tie).alias("tie")] if tie else []))
 
-    new, new_order, first, old = free_names(columns, "new", "new_order", "first", "old")
-    measures = [F.max_by(F.struct(*columns), order(F.col("batch"))).alias(new), F.max(order(F.col("batch"))).alias(new_order)]
-    latest = versions.groupBy(KEY).agg(*measures, F.min(created or KEY).alias(first))
+    new, new_order, first, old, code = free_names(every, "new", "new_order", "first", "old", "code")
+    measures = [F.max_by(F.struct(*columns), order(F.col("batch"))).alias(new), *([F.min(created).alias(first)] if created else [])]
+    if stored is not None:
+        latest = versions.groupBy(KEY).agg(*measures, F.max(order(F.col("batch"))).alias(new_order))
+    else:  # the digest as 32 bytes: its 64 letters would be most of what moves
+        latest = versions.groupBy(F.unhex(KEY).alias(code)).agg(*measures).withColumn(KEY, F.lower(F.hex(code))).drop(code)
     if stored is None:
         joined, winner = latest, F.col(new)
     else:
@@ -129,15 +140,16 @@ def _merged(stored: DataFrame | None, versions: DataFrame | None, version: str,
             return (F.least(F.col(first), *before) if before else F.col(first)).alias(name)
         return winner.getField(name).alias(name)
 
-    return joined.select(*[F.col(KEY) if c == KEY else column(c) for c in columns])
+    return joined.select(*[F.col(KEY) if c == KEY else column(c) for c in every])
 
 
 def read_upserted(spark: SparkSession, path: str, version: str = "updated_at", created: str | None = "created_at",
-                  tie: str | None = None) -> DataFrame:
-    """The last version of every key; the first creation time survives."""
+                  tie: str | None = None, columns: list[str] | None = None) -> DataFrame:
+    """The last version of every key; the first creation time survives. With ``columns``, those alone are read, moved and returned."""
     files = _Files(spark, path)
     generation = files.generation()
-    return _merged(_stored(spark, files, generation), _versions(spark, files, generation), version, created, tie).drop(KEY)
+    found = _merged(_stored(spark, files, generation), _versions(spark, files, generation), version, created, tie, columns).drop(KEY)
+    return found if columns is None else found.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def read_key(spark: SparkSession, path: str, key: dict[str, object], version: str = "updated_at", created: str | None = "created_at",

@@ -89,6 +89,19 @@ def test_upsert_is_idempotent_and_keeps_creation(spark, tmp_path):
     assert {f.name for f in (tmp_path / "t").iterdir()} == {"generation=2", "generation=3"}
 
 
+def test_wanted_columns_alone_are_read_and_moved(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upserts.upsert(spark.createDataFrame([(i, f"v{i}", 1, 1) for i in range(9)] + [(None, "nobody", 1, 1)], TABLE), path, ["id"], 1)
+    upserts.upsert(spark.createDataFrame([(3, "new", 9, 9), (4, "stale", 0, 0)], TABLE), path, ["id"], 2)
+    for _ in range(2):
+        whole = upserts.read_upserted(spark, path)
+        few = upserts.read_upserted(spark, path, created=None, columns=["id"])
+        assert sorted(few.collect(), key=str) == sorted(whole.select("id").collect(), key=str) and few.columns == ["id"]
+        assert "name" not in few._jdf.queryExecution().executedPlan().toString()
+        assert {r.id: (r.name, r.created_at) for r in whole.collect()}[4] == ("v4", 0)
+        upserts.compact(spark, path)
+
+
 def test_upsert_writes_only_its_own_rows(spark, tmp_path):
     path = tmp_path / "t"
     upserts.upsert(spark.createDataFrame([(i, "a", 1, 1) for i in range(50)], TABLE), str(path), ["id"], 1)
