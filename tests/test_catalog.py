@@ -3,8 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from compare import compare, duck
+from reviewmill.catalog.views import Views
 
 SF = "/root/testdata/sf0.001"
 
@@ -88,3 +90,15 @@ def test_filters_reach_the_scan(spark, views):
 
     rows = kpis.filter_reviews(views.reviews, sentiment="negative", product_id="P1")
     assert "DataFilters: [" in rows._jdf.queryExecution().toString()
+
+
+def test_texts_of_one_row_group_are_dealt_out(spark, tmp_path):
+    """A table of one row group is read by one task; its texts are worked on by as many as there are cores."""
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double, l_returnflag string, l_shipdate date"
+    lines = spark.range(400).selectExpr("id AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "1 AS l_linenumber", "5.0D AS l_quantity",
+                                        "0.1D AS l_discount", "'R' AS l_returnflag", "DATE'2020-01-01' AS l_shipdate")
+    lines.select([c.split()[0] for c in columns.split(", ")]).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(3).selectExpr("id AS s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    found = Views(spark, str(tmp_path))
+    busy = found.dealt_reviews.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert busy > 1 and found.dealt_reviews.exceptAll(found.reviews).count() == 0 == found.reviews.exceptAll(found.dealt_reviews).count()
