@@ -134,3 +134,19 @@ def test_contexts_are_searched_once(spark):
     plan = aspects.aspect_contexts(spark.range(5).select("id", F.lit("the price").alias("content")), "content", ["id"])
     plan = plan._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") <= 1 and "Join" not in plan
+
+
+def test_words_of_texts_stay_in_place_and_pairs_are_dealt_out_by_their_number(spark, monkeypatch):
+    table = spark.createDataFrame([("lot",), ("bad box",)], "phrase string").localCheckpoint()
+    rows = reviews(spark, *["a lot and a slot"] * 7, "bad box").localCheckpoint()
+    monkeypatch.setattr(complaints, "TASK_TEXTS", 3, raising=False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = complaints.match_phrases(rows, table)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = sorted(tuple(r) for r in found.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(_word" not in plan
+    assert found.rdd.getNumPartitions() == 3
+    assert got == sorted([(r.id, "lot") for r in rows.collect()[:7]] + [(rows.collect()[7].id, "bad box")])
