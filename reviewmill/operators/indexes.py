@@ -107,8 +107,10 @@ def search_index(df: DataFrame, texts: list[str], order: list[Column], number: i
     """Index of some text columns. Rows that lie together in ``order`` share a filter, so an order that keeps like texts together sharpens it."""
     ranges = store_ranges(df, order, "search-index", number)
     body = F.lower(F.concat_ws("\n", *[F.col(f"`{t}`") for t in texts]))
-    places = F.sequence(F.lit(1), F.length("body") - (GRAM - 1))
-    grams = F.when(F.length("body") >= GRAM, F.array_distinct(F.transform(places, lambda at: _slot(F.substring("body", at, F.lit(GRAM))))))
-    bits = ranges.rows.select(F.col(ranges.part).alias("part"), body.alias("body")).select("part", F.explode_outer(grams).alias("slot"))
-    filters = bits.groupBy("part").agg(F.bitmap_construct_agg("slot").alias("bits"))
+    # An empty match ahead of each run takes the runs out in one pass over the text.
+    grams = F.regexp_extract_all("body", F.lit(rf"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
+    bits = ranges.rows.select(F.col(ranges.part).alias("part"), body.alias("body")).select("part", F.explode_outer(grams).alias("gram"))
+    # A hash aggregate leaves each range FILTER_BITS rows at most a task; the bitmap is a sorted aggregate, which would order all runs.
+    slots = bits.select("part", F.when(F.col("gram").isNotNull(), _slot(F.col("gram"))).alias("slot")).distinct()
+    filters = slots.groupBy("part").agg(F.bitmap_construct_agg("slot").alias("bits"))
     return SearchIndex(ranges, session.publish(filters, "search-filters"), texts)

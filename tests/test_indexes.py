@@ -49,3 +49,15 @@ def test_a_rare_term_opens_few_ranges(spark):
     index = indexes.search_index(df, ["text"], [F.col("id")], 8)
     assert index.filters.count() > 3 and len(index.parts("zyxwv")) == 1 and len(index.parts("order")) == index.filters.count()
     assert [r.id for r in index.search("XWV").collect()] == [777]
+
+
+def test_runs_of_letters_are_reduced_by_hashing_before_bitmaps_sort_them(spark, monkeypatch):
+    plans, publish = [], indexes.session.publish
+    monkeypatch.setattr(indexes.session, "publish", lambda df, label: (plans.append(df._jdf.queryExecution().executedPlan().toString()), publish(df, label))[1])
+    texts = ["Lot 977,\nline 1", "a\U0001F600b\U0001F600c lot", "ab", "", None, "ПРИВЕТ lot"] * 3
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, content string")
+    index = indexes.search_index(rows, ["content"], [F.col("content"), F.col("id")], 4)
+    assert re.search(r"HashAggregate\(keys=\[part#\d+, slot#\d+L?\]", plans[-1])
+    for term in ("lot", "7,\nl", "\U0001F600b\U0001F600", "b\U0001F600c", "привет", "ab", "none of them"):
+        want = sorted(n for n, t in enumerate(texts) if t is not None and term.lower() in t.lower())
+        assert sorted(r.id for r in index.search(term).collect()) == want, term
