@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from reviewmill.functions import rules
 from reviewmill.operators import aspects, complaints
 
 
@@ -150,3 +151,35 @@ def test_words_of_texts_stay_in_place_and_pairs_are_dealt_out_by_their_number(sp
     assert "hashpartitioning(_word" not in plan
     assert found.rdd.getNumPartitions() == 3
     assert got == sorted([(r.id, "lot") for r in rows.collect()[:7]] + [(rows.collect()[7].id, "bad box")])
+
+
+def test_patterns_are_searched_in_generated_code(spark):
+    """No lambda runs per row and the text is put in lower case once; a text without any pattern or without letters has none."""
+    rows = reviews(spark, "POOR QUALITY, not worth it. Not worth it", "fine", None)
+    found = complaints.complaint_matches(rows, keep=["content"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and plan.count("lower(") == 1
+    assert [(r.phrase, r.n_gram_type, r.aspect) for r in found.collect()] == [
+        ("poor quality", "Bigram", "Build Quality"), ("not worth", "Bigram", "Price / Value")]
+    assert [r[0] for r in rows.select(F.size(complaints.matched_patterns("content"))).collect()] == [2, 0, 0]
+
+
+def test_words_that_begin_alike_share_a_branch():
+    """The grouped alternation finds what the plain one finds, longest word first."""
+    import re
+
+    from reviewmill.functions import lexicon as lex
+    from reviewmill.functions import text as tx
+
+    words = [w for listed in lex.ASPECT_KEYWORDS.values() for w in listed]
+    assert tx.one_of(["box", "bond", "cat"]) == "(?=[bc])(?:b(?:ond|ox)|c(?:at))"
+    texts = [" ".join(words), "Charging-speed, CHARGER charged; boxes box. value4money worthless", "", "Delivery timed delivery time"]
+    for pattern in (tx.one_of(words), tx.word_alternation(words)):
+        assert [re.findall(rf"(?i)\b(?:{pattern})\b", t) for t in texts] == [
+            re.findall(rf"(?i)\b(?:{tx.word_alternation(words)})\b", t) for t in texts]
+
+
+def test_complaint_words_are_whole_words_of_a_phrase(spark):
+    rows = spark.createDataFrame([("slow charger",), ("charger is SLOW",), ("slowly charged",), ("slow",), ("",), ("a slow\n",)], "p string")
+    assert [r[0] for r in rows.select(rules.signals_complaint("p")).collect()] == [True, True, False, True, False, False]
+    assert [r[0] for r in rows.select(rules.signals_complaint("p", [])).collect()] == [False] * 6
