@@ -236,3 +236,38 @@ def test_analysis_has_no_exchange(spark, fitted):
     rows = spark.range(10).select("id", F.lit("the price is bad").alias("review"))
     plan = scoring.analyze(rows, fitted, "review", ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Generate" not in plan
+
+
+def test_texts_are_taken_apart_once_for_a_fit(spark):
+    """One stage is fitted, on stored counts; its weights are those of each n-gram size fitted by itself."""
+    from pyspark.ml import Estimator, Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    rows = spark.createDataFrame([(0, 1.0, "good sturdy good box"), (1, 0.0, "bad box"), (2, 1.0, "good sturdy box"), (3, 0.0, "")],
+                                 "id int, label double, clean_text string")
+    assert sum(isinstance(stage, Estimator) for stage in features.tfidf_stages((1, 2))) == 1
+    weights = {}
+    for n in ((1,), (2,), (1, 2)):
+        found = Pipeline(stages=features.tfidf_stages(n, dims=32, min_df=1.0)).fit(rows).transform(rows)
+        weights[n] = [list(r[0]) for r in found.orderBy("id").select(vector_to_array("features")).collect()]
+    assert weights[1, 2] == [a + b for a, b in zip(weights[1,], weights[2,], strict=True)]
+    model = models.fit(rows, models.naive_bayes(), dims=32, min_df=1.0)
+    assert [list(r[0]) for r in model.transform(rows).orderBy("id").select(vector_to_array("features")).collect()] == weights[1, 2]
+
+
+def test_documents_of_one_row_group_are_dealt_out(spark, tmp_path):
+    """What is stored for fits lies in several files, so that every later step has several tasks."""
+    from reviewmill.catalog import modelling
+    from reviewmill.catalog.views import Views
+
+    texts = spark.createDataFrame([(n, f"src{n % 3}", f"word{n} is a fine text of number {n}", "en") for n in range(200)],
+                                  "doc_id bigint, source string, text string, lang string")
+    texts.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    texts.selectExpr("doc_id", "cast(doc_id % 2 as int) AS quality").coalesce(1).write.parquet(str(tmp_path / "labels.parquet"))
+    v = Views(spark, str(tmp_path))
+    tasks = lambda df: df.select(F.spark_partition_id()).distinct().count()
+    assert tasks(v.documents) == 1 and tasks(v.dealt_documents) > 1
+    assert sorted(v.dealt_documents.collect()) == sorted(v.documents.collect())
+    train, test = modelling.split(v)
+    assert train.count() + test.count() == 200
+    assert train.select(F.input_file_name()).distinct().count() > 1
