@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewmill import schemas, session
-from reviewmill.operators import corpus
+from reviewmill.operators import corpus, models, scoring
 from reviewmill.plans import jobs as batch_jobs
 from reviewmill.sources import readers, sinks, upserts
 from reviewmill.streaming import jobs
@@ -230,6 +230,23 @@ def test_running_kpis_equal_batch_and_drop_late_rows(spark, tmp_path):
     assert sorted(got.values()) == [(1, 1), (2, 1), (2, 1)]
 
 
+def test_score_stream_deals_out_the_reviews_of_one_row_group(spark, tmp_path):
+    rows = [(str(n), text) for n, text in enumerate(["great charger, love it", "broken, useless", "It wasn't cheap", "", None, "lot 7"] * 20)]
+    train = spark.createDataFrame([("good fine nice", 1.0), ("bad poor slow", 0.0)] * 4, "clean_text string, label double")
+    model = models.fit(train, models.logistic_regression(maxIter=3), dims=64, min_df=1.0)
+    path = str(tmp_path / "in")
+    spark.createDataFrame(rows, "id string, content string").coalesce(1).write.parquet(path)
+    counts = {}
+    for tasks in (None, 4):
+        out = str(tmp_path / f"out-{tasks}")
+        stream = jobs.read_stream(spark, path, spark.read.parquet(path).schema)
+        jobs.score_stream(stream, model, out, str(tmp_path / f"cp-{tasks}"), tasks=tasks).awaitTermination()
+        scored = spark.read.parquet(out)
+        assert sorted(map(str, scored.collect())) == sorted(map(str, scoring.predict(spark.read.parquet(path), model, "content", ["id"]).collect()))
+        counts[tasks] = scored.groupBy(F.input_file_name()).count().count()
+    assert counts == {None: 1, 4: 4}
+
+
 def test_import_stream_keeps_the_last_version(spark, tmp_path):
     members = spark.createDataFrame([(1, "A", "owner"), (2, "A", "viewer")], "user_id bigint, organization_id string, role string")
     stream = event_files(

@@ -106,6 +106,18 @@ def test_guardrail_and_its_legacy_form(spark, text, now, before):
     assert apply(spark, [text], rules.guardrail("t", legacy=True)) == [before]
 
 
+def test_a_border_is_tried_only_ahead_of_a_first_letter(spark):
+    assert tx.border(["not", "no", "hardly"]) == r"(?=[hn])\b"
+    assert tx.border([]) == tx.border([".x", "y"]) == tx.border(["", "y"]) == tx.border(["été"]) == r"\b"
+    texts = ["not good", "knot good", "no  no never", "cannot", "_not x9", "9not it", "é not ok", "it's i'm iti'm they'd", "won't wwon't", "can't've", ""]
+    plain = F.regexp_replace("t", rf"\b({'|'.join(lex.NEGATION_MARKERS)})\s+([a-z0-9]+)", "$1_$2")
+    assert apply(spark, texts, tx.mark_negation("t")) == apply(spark, texts, plain)
+    spelled = apply(spark, texts, tx.expand_contractions("t"))
+    assert spelled[-4:] == ["it is i am iti'm they would", "will not wwo not", "cannot've", ""]
+    custom = apply(spark, ["so-so .x b", "a .x b"], tx.mark_negation("t", [r"\.x", "so"]))
+    assert custom == ["so-so .x b", "a .x b"]
+
+
 @pytest.mark.parametrize("phrase,aspect", [
     ("waste money", "Price / Value"), ("stopped working", "General Dissatisfaction"),
     ("poor quality", "Build Quality"), ("battery died", "Battery"), ("arrived late", "Delivery / Packaging"),
