@@ -132,6 +132,28 @@ def test_sweep_records_failures(parts):
     assert evaluation.best_experiment(table.filter("error is null").select("experiment", "accuracy", "f1")).first().experiment == "ok"
 
 
+def test_sweep_query_fails_with_a_configuration(parts, monkeypatch):
+    """A configuration that fails is no result with a row less."""
+    from reviewmill.catalog import modelling
+
+    tried, timed_fit = [], models.timed_fit
+
+    def broken(train, classifier, stored=False, **options):
+        tried.append(options["ngrams"])
+        if options["min_df"] == 2.0:
+            raise ValueError("out of room")
+        return timed_fit(train, classifier, stored, **options)
+
+    monkeypatch.setattr(modelling, "split", lambda v: parts)
+    monkeypatch.setattr(models, "timed_fit", broken)
+    with pytest.raises(RuntimeError, match="1 of 3 .* 20k, minDF 2: out of room"):
+        modelling._sweep(None)
+    assert len(tried) == 3
+    monkeypatch.setattr(models, "timed_fit", timed_fit)
+    rows = modelling._sweep(None).collect()
+    assert [r.experiment for r in rows] == ["20k, minDF 2", "50k, minDF 5", "1+2+3-grams"] and all(r.agrees and r.total for r in rows)
+
+
 def test_top_terms(parts, spark):
     model = models.fit(parts[0], models.naive_bayes(), ngrams=(1,))
     best = [r.term for r in models.top_terms(model, parts[0], 5).filter("class = 'positive'").collect()]
