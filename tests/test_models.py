@@ -246,6 +246,43 @@ def test_analysis_of_single_reviews(spark, fitted):
     assert {(r.id, a.aspect): (a.sentiment, a.confidence) for r in found for a in r.aspects} == contexts
 
 
+def test_places_of_whole_texts_are_those_of_the_vectors(spark):
+    """Terms of every length up to some blocks of four bytes, with stop words between them and texts that keep none."""
+    import pyarrow as pa
+    from pyspark.ml import PipelineModel
+
+    from reviewmill.functions import hashing
+
+    texts = ["", "the", "a bb ccc dddd eeeee ffffff the ggggggg hhhhhhhh iiiiiiiii", "not_good not_good battery", "the cat of the house", "x"]
+    stages = features.tfidf_stages((1, 2, 3), dims={1: 50, 2: 64, 3: 7})[:-1]
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "id int, clean_text string")
+    want = {r.id: {n: v for n, v in enumerate(r.counts.toArray()) if v} for r in PipelineModel(stages=stages).transform(rows).collect()}
+    owner, places = hashing.text_places(pa.array(texts), pa.array(lex.english_stop_words()), [(1, 50), (2, 64), (3, 7)])
+    got = {n: {} for n in range(len(texts))}
+    for n, place in zip(owner.tolist(), places.tolist()):
+        got[n][place] = got[n].get(place, 0) + 1
+    assert got == want
+    parts = hashing.slices(pa.array([*texts, None, "yy"]), 20)
+    assert pa.concat_arrays(parts).to_pylist() == [*texts, None, "yy"] and len(parts) > 2 and hashing.slices(pa.array([], pa.string()))[0].to_pylist() == []
+
+
+def test_linear_models_score_as_the_library_does(spark, fitted, monkeypatch):
+    """All texts of a row are scored in one pass over Arrow batches; the stages of the model, one text after the other, give the same."""
+    texts = ["The charger is awful, but I don’t recommend the price!", None, "", "  ", "Очень хорошо", "great", "not good, would not buy again",
+             "LOVE IT. The battery life is poor; delivery was late, yet the design is fine and support helped\nnever", "the and of"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, review string")
+    found = {}
+    for name in ("weights", "stages"):
+        if name == "stages":
+            monkeypatch.setattr(scoring, "_linear", lambda model: None)
+        out = [scoring.analyze(rows, fitted, "review", ["id"]), *[scoring.predict(rows, fitted, "review", ["id"], variant) for variant in "abc"],
+               scoring.predict(rows, fitted, "review", ["id"], legacy_guardrail=True), scoring.aspect_predictions(rows, fitted, "review", ["id"])]
+        found[name] = [sorted(map(str, df.collect())) for df in out]
+        plan = out[0]._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == (name == "weights")
+    assert found["weights"] == found["stages"]
+
+
 def test_analysis_keeps_columns_of_any_name(spark, fitted):
     names = ["_text", "_spelled", "_any", "kept", "body", "own", "clean_text", "features", "tokens", "found", "context_0", "pieces", "raw", "a.b"]
     rows = spark.createDataFrame([(*range(len(names)), "the price is bad")], ", ".join(f"`{n}` int" for n in names) + ", review string")
