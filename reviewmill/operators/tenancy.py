@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewmill.operators import complaints
+
 WRITERS = ("owner", "admin", "analyst")
 ADMINS = ("owner", "admin")
 
@@ -133,10 +135,17 @@ def visible_links(links: DataFrame, own: DataFrame) -> DataFrame:
 # --- write gates -------------------------------------------------------------------
 
 def write_gate(incoming: DataFrame, members: DataFrame, roles: tuple[str, ...] = WRITERS,
-               user: str = "user_id", organization: str = "organization_id") -> tuple[DataFrame, DataFrame]:
-    """Rows whose writer holds one of the roles in the row's organization, and the rest."""
+               user: str = "user_id", organization: str = "organization_id", bitmaps: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Rows whose writer holds one of the roles in the row's organization, and the rest.
+
+    The join moves whole rows. With ``bitmaps``, a filter of 4 kB each over the writers who may pass keeps most of the others from it;
+    the join is then one with distinct writers, since Spark would carry out a semi join ahead of the filter.
+    """
     allowed = members.filter(F.col("role").isin(list(roles))).select(
         F.col("user_id").alias(user), F.col("organization_id").alias(organization))
+    if bitmaps:
+        likely = complaints.may_match(incoming, [user, organization], allowed, bitmaps)
+        return likely.join(allowed.distinct(), [user, organization]), incoming.join(allowed, [user, organization], "left_anti")
     return incoming.join(allowed, [user, organization], "left_semi"), \
         incoming.join(allowed, [user, organization], "left_anti")
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewmill import schemas, session
-from reviewmill.operators import corpus, models, scoring
+from reviewmill.operators import corpus, models, scoring, tenancy
 from reviewmill.plans import jobs as batch_jobs
 from reviewmill.sources import readers, sinks, upserts
 from reviewmill.streaming import jobs
@@ -102,6 +102,32 @@ def test_wanted_columns_alone_are_read_and_moved(spark, tmp_path):
         upserts.compact(spark, path)
 
 
+def test_stored_versions_have_an_entropy_coding_codec(spark, tmp_path):
+    """Half of the letters of a digest are no information; Snappy leaves them in."""
+    path = str(tmp_path / "t")
+    upserts.upsert(spark.range(20_000).selectExpr("id", "'a' as name", "id as created_at", "1L as updated_at").coalesce(1), path, ["id"], 1)
+    size = sum(f.stat().st_size for f in (tmp_path / "t").rglob("*.parquet"))
+    bloom = 1 << 20  # of fixed size
+    assert size - bloom < 20_000 * 50
+
+
+def test_gate_filters_ahead_of_its_join(spark):
+    """Rows of writers who may not pass are not exchanged; what passes is what the plain gate lets pass."""
+    rows = spark.range(3000).selectExpr("id", "if(id % 7 = 0, null, id % 500) AS user_id", "concat('S', id % 3) AS organization_id", "'x' AS `a.b`")
+    members = spark.createDataFrame([(n, f"S{n % 3}", "owner") for n in range(0, 500, 25)] * 2 + [(3, "S0", "viewer"), (None, "S1", "owner")],
+                                    "user_id long, organization_id string, role string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        passed, refused = tenancy.write_gate(rows, members, bitmaps=4)
+        columns = tenancy.write_gate(rows, members)[0].columns
+        plan = passed._jdf.queryExecution().optimizedPlan().toString()
+        want, rest = (sorted(map(str, df.collect())) for df in tenancy.write_gate(rows, members))
+        assert (sorted(map(str, passed.collect())), sorted(map(str, refused.collect()))) == (want, rest) and len(want) > 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert passed.columns == columns and plan.index("bitmap") > plan.index("Join Inner, (")
+
+
 def test_upsert_writes_only_its_own_rows(spark, tmp_path):
     path = tmp_path / "t"
     upserts.upsert(spark.createDataFrame([(i, "a", 1, 1) for i in range(50)], TABLE), str(path), ["id"], 1)
