@@ -106,6 +106,21 @@ def test_phrase_join_equals_brute_force(spark, sent):
     assert got == want
 
 
+@pytest.mark.parametrize("sent", [0, 1 << 20])
+def test_pairs_of_repeated_keys_alone_are_made_distinct(spark, sent, monkeypatch):
+    """Texts of a key that occurs once have no pair twice; those of other keys, null among them, are brought together."""
+    monkeypatch.setattr(complaints, "TASK_TEXTS", 3)
+    table = spark.createDataFrame([("lot",), ("ot",), ("bad box",)] * 2, "phrase string").localCheckpoint()
+    text = "a lot and a slot, a lot of pilots: bad box bad box"
+    rows = [(1, text), (2, text), (2, text), (2, "lot"), (None, text), (None, "bad box"), (3, "none"), (4, None), (5, ""), (6, "x")]
+    df = spark.createDataFrame(rows, "id int, content string").localCheckpoint()
+    got = [tuple(r) for r in complaints.match_phrases(df, table, sent=sent).collect()]
+    assert sorted(got, key=str) == sorted(((i, p) for i in (1, 2, None) for p in ("lot", "ot", "bad box")), key=str)
+    if sent:
+        plans = [complaints.match_phrases(part, table)._jdf.queryExecution().executedPlan().toString() for part in (df.filter("id = 1 or id > 2"), df)]
+        assert ["hashpartitioning(key" in plan for plan in plans] == [False, True]
+
+
 def test_phrases_are_filed_under_their_rarest_gap(spark):
     texts = ["one two three"] * 5 + ["two three four"] * 2 + ["xone two threes"]
     bodies = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key int, body string")
