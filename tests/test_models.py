@@ -314,6 +314,28 @@ def test_texts_are_taken_apart_once_for_a_fit(spark):
     assert [list(r[0]) for r in model.transform(rows).orderBy("id").select(vector_to_array("features")).collect()] == weights[1, 2]
 
 
+def test_stored_counts_are_those_of_the_stages(spark, monkeypatch):
+    """Texts as they come, not only cleaned ones; a fit stores the counts and nothing else."""
+    from pyspark.ml import PipelineModel
+
+    from reviewmill import session
+
+    texts = ["", " ", "  two  blanks ", "the", "Good GOOD\tÉté good\u00a0box", "a bb ccc dddd eeeee the ffffff bb ccc", "\n", "Очень хорошо"]
+    rows = spark.createDataFrame([(n, float(n % 2), t) for n, t in enumerate(texts)], "id int, label double, clean_text string")
+    for sizes, dims in (((1,), 50), ((1, 2), 1 << 16), ((1, 2, 3), {1: 50, 2: 64, 3: 7})):
+        stages = features.tfidf_stages(sizes, dims=dims)
+        found = features.counted(stages, rows, ["id", "label"], "counts")
+        want = PipelineModel(stages=stages[:-1]).transform(rows)
+        got, plain = ({r.id: (r.label, r.counts.size, {int(n): r.counts[int(n)] for n in r.counts.toArray().nonzero()[0]}) for r in df.collect()}
+                      for df in (found, want.select("id", "label", "counts")))
+        assert got == plain and found.schema["counts"].dataType == want.schema["counts"].dataType
+        assert found.schema["counts"].metadata == {"ml_attr": {"num_attrs": plain[0][1]}}
+    labels, publish = [], session.publish
+    monkeypatch.setattr(session, "publish", lambda df, label, *rest: (labels.append(label), publish(df, label, *rest))[1])
+    models.fit(rows, models.naive_bayes(), min_df=1.0)
+    assert labels == ["train-counts"]
+
+
 def test_documents_of_one_row_group_are_dealt_out(spark, tmp_path):
     """What is stored for fits lies in several files, so that every later step has several tasks."""
     from reviewmill.catalog import modelling
